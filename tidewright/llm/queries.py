@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from tidewright.llm import mixing, quality_rules
+from tidewright.llm import mixing, packing, quality_rules, simhash
 
 QUERIES = {
     "op2_quality_rules": quality_rules.op2_quality_rules,
     "op3_mixing": mixing.op3_mixing,
+    "op6_simhash": simhash.op6_simhash,
+    "op8_packing": packing.op8_packing,
 }
 
 ORACLE_SQL = {
