@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from tidewright.llm import mixing, packing, quality_rules, simhash
+from tidewright.llm import language_id, mixing, packing, quality_classifier, quality_rules, simhash, url_filter, vector_search
 
 QUERIES = {
     "op2_quality_rules": quality_rules.op2_quality_rules,
     "op3_mixing": mixing.op3_mixing,
+    "op4_quality_fm": quality_classifier.op4_quality_fm,
     "op6_simhash": simhash.op6_simhash,
+    "op7_url_filter": url_filter.op7_url_filter,
     "op8_packing": packing.op8_packing,
+    "op9_language": language_id.op9_language,
+    "op10_vector_topk": vector_search.op10_vector_topk,
 }
 
 ORACLE_SQL = {
     "op2_quality_rules": quality_rules.ORACLE,
     "op3_mixing": mixing.ORACLE,
+    "op7_url_filter": url_filter.ORACLE,
+    "op10_vector_topk": vector_search.ORACLE,
 }
