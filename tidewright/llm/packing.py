@@ -86,7 +86,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.lower().split() if PLAIN.fullmatch(t) and "<|" not in t else None for t in texts]
         known = self.known
-        new = {w: self._spaced(w) for w in {w for ws in split if ws for w in ws} - known.keys()}
+        new = {w: self._spaced(w) for w in {w for ws in split if ws for w in ws} if w not in known}
         find = known.__getitem__
         if len(known) < CACHE:
             known.update(new)
