@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidewright.llm import language_id, mixing, packing, quality_classifier, quality_rules, simhash, url_filter, vector_search
+from tidewright.llm import language_id, mixing, packing, pii, quality_classifier, quality_rules, simhash, url_filter, vector_search
 
 QUERIES = {
+    "op1_pii": pii.op1_pii,
     "op2_quality_rules": quality_rules.op2_quality_rules,
     "op3_mixing": mixing.op3_mixing,
     "op4_quality_fm": quality_classifier.op4_quality_fm,
