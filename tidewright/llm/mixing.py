@@ -36,6 +36,7 @@ def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
         F.col(id_col).alias("doc_id"),
         F.col(source_col).alias("source"),
         F.size(words(F.col(text_col))).cast("long").alias("size"),
+        F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("digest"),
         F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))).cast("binary")).alias("key"),
     )
 
@@ -69,7 +70,7 @@ def _order_bucket() -> Column:
 
 
 def mix(docs: DataFrame, packet: int = PACKET, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, source, size, source_size, target, taken for each row of ``docs``.
+    """doc_id, source, digest of the text, size, source_size, target, taken for each row of ``docs``.
 
     ``taken`` counts the words that the mix takes of a document, from its start,
     in both rounds together. Empty documents are taken with no words. Rows that
@@ -85,10 +86,10 @@ def mix(docs: DataFrame, packet: int = PACKET, id_col: str = "doc_id", text_col:
     offsets = offsets.join(goal, F.col("s").eqNullSafe(F.col("source"))).drop("source")
     inside = F.sum("size").over(W.partitionBy("source", "bucket").orderBy("key", "doc_id", "size", "row").rowsBetween(W.unboundedPreceding, 0))
     queued = sized.withColumn("inside", inside).join(offsets, (F.col("bucket") == F.col("b")) & F.col("source").eqNullSafe(F.col("s")))
-    queued = queued.select("row", "doc_id", "source", "size", "source_size", "target", "key", (F.col("before") + F.col("inside") - F.col("size")).alias("start"))
+    queued = queued.select("row", "doc_id", "source", "digest", "size", "source_size", "target", "key", (F.col("before") + F.col("inside") - F.col("size")).alias("start"))
     packets = cut(_packets(queued, packet))
     ends = F.coalesce(F.col("taken"), F.lit(0))
-    return queued.join(_sent(packets, packet), "row", "left").select("doc_id", "source", "size", "source_size", "target", ends.cast("long").alias("taken"))
+    return queued.join(_sent(packets, packet), "row", "left").select("doc_id", "source", "digest", "size", "source_size", "target", ends.cast("long").alias("taken"))
 
 
 def _packets(queued: DataFrame, packet: int) -> DataFrame:
@@ -115,6 +116,32 @@ def _sent(packets: DataFrame, packet: int) -> DataFrame:
     return whole.unionByName(cut_ones).groupBy("row").agg(F.sum("words").alias("taken"))
 
 
+def emit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows of the mix: ``docs`` as often as taken, the last copy cut after its last word.
+
+    Documents of which nothing is taken, and those without words, are left out.
+    ``n_chars``, if there, is counted anew where a text was cut.
+    """
+    same = W.partitionBy("_i", "_s", "_d").orderBy("_d")
+    taken = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col).select(
+        F.col("doc_id").alias("_i"), F.col("source").alias("_s"), F.col("digest").alias("_d"), F.col("size").alias("_size"), F.col("taken").alias("_taken")
+    )
+    taken = taken.withColumn("_n", F.row_number().over(same)).alias("t")
+    keyed = docs.select("*", F.col(id_col).alias("_i"), F.col(source_col).alias("_s"), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("_d"))
+    keyed = keyed.withColumn("_n", F.row_number().over(same)).alias("k")
+    on = [F.col(f"k.{c}").eqNullSafe(F.col(f"t.{c}")) for c in ("_i", "_s", "_d", "_n")]
+    both = keyed.join(taken, on).where("_taken > 0")
+    copies = F.filter(F.array(F.least("_taken", "_size"), F.col("_taken") - F.least("_taken", "_size")), lambda n: n > 0)
+    out = both.select(*(F.col(f"k.{c}") for c in docs.columns), "_size", F.explode(copies).alias("_words"))
+    gap, word = r"[ \t-\r]", r"[^ \t-\r]"
+    first = F.concat(F.lit(f"^{gap}*+(?:{word}++{gap}++){{"), (F.col("_words") - 1).cast("string"), F.lit(f"}}+{word}++"))
+    text = F.when(F.col("_words") == F.col("_size"), F.col(text_col)).otherwise(F.regexp_substr(F.col(text_col), first))
+    columns = {text_col: text}
+    if "n_chars" in docs.columns:
+        columns["n_chars"] = F.when(F.col("_words") == F.col("_size"), F.col("n_chars")).otherwise(F.length(text)).cast(docs.schema["n_chars"].dataType)
+    return out.select(*(columns.get(c, F.col(c)).alias(c) for c in docs.columns))
+
+
 def op3_mixing(spark, sf_dir: str) -> DataFrame:
     from tidewright.llm.common import read
 

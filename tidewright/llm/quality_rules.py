@@ -30,6 +30,8 @@ HOST_LIMIT = 0.5
 #: Weight of the prior, in documents, where the hosts' rates do not differ.
 EVEN_HOSTS_WEIGHT = 100.0
 SALTS = 64
+#: Condemned hosts that are broadcast; more are joined by shuffle.
+FEW_HOSTS = 100_000
 
 
 def repeated_words(tokens: Column, window: int = WINDOW) -> Column:
@@ -68,29 +70,38 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     an id are separate documents. Columns other than the three named are not read,
     so their names cannot clash.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), text.alias("_t"))
-    lines = F.filter(F.split("_t", "\n"), lambda x: F.length(F.trim(F.translate(x, "\t\x0b\x0c\r", ""))) > 0)
-    found = let(
-        words(F.col("_t")),
-        lambda w: F.struct(F.size(w).cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"), repeated_words(w).alias("n_repeat_words")),
-    )
-    line = let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines")))
-    symbols = F.length("_t") - F.length(F.translate("_t", "#*$%&|<>", ""))
-    return base.select("doc_id", "host", found.alias("w"), line.alias("l"), symbols.cast("long").alias("n_symbols")).select("doc_id", "host", "w.*", "l.*", "n_symbols")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), measured(F.col(text_col)).alias("q")).select("doc_id", "host", "q.*")
+
+
+def measured(text: Column) -> Column:
+    """The statistics of a text, as a struct."""
+
+    def of(t: Column) -> Column:
+        w = let(words(t), lambda w: F.struct(F.size(w).cast("long").alias("n"), F.length(F.array_join(w, "")).cast("long").alias("chars"), repeated_words(w).alias("repeat")))
+        lines = F.filter(F.split(t, "\n"), lambda x: F.length(F.trim(F.translate(x, "\t\x0b\x0c\r", ""))) > 0)
+        l = let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup")))  # noqa: E741
+        symbols = (F.length(t) - F.length(F.translate(t, "#*$%&|<>", ""))).cast("long")
+        return let(F.struct(w.alias("w"), l.alias("l"), symbols.alias("s")), lambda x: F.struct(
+            x["w"]["n"].alias("n_words"), x["w"]["chars"].alias("word_chars"), x["w"]["repeat"].alias("n_repeat_words"),
+            x["l"]["n"].alias("n_lines"), x["l"]["dup"].alias("n_dup_lines"), x["s"].alias("n_symbols")))
+
+    return let(F.coalesce(text, F.lit("")), of)
 
 
-def base_failed() -> Column:
-    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+def base_failed(of: str = "") -> Column:
+    """Whether the statistics (columns, or fields of the struct ``of``) fail a base rule."""
+    c = lambda name: F.col(f"{of}.{name}" if of else name)
+    return (c("n_words") < MIN_WORDS) | (100 * c("n_repeat_words") > MAX_REPEAT_PERCENT * c("n_words"))
 
 
-def soft_failures() -> Column:
-    """How many of the soft rules a document fails."""
+def soft_failures(of: str = "") -> Column:
+    """How many of the soft rules the statistics fail."""
+    c = lambda name: F.col(f"{of}.{name}" if of else name)
     low, high = MEAN_WORD_CHARS
     rules = (
-        100 * F.col("n_symbols") > MAX_SYMBOL_PERCENT * F.col("n_words"),
-        100 * F.col("n_dup_lines") > MAX_DUP_LINE_PERCENT * F.col("n_lines"),
-        (F.col("word_chars") < low * F.col("n_words")) | (F.col("word_chars") > high * F.col("n_words")),
+        100 * c("n_symbols") > MAX_SYMBOL_PERCENT * c("n_words"),
+        100 * c("n_dup_lines") > MAX_DUP_LINE_PERCENT * c("n_lines"),
+        (c("word_chars") < low * c("n_words")) | (c("word_chars") > high * c("n_words")),
     )
     return sum((r.cast("int") for r in rules), F.lit(0))
 
@@ -129,6 +140,25 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
     )
 
 
+def keep(docs: DataFrame, text_col: str = "text", host_col: str = "source") -> DataFrame:
+    """``docs`` without the rejected ones; columns and repeated rows stay as they are.
+
+    The statistics are taken again beside the text, which so needs no shuffle; only
+    the condemned hosts are joined, broadcast if there are few of them.
+    """
+    judged = cut(statistics(docs.withColumn("_id", F.lit(0)), "_id", text_col, host_col).select("host", base_failed().alias("base_failed"), soft_failures().alias("n_soft")))
+    condemned = cut(host_verdicts(judged).where("condemned").select(F.col("host").alias("_host"), F.lit(True).alias("_condemned")))
+    marked = docs.withColumn("_q", measured(F.col(text_col))).withColumn("_fails", F.struct(base_failed("_q").alias("base"), soft_failures("_q").alias("soft")))
+    if condemned.count() <= FEW_HOSTS:
+        marked = marked.join(F.broadcast(condemned), F.col(host_col).eqNullSafe(F.col("_host")), "left")
+    else:
+        marked = marked.withColumn("_salt", F.pmod(F.xxhash64(text_col), F.lit(SALTS)))
+        spread = condemned.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<long>")))
+        marked = marked.join(spread, (F.col("_salt") == F.col("_s")) & F.col(host_col).eqNullSafe(F.col("_host")), "left")
+    allowed = F.when(F.col("_condemned"), 0).otherwise(1)
+    return marked.where(~F.col("_fails.base") & (F.col("_fails.soft") <= allowed)).select(*docs.columns)
+
+
 def op2_quality_rules(spark, sf_dir: str) -> DataFrame:
     from tidewright.llm.common import read
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tidewright.llm import language_id, mixing, packing, pii, quality_classifier, quality_rules, simhash, url_filter, vector_search
+from tidewright.llm import language_id, mixing, packing, pii, quality_classifier, quality_rules, simhash, toxicity, url_filter, vector_search
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
     "op2_quality_rules": quality_rules.op2_quality_rules,
     "op3_mixing": mixing.op3_mixing,
     "op4_quality_fm": quality_classifier.op4_quality_fm,
+    "op5_toxicity": toxicity.op5_toxicity,
     "op6_simhash": simhash.op6_simhash,
     "op7_url_filter": url_filter.op7_url_filter,
     "op8_packing": packing.op8_packing,
