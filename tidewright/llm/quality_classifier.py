@@ -128,7 +128,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
             yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.list_(pa.int32())), pa.array([g[1] for g in got], pa.list_(pa.float64())), b.column(2)], names=["b", "s", "y"])
 
     chosen = labelled_sample(docs.withColumn("_meta", F.col("n_chars").cast("double")), labels, label, sample, others=("_meta",))
-    got = chosen.select("text", "_meta", "label").mapInArrow(features, "b array<int>, s array<double>, y double").toPandas()
+    got = chosen.select("text", "_meta", "label").repartition(24, F.xxhash64("text")).mapInArrow(features, "b array<int>, s array<double>, y double").toPandas()
     if got.empty:
         return Machine(np.zeros(STATISTICS), np.ones(STATISTICS))
     stats = np.stack(got["s"].to_numpy())

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tidewright.llm.sampling import held_out, labelled_sample
 
-SAMPLE, LANDMARKS = 8000, 160
+SAMPLE, LANDMARKS = 6000, 160
 DECAY, SPAN = 0.4, 5
 #: Kernel values under this count as none.
 NEAR = 0.6
@@ -41,6 +41,8 @@ MIN_TEXTS, MIN_LIFT = 4, 20
 #: Rounds in which the SVM chooses anew which sentences of toxic texts are toxic.
 ROUNDS = 3
 CACHE = 400_000
+#: Tasks that make the sample's features.
+PARTS = 24
 LIMIT = 0.7
 #: (first gap end, second gap end, weight) of the subsequences of three.
 SHAPES = [(a, b, DECAY ** (b - 2)) for b in range(2, SPAN) for a in range(1, b)]
@@ -110,7 +112,8 @@ class Reader:
 
     def reset(self) -> None:
         self.known: dict[str, int] = {}
-        self.near: list[np.ndarray] = []  # by code, for words near a landmark
+        self.near: list[np.ndarray] = []  # kernel values of the words near a landmark
+        self.near_words: list[str] = []
         self.row = np.zeros(0, np.int64)  # code -> place in near, or -1
         self.ends = np.zeros(0, bool)
         self.single = np.zeros(0, bool)
@@ -128,17 +131,17 @@ class Reader:
             rows = np.full(len(part), -1)
             rows[hit] = len(self.near) + np.arange(int(hit.sum()))
             self.near += list(values[hit])
+            self.near_words += [words[i] for i in np.flatnonzero(hit)]
             self.known.update(zip(part, range(len(self.row), len(self.row) + len(part)), strict=True))
             self.row = np.r_[self.row, rows]
             self.ends = np.r_[self.ends, [t[-1] in ".!?" for t in part]]
             self.single = np.r_[self.single, [len(w) == 1 for w in words]]
 
-    def read(self, text: str | None) -> tuple[int, int, np.ndarray, np.ndarray]:
-        """Words, sentences, and for words near a landmark: their sentence and kernel values."""
+    def read(self, text: str | None) -> tuple[int, int, np.ndarray, list[int]]:
+        """Words, sentences, and for words near a landmark: their sentence and place in ``near``."""
         tokens = (text or "").lower().split()
-        none = np.zeros(0, np.int64), np.zeros((0, len(self.kernel.landmarks)), np.float32)
         if not tokens:
-            return 0, 0, *none
+            return 0, 0, np.zeros(0, np.int64), []
         new = [t for t in set(tokens) if t not in self.known]
         if len(self.known) + len(new) > CACHE and self.known:
             self.reset()
@@ -148,17 +151,23 @@ class Reader:
         code = np.fromiter(map(self.known.__getitem__, tokens), np.int64, len(tokens))
         sentence = np.r_[0, np.cumsum(self.ends[code])[:-1]]
         at = np.flatnonzero(self.row[code] >= 0)
-        where, values = sentence[at], np.stack([self.near[r] for r in self.row[code[at]]]) if len(at) else none[1]
+        where, rows = sentence[at], self.row[code[at]].tolist()
         # letters that stand alone, three or more in a row, are one spelt-out word
         single = np.r_[False, self.single[code], False].astype(np.int8)
         begin, end = np.flatnonzero(np.diff(single) == 1), np.flatnonzero(np.diff(single) == -1)
-        runs = [(b, e) for b, e in zip(begin, end, strict=True) if e - b >= 3]
-        if runs:
-            extra = self.kernel.values([self.plain("".join(tokens[b:e])) for b, e in runs])
-            hit = extra.any(axis=1)
-            where = np.r_[where, [sentence[b] for (b, _), h in zip(runs, hit, strict=True) if h]].astype(np.int64)
-            values = np.concatenate([values, extra[hit]])
-        return len(tokens), int(sentence[-1]) + 1, where, values
+        for b, e in zip(begin, end, strict=True):
+            if e - b >= 3:
+                word = self.plain("".join(tokens[b:e]))
+                values = self.kernel.values([word])[0]
+                if values.any():
+                    rows.append(len(self.near))
+                    self.near.append(values)
+                    self.near_words.append(word)
+                    where = np.r_[where, sentence[b]]
+        return len(tokens), int(sentence[-1]) + 1, where, rows
+
+    def values(self, rows: list[int]) -> np.ndarray:
+        return np.stack([self.near[r] for r in rows]) if rows else np.zeros((0, len(self.kernel.landmarks)), np.float32)
 
 
 class Model:
@@ -174,7 +183,7 @@ class Model:
         """A row for each sentence with a word near a landmark."""
         order = np.argsort(where, kind="stable")
         starts = np.flatnonzero(np.r_[True, where[order][1:] != where[order][:-1]])
-        return np.maximum.reduceat(values[order], starts) @ self.whiten
+        return np.maximum.reduceat(values[order], starts) @ self.whiten.astype(np.float32)
 
     def fit_svm(self, x: np.ndarray, y: np.ndarray, seed: int = 3) -> None:
         """Hinge loss by averaged subgradient steps, both classes weighing the same."""
@@ -255,13 +264,20 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(model.kernel)
         for b in batches:
-            got = [reader.read(t) for t in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.int64()), pa.array([g[2] for g in got], pa.list_(pa.int64())),
-                 pa.array([g[3].ravel() for g in got], pa.list_(pa.float32())), b.column(1)], names=["n", "s", "at", "v", "y"])
-
-    rows = chosen.mapInArrow(features, "n long, s long, at array<long>, v array<float>, y double").toPandas()
-    got = [(int(n), int(s), np.asarray(at, np.int64), np.asarray(v, np.float32).reshape(len(at), len(model.kernel.landmarks))) for n, s, at, v in zip(rows["n"], rows["s"], rows["at"], rows["v"], strict=True)]
+            got = []
+            for t in b.column(0).to_pylist():
+                n, s, at, near = reader.read(t)
+                got.append((n, s, at, [reader.near_words[r] for r in near]))
+            if not got:
+                continue
+            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(zip(*got, strict=True), kinds, strict=True)), b.column(1)], names=["n", "s", "at", "w", "y"])
+
+    rows = chosen.repartition(PARTS, F.xxhash64("text")).mapInArrow(features, "n long, s long, at array<long>, w array<string>, y double").toPandas()
+    rows = rows.sort_values(["y", "n", "s"], kind="stable", ignore_index=True)
+    words = sorted({w for ws in rows["w"] for w in ws})
+    place, near = {w: k for k, w in enumerate(words)}, model.kernel.values(words)
+    got = [(int(n), int(s), np.asarray(at, np.int64), near[[place[w] for w in ws]]) for n, s, at, ws in zip(rows["n"], rows["s"], rows["at"], rows["w"], strict=True)]
     y = rows["y"].to_numpy()
     some = [i for i, g in enumerate(got) if len(g[2])]
     if some:
@@ -277,7 +293,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(model.kernel)
         for b in batches:
-            out = [model.probability(model.summary(reader.read(t))) for t in b.column(1).to_pylist()]
+            out = []
+            for t in b.column(1).to_pylist():
+                n, s, at, near = reader.read(t)
+                out.append(model.probability(model.summary((n, s, at, reader.values(near)))))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.float64())], names=["doc_id", "score"])
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(rows, f"doc_id {kind}, score double")
