@@ -1,0 +1,48 @@
+"""Schemas of raw messages and of the event log, as DDL. Nothing is inferred."""
+
+from __future__ import annotations
+
+# Raw messages (fixed values: field names are the venues').
+BOOK_TICKER = "e STRING, u BIGINT, E BIGINT, T BIGINT, s STRING, b STRING, B STRING, a STRING, A STRING"
+TRADE = "e STRING, E BIGINT, T BIGINT, s STRING, t BIGINT, p STRING, q STRING, X STRING, m BOOLEAN"
+AGG_TRADE = "e STRING, E BIGINT, s STRING, a BIGINT, p STRING, q STRING, f BIGINT, l BIGINT, T BIGINT, m BOOLEAN"
+DEPTH = "e STRING, E BIGINT, T BIGINT, s STRING, U BIGINT, u BIGINT, pu BIGINT, b ARRAY<ARRAY<STRING>>, a ARRAY<ARRAY<STRING>>"
+MARK_PRICE = "e STRING, E BIGINT, s STRING, p STRING, i STRING, P STRING, r STRING, T BIGINT"
+FORCE_ORDER = "e STRING, E BIGINT, o STRUCT<s: STRING, S: STRING, o: STRING, f: STRING, q: STRING, p: STRING, ap: STRING, X: STRING, l: STRING, z: STRING, T: BIGINT>"
+REPLY = "result STRING, error STRING, id BIGINT"
+PREMIUM_INDEX = "ARRAY<STRUCT<symbol: STRING, markPrice: STRING, indexPrice: STRING, lastFundingRate: STRING, nextFundingTime: BIGINT, time: BIGINT>>"
+OPEN_INTEREST = "symbol STRING, openInterest STRING, time BIGINT"
+FUNDING_RATE = "ARRAY<STRUCT<symbol: STRING, fundingTime: BIGINT, fundingRate: STRING>>"
+DEPTH_SNAPSHOT = "lastUpdateId BIGINT, E BIGINT, T BIGINT, bids ARRAY<ARRAY<STRING>>, asks ARRAY<ARRAY<STRING>>"
+FUNDING_INFO = "ARRAY<STRUCT<symbol: STRING, fundingIntervalHours: BIGINT, adjustedFundingRateCap: STRING, adjustedFundingRateFloor: STRING>>"
+EXCHANGE_INFO = (
+    "symbols ARRAY<STRUCT<symbol: STRING, contractType: STRING, baseAsset: STRING, quoteAsset: STRING, marginAsset: STRING, status: STRING, onboardDate: BIGINT, deliveryDate: BIGINT, "
+    "filters: ARRAY<STRUCT<filterType: STRING, tickSize: STRING, stepSize: STRING, notional: STRING>>>>"
+)
+KLINES = "ARRAY<ARRAY<STRING>>"
+OI_HISTORY = "ARRAY<STRUCT<symbol: STRING, sumOpenInterest: STRING, sumOpenInterestValue: STRING, timestamp: BIGINT>>"
+BYBIT_FUNDING = "retCode INT, result STRUCT<list: ARRAY<STRUCT<symbol: STRING, fundingRate: STRING, fundingRateTimestamp: STRING>>>"
+BYBIT_INSTRUMENTS = (
+    "ARRAY<STRUCT<retCode: INT, result: STRUCT<list: ARRAY<STRUCT<symbol: STRING, contractType: STRING, status: STRING, baseCoin: STRING, quoteCoin: STRING, settleCoin: STRING, launchTime: STRING, fundingInterval: BIGINT>>>>>"
+)
+
+LEVELS = "ARRAY<STRUCT<price: DECIMAL(38,18), qty: DECIMAL(38,18)>>"
+FILLS = "ARRAY<STRUCT<id: STRING, price: DECIMAL(38,18), qty: DECIMAL(38,18), side: STRING, kind: STRING>>"
+#: One column for each payload; all but the row's own are null.
+PAYLOADS = {
+    "book_ticker": "STRUCT<update_id: BIGINT, bid_price: DECIMAL(38,18), bid_qty: DECIMAL(38,18), ask_price: DECIMAL(38,18), ask_qty: DECIMAL(38,18)>",
+    "trades": FILLS,
+    "mark_price": "DECIMAL(38,18)",
+    "index_price": "DECIMAL(38,18)",
+    "funding_prediction": "STRUCT<rate: DECIMAL(38,18), next_funding_time: BIGINT, interval_ns: BIGINT, premium_index: DECIMAL(38,18), clamp_min: DECIMAL(38,18), clamp_max: DECIMAL(38,18)>",
+    "funding_realized": "STRUCT<rate: DECIMAL(38,18), funding_time: BIGINT, interval_ns: BIGINT>",
+    "book_snapshot": f"STRUCT<last_update_id: BIGINT, bids: {LEVELS}, asks: {LEVELS}>",
+    "book_update": f"STRUCT<first_update_id: BIGINT, final_update_id: BIGINT, prev_final_update_id: BIGINT, event_time: BIGINT, bids: {LEVELS}, asks: {LEVELS}>",
+    "liquidation": "STRUCT<side: STRING, price: DECIMAL(38,18), qty: DECIMAL(38,18), filled_qty: DECIMAL(38,18), avg_price: DECIMAL(38,18), order_status: STRING>",
+    "open_interest": "STRUCT<open_interest: DECIMAL(38,18), open_interest_value: DECIMAL(38,18)>",
+    "control": "STRUCT<kind: STRING, detail: STRING>",
+    "reference": "STRUCT<kind: STRING, detail: STRING>",
+}
+ENVELOPE = "venue STRING, instrument STRING, venue_ts BIGINT, local_ts BIGINT, source INT, pos BIGINT, kind STRING"
+EVENT_LOG = ENVELOPE + ", " + ", ".join(f"{k} {v}" for k, v in PAYLOADS.items())
+RAW = "venue STRING, source INT, local_ts BIGINT, pos BIGINT, body STRING"
