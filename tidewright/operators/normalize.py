@@ -21,8 +21,13 @@ def _event(df: DataFrame, kind: str, instrument: Column, venue_ts: Column, paylo
     )
 
 
-def _parsed(raw: DataFrame, kind: str, schema: str) -> DataFrame:
-    return raw.where(F.get_json_object("body", "$.e") == kind).withColumn("m", F.from_json("body", schema))
+def _parsed(raw: DataFrame, kind: str, fields: dict[str, str]) -> DataFrame:
+    return _fields(raw.where(F.get_json_object("body", "$.e") == kind), "body", fields)
+
+
+def _fields(df: DataFrame, body: str, fields: dict[str, str]) -> DataFrame:
+    kept = [c for c in df.columns if c != body]
+    return df.select(*kept, F.json_tuple(body, *fields).alias(*fields.values()))
 
 
 def _levels(pairs: Column) -> Column:
@@ -54,25 +59,29 @@ def replies(other: DataFrame, awaited: DataFrame) -> DataFrame:
 
 
 def book_ticker(raw: DataFrame) -> DataFrame:
-    p = F.struct(F.col("m.u"), exact(F.col("m.b")), exact(F.col("m.B")), exact(F.col("m.a")), exact(F.col("m.A")))
-    return _event(_parsed(raw, "bookTicker", S.BOOK_TICKER), "book_ticker", F.col("m.s"), ns_from_ms(F.coalesce("m.T", "m.E")), p)
+    m = _parsed(raw, "bookTicker", S.BOOK_TICKER)
+    p = F.struct(F.col("update_id").cast("long"), *(exact(F.col(c)) for c in ("bid", "bid_size", "ask", "ask_size")))
+    return _event(m, "book_ticker", F.col("symbol"), ns_from_ms(F.coalesce("trade_ms", "event_ms")), p)
 
 
-def _fill(number: Column, kind: Column) -> Column:
-    return F.array(F.struct(number.cast("string"), exact(F.col("m.p")), exact(F.col("m.q")), aggressor(F.col("m.m")), kind))
+def _fills(m: DataFrame, kind: Column) -> DataFrame:
+    p = F.array(F.struct("id", exact(F.col("price")), exact(F.col("qty")), aggressor(F.col("maker").cast("boolean")), kind))
+    return _event(m, "trades", F.col("symbol"), ns_from_ms(F.col("trade_ms")), p)
 
 
 def trade(raw: DataFrame) -> DataFrame:
-    return _event(_parsed(raw, "trade", S.TRADE), "trades", F.col("m.s"), ns_from_ms(F.col("m.T")), _fill(F.col("m.t"), F.col("m.X")))
+    return _fills(_parsed(raw, "trade", S.TRADE), F.col("type"))
 
 
 def agg_trade(raw: DataFrame) -> DataFrame:
-    return _event(_parsed(raw, "aggTrade", S.AGG_TRADE), "trades", F.col("m.s"), ns_from_ms(F.col("m.T")), _fill(F.col("m.a"), F.lit(None).cast("string")))
+    return _fills(_parsed(raw, "aggTrade", S.AGG_TRADE), F.lit(None).cast("string"))
 
 
 def depth_update(raw: DataFrame) -> DataFrame:
-    p = F.struct(F.col("m.U"), F.col("m.u"), F.col("m.pu"), ns_from_ms(F.col("m.E")), _levels(F.col("m.b")), _levels(F.col("m.a")))
-    return _event(_parsed(raw, "depthUpdate", S.DEPTH), "book_update", F.col("m.s"), ns_from_ms(F.col("m.T")), p)
+    m = _parsed(raw, "depthUpdate", S.DEPTH)
+    side = lambda c: _levels(F.from_json(c, S.PAIRS))
+    p = F.struct(*(F.col(c).cast("long") for c in ("first", "final", "previous")), ns_from_ms(F.col("event_ms")), side("bids"), side("asks"))
+    return _event(m, "book_update", F.col("symbol"), ns_from_ms(F.col("trade_ms")), p)
 
 
 def _prediction(rate: Column, time: Column, premium: Column | None = None) -> Column:
@@ -83,16 +92,17 @@ def _prediction(rate: Column, time: Column, premium: Column | None = None) -> Co
 def mark_price(raw: DataFrame) -> DataFrame:
     """Three events of a message: mark price, index price, predicted funding."""
     m = _parsed(raw, "markPriceUpdate", S.MARK_PRICE)
-    at, who = ns_from_ms(F.col("m.E")), F.col("m.s")
+    at, who = ns_from_ms(F.col("event_ms")), F.col("symbol")
     return union(
-        _event(m, "mark_price", who, at, exact(F.col("m.p"))), _event(m, "index_price", who, at, exact(F.col("m.i"))),
-        _event(m, "funding_prediction", who, at, _prediction(F.col("m.r"), F.col("m.T"))),
+        _event(m, "mark_price", who, at, exact(F.col("mark"))), _event(m, "index_price", who, at, exact(F.col("index"))),
+        _event(m, "funding_prediction", who, at, _prediction(F.col("rate"), F.col("next_ms"))),
     )
 
 
 def force_order(raw: DataFrame) -> DataFrame:
-    p = F.struct(F.lower("m.o.S"), *(exact(F.col(f"m.o.{c}")) for c in ("p", "q", "z", "ap")), F.col("m.o.X"))
-    return _event(_parsed(raw, "forceOrder", S.FORCE_ORDER), "liquidation", F.col("m.o.s"), ns_from_ms(F.col("m.o.T")), p)
+    m = _fields(_parsed(raw, "forceOrder", S.FORCE_ORDER), "order", S.ORDER)
+    p = F.struct(F.lower("side"), *(exact(F.col(c)) for c in ("price", "qty", "filled", "average")), F.col("status"))
+    return _event(m, "liquidation", F.col("symbol"), ns_from_ms(F.col("trade_ms")), p)
 
 
 def premium_index(raw: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewright.plans import registry
+from tidewright.plans import messages, registry
 
-QUERIES = {**registry.QUERIES}
-ORACLE_SQL = {**registry.ORACLE_SQL}
+QUERIES = {**registry.QUERIES, **messages.QUERIES}
+ORACLE_SQL = {**registry.ORACLE_SQL, **messages.ORACLE_SQL}

@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 # Raw messages (fixed values: field names are the venues').
-BOOK_TICKER = "e STRING, u BIGINT, E BIGINT, T BIGINT, s STRING, b STRING, B STRING, a STRING, A STRING"
-TRADE = "e STRING, E BIGINT, T BIGINT, s STRING, t BIGINT, p STRING, q STRING, X STRING, m BOOLEAN"
-AGG_TRADE = "e STRING, E BIGINT, s STRING, a BIGINT, p STRING, q STRING, f BIGINT, l BIGINT, T BIGINT, m BOOLEAN"
-DEPTH = "e STRING, E BIGINT, T BIGINT, s STRING, U BIGINT, u BIGINT, pu BIGINT, b ARRAY<ARRAY<STRING>>, a ARRAY<ARRAY<STRING>>"
-MARK_PRICE = "e STRING, E BIGINT, s STRING, p STRING, i STRING, P STRING, r STRING, T BIGINT"
-FORCE_ORDER = "e STRING, E BIGINT, o STRUCT<s: STRING, S: STRING, o: STRING, f: STRING, q: STRING, p: STRING, ap: STRING, X: STRING, l: STRING, z: STRING, T: BIGINT>"
+# Socket messages tell fields apart by case, so they are read by path: venue's field -> name here.
+BOOK_TICKER = {"u": "update_id", "E": "event_ms", "T": "trade_ms", "s": "symbol", "b": "bid", "B": "bid_size", "a": "ask", "A": "ask_size"}
+TRADE = {"T": "trade_ms", "s": "symbol", "t": "id", "p": "price", "q": "qty", "X": "type", "m": "maker"}
+AGG_TRADE = {"T": "trade_ms", "s": "symbol", "a": "id", "p": "price", "q": "qty", "m": "maker"}
+DEPTH = {"E": "event_ms", "T": "trade_ms", "s": "symbol", "U": "first", "u": "final", "pu": "previous", "b": "bids", "a": "asks"}
+MARK_PRICE = {"E": "event_ms", "s": "symbol", "p": "mark", "i": "index", "r": "rate", "T": "next_ms"}
+FORCE_ORDER = {"o": "order"}
+ORDER = {"s": "symbol", "S": "side", "p": "price", "q": "qty", "z": "filled", "ap": "average", "X": "status", "T": "trade_ms"}
+PAIRS = "ARRAY<ARRAY<STRING>>"
 REPLY = "result STRING, error STRING, id BIGINT"
 PREMIUM_INDEX = "ARRAY<STRUCT<symbol: STRING, markPrice: STRING, indexPrice: STRING, lastFundingRate: STRING, nextFundingTime: BIGINT, time: BIGINT>>"
 OPEN_INTEREST = "symbol STRING, openInterest STRING, time BIGINT"
 FUNDING_RATE = "ARRAY<STRUCT<symbol: STRING, fundingTime: BIGINT, fundingRate: STRING>>"
-DEPTH_SNAPSHOT = "lastUpdateId BIGINT, E BIGINT, T BIGINT, bids ARRAY<ARRAY<STRING>>, asks ARRAY<ARRAY<STRING>>"
+DEPTH_SNAPSHOT = "lastUpdateId BIGINT, T BIGINT, bids ARRAY<ARRAY<STRING>>, asks ARRAY<ARRAY<STRING>>"
 FUNDING_INFO = "ARRAY<STRUCT<symbol: STRING, fundingIntervalHours: BIGINT, adjustedFundingRateCap: STRING, adjustedFundingRateFloor: STRING>>"
 EXCHANGE_INFO = (
     "symbols ARRAY<STRUCT<symbol: STRING, contractType: STRING, baseAsset: STRING, quoteAsset: STRING, marginAsset: STRING, status: STRING, onboardDate: BIGINT, deliveryDate: BIGINT, "
