@@ -1,0 +1,115 @@
+"""Window forms of the log checks against sequential models on random logs."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidewright.operators import datasets, qa, reference
+
+
+def random_log(seed, n=220):
+    rng = random.Random(seed)
+    log, last = [], {}
+    for pos in range(n):
+        inst, source, what = rng.choice("abc"), rng.choice([1, 2]), rng.choice(["update"] * 6 + ["snapshot"] * 2 + ["down"])
+        ts = pos * 1_000_000_000 + rng.randrange(5)
+        u = last.get(inst, 0)
+        if what == "update":
+            first = u + 1 - rng.choice([0, 0, 0, 2])
+            final = u + rng.randint(1, 6)
+            log.append(("update", inst, source, pos, ts, first, final, rng.choice([u, u, u, u - 1, None])))
+            last[inst] = final
+        elif what == "snapshot":
+            log.append(("snapshot", inst, 0, pos, ts, u + rng.randint(-6, 6), None, None))
+        else:
+            log.append(("down", None, source, pos, ts, None, None, None))
+    return log
+
+
+def sequential(log):
+    state, breaks, snaps = {}, {}, []
+    for what, inst, source, pos, ts, a, b, pu in log:
+        if what == "down":
+            for st in state.values():
+                if st["source"] == source:
+                    st["pending"] = True
+                    for s in st["snaps"]:
+                        if not s["spliced"]:
+                            s["abandoned"] = True
+            continue
+        st = state.setdefault(inst, {"last": None, "source": None, "pending": False, "snaps": []})
+        if what == "snapshot":
+            s = {"key": (inst, pos), "id": a, "ts": ts, "spliced": False, "abandoned": False}
+            st["snaps"].append(s)
+            snaps.append(s)
+            continue
+        if pu is not None and st["last"] is not None and pu != st["last"]:
+            breaks[inst, pos] = st["pending"]
+        st.update(last=b, source=source, pending=False)
+        for s in st["snaps"]:
+            s["spliced"] |= a <= s["id"] + 1 <= b
+    end = max(r[4] for r in log)
+    word = lambda s: "spliced" if s["spliced"] else "abandoned" if s["abandoned"] else "pending" if s["ts"] + 60_000_000_000 >= end else "unspliced"
+    return breaks, {s["key"]: word(s) for s in snaps}
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_chain_and_snapshots(spark, seed, monkeypatch):
+    monkeypatch.setattr(qa, "POSITIONS", 16)
+    monkeypatch.setattr(qa, "IDS", 4)
+    log = random_log(seed)
+    df = spark.createDataFrame(log, "what string, instrument string, source int, pos long, local_ts long, a long, b long, pu long").withColumn("venue", F.lit("v"))
+    upd = df.where("what = 'update'").select("venue", "instrument", "source", "pos", "local_ts", F.col("a").alias("first_update_id"), F.col("b").alias("final_update_id"), F.col("pu").alias("prev_final_update_id"))
+    snap = df.where("what = 'snapshot'").select("venue", "instrument", "pos", "local_ts", F.col("a").alias("last_update_id"))
+    downs = df.where("what = 'down'").select("venue", "source", "pos")
+    breaks, states = sequential(log)
+    assert {(r.instrument, r.pos): r.explained for r in qa.explained(qa.chain(upd).where("is_break"), downs).collect()} == breaks
+    ends = df.groupBy("venue").agg(F.max("local_ts").alias("max_local_ts"))
+    assert {(r.instrument, r.pos): r.state for r in qa.snapshot_states(snap, upd, downs, ends).collect()} == states
+
+
+def test_latency_tails_and_percentiles(spark):
+    df = spark.createDataFrame([("v", "k", i * 1_000_000) for i in range(1, 101)] + [("v", "t", x) for x in (-2_000_000_000, -500_000_000, 20_000_000_000)], "venue string, kind string, delta long")
+    got = {r.kind: (r.p50_us, r.p95_us, r.p99_us, r.min_us, r.max_us) for r in qa.latency_percentiles(qa.latency_histogram(df)).collect()}
+    assert got["k"] == (51_000, 96_000, 100_000, 1_000, 100_000)
+    assert got["t"] == (-499_000, 20_000_000, 20_000_000, -2_000_000, 20_000_000)
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_health_and_history(spark, seed):
+    rng = random.Random(seed)
+    rows = [("p", i, rng.random() < 0.5) for i in range(80)]
+    up, fails, want = False, 0, []
+    for _, pos, ok in rows:
+        if ok:
+            if not up:
+                want.append((pos, "up"))
+            up, fails = True, 0
+        else:
+            fails += 1
+            if fails == 3:
+                want.append((pos, "down"))
+                up = False
+    got = qa.health_transitions(spark.createDataFrame(rows, "label string, pos long, ok boolean")).collect()
+    assert sorted((r.pos, r.state) for r in got) == sorted(want)
+    dumps = [("s", d, rng.choice([None, "x", "y"])) for d in range(0, 300, 10) if rng.random() < 0.8] + [("all", d, "z") for d in range(0, 300, 10)]
+    folded, open_ = [], None
+    mine = {d: a for s, d, a in dumps if s == "s"}
+    for d in range(0, 300, 10):
+        if open_ and (d not in mine or mine[d] != open_[1]):
+            folded.append((*open_, d))
+            open_ = None
+        if d in mine and not open_:
+            open_ = (d, mine[d])
+    if open_:
+        folded.append((*open_, None))
+    out = reference.fold_history(spark.createDataFrame(dumps, "symbol string, dump_day long, status string"), ["status"]).where("symbol = 's'").collect()
+    assert sorted(((r.valid_from, r.status, r.valid_to) for r in out), key=str) == sorted(folded, key=str)
+
+
+def test_reconcile_null_rate_is_no_mismatch(spark):
+    cols = "venue string, instrument string, funding_time long, rate double"
+    e = spark.createDataFrame([("v", "a", 1, 0.1), ("v", "a", 2, 0.1), ("v", "a", 3, 0.1)], cols)
+    c = spark.createDataFrame([("v", "a", 1, None), ("v", "a", 2, 0.2), ("v", "a", 4, 0.1)], cols)
+    assert {r.funding_time: r.outcome for r in datasets.reconcile(e, c).collect()} == {1: "matched", 2: "mismatch", 3: "missing", 4: "extra"}

@@ -1,0 +1,45 @@
+from pyspark.sql import functions as F
+
+from tidewright.operators import qa
+from tidewright.plans.bindings import frame
+from tidewright.streaming import monitors
+
+
+def run(spark, stream, name, mode="append"):
+    q = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.table(name)
+
+
+def landed(spark, df, path, parts=3):
+    df.repartitionByRange(parts, "pos").write.parquet(str(path))
+    return spark.readStream.schema(df.schema).parquet(str(path))
+
+
+def test_counters_and_heartbeat(spark, sf_dir, tmp_path):
+    ev = frame(spark, sf_dir, "ev").withColumn("dropped", F.lit(2)).withColumn("qty", F.col("qty").cast("double"))
+    stream = landed(spark, ev, tmp_path / "ev")
+    got = {r.kind: (r.events, r.last_local_ts) for r in run(spark, monitors.counters(stream), "counters", "complete").collect()}
+    assert got == {r.kind: (r.n, r.t) for r in ev.groupBy("kind").agg(F.count("*").alias("n"), F.max("local_ts").alias("t")).collect()}
+    beat = run(spark, monitors.heartbeat(stream, "1 hour"), "beat", "complete")
+    assert beat.agg(F.sum("events")).first()[0] == ev.count()
+
+
+def test_health_equals_batch(spark, sf_dir, tmp_path):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    polls = frame(spark, sf_dir, "polls")
+    got = run(spark, monitors.health(landed(spark, polls, tmp_path / "polls", 1)), "health")
+    want = qa.health_transitions(polls)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_dedup_and_universe(spark, tmp_path):
+    rows = [("v", "a", 10**15, 1), ("v", "a", 10**15, 2), ("v", "b", 10**15, 3)]
+    stream = landed(spark, spark.createDataFrame(rows, "venue string, instrument string, funding_time long, pos long"), tmp_path / "f", 1)
+    assert run(spark, monitors.first_settlements(stream), "dedup").count() == 2
+    apply = monitors.universe_changes(str(tmp_path / "u"), ["symbol"], ["status"])
+    for n, day in enumerate([[("a", "x"), ("b", "x")], [("a", "y"), ("c", "x")], [("a", "y"), ("c", "x")]]):
+        apply(spark.createDataFrame(day, "symbol string, status string"), n)
+        apply(spark.createDataFrame(day, "symbol string, status string"), n)  # a batch may run again
+    got = spark.read.parquet(str(tmp_path / "u" / "changes")).collect()
+    assert sorted((r.batch, r.symbol, r.change) for r in got) == [(1, "a", "changed"), (1, "b", "delisted"), (1, "c", "added")]
