@@ -130,7 +130,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
     chosen = labelled_sample(docs.withColumn("_meta", F.col("n_chars").cast("double")), labels, label, sample, others=("_meta",))
     got = chosen.select("text", "_meta", "label").repartition(24, F.xxhash64("text")).mapInArrow(features, "b array<int>, s array<double>, y double").toPandas()
     if got.empty:
-        return Machine(np.zeros(STATISTICS), np.ones(STATISTICS))
+        machine = Machine(np.zeros(STATISTICS), np.ones(STATISTICS))
+        machine.v[:] = 0
+        return machine
     stats = np.stack(got["s"].to_numpy())
     machine = Machine(stats.mean(axis=0), stats.std(axis=0) + 1e-3)
     machine.fit([machine.row(np.asarray(b, np.int32), s) for b, s in zip(got["b"], stats, strict=True)], got["y"].to_numpy())
