@@ -38,6 +38,8 @@ LEAF = 400
 #: Share of random 64-bit fingerprints in which two of them have a ring in common.
 RING = 0.0705
 LEVELS = (3, 8)
+#: Links that a task takes in a round of the components.
+EDGES = 50_000
 #: Comparisons made at once in a task.
 BLOCK = 1 << 22
 
@@ -191,6 +193,9 @@ def components(edges: DataFrame) -> DataFrame:
     rounds end when one changes nothing.
     """
     edges = cut(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    # the rows only get fewer; no more tasks than they need
+    tasks = edges.count() // EDGES + 1
+    edges = edges.coalesce(tasks)
     seen = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -198,7 +203,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
-        edges = cut(small.distinct())
+        edges = cut(small.distinct().coalesce(tasks))
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
             return edges
