@@ -450,3 +450,53 @@ def _(get):
 @query("replay_order", ("ev",), "SELECT venue, instrument, venue_ts, local_ts, pos FROM ev ORDER BY venue_ts, local_ts, pos")
 def _(get):
     return datasets.replay_order(get("ev"), "venue_ts").select("venue", "instrument", "venue_ts", "local_ts", "pos")
+
+
+@query("late_records", ("ev",), f"SELECT venue, {_sql_day('local_ts')} AS day, count(*) AS events, count(*) FILTER ({_sql_day('local_ts')} < 19732) AS late FROM ev GROUP BY 1, 2")
+def _(get):
+    from tidewright.sources.tables import routed
+
+    marked = routed(get("ev"), "2024-01-10").withColumn("day", day_of(F.col("local_ts")))
+    return marked.groupBy("venue", "day").agg(F.count("*").alias("events"), F.count_if("is_late").alias("late"))
+
+
+@query("first_events", ("ev",), "SELECT pos, venue, instrument, kind FROM ev ORDER BY pos LIMIT 5")
+def _(get):
+    return get("ev").select("pos", "venue", "instrument", "kind").orderBy("pos").limit(5)
+
+
+@query("mapping_history", ("dump",), """WITH days AS (SELECT dump_day, row_number() OVER (ORDER BY dump_day) AS r, lead(dump_day) OVER (ORDER BY dump_day) AS nx FROM (SELECT DISTINCT dump_day FROM dump)),
+l AS (SELECT d.symbol, d.dump_day, r, nx, CASE WHEN lag(r) OVER (PARTITION BY symbol ORDER BY dump_day) = r - 1 THEN 0 ELSE 1 END AS fresh FROM dump d JOIN days USING (dump_day)),
+i AS (SELECT *, sum(fresh) OVER (PARTITION BY symbol ORDER BY dump_day) AS island FROM l)
+;
+SELECT symbol, min(dump_day) AS valid_from, coalesce(max_by(coalesce(nx, -1), dump_day), -1) AS valid_to FROM i GROUP BY symbol, island""")
+def _(get):
+    listed = get("dump").select("symbol", "dump_day", F.lit(1).alias("listed"))
+    return reference.fold_history(listed, ["listed"]).select("symbol", "valid_from", F.coalesce("valid_to", F.lit(-1)).alias("valid_to"))
+
+
+@query("earliest_onboard_month", ("mapping",), "SELECT venue, strftime(make_timestamp(min(valid_from) // 1000), '%Y-%m') AS first_month FROM mapping GROUP BY venue")
+def _(get):
+    return get("mapping").groupBy("venue").agg(F.min("valid_from").alias("v")).select("venue", month_of(F.col("v")).alias("first_month"))
+
+
+@query("converted_vs_checked", ("ev", "trd"), """WITH c AS (SELECT venue, count(*) AS b FROM trd WHERE pos % 31 > 0 GROUP BY venue), q AS (SELECT venue, count(*) AS a FROM ev WHERE kind = 'trades' GROUP BY venue)
+;
+SELECT venue, a, b FROM q JOIN c USING (venue) WHERE a <> b""")
+def _(get):
+    checked = get("ev").where("kind = 'trades'").groupBy("venue").agg(F.count("*").alias("n"))
+    return datasets.same_counts(checked, get("trd").where("pos % 31 > 0").groupBy("venue").agg(F.count("*").alias("n")), ["venue"])
+
+
+@query("listing_filter", ("mapping",), f"SELECT venue, instrument FROM mapping WHERE valid_from < {AT} AND segment <> 'MACHINERY'")
+def _(get):
+    """Symbols that had listed before the period ended."""
+    return get("mapping").where((F.col("valid_from").isNull() | (F.col("valid_from") < AT)) & (F.col("segment") != "MACHINERY")).select("venue", "instrument")
+
+
+@query("session_snapshots_wanted", ("upd", "downs"), """WITH m AS (SELECT venue, source, instrument, pos, 0 AS down FROM upd UNION ALL SELECT venue, source, NULL, pos, 1 FROM downs),
+s AS (SELECT *, sum(down) OVER (PARTITION BY venue, source ORDER BY pos) AS session FROM m), f AS (SELECT venue, source, session, instrument FROM s WHERE down = 0 GROUP BY 1, 2, 3, 4)
+;
+SELECT venue, source, count(*) AS requests FROM f GROUP BY 1, 2""")
+def _(get):
+    return qa.session_first_updates(get("upd"), get("downs")).groupBy("venue", "source").agg(F.count("*").alias("requests"))
