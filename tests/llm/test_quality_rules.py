@@ -37,11 +37,15 @@ def test_query_against_sql(spark, sf_dir):
 def test_hosts_and_odd_rows(spark):
     words = [f"word{i}" for i in range(40)]
     good, symbols, junk = " ".join(words), " ".join(f"{w} #" for w in words), "a b c d e f g h i j " * 9
-    rows = [(i, good, "fine", 1) for i in range(30)] + [(100, symbols, "fine", 1), (101, symbols, "bad", 1), (102, good, "bad", 1)] + [(200 + i, junk, "bad", 1) for i in range(40)]
-    rows += [(None, good, None, 1), (300, None, None, 1), (301, good, "tiny", 1), (301, good, "tiny", 1)]
+    some = " ".join([f"word{i}" for i in range(60)] + words[:5])  # ten words of 65 in repeats
+    rows = [(i, good, "fine", 1) for i in range(300)] + [(1000, symbols, "fine", 1), (1001, symbols, "bad", 1), (1002, good, "bad", 1), (1003, some, "bad", 1), (1004, some, "fine", 1)]
+    rows += [(2000 + i, junk, "bad", 1) for i in range(60)] + [(5000 + i, good, "plain", 1) for i in range(40)] + [(6000 + i, symbols, "plain", 1) for i in range(4)]
+    rows += [(None, good, None, 1), (3000, None, None, 1), (3001, good, "tiny", 1), (3001, good, "tiny", 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, condemned int")
-    kept = {r.doc_id: r.kept for r in quality_rules.judge(df).collect()}
-    assert kept[100] and not kept[101] and kept[102] and not kept[200] and kept[None] and not kept[300]
+    judged = quality_rules.judge(df).collect()
+    assert {r.host: (r.condemned, round(r.host_rate, 2) <= quality_rules.HOST_TRUST) for r in judged if r.host in ("bad", "fine", "plain")} == {"bad": (True, False), "fine": (False, True), "plain": (False, False)}
+    kept = {r.doc_id: r.kept for r in judged}
+    assert kept[1000] and not kept[1001] and kept[1002] and not kept[1003] and kept[1004] and not kept[2000] and not kept[6000] and kept[5000] and kept[None] and not kept[3000]
     out = quality_rules.keep(df)
     assert out.columns == df.columns
     assert sorted((r.doc_id for r in out.collect()), key=str) == sorted([r[0] for r in rows if kept[r[0]]], key=str)

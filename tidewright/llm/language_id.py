@@ -38,7 +38,7 @@ class Letters:
 
     def __init__(self) -> None:
         self.table = np.zeros(0x110000, bool)
-        for a in range(0, 0x32000, 256):
+        for a in range(0, 0x33000, 256):
             self.table[a : a + 256] = [chr(c).isalpha() for c in range(a, a + 256)]
 
     def trigrams(self, text: str | None) -> np.ndarray | None:

@@ -4,7 +4,8 @@ Each document gets rule statistics over its whole text. A host is judged by the
 share of its documents that fail any rule, shrunk towards the other hosts by a
 beta prior fitted to the hosts' rates (method of moments), so that a host with
 three documents is not condemned on three failures. The host verdict is joined
-back and sets how strict the soft rules are for its documents.
+back and sets how strict the rules are for its documents: a trusted host's may fail
+one soft rule, a condemned host's may repeat half as much as others.
 
 Only counts leave the scan: the text is read once, the statistics (a few
 numbers for each document) are checkpointed, and the join back is on a salted
@@ -25,12 +26,14 @@ MAX_REPEAT_PERCENT = 20
 MAX_SYMBOL_PERCENT = 10
 MAX_DUP_LINE_PERCENT = 30
 MEAN_WORD_CHARS = (3, 12)
-#: A host is condemned from this shrunk rate of failing documents on.
-HOST_LIMIT = 0.5
+#: A host is condemned from this shrunk rate of failing documents on, and trusted up to the other.
+HOST_LIMIT, HOST_TRUST = 0.5, 0.02
+#: Repetition that is allowed on condemned hosts.
+CONDEMNED_REPEAT_PERCENT = 10
 #: Weight of the prior, in documents, where the hosts' rates do not differ.
 EVEN_HOSTS_WEIGHT = 100.0
 SALTS = 64
-#: Condemned hosts that are broadcast; more are joined by shuffle.
+#: Hosts that are broadcast; more are joined by shuffle.
 FEW_HOSTS = 100_000
 
 
@@ -107,7 +110,7 @@ def soft_failures(of: str = "") -> Column:
 
 
 def host_verdicts(judged: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
-    """One row for each host: documents, failures, shrunk rate, condemned.
+    """One row for each host: documents, failures, shrunk rate, condemned, trusted.
 
     A null host is a host of its own. The prior comes from one row of moments,
     attached to each host by a join on a constant key.
@@ -118,25 +121,30 @@ def host_verdicts(judged: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
     spread = F.col("m") * (1 - F.col("m"))
     weight = F.when((F.col("v") > 0) & (spread > 0), F.greatest(spread / F.col("v") - 1, F.lit(1.0))).otherwise(EVEN_HOSTS_WEIGHT)
     shrunk = (F.col("failed") + F.col("m") * weight) / (F.col("n") + weight)
-    return hosts.join(F.broadcast(moments), "one").select("host", "n", "failed", shrunk.alias("host_rate"), (shrunk >= limit).alias("condemned"))
+    return hosts.join(F.broadcast(moments), "one").select("host", "n", "failed", shrunk.alias("host_rate"), (shrunk >= limit).alias("condemned"), (shrunk <= HOST_TRUST).alias("trusted"))
+
+
+def verdict(failed: Column, soft: Column, repeats: Column) -> Column:
+    """Whether a document is kept, beside its host's ``condemned`` and ``trusted`` (null: neither)."""
+    allowed = F.when(F.col("trusted"), 1).otherwise(0)
+    return ~failed & (soft <= allowed) & ~(F.coalesce(F.col("condemned"), F.lit(False)) & repeats)
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """Statistics, base failure, host rate and verdict for each row of ``docs``.
 
-    A document is kept unless it fails a base rule, or fails two soft rules, or
-    fails one on a condemned host. A document that fails none is kept whatever
-    its host. An empty table gives no rows.
+    A document is kept unless it fails a base rule, or a soft one (two on a trusted
+    host), or repeats more than condemned hosts may. A document that fails no rule is
+    kept whatever its host. An empty table gives no rows.
     """
     judged = statistics(docs, id_col, text_col, host_col).withColumns({"base_failed": base_failed(), "n_soft": soft_failures()})
     judged = cut(judged)
     salted = judged.withColumn("salt", F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"), F.lit(SALTS)))
     verdicts = host_verdicts(judged).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<long>")))
     out = salted.alias("d").join(verdicts.alias("h"), (F.col("d.salt") == F.col("h.salt")) & F.col("d.host").eqNullSafe(F.col("h.host")), "left")
-    allowed = F.when(F.col("condemned"), 0).otherwise(1)
     return out.select(
         "doc_id", F.col("d.host").alias("host"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_soft", "host_rate", "condemned",
-        (~F.col("base_failed") & (F.col("n_soft") <= allowed)).alias("kept"),
+        verdict(F.col("base_failed"), F.col("n_soft"), 100 * F.col("n_repeat_words") > CONDEMNED_REPEAT_PERCENT * F.col("n_words")).alias("kept"),
     )
 
 
@@ -144,19 +152,19 @@ def keep(docs: DataFrame, text_col: str = "text", host_col: str = "source") -> D
     """``docs`` without the rejected ones; columns and repeated rows stay as they are.
 
     The statistics are taken again beside the text, which so needs no shuffle; only
-    the condemned hosts are joined, broadcast if there are few of them.
+    the hosts that are not ordinary are joined, broadcast if there are few of them.
     """
     judged = cut(statistics(docs.withColumn("_id", F.lit(0)), "_id", text_col, host_col).select("host", base_failed().alias("base_failed"), soft_failures().alias("n_soft")))
-    condemned = cut(host_verdicts(judged).where("condemned").select(F.col("host").alias("_host"), F.lit(True).alias("_condemned")))
-    marked = docs.withColumn("_q", measured(F.col(text_col))).withColumn("_fails", F.struct(base_failed("_q").alias("base"), soft_failures("_q").alias("soft")))
-    if condemned.count() <= FEW_HOSTS:
-        marked = marked.join(F.broadcast(condemned), F.col(host_col).eqNullSafe(F.col("_host")), "left")
+    hosts = cut(host_verdicts(judged).where("condemned OR trusted").select(F.col("host").alias("_host"), "condemned", "trusted"))
+    q = docs.select(F.struct(*docs.columns).alias("_row"), F.col(host_col).alias("_of"), measured(F.col(text_col)).alias("_q"))
+    q = q.select("_row", "_of", base_failed("_q").alias("_base"), soft_failures("_q").alias("_soft"), (100 * F.col("_q.n_repeat_words") > CONDEMNED_REPEAT_PERCENT * F.col("_q.n_words")).alias("_repeats"))
+    if hosts.count() <= FEW_HOSTS:
+        q = q.join(F.broadcast(hosts), F.col("_of").eqNullSafe(F.col("_host")), "left")
     else:
-        marked = marked.withColumn("_salt", F.pmod(F.xxhash64(text_col), F.lit(SALTS)))
-        spread = condemned.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<long>")))
-        marked = marked.join(spread, (F.col("_salt") == F.col("_s")) & F.col(host_col).eqNullSafe(F.col("_host")), "left")
-    allowed = F.when(F.col("_condemned"), 0).otherwise(1)
-    return marked.where(~F.col("_fails.base") & (F.col("_fails.soft") <= allowed)).select(*docs.columns)
+        q = q.withColumn("_salt", F.pmod(F.xxhash64(F.col("_row").getField(text_col)), F.lit(SALTS)))
+        spread = hosts.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<long>")))
+        q = q.join(spread, (F.col("_salt") == F.col("_s")) & F.col("_of").eqNullSafe(F.col("_host")), "left")
+    return q.where(verdict(F.col("_base"), F.col("_soft"), F.col("_repeats"))).select("_row.*")
 
 
 def op2_quality_rules(spark, sf_dir: str) -> DataFrame:
@@ -192,8 +200,8 @@ WITH d AS (
 ), m AS (SELECT avg(failed / n) AS m, var_pop(failed / n) AS v FROM h
 ), x AS (
   SELECT m, CASE WHEN v > 0 AND m * (1 - m) > 0 THEN greatest(m * (1 - m) / v - 1, 1.0) ELSE 100.0 END AS k FROM m
-), v AS (SELECT host, (failed + m * k) / (n + k) >= 0.5 AS condemned FROM h, x)
+), v AS (SELECT host, (failed + m * k) / (n + k) >= 0.5 AS condemned, (failed + m * k) / (n + k) <= 0.02 AS trusted FROM h, x)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND n_soft <= CASE WHEN condemned THEN 0 ELSE 1 END AS kept
+       NOT base_failed AND n_soft <= CASE WHEN trusted THEN 1 ELSE 0 END AND NOT (condemned AND 100 * n_repeat_words > 10 * n_words) AS kept
 FROM j JOIN v ON j.host IS NOT DISTINCT FROM v.host
 """
