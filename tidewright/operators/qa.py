@@ -1,8 +1,9 @@
 """Checks of a captured event log: sequence chains, splices, regressions, latency, verdict.
 
 Order is the position in the log (``pos``), never time. Every window is keyed by
-venue and instrument; control events are matched to them by range joins on buckets
-of positions, so that a source's whole control history meets no single task.
+venue and instrument; lost connections are matched to them by buckets of positions
+with the last loss carried along, so that a source's whole history meets no single
+task.
 """
 
 from __future__ import annotations
@@ -38,21 +39,30 @@ def _buckets(start: Column, end: Column, width: int) -> Column:
     return F.explode(F.sequence(F.floor(start / width), F.floor(end / width)))
 
 
+def last_loss(asked: DataFrame, downs: DataFrame) -> DataFrame:
+    """``asked`` (venue, source, at, ...) with ``last_loss``: the last lost connection of the source before ``at``.
+
+    Losses are kept by bucket of positions, with the last one of all earlier buckets
+    carried along, so each asked row meets one row of at most a bucket's losses.
+    """
+    key = ["venue", "source", "_bucket"]
+    a = asked.withColumn("_bucket", F.floor(F.col("at") / POSITIONS))
+    own = downs.groupBy("venue", "source", F.floor(F.col("pos") / POSITIONS).alias("_bucket")).agg(F.collect_list("pos").alias("_own"))
+    before = W.partitionBy("venue", "source").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    held = a.select(*key).distinct().join(own, key, "full_outer").withColumn("_carried", F.max(F.array_max("_own")).over(before))
+    last = F.coalesce(F.array_max(F.filter("_own", lambda x: x < F.col("at"))), F.col("_carried"))
+    return a.join(held, key, "left").withColumn("last_loss", last).drop("_bucket", "_own", "_carried")
+
+
 def explained(flagged: DataFrame, downs: DataFrame) -> DataFrame:
     """The flagged rows with ``explained``: their previous source went down in between.
 
-    ``flagged`` has venue, instrument, pos, prev_pos, prev_source; ``downs`` has venue,
+    ``flagged`` has venue, source, pos, prev_pos, prev_source; ``downs`` has venue,
     source and pos of lost connections.
     """
-    asked = flagged.select(*KEY, "pos", "prev_pos", "prev_source", _buckets(F.col("prev_pos"), F.col("pos"), POSITIONS).alias("bucket")).alias("f")
-    down = downs.select("venue", "source", "pos", F.floor(F.col("pos") / POSITIONS).alias("bucket")).alias("d")
-    met = asked.join(
-        down,
-        (F.col("f.venue") == F.col("d.venue")) & (F.col("f.prev_source") == F.col("d.source")) & (F.col("f.bucket") == F.col("d.bucket"))
-        & (F.col("d.pos") > F.col("f.prev_pos")) & (F.col("d.pos") < F.col("f.pos")),
-        "left_semi",
-    ).select(*KEY, "pos").distinct()
-    return flagged.join(met.withColumn("explained", F.lit(True)), [*KEY, "pos"], "left").fillna(False, ["explained"])
+    asked = flagged.withColumns({"_source": F.col("source"), "source": F.col("prev_source"), "at": F.col("pos")})
+    out = last_loss(asked, downs).withColumns({"explained": F.coalesce(F.col("last_loss") > F.col("prev_pos"), F.lit(False)), "source": F.col("_source")})
+    return out.drop("_source", "at", "last_loss")
 
 
 def spliced(snapshots: DataFrame, updates: DataFrame) -> DataFrame:
@@ -68,18 +78,14 @@ def spliced(snapshots: DataFrame, updates: DataFrame) -> DataFrame:
 def abandoned(snapshots: DataFrame, updates: DataFrame, downs: DataFrame) -> DataFrame:
     """Snapshots after which the source that then fed their instrument went down.
 
-    An update's source feeds its instrument until the next update. Each such span is
-    cut at the snapshot, so one pass over the spans that saw a loss decides: the last
-    loss of the instrument must come after the snapshot.
+    An update's source feeds its instrument until the next update, so the last loss
+    within any such span decides: it must come after the snapshot.
     """
     nxt = F.lead("pos").over(_by_pos())
-    spans = updates.select(*KEY, F.col("source"), F.col("pos").alias("since"), nxt.alias("until"))
+    spans = updates.select(*KEY, "source", F.col("pos").alias("since"), nxt.alias("at"))
     ends = downs.groupBy("venue").agg(F.max("pos").alias("end"))
-    spans = spans.join(ends, "venue").withColumn("until", F.coalesce("until", F.col("end") + 1)).where("until > since")
-    asked = spans.select("*", _buckets(F.col("since"), F.col("until"), POSITIONS).alias("bucket")).alias("f")
-    down = downs.select("venue", "source", "pos", F.floor(F.col("pos") / POSITIONS).alias("bucket")).alias("d")
-    on = [F.col(f"f.{k}") == F.col(f"d.{k}") for k in ("venue", "source", "bucket")] + [F.col("d.pos") > F.col("f.since"), F.col("d.pos") < F.col("f.until")]
-    lost = asked.join(down, on).groupBy(F.col("f.venue").alias("venue"), F.col("f.instrument").alias("instrument")).agg(F.max("d.pos").alias("lost"))
+    spans = spans.join(ends, "venue").withColumn("at", F.coalesce("at", F.col("end") + 1)).drop("end").where("at > since")
+    lost = last_loss(spans, downs).where("last_loss > since").groupBy(*KEY).agg(F.max("last_loss").alias("lost"))
     return snapshots.join(lost, list(KEY)).where("lost > pos").select(*snapshots.columns)
 
 
