@@ -33,7 +33,8 @@ SAMPLE, LANDMARKS = 6000, 160
 DECAY, SPAN = 0.4, 5
 #: Kernel values under this count as none.
 NEAR = 0.6
-LETTERS = 256
+#: Letter codes: 0 between words, 1 and 2 end marks, then a to z, then 35 for all others.
+LETTERS = 64
 EPOCHS, PENALTY = 60, 1e-3
 #: A landmark is in so many toxic texts of the sample at least, and in this many times
 #: as large a share of them as of the others.
@@ -52,7 +53,8 @@ def _letters(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Code of each letter with end marks and zeros between words; and the word of each."""
     text = "".join(f"\x01{w}\x02" + "\x00" * SPAN for w in words)
     code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    code = np.where(code < LETTERS, code, 3 + code % (LETTERS - 3)).astype(np.int64)
+    code = code.astype(np.int64)
+    code = np.where(code < 3, code, np.where((code >= 97) & (code < 123), code - 94, 29 + code % (LETTERS - 29)))
     sizes = np.array([len(w) + 2 + SPAN for w in words])
     return code, np.repeat(np.arange(len(words)), sizes)
 
@@ -81,7 +83,7 @@ class Kernel:
         self.landmarks = landmarks
         word, number, weight = subsequences(landmarks) if landmarks else (np.zeros(0, int),) * 3
         self.numbers, at = np.unique(number, return_inverse=True)
-        self.index = np.zeros((len(self.numbers), len(landmarks)))
+        self.index = np.zeros((len(self.numbers), len(landmarks)), np.float32)
         np.add.at(self.index, (at, word), weight / (_norms(landmarks)[word] if landmarks else 1))
         self.slot = np.full(LETTERS**3, -1, np.int32)
         self.slot[self.numbers] = np.arange(len(self.numbers))
