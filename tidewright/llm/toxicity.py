@@ -42,6 +42,8 @@ MIN_TEXTS, MIN_LIFT = 4, 20
 #: Rounds in which the SVM chooses anew which sentences of toxic texts are toxic.
 ROUNDS = 3
 CACHE = 400_000
+#: Words whose kernel values are made at once.
+WORDS = 512
 #: Tasks that make the sample's features.
 PARTS = 24
 LIMIT = 0.7
@@ -89,8 +91,13 @@ class Kernel:
         self.slot[self.numbers] = np.arange(len(self.numbers))
 
     def values(self, words: list[str]) -> np.ndarray:
+        """A row for each word, made some words at a time."""
+        parts = [self._values(words[k : k + WORDS]) for k in range(0, len(words), WORDS)]
+        return np.concatenate(parts) if parts else np.zeros((0, len(self.landmarks)), np.float32)
+
+    def _values(self, words: list[str]) -> np.ndarray:
         out = np.zeros((len(words), len(self.landmarks)), np.float32)
-        if not words or not self.landmarks:
+        if not self.landmarks:
             return out
         word, number, weight = subsequences(words)
         slot = self.slot[number]
@@ -99,7 +106,7 @@ class Kernel:
             hit = hit[np.argsort(word[hit], kind="stable")]
             word, weight, slot = word[hit], weight[hit], slot[hit]
             starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-            out[word[starts]] = np.add.reduceat(self.index[slot] * weight[:, None], starts)
+            out[word[starts]] = np.add.reduceat(self.index[slot] * weight[:, None].astype(np.float32), starts)
         out /= _norms(words)[:, None]
         out[out < NEAR] = 0
         return out
