@@ -42,6 +42,12 @@ LEVELS = (3, 8)
 EDGES = 50_000
 #: Comparisons made at once in a task.
 BLOCK = 1 << 22
+# The pipeline's stage has settings of its own.
+STAGE_SHINGLE, SIMILAR = 5, (8, 10)
+#: Bits of 128 in which linked fingerprints differ at most (at similarity 0.8 about 19 do), and bands of 16 bits.
+STAGE_RADIUS, TABLES = 36, 64
+#: Rows of a bucket up to which all pairs are met side by side.
+LAGS = 512
 
 
 def vantage_points(n: int) -> list[int]:
@@ -226,12 +232,185 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return marked.join(rooted.join(named, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
+def shingles(text: bytes | None) -> np.ndarray:
+    """The set of hashes of a text's ``STAGE_SHINGLE``-word shingles: two 64-bit words each, sorted."""
+    import xxhash
+
+    digest = xxhash.xxh3_128_digest
+    w = (text or b"").lower().split()
+    if not w:
+        return np.zeros((0, 2), ">u8")
+    grams = {b" ".join(w)} if len(w) < STAGE_SHINGLE else set(map(b" ".join, zip(*(w[i:] for i in range(STAGE_SHINGLE)), strict=False)))
+    return np.frombuffer(b"".join(sorted(digest(g, SEED) for g in grams)), ">u8").reshape(-1, 2)
+
+
+def wide_fingerprint(hashes: np.ndarray) -> bytes:
+    """The 128-bit SimHash of a set of shingles."""
+    octets = np.ascontiguousarray(hashes).view(np.uint8).reshape(-1, 16)
+    ones = sum((np.unpackbits(octets[i : i + 8192], axis=1).sum(axis=0, dtype=np.int64) for i in range(0, len(octets), 8192)), np.zeros(128, np.int64))
+    return np.packbits(2 * ones > len(octets)).tobytes()
+
+
+def _node(hashes: np.ndarray) -> int:
+    import xxhash
+
+    return int.from_bytes(xxhash.xxh3_64_digest(hashes.tobytes(), SEED), "big", signed=True)
+
+
+def _row_key(docs: DataFrame) -> DataFrame:
+    """``docs`` with a digest of all columns, so that rows of one digest are interchangeable."""
+    whole = F.to_json(F.struct(*(F.col(f"`{c}`") for c in docs.columns)), {"ignoreNullFields": "false"})
+    return docs.withColumn("_key", F.md5(whole.cast("binary")))
+
+
+def forest(n: int, a: np.ndarray, b: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Indices of links that form a least spanning forest of nodes 0 to n - 1."""
+    order = np.argsort(w, kind="stable")
+    label, chosen = np.arange(n), []
+    while len(order):
+        la, lb = label[a[order]], label[b[order]]
+        order, la, lb = order[la != lb], la[la != lb], lb[la != lb]
+        first = np.full(n, len(order))
+        np.minimum.at(first, la, np.arange(len(order)))
+        np.minimum.at(first, lb, np.arange(len(order)))
+        pick = np.unique(first[first < len(order)])
+        chosen.append(order[pick])
+        label = connected(n, la[pick], lb[pick])[label]
+    return np.concatenate(chosen) if chosen else np.zeros(0, np.int64)
+
+
+def _differing(x: tuple[np.ndarray, ...], y: tuple[np.ndarray, ...]) -> np.ndarray:
+    return np.bitwise_count(x[0] ^ y[0]).astype(np.int64) + np.bitwise_count(x[1] ^ y[1])
+
+
+def bucket_pairs(bucket: np.ndarray, size: np.ndarray, f1: np.ndarray, f2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows i, j of one bucket (sorted) at most ``STAGE_RADIUS`` bits apart whose sizes allow the similarity.
+
+    Buckets of up to ``LAGS`` rows give all pairs. A larger one gives all pairs while they
+    are few for its rows, else the shortest links that connect what all of them connect.
+    """
+    num, den = SIMILAR
+
+    def near(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, ...]:
+        sized = den * np.minimum(size[i], size[j]) >= num * np.maximum(size[i], size[j])
+        i, j = i[sized], j[sized]
+        d = _differing((f1[i], f2[i]), (f1[j], f2[j]))
+        return i[d <= STAGE_RADIUS], j[d <= STAGE_RADIUS], d[d <= STAGE_RADIUS]
+
+    starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, np.int64)
+    lengths = np.diff(np.r_[starts, len(bucket)])
+    out_i, out_j = [], []
+    at = np.flatnonzero(np.repeat(lengths <= LAGS, lengths))
+    end = np.repeat(starts + lengths, lengths)
+    for lag in range(1, LAGS):
+        at = at[at + lag < end[at]]
+        if not len(at):
+            break
+        i, j, _ = near(at, at + lag)
+        out_i.append(i)
+        out_j.append(j)
+    for s, n in zip(starts[lengths > LAGS], lengths[lengths > LAGS], strict=True):
+        a, b, w = (np.zeros(0, np.int64) for _ in range(3))
+        step = max(1, BLOCK // int(n))
+        for x in range(0, n, step):
+            i, j = np.nonzero(np.arange(x, min(n, x + step))[:, None] > np.arange(n)[None, :])
+            i, j, d = near(i + x + s, j + s)
+            a, b, w = np.r_[a, i - s], np.r_[b, j - s], np.r_[w, d]
+            if len(a) > 8 * n:
+                keep = forest(int(n), a, b, w)
+                a, b, w = a[keep], b[keep], w[keep]
+        out_i.append(a + s)
+        out_j.append(b + s)
+    if not out_i:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(out_i), np.concatenate(out_j)
+
+
+def similar_pairs(nodes: DataFrame) -> DataFrame:
+    """u, v: nodes (node, size, f1, f2) that agree in all bits of some band and differ in few of all.
+
+    At this radius the rings of the tree part nothing, so buckets are bands of 16 of the 128 bits.
+    """
+    perms = np.stack([np.random.default_rng(SEED + k).permutation(128) for k in range(TABLES // 8)])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for x in range(0, whole.num_rows, 1000):
+                b = whole.slice(x, 1000)
+                node, size, f1, f2 = (b.column(k).to_numpy() for k in range(4))
+                bits = np.unpackbits(np.stack([f1, f2], axis=1).astype(">i8").view(np.uint8).reshape(-1, 16), axis=1)
+                band = bits[:, perms.ravel()].reshape(len(node), TABLES, 16) @ (1 << np.arange(16))
+                bucket = (band + 65536 * np.arange(TABLES)).ravel()
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (bucket, *(np.repeat(y, TABLES) for y in (node, size, f1, f2)))], names=["bucket", "node", "size", "f1", "f2"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+
+        def out() -> pa.RecordBatch:
+            bucket, node, size, f1, f2 = (np.concatenate(c) for c in zip(*held, strict=True))
+            i, j = bucket_pairs(bucket, size, f1.view(np.uint64), f2.view(np.uint64))
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], node[j])), pa.array(np.maximum(node[i], node[j]))], names=["u", "v"])
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            cols = [b.column(k).to_numpy() for k in range(5)]
+            edge = int(np.searchsorted(cols[0], cols[0][-1]))  # the last bucket may go on
+            if edge:
+                held.append([c[:edge] for c in cols])
+                yield out()
+                held.clear()
+            held.append([c[edge:] for c in cols])
+        if held:
+            yield out()
+
+    form = "bucket long, node long, size long, f1 long, f2 long"
+    dealt = nodes.select("node", "size", "f1", "f2").mapInArrow(deal, form)
+    return dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "u long, v long").distinct()
+
+
+def shingle_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, key of the row, text digest, root for each row of ``docs``; links are exact Jaccard of shingle sets >= 0.8."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    text = F.col(text_col).cast("string").cast("binary")
+    keyed = _row_key(docs)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [shingles(t) for t in b.column(2).to_pylist()]
+            wide = np.frombuffer(b"".join(map(wide_fingerprint, sets)), ">i8").reshape(-1, 2).astype(np.int64)
+            cols = [b.column(0), b.column(1), b.column(3), pa.array([_node(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int64()), pa.array(wide[:, 0]), pa.array(wide[:, 1])]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "key", "digest", "node", "size", "f1", "f2"])
+
+    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [shingles(t) for t in b.column(0).to_pylist()]
+            grams = [np.unique(x[:, 0].astype(np.uint64)).view(np.int64) for x in sets]
+            yield pa.RecordBatch.from_arrays([pa.array([_node(x) for x in sets], pa.int64()), pa.array(grams, pa.list_(pa.int64()))], names=["node", "grams"])
+
+    whole = keyed.select(F.col(id_col).alias("doc_id"), F.col("_key").alias("key"), text.alias("text"), F.md5(F.coalesce(text, F.lit("").cast("binary"))).alias("digest"))
+    marked = cut(whole.mapInArrow(mark, f"doc_id {kind}, key string, digest string, node long, size long, f1 long, f2 long"))
+    nodes = cut(marked.groupBy("node").agg(F.min("key").alias("key"), F.first("size").alias("size"), F.first("f1").alias("f1"), F.first("f2").alias("f2")).where("size > 0"))
+    pairs = cut(similar_pairs(nodes))
+    met = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    read = nodes.join(met, "node", "left_semi").select(F.col("key").alias("_key"))
+    # a row that is repeated in all columns comes once
+    sets = cut(keyed.select("_key", text.alias("text")).join(read, "_key", "left_semi").select("text").mapInArrow(sets_of, "node long, grams array<long>").dropDuplicates(["node"]))
+    num, den = SIMILAR
+    both = pairs.join(sets.select(F.col("node").alias("u"), F.col("grams").alias("gu")), "u").join(sets.select(F.col("node").alias("v"), F.col("grams").alias("gv")), "v")
+    both = both.select("u", "v", (F.size("gu") + F.size("gv")).alias("n"), F.size(F.array_intersect("gu", "gv")).alias("common"))
+    roots = components(both.where(F.col("common") * den >= (F.col("n") - F.col("common")) * num).select("u", "v"))
+    rooted = marked.join(roots.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left")
+    return rooted.select("doc_id", "key", "digest", F.coalesce("root", "node").alias("root"))
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component: the one of the smallest id.
+    """``docs`` with one document of each group of near-duplicates: the one of the smallest id.
 
-    Rows without an id are all kept, as nothing names one of them.
+    Rows are linked where their sets of five-word shingles have a Jaccard similarity of 0.8
+    or more; texts without words are linked with each other. Rows without an id are all kept.
     """
-    kept = near_duplicates(docs, id_col, text_col).where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
+    kept = shingle_components(docs, id_col, text_col).groupBy("root").agg(F.min("doc_id").alias(id_col)).select(id_col)
     return docs.join(kept, id_col, "left_semi").dropDuplicates([id_col]).unionByName(docs.where(F.col(id_col).isNull()))
 
 
