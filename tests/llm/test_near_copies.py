@@ -51,6 +51,14 @@ def test_stage_finds_similar_documents(spark):
     assert len(want) < 200
 
 
+def test_rows_that_share_an_id(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a, "s"), (2, a, "s"), (2, b, "s"), (3, c, "s"), (3, b + " more", "t"), (5, "", "s"), (5, c, "s"), (None, c + " x", "s"), (None, "alone", "s"), (None, "alone", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = sorted((tuple(r) for r in simhash.keep_one(docs).collect()), key=str)
+    assert got == sorted([(1, a, "s"), (2, b, "s"), (3, c, "s"), (5, "", "s"), (None, c + " x", "s"), (None, "alone", "s")], key=str)
+
+
 @pytest.mark.parametrize("n", [40, 1500])
 def test_pairs_of_a_bucket_connect_what_all_pairs_do(n):
     rng = np.random.default_rng(n)

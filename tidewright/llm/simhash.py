@@ -405,13 +405,16 @@ def shingle_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each group of near-duplicates: the one of the smallest id.
+    """``docs`` with one row of each group of near-duplicates: the first by id, text and other columns.
 
     Rows are linked where their sets of five-word shingles have a Jaccard similarity of 0.8
-    or more; texts without words are linked with each other. Rows without an id are all kept.
+    or more; texts without words are linked with each other. An id that several rows
+    share does not link them. Of the rows of a group that have no id the first is kept too.
     """
-    kept = shingle_components(docs, id_col, text_col).groupBy("root").agg(F.min("doc_id").alias(id_col)).select(id_col)
-    return docs.join(kept, id_col, "left_semi").dropDuplicates([id_col]).unionByName(docs.where(F.col(id_col).isNull()))
+    found = shingle_components(docs, id_col, text_col)
+    first = found.groupBy("root", F.col("doc_id").isNull().alias("nameless")).agg(F.min(F.struct("doc_id", "digest", "key")).alias("first"))
+    kept = first.select(F.col("first.key").alias("_key"))
+    return _row_key(docs).join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
 
 
 def op6_simhash(spark, sf_dir: str) -> DataFrame:
