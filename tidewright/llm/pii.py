@@ -6,10 +6,10 @@ that pass its check (octets, Luhn, number of digits). They always stay.
 Beyond them, generators of high recall propose spans that may overlap: addresses
 with written-out signs, numbers with other separators, telephone numbers without
 a plus. Boosted trees judge each proposal by its format and by the words around
-it. They are trained on a bounded sample in which a proposal counts as right if a
-base span of its kind confirms it; the features leave out the marks that only base
-matches have, so that proposals of the same make are recognised. For each kind a
-threshold is calibrated on the other half of the sample so that at least
+it. They are trained on a sample, bounded for each kind and label, in which a proposal
+counts as right if a base span of its kind confirms it; the features leave out the marks
+that only base matches have, so that proposals of the same make are recognised. For each
+kind a threshold is calibrated on all proposals outside that sample so that at least
 ``PRECISION`` of the proposals above it are right; a kind for which that cannot be
 had adds nothing. Of overlapping selected proposals the best one is taken.
 
@@ -30,6 +30,8 @@ from tidewright.llm.common import cut
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 20_000
 PRECISION = 0.98
+#: Score bins of each kind when its threshold is calibrated.
+BINS = 10_000
 TREES, DEPTH = 10, 3
 CONTEXT = 24
 
@@ -161,19 +163,33 @@ def choose(cands: DataFrame, sample: int = SAMPLE, precision: float = PRECISION)
     from pyspark.ml.functions import vector_to_array
 
     nothing = cands.where(F.lit(False)).select("row", "s", "k", "e")
+    counts = {(r.k, r.label): r["count"] for r in cands.groupBy("k", "label").count().collect()}  # eight rows at most
+    if {label for _, label in counts} != {0.0, 1.0}:
+        return nothing
+    # a share of each kind and label learns: half of it, but no more than a bound
     mixed = F.xxhash64("row", "s", "k")
-    part = cut(VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(cands.orderBy(mixed, "row", "s", "k").limit(sample)).withColumn("half", F.pmod(mixed, F.lit(2))))
-    sides = {(r.half, r.label) for r in part.groupBy("half", "label").count().collect()}  # four rows at most
-    if not {(0, 0.0), (0, 1.0), (1, 1.0)} <= sides:
+    u = F.pmod(mixed, F.lit(1 << 20)) / F.lit(float(1 << 20))
+    share = {g: min(0.5, sample / 2 / len(KINDS) / 2 / n) for g, n in counts.items()}
+    by_group = lambda of: F.coalesce(*(F.when((F.col("k") == k) & (F.col("label") == y), F.lit(float(v))) for (k, y), v in of.items()))
+    vectors = lambda df: VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(df)
+    learns = u < by_group(share)
+    part = cut(vectors(cands.where(learns)).select("k", "label", "features"))
+    taken = {(r.k, r.label): r["count"] for r in part.groupBy("k", "label").count().collect()}
+    if {label for _, label in taken} != {0.0, 1.0}:
         return nothing
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=32, seed=1).fit(part.where("half = 0"))
+    # kinds weigh alike; within one the labels weigh as in all its proposals
+    total = {k: sum(n for (j, _), n in counts.items() if j == k) for k, _ in counts}
+    weight = {(k, y): 1000.0 * counts[k, y] / total[k] / n for (k, y), n in taken.items()}
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=32, seed=1, weightCol="weight").fit(part.withColumn("weight", by_group(weight)))
     rated = lambda df: model.transform(df).withColumn("p", vector_to_array("probability")[1])
-    above = W.partitionBy("k").orderBy(F.desc("p")).rangeBetween(W.unboundedPreceding, 0)
-    ranked = cut(rated(part.where("half = 1")).withColumn("right", F.avg("label").over(above)).select("k", "p", "label", "right"))
-    accepted = ranked.where((F.col("right") >= precision) & (F.col("label") == 1)).groupBy("k").agg(F.min("p").alias("low"))
-    # a limit lies half-way to the best proposal that is not accepted, and above one half
-    limits = ranked.join(F.broadcast(accepted), "k").groupBy("k", "low").agg(F.max(F.when(F.col("p") < F.col("low"), F.col("p"))).alias("next"))
-    limits = limits.select("k", F.greatest((F.col("low") + F.coalesce("next", F.lit(0.0))) / 2, F.lit(0.5)).alias("limit"))
+    # all proposals that did not learn, as counts of score bins
+    judged = rated(vectors(cands.where(~learns))).groupBy("k", F.floor(F.col("p") * BINS).alias("bin"))
+    bins = cut(judged.agg(F.count("*").alias("n"), F.sum("label").alias("good"), F.min("p").alias("low"), F.max("p").alias("top")))
+    above = W.partitionBy("k").orderBy(F.desc("bin"))
+    ranked = bins.withColumn("right", F.sum("good").over(above) / F.sum("n").over(above)).withColumn("next", F.lead("top").over(above))
+    accepted = ranked.where((F.col("right") >= precision) & (F.col("good") > 0)).groupBy("k").agg(F.min(F.struct("low", "next")).alias("last"))
+    # a limit lies half-way to the best bin that is not accepted, and above one half
+    limits = accepted.select("k", F.greatest((F.col("last.low") + F.coalesce("last.next", F.lit(0.0))) / 2, F.lit(0.5)).alias("limit"))
     free = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(cands.where(~F.col("taken")))
     picked = rated(free).join(F.broadcast(limits), "k").where("p >= limit").select("row", "s", "k", "e", "p")  # four limits at most
     a, b = picked.alias("a"), picked.alias("b")
