@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 # Functions of this package travel to the executors by value, so that a job
 # does not depend on what is installed there.
-cloudpickle.register_pickle_by_value(sys.modules["tidewright"])
+cloudpickle.register_pickle_by_value(sys.modules["tidewright.llm"])
 
 #: One run of the six white-space characters that part words.
 SPACES = r"[ \t-\r]+"
