@@ -12,6 +12,13 @@ def read(spark, tmp_path, data, split):
     return spark.read.format("framed_log").option("path", str(tmp_path / "log")).option("splitBytes", split).load()
 
 
+def test_read_after_all_queries_are_loaded(spark, tmp_path):
+    import __spark_entry__
+
+    assert __spark_entry__.queries()
+    assert read(spark, tmp_path, encode(b"one") + encode(b""), 100).where("status = 'ok'").count() == 2
+
+
 @pytest.mark.parametrize("split", [37, 100_000])
 @pytest.mark.parametrize(
     ("kind", "want"),

@@ -24,7 +24,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 # The format (fixed values).
 MAGIC = b"WAL1"
 VERSION = 1
-HEADER = struct.Struct("<4sBII")
+HEADER = "<4sBII"
+HEADER_SIZE = struct.calcsize(HEADER)
 MAX_PAYLOAD = 16 * 1024 * 1024
 SPLIT = 64 * 1024 * 1024
 SCHEMA = "file STRING, file_size BIGINT, offset BIGINT, end BIGINT, status STRING, payload BINARY"
@@ -83,26 +84,26 @@ class FramedReader(DataSourceReader):
         store, _ = self._open()
         with store.open_input_file(part.file) as f:
             # a frame may begin in the last bytes of the range; its payload is read where it is not at hand
-            data = f.read_at(min(part.end + HEADER.size, part.size) - part.start, part.start)
+            data = f.read_at(min(part.end + HEADER_SIZE, part.size) - part.start, part.start)
             at = data.find(MAGIC)
             while 0 <= at < part.end - part.start:
                 offset, step = part.start + at, 1
-                if at + HEADER.size > len(data):
+                if at + HEADER_SIZE > len(data):
                     yield part.file, part.size, offset, part.size, "incomplete", None
                 else:
-                    _, version, length, crc = HEADER.unpack_from(data, at)
-                    end = offset + HEADER.size + length
+                    _, version, length, crc = struct.unpack_from(HEADER, data, at)
+                    end = offset + HEADER_SIZE + length
                     if version != VERSION:
                         yield part.file, part.size, offset, offset, "bad_version", None
                     elif length <= MAX_PAYLOAD and end > part.size:
                         yield part.file, part.size, offset, part.size, "incomplete", None
                     elif length <= MAX_PAYLOAD:
-                        body = data[at + HEADER.size : at + HEADER.size + length]
+                        body = data[at + HEADER_SIZE : at + HEADER_SIZE + length]
                         if len(body) < length:
-                            body = f.read_at(length, offset + HEADER.size)
+                            body = f.read_at(length, offset + HEADER_SIZE)
                         if zlib.crc32(data[at + 4 : at + 9] + body) == crc:
                             yield part.file, part.size, offset, end, "ok", body
-                            step = HEADER.size + length
+                            step = HEADER_SIZE + length
                 at = data.find(MAGIC, at + step)
 
 
@@ -126,7 +127,7 @@ def audit(found: DataFrame) -> DataFrame:
         F.coalesce(F.max(F.when(ok, F.col("end"))), F.lit(0)).alias("last"), F.min("stop").alias("stop"), F.max(F.when(F.col("status") == "incomplete", F.col("offset"))).alias("cut"),
     )
     tail = F.when(F.col("stop").isNotNull(), 0).otherwise(F.col("size") - F.col("last"))
-    truncated = (F.col("tail") > 0) & ((F.col("tail") < HEADER.size) | (F.coalesce(F.col("cut"), F.lit(-1)) == F.col("last")))
+    truncated = (F.col("tail") > 0) & ((F.col("tail") < HEADER_SIZE) | (F.coalesce(F.col("cut"), F.lit(-1)) == F.col("last")))
     out = out.withColumn("tail", tail).withColumn("truncated_tail", truncated)
     skipped = F.col("inner") + F.col("tail")
     return out.select(
