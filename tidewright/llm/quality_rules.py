@@ -1,14 +1,21 @@
 """Quality rules with host verdicts, in DataFrame functions only.
 
-Each document gets rule statistics over its whole text. A host is judged by the
-share of its documents that fail any rule, shrunk towards the other hosts by a
-beta prior fitted to the hosts' rates (method of moments), so that a host with
-three documents is not condemned on three failures. The host verdict is joined
-back and sets how strict the rules are for its documents: a trusted host's may fail
-one soft rule, a condemned host's may repeat half as much as others.
+Each document gets rule statistics over its whole text, and from them its strain:
+how much of the limit of the soft rule that it comes nearest to it uses up (above 1
+it fails that rule). A host is judged by the share of its documents that fail any
+rule, shrunk towards the share of all documents by a beta prior. The prior is a
+beta-binomial fit to the hosts by moments: the spread of the hosts' rates that their
+numbers of documents do not explain sets its weight, so that a host of one document
+is not condemned on one failure.
+
+The host verdict is joined back as an allowance for the strain of the host's documents:
+the share of failures among all documents divided by the host's own, between a half and
+two. A host that fails as often as all do leaves the limits where they are, one that
+fails twice as often halves them, one that fails half as often doubles them. Base rules
+are not touched by it.
 
 Only counts leave the scan: the text is read once, the statistics (a few
-numbers for each document) are checkpointed, and the join back is on a salted
+numbers for each document) are stored, and the join back is on a salted
 host key, so that a host with a third of all documents does not end up in one
 task.
 """
@@ -18,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import cut, let, words
+from tidewright.llm.common import cut, let, stored, words
 
 MIN_WORDS = 10
 WINDOW = 5
@@ -26,12 +33,10 @@ MAX_REPEAT_PERCENT = 20
 MAX_SYMBOL_PERCENT = 10
 MAX_DUP_LINE_PERCENT = 30
 MEAN_WORD_CHARS = (3, 12)
-#: A host is condemned from this shrunk rate of failing documents on, and trusted up to the other.
-HOST_LIMIT, HOST_TRUST = 0.5, 0.02
-#: Repetition that is allowed on condemned hosts.
-CONDEMNED_REPEAT_PERCENT = 10
-#: Weight of the prior, in documents, where the hosts' rates do not differ.
-EVEN_HOSTS_WEIGHT = 100.0
+#: Least and most that a host's verdict makes of the soft limits.
+LEAST, MOST = 0.5, 2.0
+#: Most weight of the prior, in documents: where the hosts' rates differ no more than chance has it.
+MAX_WEIGHT = 100.0
 SALTS = 64
 #: Hosts that are broadcast; more are joined by shuffle.
 FEW_HOSTS = 100_000
@@ -97,74 +102,85 @@ def base_failed(of: str = "") -> Column:
     return (c("n_words") < MIN_WORDS) | (100 * c("n_repeat_words") > MAX_REPEAT_PERCENT * c("n_words"))
 
 
-def soft_failures(of: str = "") -> Column:
-    """How many of the soft rules the statistics fail."""
+def strain(of: str = "") -> Column:
+    """The largest share of a soft limit that the statistics use up; above 1 the rule fails."""
+    c = lambda name: F.col(f"{of}.{name}" if of else name).cast("double")
+    part = lambda a, b: F.when(b > 0, a / b).otherwise(0.0)
+    return F.greatest(
+        part(100 * c("n_symbols"), MAX_SYMBOL_PERCENT * c("n_words")),
+        part(100 * c("n_dup_lines"), MAX_DUP_LINE_PERCENT * c("n_lines")),
+        part(100 * c("n_repeat_words"), MAX_REPEAT_PERCENT * c("n_words")),
+    )
+
+
+def odd_words(of: str = "") -> Column:
+    """Whether words are too short or too long on average; no host's verdict makes up for that."""
     c = lambda name: F.col(f"{of}.{name}" if of else name)
     low, high = MEAN_WORD_CHARS
-    rules = (
-        100 * c("n_symbols") > MAX_SYMBOL_PERCENT * c("n_words"),
-        100 * c("n_dup_lines") > MAX_DUP_LINE_PERCENT * c("n_lines"),
-        (c("word_chars") < low * c("n_words")) | (c("word_chars") > high * c("n_words")),
-    )
-    return sum((r.cast("int") for r in rules), F.lit(0))
+    return (c("word_chars") < low * c("n_words")) | (c("word_chars") > high * c("n_words"))
 
 
-def host_verdicts(judged: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
-    """One row for each host: documents, failures, shrunk rate, condemned, trusted.
+def host_verdicts(judged: DataFrame) -> DataFrame:
+    """One row for each host: documents n, failures, shrunk host_rate, allowance.
 
-    A null host is a host of its own. The prior comes from one row of moments,
-    attached to each host by a join on a constant key.
+    ``judged`` has host, base_failed, odd_words and strain. A null host is a host of its
+    own. The prior comes from one row of sums, attached to each host by a join on a
+    constant key. If no document fails, or all do, every allowance is 1.
     """
-    hosts = judged.groupBy("host").agg(F.count("*").alias("n"), F.sum((F.col("base_failed") | (F.col("n_soft") > 0)).cast("long")).alias("failed"))
-    hosts = hosts.withColumn("rate", F.col("failed") / F.col("n")).withColumn("one", F.lit(1))
-    moments = hosts.groupBy("one").agg(F.avg("rate").alias("m"), F.var_pop("rate").alias("v"))
-    spread = F.col("m") * (1 - F.col("m"))
-    weight = F.when((F.col("v") > 0) & (spread > 0), F.greatest(spread / F.col("v") - 1, F.lit(1.0))).otherwise(EVEN_HOSTS_WEIGHT)
-    shrunk = (F.col("failed") + F.col("m") * weight) / (F.col("n") + weight)
-    return hosts.join(F.broadcast(moments), "one").select("host", "n", "failed", shrunk.alias("host_rate"), (shrunk >= limit).alias("condemned"), (shrunk <= HOST_TRUST).alias("trusted"))
+    fails = F.col("base_failed") | F.col("odd_words") | (F.col("strain") > 1)
+    hosts = judged.groupBy("host").agg(F.count("*").alias("n"), F.sum(fails.cast("long")).alias("failed")).withColumn("one", F.lit(1))
+    square = F.col("failed").cast("double") * F.col("failed") / F.col("n")
+    sums = hosts.groupBy("one").agg(
+        F.count("*").alias("h"), F.sum("n").alias("all_n"), F.sum("failed").alias("all_failed"), F.sum(square).alias("ff"), F.sum(F.col("n").cast("double") * F.col("n")).alias("nn")
+    )
+    m = F.col("all_failed") / F.col("all_n")
+    noise = F.col("h") - 1
+    spread = (F.col("ff") - F.col("all_n") * m * m) / (m * (1 - m)) - noise
+    room = F.col("all_n") - F.col("nn") / F.col("all_n") - noise
+    weight = F.when((m > 0) & (m < 1) & (spread > 0) & (room > 0), F.least(F.greatest(room / spread - 1, F.lit(1.0)), F.lit(MAX_WEIGHT))).otherwise(MAX_WEIGHT)
+    prior = sums.select("one", m.alias("m"), weight.alias("k"))
+    rate = (F.col("failed") + F.col("m") * F.col("k")) / (F.col("n") + F.col("k"))
+    allowance = F.when(F.col("host_rate") > 0, F.least(F.greatest(F.col("m") / F.col("host_rate"), F.lit(LEAST)), F.lit(MOST))).otherwise(1.0)
+    return hosts.join(F.broadcast(prior), "one").withColumn("host_rate", rate).select("host", "n", "failed", "host_rate", allowance.alias("allowance"))
 
 
-def verdict(failed: Column, soft: Column, repeats: Column) -> Column:
-    """Whether a document is kept, beside its host's ``condemned`` and ``trusted`` (null: neither)."""
-    allowed = F.when(F.col("trusted"), 1).otherwise(0)
-    return ~failed & (soft <= allowed) & ~(F.coalesce(F.col("condemned"), F.lit(False)) & repeats)
+def verdict() -> Column:
+    """Whether a document is kept, from base_failed, odd_words, strain and its host's allowance."""
+    return ~F.col("base_failed") & ~F.col("odd_words") & (F.col("strain") <= F.col("allowance"))
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """Statistics, base failure, host rate and verdict for each row of ``docs``.
+    """Statistics, base failure, host rate, allowance and verdict for each row of ``docs``.
 
-    A document is kept unless it fails a base rule, or a soft one (two on a trusted
-    host), or repeats more than condemned hosts may. A document that fails no rule is
-    kept whatever its host. An empty table gives no rows.
+    A document is kept unless it fails a base rule, its words are odd, or its strain is
+    above its host's allowance. An empty table gives no rows.
     """
-    judged = statistics(docs, id_col, text_col, host_col).withColumns({"base_failed": base_failed(), "n_soft": soft_failures()})
-    judged = cut(judged)
+    judged = cut(statistics(docs, id_col, text_col, host_col).withColumns({"base_failed": base_failed(), "odd_words": odd_words(), "strain": strain()}))
     salted = judged.withColumn("salt", F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"), F.lit(SALTS)))
     verdicts = host_verdicts(judged).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<long>")))
     out = salted.alias("d").join(verdicts.alias("h"), (F.col("d.salt") == F.col("h.salt")) & F.col("d.host").eqNullSafe(F.col("h.host")), "left")
     return out.select(
-        "doc_id", F.col("d.host").alias("host"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_soft", "host_rate", "condemned",
-        verdict(F.col("base_failed"), F.col("n_soft"), 100 * F.col("n_repeat_words") > CONDEMNED_REPEAT_PERCENT * F.col("n_words")).alias("kept"),
+        "doc_id", F.col("d.host").alias("host"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "odd_words", "strain", "host_rate", "allowance", verdict().alias("kept")
     )
 
 
 def keep(docs: DataFrame, text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """``docs`` without the rejected ones; columns and repeated rows stay as they are.
+    """``docs`` without the rejected ones; columns, whatever their names, and repeated rows stay as they are.
 
-    The statistics are taken again beside the text, which so needs no shuffle; only
-    the hosts that are not ordinary are joined, broadcast if there are few of them.
+    Rows are stored once with their measures beside them; the hosts are then counted
+    from the measures alone, and the rows read again with their host's allowance.
+    Up to ``FEW_HOSTS`` hosts are broadcast, so that no text is shuffled.
     """
-    judged = cut(statistics(docs.withColumn("_id", F.lit(0)), "_id", text_col, host_col).select("host", base_failed().alias("base_failed"), soft_failures().alias("n_soft")))
-    hosts = cut(host_verdicts(judged).where("condemned OR trusted").select(F.col("host").alias("_host"), "condemned", "trusted"))
-    q = docs.select(F.struct(*docs.columns).alias("_row"), F.col(host_col).alias("_of"), measured(F.col(text_col)).alias("_q"))
-    q = q.select("_row", "_of", base_failed("_q").alias("_base"), soft_failures("_q").alias("_soft"), (100 * F.col("_q.n_repeat_words") > CONDEMNED_REPEAT_PERCENT * F.col("_q.n_words")).alias("_repeats"))
+    q = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(host_col).alias("host"), measured(F.col(text_col)).alias("q"))
+    q = stored(q.select("row", "host", base_failed("q").alias("base_failed"), odd_words("q").alias("odd_words"), strain("q").alias("strain")))
+    hosts = cut(host_verdicts(q).select(F.col("host").alias("of"), "allowance"))
     if hosts.count() <= FEW_HOSTS:
-        q = q.join(F.broadcast(hosts), F.col("_of").eqNullSafe(F.col("_host")), "left")
+        q = q.join(F.broadcast(hosts), F.col("host").eqNullSafe(F.col("of")), "left")
     else:
-        q = q.withColumn("_salt", F.pmod(F.xxhash64(F.col("_row").getField(text_col)), F.lit(SALTS)))
-        spread = hosts.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<long>")))
-        q = q.join(spread, (F.col("_salt") == F.col("_s")) & F.col("_of").eqNullSafe(F.col("_host")), "left")
-    return q.where(verdict(F.col("_base"), F.col("_soft"), F.col("_repeats"))).select("_row.*")
+        q = q.withColumn("salt", F.pmod(F.xxhash64(F.col("row").getField(text_col)), F.lit(SALTS)))
+        spread = hosts.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<long>")))
+        q = q.join(spread, (F.col("salt") == F.col("s")) & F.col("host").eqNullSafe(F.col("of")), "left")
+    return q.where(verdict()).select("row.*")
 
 
 def op2_quality_rules(spark, sf_dir: str) -> DataFrame:
@@ -192,16 +208,15 @@ WITH d AS (
          CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words
   FROM w LEFT JOIN rep USING (rid)
 ), j AS (
-  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-         CAST(100 * n_symbols > 10 * n_words AS INT) + CAST(100 * n_dup_lines > 30 * n_lines AS INT)
-         + CAST(word_chars < 3 * n_words OR word_chars > 12 * n_words AS INT) AS n_soft FROM s
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, word_chars < 3 * n_words OR word_chars > 12 * n_words AS odd_words,
+         greatest(CASE WHEN n_words > 0 THEN (100 * n_symbols)::DOUBLE / (10 * n_words) ELSE 0 END, CASE WHEN n_lines > 0 THEN (100 * n_dup_lines)::DOUBLE / (30 * n_lines) ELSE 0 END,
+                  CASE WHEN n_words > 0 THEN (100 * n_repeat_words)::DOUBLE / (20 * n_words) ELSE 0 END) AS strain FROM s
 ), h AS (
-  SELECT host, count(*) AS n, sum(CAST(base_failed OR n_soft > 0 AS INT)) AS failed FROM j GROUP BY host
-), m AS (SELECT avg(failed / n) AS m, var_pop(failed / n) AS v FROM h
-), x AS (
-  SELECT m, CASE WHEN v > 0 AND m * (1 - m) > 0 THEN greatest(m * (1 - m) / v - 1, 1.0) ELSE 100.0 END AS k FROM m
-), v AS (SELECT host, (failed + m * k) / (n + k) >= 0.5 AS condemned, (failed + m * k) / (n + k) <= 0.02 AS trusted FROM h, x)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND n_soft <= CASE WHEN trusted THEN 1 ELSE 0 END AND NOT (condemned AND 100 * n_repeat_words > 10 * n_words) AS kept
+  SELECT host, count(*) AS n, sum(CAST(base_failed OR odd_words OR strain > 1 AS INT))::DOUBLE AS failed FROM j GROUP BY host
+), a AS (SELECT sum(failed) / sum(n) AS m, count(*) - 1 AS noise, sum(n)::DOUBLE AS total, sum(failed * failed / n) AS ff, sum(n::DOUBLE * n) AS nn FROM h
+), e AS (SELECT m, CASE WHEN m > 0 AND m < 1 THEN (ff - total * m * m) / (m * (1 - m)) - noise END AS spread, total - nn / total - noise AS room FROM a
+), x AS (SELECT m, CASE WHEN spread > 0 AND room > 0 THEN least(greatest(room / spread - 1, 1.0), 100.0) ELSE 100.0 END AS k FROM e
+), v AS (SELECT host, CASE WHEN r > 0 THEN least(greatest(m / r, 0.5), 2.0) ELSE 1.0 END AS allowance FROM (SELECT host, m, (failed + m * k) / (n + k) AS r FROM h, x))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT odd_words AND strain <= allowance AS kept
 FROM j JOIN v ON j.host IS NOT DISTINCT FROM v.host
 """
