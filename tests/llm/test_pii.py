@@ -74,6 +74,30 @@ def test_trees_add_what_is_made_alike(spark):
     assert all(got[i] == slow(t) for i, t in rows[:300])
 
 
+def test_obfuscated_spans_are_added(spark):
+    """Spellings that no base pattern takes are learnt from rewritten base spans; decoys stay."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(400):
+        n = "".join(rng.choices("0123456789", k=15))
+        good, bad = (next(n + c for c in "0123456789" if luhn(n + c) == ok) for ok in (True, False))
+        rows.append((i, f"the {good} and {bad} of +1 ({n[:3]}) 555-{n[3:7]}, 10.{i % 256}.3.4 or u{i}@mail{i % 9}.example.com it was"))
+    card = next("453914880343646" + c for c in "0123456789" if luhn("453914880343646" + c))
+    odd = {1000: (f"the {card[:4]}.{card[4:8]}.{card[8:12]}.{card[12:]} was", [(4, 2, 23)]), 1001: ("please call 1 (217) 555-7713 or so", [(12, 3, 28)]), 1002: ("it is jane [at] example [dot] org now", [(6, 0, 33)]), 1003: ("at 10[.]20[.]30[.]40 it", [(3, 1, 20)]), 1004: ("the 7536784127813052 and 12 of 1999/2000 it was", [])}
+    df = spark.createDataFrame(rows + [(k, t) for k, (t, _) in odd.items()], "doc_id long, text string").repartition(5)
+    got = {r.doc_id: [tuple(x) for x in r.spans] for r in pii.detect(df).collect()}
+    assert {k: got[k] for k in odd} == {k: v for k, (_, v) in odd.items()}
+    assert all(got[i] == slow(t) for i, t in rows)
+
+
+def test_redaction_of_clashing_columns(spark):
+    names = ["row", "doc_id", "text", "base", "spans", "whole", "digest", "_id", "_spans", "_own", "_new", "added", "proposed", "pos"]
+    df = spark.createDataFrame([tuple(["r", 1, "at a@b.c now", *"bswdistonapp"][: len(names)])], ", ".join(f"{n} {'long' if n == 'doc_id' else 'string'}" for n in names))
+    out = pii.redact(df)
+    assert out.columns == df.columns
+    assert [*out.first()] == ["r", 1, "at <email> now", *[*df.first()][3:]]
+
+
 def test_redaction_and_odd_rows(spark):
     rows = [(1, "at a@b.c or +1 (017) 555-7713.", 30, "x"), (None, "1.2.3.4", 7, "y"), (1, "at a@b.c or +1 (017) 555-7713.", 30, "x"), (2, None, None, None), (3, "", 0, "z"), (4, "clean", 99, "z")]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, base string")

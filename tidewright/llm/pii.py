@@ -5,27 +5,29 @@ that pass its check (octets, Luhn, number of digits). They always stay.
 
 Beyond them, generators of high recall propose spans that may overlap: addresses
 with written-out signs, numbers with other separators, telephone numbers without
-a plus. Boosted trees judge each proposal by its format and by the words around
-it. They are trained on a sample, bounded for each kind and label, in which a proposal
-counts as right if a base span of its kind confirms it; the features leave out the marks
-that only base matches have, so that proposals of the same make are recognised. For each
-kind a threshold is calibrated on all proposals outside that sample so that at least
-``PRECISION`` of the proposals above it are right; a kind for which that cannot be
-had adds nothing. Of overlapping selected proposals the best one is taken.
+a plus. Boosted trees judge each proposal by its format and by the words around it.
+They learn from proposals that a base span confirms, as they are and rewritten with other
+separators or without the plus, and on the other side from proposals that fail their
+kind's check or lie in a base span of another kind. All other proposals are what the
+trees are asked about. Learning takes a share, bounded for each kind and label; for each
+kind a threshold is calibrated on all known proposals outside of it so that at least
+``PRECISION`` of those above it are right. Overlapping selected proposals are taken
+best first.
 
 Everything is DataFrame functions. The text is scanned once; what the scan finds
-is checkpointed.
+is stored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import cut
+from tidewright.llm.common import cut, stored
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 20_000
@@ -124,16 +126,46 @@ def _proposals(text: Column) -> Column:
     return F.concat(*each)
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """row, doc_id, digest of the text, base spans, proposals; a null text counts as empty."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), text.alias("t"))
-    return rows.select("row", "doc_id", F.md5(F.col("t").cast("binary")).alias("digest"), base_spans(F.col("t")).alias("base"), _proposals(F.col("t")).alias("proposed"))
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carried: bool = False) -> DataFrame:
+    """row, doc_id, digest of the text, base spans, proposals; a null text counts as empty.
+
+    With ``carried`` the whole row comes too, as the struct ``whole``.
+    """
+    whole = [F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole")] if carried else []
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"), *whole)
+    kept = ["whole"] if carried else []
+    return rows.select("row", "doc_id", *kept, F.md5(F.col("t").cast("binary")).alias("digest"), base_spans(F.col("t")).alias("base"), _proposals(F.col("t")).alias("proposed"))
+
+
+#: How confirmed spans are rewritten to learn from: separators of groups of card digits, and
+#: telephone numbers without a plus, with a double zero, and without their country.
+SEPARATORS = (".", "/", "_", "  ", " ", "-")
+
+
+def _rewritten(k: Column, m: Column) -> Column:
+    """Other spellings of a confirmed match: an array of texts."""
+    sign = F.element_at(F.array(*map(F.lit, SEPARATORS)), (F.pmod(F.crc32(m.cast("binary")), F.lit(len(SEPARATORS))) + 1).cast("int"))
+    grouped = lambda d: F.array_join(F.regexp_extract_all(d, F.lit("[0-9]{1,4}"), F.lit(0)), "\x00")
+    national = F.regexp_replace(m, r"^\+[0-9]{1,3}[^0-9]+", "")
+    return (
+        F.when(k == 2, F.array(F.replace(grouped(_digits(m)), F.lit("\x00"), sign)))
+        .when(k == 3, F.array(F.substring(m, 2, 1 << 20), F.concat(F.lit("00"), F.substring(m, 2, 1 << 20)), F.replace(F.regexp_replace(national, "[^0-9]+", "\x00"), F.lit("\x00"), sign)))
+        .otherwise(F.array().cast("array<string>"))
+    )
 
 
 def candidates(scanned: DataFrame) -> DataFrame:
-    """A row for each proposal: its features, whether a base span of its kind confirms it, whether it meets any."""
-    c = scanned.select("row", "base", F.explode("proposed").alias("p")).select("row", "base", "p.*")
+    """A row for each proposal and each rewritten one: its features, label, and whether it meets a base span.
+
+    ``label`` is 1 where a base span of its kind confirms the proposal, 0 where the
+    proposal fails its kind's check or meets a base span, and null where it is open.
+    """
+    c = scanned.select("row", "digest", "base", F.explode("proposed").alias("p")).select("row", "digest", "base", "p.*")
+    meets = lambda b: (b["s"] < F.col("e")) & (b["e"] > F.col("s"))
+    confirmed = F.exists("base", lambda b: meets(b) & (b["k"] == F.col("k")) & (F.least(b["e"], F.col("e")) - F.greatest(b["s"], F.col("s")) >= 0.8 * (F.col("e") - F.col("s"))))
+    c = c.withColumns({"confirmed": confirmed, "taken": F.exists("base", meets)})
+    spelt = F.concat(F.array("m"), F.when(F.col("confirmed"), _rewritten(F.col("k"), F.col("m"))).otherwise(F.array().cast("array<string>")))
+    c = c.select("row", "digest", "s", "k", "e", "before", "after", "confirmed", "taken", F.posexplode(spelt).alias("made", "m"))
     # format features are those of the usual spelling
     c = c.withColumn("m", F.regexp_replace(F.regexp_replace("m", r"(?i)\s?[(\[{]\s?at\s?[)\]}]\s?|\sat\s|\s?@\s?", "@"), r"(?i)\s?[(\[{]\s?(?:dot|\.)\s?[)\]}]\s?|\sdot\s", "."))
     d, cue = _digits(F.col("m")), F.lit(None).cast("boolean")
@@ -141,19 +173,17 @@ def candidates(scanned: DataFrame) -> DataFrame:
         cue = F.when(F.col("k") == no, F.col("before").rlike(CUES[k])).otherwise(cue)
     groups = F.filter(F.split("m", "[^0-9]+"), lambda x: x != "")
     length = lambda x: F.coalesce(F.length(x), F.lit(0))
-    meets = lambda b: (b["s"] < F.col("e")) & (b["e"] > F.col("s"))
+    luhn = F.when(F.length(d).between(12, 19), F.call_function("luhn_check", d)).otherwise(False)
+    octets = F.regexp_replace("m", r"[\[\]()\s]", "").rlike(rf"^{_OCTET}(?:\.{_OCTET}){{3}}$")
     as_double = {
         "kind_no": F.col("k"), "length": F.length("m"), "digits": F.length(d), "letters": F.length(F.regexp_replace("m", "[^A-Za-z]", "")), "groups": F.size(groups),
         "dots": F.length(F.regexp_replace("m", "[^.]", "")), "hyphens": F.length(F.regexp_replace("m", "[^-]", "")), "spaces": F.length(F.regexp_replace("m", r"[^\x20]", "")),
-        "luhn": F.when(F.length(d).between(12, 19), F.call_function("luhn_check", d)).otherwise(False),
-        "octets": F.regexp_replace("m", r"[\[\]()\s]", "").rlike(rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"),
-        "first_group": length(F.get(groups, 0)), "last_group": length(F.try_element_at(groups, F.lit(-1))),
+        "luhn": luhn, "octets": octets, "first_group": length(F.get(groups, 0)), "last_group": length(F.try_element_at(groups, F.lit(-1))),
         "cue": cue, "word_before": F.col("before").rlike(r"\w\s?$"), "word_after": F.col("after").rlike(r"^\s?\w"),
     }
-    confirmed = F.exists("base", lambda b: meets(b) & (b["k"] == F.col("k")) & (F.least(b["e"], F.col("e")) - F.greatest(b["s"], F.col("s")) >= 0.8 * (F.col("e") - F.col("s"))))
-    return c.select(
-        "row", "s", "k", "e", *(F.coalesce(v.cast("double"), F.lit(0.0)).alias(n) for n, v in as_double.items()), confirmed.cast("double").alias("label"), F.exists("base", meets).alias("taken")
-    )
+    passes = F.when(F.col("k") == 0, F.col("m").rlike(r"@[^@]*\.[^@.]*[A-Za-z]{2}[^@.]*$")).when(F.col("k") == 1, octets).when(F.col("k") == 2, luhn).otherwise(F.length(d).between(9, 15))
+    label = F.when(F.col("confirmed"), 1.0).when(F.col("taken") | ~passes, 0.0)
+    return c.select("row", "digest", "s", "k", "e", "made", *(F.coalesce(v.cast("double"), F.lit(0.0)).alias(n) for n, v in as_double.items()), label.alias("label"))
 
 
 def choose(cands: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) -> DataFrame:
@@ -162,76 +192,98 @@ def choose(cands: DataFrame, sample: int = SAMPLE, precision: float = PRECISION)
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
-    nothing = cands.where(F.lit(False)).select("row", "s", "k", "e")
-    counts = {(r.k, r.label): r["count"] for r in cands.groupBy("k", "label").count().collect()}  # eight rows at most
-    if {label for _, label in counts} != {0.0, 1.0}:
-        return nothing
-    # a share of each kind and label learns: half of it, but no more than a bound
-    mixed = F.xxhash64("row", "s", "k")
-    u = F.pmod(mixed, F.lit(1 << 20)) / F.lit(float(1 << 20))
+    known = cands.where("label IS NOT NULL")
+    counts = {(r.k, r.label): r["count"] for r in known.groupBy("k", "label").count().collect()}  # eight rows at most
+    # a share of each kind and label learns: half of it, but no more than a bound. The hash is of the
+    # text and the place in it, so copies of a text learn together, and once
+    u = F.pmod(F.xxhash64("digest", "s", "k"), F.lit(1 << 20)) / F.lit(float(1 << 20))
     share = {g: min(0.5, sample / 2 / len(KINDS) / 2 / n) for g, n in counts.items()}
-    by_group = lambda of: F.coalesce(*(F.when((F.col("k") == k) & (F.col("label") == y), F.lit(float(v))) for (k, y), v in of.items()))
+    by_group = lambda of: F.coalesce(*(F.when((F.col("k") == k) & (F.col("label") == y), F.lit(float(v))) for (k, y), v in of.items()), F.lit(0.0))
     vectors = lambda df: VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(df)
     learns = u < by_group(share)
-    part = cut(vectors(cands.where(learns)).select("k", "label", "features"))
+    part = cut(vectors(known.where(learns).dropDuplicates(["digest", "s", "k", "made"])).select("k", "label", "features"))
     taken = {(r.k, r.label): r["count"] for r in part.groupBy("k", "label").count().collect()}
-    if {label for _, label in taken} != {0.0, 1.0}:
-        return nothing
-    # kinds weigh alike; within one the labels weigh as in all its proposals
-    total = {k: sum(n for (j, _), n in counts.items() if j == k) for k, _ in counts}
-    weight = {(k, y): 1000.0 * counts[k, y] / total[k] / n for (k, y), n in taken.items()}
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=32, seed=1, weightCol="weight").fit(part.withColumn("weight", by_group(weight)))
-    rated = lambda df: model.transform(df).withColumn("p", vector_to_array("probability")[1])
-    # all proposals that did not learn, as counts of score bins
-    judged = rated(vectors(cands.where(~learns))).groupBy("k", F.floor(F.col("p") * BINS).alias("bin"))
+    # each kind has trees of its own; its labels weigh as in all its proposals. A kind of which nothing
+    # is known to be wrong needs none: all its proposals have the score 1
+    models = {}
+    for k in range(len(KINDS)):
+        if (k, 0.0) in taken and (k, 1.0) in taken:
+            weight = {(k, y): 1000.0 * counts[k, y] / (counts[k, 0.0] + counts[k, 1.0]) / taken[k, y] for y in (0.0, 1.0)}
+            models[k] = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=32, seed=1, weightCol="weight").fit(part.where(F.col("k") == k).withColumn("weight", by_group(weight)))
+        elif (k, 1.0) in counts and (k, 0.0) not in counts:
+            models[k] = None
+    if not models:
+        return cands.where(F.lit(False)).select("row", "s", "k", "e")
+
+    def rated(df: DataFrame) -> DataFrame:
+        each = [vectors(df.where(F.col("k") == k)) for k in models]
+        each = [d.withColumn("p", F.lit(1.0)) if m is None else m.transform(d).withColumn("p", vector_to_array("probability")[1]) for d, m in zip(each, models.values(), strict=True)]
+        return reduce(DataFrame.unionByName, (d.select("row", "s", "k", "e", "label", "p") for d in each))
+
+    # all known proposals that did not learn, as counts of score bins
+    judged = rated(known.where(~learns)).groupBy("k", F.floor(F.col("p") * BINS).alias("bin"))
     bins = cut(judged.agg(F.count("*").alias("n"), F.sum("label").alias("good"), F.min("p").alias("low"), F.max("p").alias("top")))
     above = W.partitionBy("k").orderBy(F.desc("bin"))
     ranked = bins.withColumn("right", F.sum("good").over(above) / F.sum("n").over(above)).withColumn("next", F.lead("top").over(above))
     accepted = ranked.where((F.col("right") >= precision) & (F.col("good") > 0)).groupBy("k").agg(F.min(F.struct("low", "next")).alias("last"))
     # a limit lies half-way to the best bin that is not accepted, and above one half
-    limits = accepted.select("k", F.greatest((F.col("last.low") + F.coalesce("last.next", F.lit(0.0))) / 2, F.lit(0.5)).alias("limit"))
-    free = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(cands.where(~F.col("taken")))
-    picked = rated(free).join(F.broadcast(limits), "k").where("p >= limit").select("row", "s", "k", "e", "p")  # four limits at most
-    a, b = picked.alias("a"), picked.alias("b")
-    better = F.struct(F.col("b.p"), F.col("b.e") - F.col("b.s"), -F.col("b.k"), -F.col("b.s")) > F.struct(F.col("a.p"), F.col("a.e") - F.col("a.s"), -F.col("a.k"), -F.col("a.s"))
-    return a.join(b, (F.col("a.row") == F.col("b.row")) & (F.col("a.s") < F.col("b.e")) & (F.col("b.s") < F.col("a.e")) & better, "left_anti").select("row", "s", "k", "e")
+    limits = accepted.select("k", F.greatest((F.col("last.low") + F.coalesce(F.col("last.next"), F.lit(0.0))) / 2, F.lit(0.5)).alias("limit"))
+    picked = rated(cands.where("label IS NULL")).join(F.broadcast(limits), "k").where("p >= limit").select("row", "s", "k", "e", "p")  # four limits at most
+    # spans that overlap one another are one cluster; there they are taken best first
+    by_start = W.partitionBy("row").orderBy("s", "e", "k")
+    reached = F.coalesce(F.max("e").over(by_start.rowsBetween(W.unboundedPreceding, -1)), F.lit(-1))
+    clustered = picked.withColumn("new", (F.col("s") >= reached).cast("int")).withColumn("cluster", F.sum("new").over(by_start))
+    ranked = clustered.groupBy("row", "cluster").agg(F.sort_array(F.collect_list(F.struct((-F.col("p")).alias("o"), (F.col("s") - F.col("e")).alias("n"), "k", "s", "e"))).alias("all"))
+    clash = lambda acc, x: F.exists(acc, lambda y: (y["s"] < x["e"]) & (y["e"] > x["s"]))
+    none = F.array().cast("array<struct<o:double,n:int,k:int,s:int,e:int>>")
+    best = F.aggregate("all", none, lambda acc, x: F.when(clash(acc, x), acc).otherwise(F.array_append(acc, x)))
+    return ranked.select("row", F.explode(best).alias("x")).select("row", "x.s", "x.k", "x.e")
+
+
+def _found(scanned: DataFrame) -> DataFrame:
+    """The stored scan with ``spans``: base spans and the added ones by start, then kind."""
+    added = stored(choose(stored(candidates(scanned))).groupBy("row").agg(F.collect_list(F.struct("s", "k", "e")).alias("added")))
+    both = F.when(F.col("added").isNull(), F.col("base")).otherwise(F.sort_array(F.concat("base", "added")))
+    return scanned.drop("proposed").join(added, "row", "left").withColumn("spans", both).drop("added")
 
 
 def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, digest, base, spans for each row: base spans, and these with the added ones.
 
-    Both are arrays of (start, kind number, end) by start, then kind. Rows that
-    share an id are separate documents; without any text nothing is found.
+    Both are arrays of (start, kind number, end) by start, then kind. Rows that share an
+    id are separate documents, and repeated rows have the same spans; other columns are
+    not read. Of overlapping added spans with equal scores the longer one is taken, then
+    the first kind, then the first start. Without any text nothing is found. Patterns take
+    what they can without giving back, so very long runs cost no more than others.
     """
-    scanned = cut(scan(docs, id_col, text_col))
-    added = choose(candidates(scanned)).groupBy("row").agg(F.collect_list(F.struct("s", "k", "e")).alias("added"))
-    both = F.when(F.col("added").isNull(), F.col("base")).otherwise(F.sort_array(F.concat("base", "added")))
-    return scanned.drop("proposed").join(added, "row", "left").select("doc_id", "digest", "base", both.alias("spans"))
+    return _found(stored(scan(docs, id_col, text_col))).select("doc_id", "digest", "base", "spans")
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with each span in the text replaced by its kind in angle brackets.
 
     Overlapping spans become one, named by the first. ``n_chars``, if there, is
-    counted anew where the text changed.
+    counted anew where the text changed. Rows are stored with what the scan finds and
+    read again, so other columns may have any name, and texts are shuffled only if the
+    added spans are too many for Spark to broadcast.
     """
-    hit = detect(docs, id_col, text_col).where(F.size("spans") > 0).select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), F.col("spans").alias("_spans")).distinct()
-    keyed = docs.withColumn("_own", F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
-    met = keyed.join(hit, (F.col("_own") == F.col("_digest")) & F.col(id_col).eqNullSafe(F.col("_id")), "left")
+    found = _found(stored(scan(docs, id_col, text_col, carried=True)))
+    own = lambda c: F.col("whole").getField(c)
+    text = own(text_col)
     name = lambda k: F.concat(F.lit("<"), F.element_at(F.array(*map(F.lit, KINDS)), k + 1), F.lit(">"))
 
     def step(acc: Column, x: Column) -> Column:
         inside = x["s"] < acc["pos"]
-        kept = F.when(inside, acc["out"]).otherwise(F.concat(acc["out"], F.substring(F.col(text_col), acc["pos"] + 1, x["s"] - acc["pos"]), name(x["k"])))
+        kept = F.when(inside, acc["out"]).otherwise(F.concat(acc["out"], F.substring(text, acc["pos"] + 1, x["s"] - acc["pos"]), name(x["k"])))
         return F.struct(F.greatest(acc["pos"], x["e"]).alias("pos"), kept.alias("out"))
 
-    rest = lambda acc: F.concat(acc["out"], F.substring(F.col(text_col), acc["pos"] + 1, F.length(F.col(text_col))))
-    clean = F.aggregate("_spans", F.struct(F.lit(0).alias("pos"), F.lit("").alias("out")), step, rest)
-    out = met.withColumn("_new", F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(clean))
-    columns = {text_col: F.col("_new")}
+    rest = lambda acc: F.concat(acc["out"], F.substring(text, acc["pos"] + 1, F.length(text)))
+    hit = F.size("spans") > 0
+    clean = F.when(hit, F.aggregate("spans", F.struct(F.lit(0).alias("pos"), F.lit("").alias("out")), step, rest)).otherwise(text)
+    columns = {text_col: clean}
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("_new")).cast(docs.schema["n_chars"].dataType)
-    return out.select(*(columns.get(c, F.col(c)).alias(c) for c in docs.columns))
+        columns["n_chars"] = F.when(hit, F.length(clean)).otherwise(own("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return found.select(*(columns.get(c, own(c)).alias(c) for c in docs.columns))
 
 
 def _written(found: str) -> Column:
