@@ -47,8 +47,9 @@ BASE = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 _OCTET = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
-#: A character that each kind needs, to pass over texts without it.
-NEEDS = {"email": "@", "phone": "+"}
+#: What a text must hold for any match of a kind; texts without it are passed over.
+NEEDS = {"email": "@", "ip": "[0-9]", "card": "[0-9]", "phone": r"\+[0-9]"}
+PROPOSAL_NEEDS = {"email": r"@|(?i:[\s(\[{]dot[\s)\]}])", "ip": "[0-9]", "card": "[0-9]", "phone": "[0-9]"}
 
 #: Generators of proposals; each takes bounded runs only.
 PROPOSE = {
@@ -95,7 +96,7 @@ def spans(text: Column, pattern: str, test: Callable[[Column], Column], needs: s
 
     pairs = F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda g, m: F.struct(g.alias("gap"), m.alias("m")))
     found = F.aggregate(F.slice(pairs, 1, F.size(pairs) - 1), zero, step, lambda acc: acc["out"])
-    return F.when(F.instr(text, needs) > 0, found).otherwise(empty) if needs else found
+    return F.when(text.rlike(needs), found).otherwise(empty) if needs else found
 
 
 def _labelled(kind: str, found: Column) -> Column:
@@ -112,7 +113,7 @@ def base_spans(text: Column) -> Column:
 def _proposals(text: Column) -> Column:
     each = []
     for k in KINDS:
-        got = _labelled(k, spans(text, PROPOSE[k], lambda m: F.lit(True)))
+        got = _labelled(k, spans(text, PROPOSE[k], lambda m: F.lit(True), PROPOSAL_NEEDS[k]))
         each.append(
             F.transform(
                 got,
