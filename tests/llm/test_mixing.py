@@ -41,6 +41,36 @@ def test_query_against_sql(spark, sf_dir):
     assert rows == sorted(map(tuple, mixing.op3_mixing(spark, sf_dir).collect()))
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_every_packet_ranged(spark, seed):
+    """Against all packets sorted, for sources of very different sizes and many ties."""
+    import hashlib
+    import random
+
+    rng = random.Random(seed)
+    rows = [(rng.choice([None, i % 7, i]), rng.choice(["a b c", f"t{i} " * rng.choice([1, 3, 255, 256, 257, 900])]), rng.choice(["x", "x", "x", "y", "z", None, f"s{i % 5}"])) for i in range(120)]
+    rows += [(None, "same text here", "hot")] * 60
+    sizes = {}
+    for _, t, s in rows:
+        sizes[s] = sizes.get(s, 0) + len(t.split())
+    goal = slow_targets(sizes, 1.5 * sum(sizes.values()))
+    keyed = sorted((hashlib.md5(f"mix:{'null' if i is None else i}:{hashlib.md5(t.encode()).hexdigest()}".encode()).hexdigest(), n) for n, (i, t, _) in enumerate(rows))
+    at, packets = dict.fromkeys(sizes, 0), []
+    for key, n in keyed:
+        _, t, s = rows[n]
+        size = len(t.split())
+        for r in range(2):
+            packets += [((r * sizes[s] + at[s] + min(k + 256, size)) / goal[s], key, r, k, n, min(256, size - k)) for k in range(0, size, 256)]
+        at[s] += size
+    left, taken = int(1.5 * sum(sizes.values())), [0] * len(rows)
+    for *_, n, words in sorted(packets):
+        taken[n] += min(words, left)
+        left -= min(words, left)
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id int, text string, source string").repartition(3))
+    count = lambda x: sorted(map(str, x))
+    assert count((r.doc_id, r.source, r.size, r.taken) for r in got.collect()) == count((i, s, len(t.split()), taken[n]) for n, (i, t, s) in enumerate(rows))
+
+
 def test_near_targets_and_odd_rows(spark):
     rows = [(i, f"w{i} " * (5 + i % 400), f"s{i % 3}" if i % 2 else "s0", 1) for i in range(600)] + [(None, "a b c", None, 1), (1, None, "s1", 1), (2, "", "s2", 1), (7, "one two\tthree " * 20000, "s1", 1), (9, "x y", "s9", 1), (9, "x y", "s9", 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, size int")
@@ -51,5 +81,10 @@ def test_near_targets_and_odd_rows(spark):
     assert out.columns == df.columns
     sent = out.groupBy("source").agg(F.sum(F.size(F.array_remove(F.split("text", r"\s+"), ""))).alias("n"))
     assert {r.source: r.n for r in sent.collect()} == {r.source: r.taken for r in got if r.taken}
+    names = df.withColumns({c: F.lit(c) for c in ("_i", "_s", "_d", "_n", "_size", "_words", "_taken", "row", "whole", "taken", "words", "bucket", "key", "start", "sent")})
+    clash = mixing.emit(names)
+    assert clash.columns == names.columns
+    assert sorted(map(tuple, clash.select(*df.columns).collect()), key=str) == sorted(map(tuple, out.collect()), key=str)
+    assert clash.where(" AND ".join(f"{c} = '{c}'" for c in names.columns[4:])).count() == clash.count()
     empty = df.where(F.lit(False))
     assert mixing.mix(empty).count() == 0 and mixing.emit(empty).count() == 0

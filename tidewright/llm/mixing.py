@@ -6,10 +6,13 @@ A packet's virtual finish time is the number of words its source has sent up
 to its end, divided by the source's target. All packets are ranged by finish
 time, and the mix ends where the total budget is used up.
 
-Both running sums (words within a source, words over all packets) are taken in
-two levels: sums of hash or time buckets, then a window inside one bucket. So
-no task sees a whole source, and the only windows without a small bucket run
-over one row for each bucket or source.
+Packets leave a queue in order, so what a source sends is known from one number, the
+words it has sent when the mix ends. As the targets add up to the budget, that is near
+virtual time 1: packets that finish by then are taken without looking at them, and only
+the few around it are ranged one by one. A document's share then follows from its
+bucket of the shuffle order, and in the bucket where its source ends from its place
+there. So no task sees a whole source, no text is shuffled, and the windows without
+a small bucket run over a row or a few for each source.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import cut, words
+from tidewright.llm.common import cut, stored, words
 
 #: Weights of the sources in code-point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -26,19 +29,23 @@ WEIGHTS = (5, 2, 1)
 BUDGET, MAX_ROUNDS = 1.5, 2
 #: Words of a packet.
 PACKET = 256
-#: Buckets of the shuffle order within a source, and of virtual time.
-ORDER_BUCKETS, TIME_BUCKETS = 4096, 65536
-
-
-def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, source, words and shuffle key of each row; a null text has no words."""
-    return docs.select(
-        F.col(id_col).alias("doc_id"),
-        F.col(source_col).alias("source"),
-        F.size(words(F.col(text_col))).cast("long").alias("size"),
-        F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("digest"),
-        F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))).cast("binary")).alias("key"),
+#: Buckets of the shuffle order within a source.
+ORDER_BUCKETS = 4096
+
+
+def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", carried: bool = False) -> DataFrame:
+    """row, doc_id, source, words, shuffle key and its bucket of each row; a null text has no words.
+
+    The key is a hash of the id and the text, so that rows of one id, or of none, do not
+    share a bucket. With ``carried`` the whole row comes too, as the struct ``whole``.
+    """
+    digest = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+    key = F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(":"), digest).cast("binary"))
+    whole = [F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole")] if carried else []
+    out = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.size(words(F.col(text_col))).cast("long").alias("size"), key.alias("key"), *whole
     )
+    return out.withColumn("bucket", _order_bucket())
 
 
 def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUDGET, rounds: int = MAX_ROUNDS) -> DataFrame:
@@ -69,77 +76,112 @@ def _order_bucket() -> Column:
     return (F.conv(F.substring("key", 1, 4), 16, 10).cast("long") / F.lit(65536 // ORDER_BUCKETS)).cast("long")
 
 
-def mix(docs: DataFrame, packet: int = PACKET, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, source, digest of the text, size, source_size, target, taken for each row of ``docs``.
+def _ends(sized: DataFrame, goal: DataFrame, packet: int) -> tuple[DataFrame, DataFrame]:
+    """Where the sources end, and the rows about there.
 
-    ``taken`` counts the words that the mix takes of a document, from its start,
-    in both rounds together. Empty documents are taken with no words. Rows that
-    share an id are separate documents next to each other in the shuffle. The
-    same table gives the same mix each time.
+    First: source, source_size, target, sent (words that the mix takes of it), and for
+    both rounds the bucket that holds the end (-1: before all, ORDER_BUCKETS: after all).
+    Second: row, start of the rows in buckets around the ends.
     """
-    sized = cut(sizes(docs, id_col, text_col, source_col).withColumn("bucket", _order_bucket()).withColumn("row", F.monotonically_increasing_id()))
-    goal = targets(sized)
-    # words of each source before each bucket, in both rounds
-    per_bucket = sized.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
-    before = F.coalesce(F.sum("words").over(W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    offsets = per_bucket.select(F.col("source").alias("s"), F.col("bucket").alias("b"), before.alias("before"))
-    offsets = offsets.join(goal, F.col("s").eqNullSafe(F.col("source"))).drop("source")
-    inside = F.sum("size").over(W.partitionBy("source", "bucket").orderBy("key", "doc_id", "size", "row").rowsBetween(W.unboundedPreceding, 0))
-    queued = sized.withColumn("inside", inside).join(offsets, (F.col("bucket") == F.col("b")) & F.col("source").eqNullSafe(F.col("s")))
-    queued = queued.select("row", "doc_id", "source", "digest", "size", "source_size", "target", "key", (F.col("before") + F.col("inside") - F.col("size")).alias("start"))
-    packets = cut(_packets(queued, packet))
-    ends = F.coalesce(F.col("taken"), F.lit(0))
-    return queued.join(_sent(packets, packet), "row", "left").select("doc_id", "source", "digest", "size", "source_size", "target", ends.cast("long").alias("taken"))
-
-
-def _packets(queued: DataFrame, packet: int) -> DataFrame:
-    """A row for each packet: its document, number and words, and its finish time."""
-    rounds = F.explode(F.sequence(F.lit(0), F.lit(MAX_ROUNDS - 1))).alias("round")
-    waiting = queued.where("size > 0").select("row", "key", "size", "source_size", "target", "start", rounds)
-    waiting = waiting.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("size") / packet))).alias("n"))
+    per_bucket = sized.where("size > 0").groupBy("source", "bucket").agg(F.sum("size").alias("words"))
+    upto = F.sum("words").over(W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, 0)) - F.col("words")
+    buckets = per_bucket.withColumn("before", upto).withColumnRenamed("source", "s").join(goal, F.col("s").eqNullSafe(F.col("source"))).drop("s")
+    # from virtual time 1 on at most a packet of each source is left of the budget; the sources that are
+    # not used up send that much, and a packet each, by this time
+    open_ = F.sum(F.when(F.col("target") < MAX_ROUNDS * F.col("source_size"), F.col("target")))
+    bound = goal.agg(F.floor(F.sum("source_size") * F.lit(BUDGET)).alias("budget"), (2 * packet * F.count("*") / open_).alias("late"))
+    buckets = buckets.join(F.broadcast(bound), F.lit(True)).withColumn("until", F.col("target") * (1 + F.coalesce("late", F.lit(0.0))) + 2 * packet)
+    rounds = F.explode(F.sequence(F.lit(0), F.lit(MAX_ROUNDS - 1)))
+    begins = F.col("round") * F.col("source_size") + F.col("before")
+    near = stored(buckets.withColumn("round", rounds).where((begins + F.col("words") >= F.col("target")) & (begins <= F.col("until"))))
+    once = near.select(F.col("source").alias("s"), F.col("bucket").alias("b"), "before").distinct()
+    inside = F.sum("size").over(W.partitionBy("source", "bucket").orderBy("key", "row").rowsBetween(W.unboundedPreceding, 0)) - F.col("size")
+    narrow = sized.select("row", "source", "bucket", "key", "size").where("size > 0")
+    rows = narrow.join(once, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")), "inner").withColumn("start", F.col("before") + inside)
+    rows = stored(rows.select("row", "source", "bucket", "key", "size", "start"))
+    at = near.select(F.col("source").alias("s"), F.col("bucket").alias("b"), "round", "source_size", "target", "until")
+    placed = rows.join(at, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))).withColumn("p", F.col("round") * F.col("source_size") + F.col("start"))
+    whole = F.when(F.col("p") + F.col("size") <= F.col("target"), F.col("size")).otherwise(F.floor((F.col("target") - F.col("p")) / packet) * packet)
+    sure = placed.where("p <= target").groupBy("source").agg(F.max(F.col("p") + whole).cast("long").alias("sure"))
+    sure = cut(goal.select(F.col("source").alias("g"), "target").join(sure, F.col("g").eqNullSafe(F.col("source")), "left").select(F.col("g").alias("source"), F.coalesce("sure", F.lit(0)).alias("sure")))
+    left = bound.join(F.broadcast(sure.agg(F.coalesce(F.sum("sure"), F.lit(0)).alias("used"))), F.lit(True)).select((F.col("budget") - F.col("used")).alias("left"))
+    # packets about the end, ranged one by one
+    late = placed.join(sure.withColumnRenamed("source", "g"), F.col("source").eqNullSafe(F.col("g"))).where((F.col("p") + F.col("size") > F.col("sure")) & (F.col("p") < F.col("until")))
+    first = F.greatest(F.lit(0).cast("long"), F.floor((F.col("sure") - F.col("p")) / packet)) + 1
+    last = F.least(F.ceil(F.col("size") / packet), F.ceil((F.col("until") - F.col("p")) / packet))
+    packets = late.select("*", F.explode(F.sequence(first, F.greatest(first, last))).alias("n")).where(F.col("n") <= F.ceil(F.col("size") / packet))
     end = F.least(F.col("n") * packet, F.col("size"))
-    finish = (F.col("round") * F.col("source_size") + F.col("start") + end) / F.col("target")
-    return waiting.select("row", "key", "round", "n", (end - (F.col("n") - 1) * packet).alias("words"), finish.alias("finish"), F.floor(finish * (TIME_BUCKETS // 4)).alias("slot"))
+    packets = packets.withColumns({"words": end - (F.col("n") - 1) * packet, "finish": (F.col("p") + end) / F.col("target")}).where(F.col("p") + end > F.col("sure"))
+    running = F.sum("words").over(W.orderBy("finish", "key", "round", "n", "row").rowsBetween(W.unboundedPreceding, 0)) - F.col("words")
+    extra = packets.withColumn("running", running).join(F.broadcast(left), F.lit(True)).withColumn("more", F.greatest(F.lit(0), F.least(F.col("words"), F.col("left") - F.col("running"))))
+    extra = extra.groupBy("source").agg(F.sum("more").alias("more"))
+    sent = sure.join(extra.withColumnRenamed("source", "g"), F.col("source").eqNullSafe(F.col("g")), "left").select("source", (F.col("sure") + F.coalesce("more", F.lit(0))).alias("sent"))
+    sent = goal.join(sent.withColumnRenamed("source", "g"), F.col("source").eqNullSafe(F.col("g"))).drop("g")
+    # the bucket in which each round ends: one of the near ones, or none
+    of = near.select(F.col("source").alias("g"), "bucket", "round", "before", "words")
+    met = sent.join(of, F.col("source").eqNullSafe(F.col("g")), "left").withColumn("reach", F.col("sent") - F.col("round") * F.col("source_size"))
+    holds = (F.col("reach") > F.col("before")) & (F.col("reach") < F.col("before") + F.col("words"))
+    here = lambda r: F.max(F.when(holds & (F.col("round") == r), F.col("bucket")))
+    # before an end that lies between two buckets all buckets up to the one that ends there are whole
+    upto = lambda r: F.max(F.when((F.col("round") == r) & (F.col("reach") >= F.col("before") + F.col("words")), F.col("bucket")))
+    least = lambda r: F.min(F.when(F.col("round") == r, F.col("bucket")))
+    ends = met.groupBy("source").agg(
+        F.first("source_size").alias("source_size"), F.first("target").alias("target"), F.first("sent").alias("sent"),
+        *(x for r in range(MAX_ROUNDS) for x in (here(r).alias(f"here{r}"), F.coalesce(here(r), upto(r) + 1, least(r)).alias(f"from{r}"))),
+    )
+    for r in range(MAX_ROUNDS):
+        reach = F.col("sent") - r * F.col("source_size")
+        ends = ends.withColumn(f"from{r}", F.when(reach <= 0, 0).when(reach >= F.col("source_size"), ORDER_BUCKETS).otherwise(F.col(f"from{r}")))
+    return stored(ends), rows.select("row", "start")
+
+
+def _taken(sized: DataFrame, packet: int) -> DataFrame:
+    """The stored rows of ``sizes`` with source_size, target and taken."""
+    goal = cut(targets(sized))
+    ends, starts = _ends(sized, goal, packet)
+    all_ = sized.join(ends.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
+    at_end = F.lit(False)
+    for r in range(MAX_ROUNDS):
+        at_end = at_end | F.coalesce(F.col("bucket") == F.col(f"here{r}"), F.lit(False))
+    at_end = at_end & (F.col("size") > 0)
+    rounds = sum(((F.col("bucket") < F.col(f"from{r}")).cast("long") for r in range(MAX_ROUNDS)), F.lit(0).cast("long"))
+    plain = all_.where(~at_end).withColumn("taken", F.col("size") * rounds)
+    share = lambda r: F.least(F.col("size"), F.greatest(F.lit(0), F.col("sent") - r * F.col("source_size") - F.col("start")))
+    edge = all_.where(at_end).join(starts, "row").withColumn("taken", sum((share(r) for r in range(MAX_ROUNDS)), F.lit(0)))
+    return plain.unionByName(edge.select(*plain.columns))
 
 
-def _sent(packets: DataFrame, packet: int) -> DataFrame:
-    """row, taken: the words of packets that end within the budget; the packet on its edge is cut."""
-    slots = packets.groupBy("slot").agg(F.sum("words").alias("words"))
-    running = slots.withColumn("before", F.coalesce(F.sum("words").over(W.orderBy("slot").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    total = packets.where("round = 0").agg(F.floor(F.sum("words") * F.lit(BUDGET)).alias("budget"))
-    edges = running.join(F.broadcast(total), F.lit(True)).where("before < budget").select("slot", "before", "budget", (F.col("before") + F.col("words") > F.col("budget")).alias("edge"))
-    ranged = packets.join(edges, "slot")
-    whole = ranged.where(~F.col("edge")).select("row", "words")
-    inside = F.sum("words").over(W.partitionBy("slot").orderBy("finish", "key", "round", "n", "row").rowsBetween(W.unboundedPreceding, 0))
-    last = ranged.where("edge").withColumn("left", F.col("budget") - F.col("before") - inside + F.col("words"))
-    cut_ones = last.where("left > 0").select("row", F.least("words", "left").alias("words"))
-    return whole.unionByName(cut_ones).groupBy("row").agg(F.sum("words").alias("taken"))
+def mix(docs: DataFrame, packet: int = PACKET, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """doc_id, source, size, source_size, target, taken for each row of ``docs``.
+
+    ``taken`` counts the words that the mix takes of a document, from its start,
+    in both rounds together. Empty documents are taken with no words. Rows that
+    share an id are separate documents; those that share their text too are next to
+    each other in the shuffle. The same table gives the same mix each time, however its
+    rows are dealt: ties in the finish time go by the key, and rows of one key are equal
+    in all that counts. Very long texts are packets like others; an empty table gives no rows.
+    """
+    return _taken(stored(sizes(docs, id_col, text_col, source_col)), packet).select("doc_id", "source", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"))
 
 
-def emit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def emit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", packet: int = PACKET) -> DataFrame:
     """The rows of the mix: ``docs`` as often as taken, the last copy cut after its last word.
 
     Documents of which nothing is taken, and those without words, are left out.
-    ``n_chars``, if there, is counted anew where a text was cut.
+    ``n_chars``, if there, is counted anew where a text was cut. Rows are stored with
+    their sizes and read again, so other columns may have any name.
     """
-    same = W.partitionBy("_i", "_s", "_d").orderBy("_d")
-    taken = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col).select(
-        F.col("doc_id").alias("_i"), F.col("source").alias("_s"), F.col("digest").alias("_d"), F.col("size").alias("_size"), F.col("taken").alias("_taken")
-    )
-    taken = taken.withColumn("_n", F.row_number().over(same)).alias("t")
-    keyed = docs.select("*", F.col(id_col).alias("_i"), F.col(source_col).alias("_s"), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("_d"))
-    keyed = keyed.withColumn("_n", F.row_number().over(same)).alias("k")
-    on = [F.col(f"k.{c}").eqNullSafe(F.col(f"t.{c}")) for c in ("_i", "_s", "_d", "_n")]
-    both = keyed.join(taken, on).where("_taken > 0")
-    copies = F.filter(F.array(F.least("_taken", "_size"), F.col("_taken") - F.least("_taken", "_size")), lambda n: n > 0)
-    out = both.select(*(F.col(f"k.{c}") for c in docs.columns), "_size", F.explode(copies).alias("_words"))
+    both = _taken(stored(sizes(docs, id_col, text_col, source_col, carried=True)), packet).where("taken > 0")
+    copies = F.filter(F.array(F.least("taken", "size"), F.col("taken") - F.least("taken", "size")), lambda n: n > 0)
+    out = both.select("whole", "size", F.explode(copies).alias("words"))
+    own = lambda c: F.col("whole").getField(c)
     gap, word = r"[ \t-\r]", r"[^ \t-\r]"
-    first = F.concat(F.lit(f"^{gap}*+(?:{word}++{gap}++){{"), (F.col("_words") - 1).cast("string"), F.lit(f"}}+{word}++"))
-    text = F.when(F.col("_words") == F.col("_size"), F.col(text_col)).otherwise(F.regexp_substr(F.col(text_col), first))
+    first = F.concat(F.lit(f"^{gap}*+(?:{word}++{gap}++){{"), (F.col("words") - 1).cast("string"), F.lit(f"}}+{word}++"))
+    text = F.when(F.col("words") == F.col("size"), own(text_col)).otherwise(F.regexp_substr(own(text_col), first))
     columns = {text_col: text}
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(F.col("_words") == F.col("_size"), F.col("n_chars")).otherwise(F.length(text)).cast(docs.schema["n_chars"].dataType)
-    return out.select(*(columns.get(c, F.col(c)).alias(c) for c in docs.columns))
+        columns["n_chars"] = F.when(F.col("words") == F.col("size"), own("n_chars")).otherwise(F.length(text)).cast(docs.schema["n_chars"].dataType)
+    return out.select(*(columns.get(c, own(c)).alias(c) for c in docs.columns))
 
 
 def op3_mixing(spark, sf_dir: str) -> DataFrame:
@@ -151,7 +193,7 @@ def op3_mixing(spark, sf_dir: str) -> DataFrame:
 ORACLE = r"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, source, CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t-\r]+'), lambda x: x <> '')) AS BIGINT) AS size,
-         md5(concat('mix:', coalesce(CAST(doc_id AS VARCHAR), 'null'))) AS key FROM documents
+         md5(concat('mix:', coalesce(CAST(doc_id AS VARCHAR), 'null'), ':', md5(coalesce(text, '')))) AS key FROM documents
 ), s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, list_value(5, 2, 1)[CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INT)] AS weight FROM d GROUP BY source
 ), r AS (
