@@ -74,6 +74,34 @@ def test_gapped_insults_stay_near():
     assert reader.read(None) [:2] == (0, 0)
 
 
+def test_letters_are_told_apart():
+    k = toxicity.Kernel(["réeux", "ωδη"])
+    same = k.values(["réeux", "rëeux", "ωδη", "пдη"])
+    assert np.isclose(same[0, 0], 1) and np.isclose(same[2, 1], 1)
+    assert same[1].max() < 0.9 and same[3].max() < 0.9
+
+
+def test_a_rare_and_a_sixty_fifth_language(spark):
+    """Each of seventy languages writes words of its own; one has a single text, one nearly all rows."""
+    rng = random.Random(7)
+    alphabet = [chr(c) for c in range(0x4E00, 0x4E00 + 70 * 12)]
+    text = lambda n: " ".join("".join(rng.choices(alphabet[12 * n : 12 * n + 12], k=5)) for _ in range(60))
+    langs = [0] * 300 + [n for n in range(1, 69) for _ in range(6)] + [69]
+    ids = [i for i in range(3000) if language_id_remainder(i) != 2]
+    df = spark.createDataFrame([(i, text(n), f"l{n:02d}") for i, n in zip(ids, langs, strict=False)], "doc_id long, text string, lang string").repartition(5)
+    filters = language_id.train(df, sample=50)
+    assert len(filters.languages) == 70 and filters.table.shape[1] == 2
+    asked = [(n, text(n)) for n in range(69)] + [(69, df.where("lang = 'l69'").first().text)]
+    got = {r.doc_id: r.lang_pred for r in language_id.identify(spark.createDataFrame(asked, "doc_id long, text string"), filters).collect()}
+    assert got == {n: f"l{n:02d}" for n in range(70)}
+
+
+def language_id_remainder(i):
+    import zlib
+
+    return zlib.crc32(str(i).encode()) % 4
+
+
 def test_languages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = language_id.op9_language(spark, SF)

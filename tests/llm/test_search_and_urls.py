@@ -52,8 +52,9 @@ def test_lists_over_time(spark):
     spans = url_filter.intervals(entries)
     assert sorted((r.domain, r.valid_from.day, r.valid_to and r.valid_to.day) for r in spans.collect()) == [("bad.com", 3, 10), ("bad.com", 20, None), ("sub.bad.com", 5, None)]
     asked = [(1, "http://BAD.com/x", d(2)), (1, "http://bad.com:80/x", d(3)), (2, "https://u@www.bad.com", d(9)), (3, "http://bad.com", d(10)), (4, "http://a.sub.bad.com?q", d(25)), (5, "http://notbad.com", d(25)), (6, None, d(25)), (7, "no url", d(25)), (8, "http://bad.com", None), (9, "http://same.day", d(9)), (2, "https://u@www.bad.com", d(9))]
+    asked += [(10, "http://" + "a." * 20000 + "bad.com", d(9)), (11, "http://bad.com./x", d(9)), (12, "http://[2001:db8::1]:80/bad.com", d(9))]
     pages = spark.createDataFrame(asked, "page_id long, url string, fetched date").withColumn("domain", F.lit("clash"))
     got = sorted(((r.page_id, r.blocked, r.matched_domain) for r in url_filter.evaluate(pages, spans).collect()), key=str)
-    assert got == sorted([(1, False, None), (1, True, "bad.com"), (2, True, "bad.com"), (2, True, "bad.com"), (3, False, None), (4, True, "sub.bad.com"), *((i, False, None) for i in range(5, 10))], key=str)
+    assert got == sorted([(1, False, None), (1, True, "bad.com"), (2, True, "bad.com"), (2, True, "bad.com"), (3, False, None), (4, True, "sub.bad.com"), *((i, False, None) for i in range(5, 11)), (11, True, "bad.com"), (12, False, None)], key=str)
     assert url_filter.evaluate(pages.where(F.lit(False)), spans).count() == 0
     assert url_filter.evaluate(pages, spans.where(F.lit(False))).where("blocked").count() == 0

@@ -1,10 +1,10 @@
 """Language identification with bit-sliced Bloom filters of character trigrams.
 
-One table has a row for every hash position and a bit for every language, so the
-AND of a trigram's rows gives all languages whose filter holds it. A text's
-trigrams are counted for each language (the popcount of that bit over them), the
-count is corrected for the filter's false positives, and the language with the
-largest share decides.
+One table has a row for every hash position and a bit for every language (64 in a
+word, as many words as the languages need), so the AND of a trigram's rows gives all
+languages whose filter holds it. A text's trigrams are counted for each language (the
+popcount of that bit over them), the count is corrected for the filter's false
+positives, and the language with the largest share decides.
 """
 
 from __future__ import annotations
@@ -14,13 +14,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import bucket32
+from tidewright.llm.common import bucket32, cut
 
 FOLDS, HELD = 4, 2
-#: Rows to learn from, at most; and languages, one bit each.
-SAMPLE, LANGUAGES = 8000, 62
+#: Rows to learn from, at most, of each language.
+SAMPLE = 2000
 ROWS_LOG2, HASHES = 18, 3
 #: A trigram enters a language's filter if this share of the language's sampled texts has it.
 MIN_SHARE = 0.05
@@ -61,18 +62,23 @@ def positions(grams: np.ndarray) -> list[np.ndarray]:
 
 
 class Filters:
-    """The table, and for each language its false-positive rate."""
+    """The table (rows by 64-bit words), and for each language its false-positive rate."""
 
     def __init__(self, languages: list[str], table: np.ndarray):
-        self.languages, self.table = languages, table
-        self.false = np.array([float((table >> np.uint64(k) & np.uint64(1)).mean()) ** HASHES for k in range(len(languages))])
+        self.languages, self.table = languages, table.reshape(len(table), -1)
+        self.false = np.array([float(self._holds(self.table, k).mean()) ** HASHES for k in range(len(languages))])
+
+    @staticmethod
+    def _holds(mask: np.ndarray, k: int) -> np.ndarray:
+        return (mask[:, k // 64] & np.uint64(1 << k % 64)) != 0
 
     def shares(self, grams: np.ndarray) -> np.ndarray:
         """For each language the share of the trigrams that its filter truly holds, as estimated."""
-        mask = self.table[positions(grams)[0]]
-        for p in positions(grams)[1:]:
+        first, *others = positions(grams)
+        mask = self.table[first]
+        for p in others:
             mask = mask & self.table[p]
-        held = np.array([np.count_nonzero(mask & np.uint64(1 << k)) for k in range(len(self.languages))], float)
+        held = np.array([np.count_nonzero(self._holds(mask, k)) for k in range(len(self.languages))], float)
         return np.clip((held / max(1, len(grams)) - self.false) / (1 - self.false), 0, 1)
 
     def decide(self, grams: np.ndarray | None) -> tuple[str, float]:
@@ -84,14 +90,17 @@ class Filters:
 
 
 def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Filters:
-    """Filters from at most ``sample`` rows outside the held-out part, those of the smallest id hash."""
-    known = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where(
-        F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("i").isNotNull() & ~held_out(F.col("i"))
-    )
-    edge = known.select(F.xxhash64(F.col("i").cast("string"), F.lit("language")).alias("h")).orderBy("h").limit(sample).agg(F.max("h")).first()[0]
-    if edge is None:
-        return Filters([], np.zeros(1 << ROWS_LOG2, np.uint64))
-    chosen = known.where(F.xxhash64(F.col("i").cast("string"), F.lit("language")) <= edge)
+    """Filters from at most ``sample`` rows of each language outside the held-out part, those of the smallest id hash.
+
+    Rows with a null id or language teach nothing; rows that repeat an id all learn if
+    one does. Without any row to learn from there are no languages.
+    """
+    known = docs.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    known = known.where(F.col("lang").isNotNull() & F.col("i").isNotNull() & ~held_out(F.col("i"))).withColumn("h", F.xxhash64(F.col("i").cast("string"), F.lit("language")))
+    # ids and languages alone say which rows learn; of each language only that many leave a task
+    rank = F.row_number().over(W.partitionBy("lang").orderBy("h"))
+    edges = cut(known.select("lang", "h").withColumn("n", rank).where(F.col("n") <= sample).groupBy("lang").agg(F.max("h").alias("edge")))
+    chosen = known.join(edges, "lang").where("h <= edge")
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = Letters()
@@ -102,26 +111,37 @@ def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_co
                     own = np.r_[np.uint64(0), np.unique(got)].astype(np.int64)  # zero counts the texts
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(own), pa.string()), pa.array(own)], names=["lang", "gram"])
 
-    counted = chosen.select("lang", "text").mapInArrow(grams, "lang string, gram long").groupBy("lang", "gram").count()
-    texts = counted.where("gram = 0").select("lang", F.col("count").alias("texts")).orderBy(F.desc("texts"), "lang").limit(LANGUAGES)
+    counted = cut(chosen.select("lang", "text").mapInArrow(grams, "lang string, gram long").groupBy("lang", "gram").count())
+    texts = counted.where("gram = 0").select("lang", F.col("count").alias("texts"))
     names = sorted(r.lang for r in texts.collect())
-    bit = F.array_position(F.array(*map(F.lit, names)), F.col("lang")) - 1
-    frequent = counted.where("gram <> 0").join(F.broadcast(texts), "lang").where(F.col("count") >= F.greatest(F.lit(2), F.col("texts") * MIN_SHARE)).select("gram", bit.alias("bit"))
+    width = max(1, -(-len(names) // 64))
+    table = np.zeros((1 << ROWS_LOG2, width), np.uint64)
+    if not names:
+        return Filters([], table)
+    # a row for each language on either side
+    number = counted.sparkSession.createDataFrame([(n, k) for k, n in enumerate(names)], "lang string, bit int")
+    frequent = counted.where("gram <> 0").join(texts, "lang").where(F.col("count") >= F.greatest(F.lit(1.0), F.col("texts") * MIN_SHARE)).join(number, "lang").select("gram", "bit")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             gram = b.column(0).to_numpy().astype(np.uint64)
-            bits = b.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(positions(gram))), pa.array(np.tile(1 << bits, HASHES))], names=["at", "bits"])
+            bit = b.column(1).to_numpy(zero_copy_only=False).astype(np.uint64)
+            one = (np.uint64(1) << bit % np.uint64(64)).view(np.int64)
+            cols = [np.concatenate(positions(gram)), np.tile((bit // np.uint64(64)).astype(np.int64), HASHES), np.tile(one, HASHES)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["at", "word", "bits"])
 
-    slices = frequent.mapInArrow(rows, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toPandas()
-    table = np.zeros(1 << ROWS_LOG2, np.uint64)
-    table[slices["at"].to_numpy()] = slices["bits"].to_numpy().astype(np.uint64)
+    slices = frequent.mapInArrow(rows, "at long, word long, bits long").groupBy("at", "word").agg(F.bit_or("bits").alias("bits")).toPandas()
+    table[slices["at"].to_numpy(), slices["word"].to_numpy()] = slices["bits"].to_numpy(np.int64).view(np.uint64)
     return Filters(names, table)
 
 
 def identify(docs: DataFrame, filters: Filters, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, lang_pred, score for each row; ``und`` and 0 where a text is null or has no letter."""
+    """doc_id, lang_pred, score for each row; ``und`` and 0 where a text is null or has no letter.
+
+    Of languages with equal shares the first by name is taken; so it is, with the score
+    0, where no filter holds anything of a text, such as a single letter. Texts are read
+    whole, however long; repeated rows are answered alike; other columns are not read.
+    """
     kind = docs.schema[id_col].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -125,10 +125,12 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
         made = Features()
         for b in batches:
             got = [made.of(t, n) for t, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.list_(pa.int32())), pa.array([g[1] for g in got], pa.list_(pa.float64())), b.column(2)], names=["b", "s", "y"])
+            seen = pa.array([zlib.crc32((t or "").encode("utf-8", "surrogatepass")) for t in b.column(0).to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.list_(pa.int32())), pa.array([g[1] for g in got], pa.list_(pa.float64())), b.column(2), seen], names=["b", "s", "y", "h"])
 
     chosen = labelled_sample(docs.withColumn("_meta", F.col("n_chars").cast("double")), labels, label, sample, others=("_meta",))
-    got = chosen.select("text", "_meta", "label").repartition(24, F.xxhash64("text")).mapInArrow(features, "b array<int>, s array<double>, y double").toPandas()
+    got = chosen.select("text", "_meta", "label", "deal").repartition(24, "deal").drop("deal").mapInArrow(features, "b array<int>, s array<double>, y double, h long").toPandas()
+    got = got.sort_values(["h", "y"], kind="stable", ignore_index=True)  # the same order each time; rows that tie have one text
     if got.empty:
         machine = Machine(np.zeros(STATISTICS), np.ones(STATISTICS))
         machine.v[:] = 0
@@ -140,7 +142,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
 
 
 def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, score for each row; null and empty texts are scored by their statistics."""
+    """doc_id, score for each row; null and empty texts are scored by their statistics.
+
+    Texts are read whole, however long; repeated rows have equal scores, an empty table
+    gives no rows, and columns other than the text, the id and ``n_chars`` are not read.
+    """
     kind = docs.schema[id_col].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

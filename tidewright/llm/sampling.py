@@ -17,15 +17,18 @@ def held_out(key: Column, folds: int = FOLDS, held: int = HELD) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, id_col: str = "doc_id", text_col: str = "text", others: tuple[str, ...] = ()) -> DataFrame:
-    """text, label and ``others`` of at most ``rows`` labelled rows outside the held-out part.
+    """text, label, ``deal`` and ``others`` of the documents of at most ``rows`` labelled ids outside the held-out part.
 
     They are those of the smallest hash of the id, so a larger table gives an
     equally mixed sample. Rows with a null id, label or text are left out, and an
-    id that is labelled twice counts as 1 if either label is.
+    id that is labelled twice counts as 1 if either label is. Where documents share an
+    id, at most ``2 * rows`` of them are taken, those of the smallest text hash.
+    ``deal`` is a hash of the id by which the rows may be dealt to tasks.
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label).isNotNull() & ~held_out(F.col(id_col)))
     known = known.groupBy(F.col(id_col).alias("_id")).agg(F.max(label).cast("double").alias("label"))
     chosen = known.orderBy(F.xxhash64(F.col("_id").cast("string"), F.lit("sample")), "_id").limit(rows)
     read = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"), *others).where(F.col(text_col).isNotNull())
     # at most ``rows`` short rows are broadcast
-    return read.join(F.broadcast(chosen), "_id").drop("_id").orderBy(F.xxhash64("text")).limit(2 * rows)
+    both = read.join(F.broadcast(chosen), "_id").withColumn("deal", F.xxhash64(F.col("_id").cast("string"), F.lit("deal"))).drop("_id")
+    return both.orderBy(F.xxhash64("text"), "deal").limit(2 * rows)

@@ -13,6 +13,7 @@ with hinge loss separates sentences: those of other texts, and those of toxic te
 that have a word near a landmark. A text's score is a logistic function of how many
 such sentences and words it has for its length, fitted on the same sample.
 
+Only words near a landmark enter a sentence; with these all their kernel values do.
 Only words that share something with a landmark cost more than a lookup: kernel
 values are sums over an index of the landmarks' subsequences, and words seen before
 are remembered.
@@ -20,6 +21,7 @@ are remembered.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,10 +33,13 @@ from tidewright.llm.sampling import held_out, labelled_sample
 
 SAMPLE, LANDMARKS = 6000, 160
 DECAY, SPAN = 0.4, 5
-#: Kernel values under this count as none.
+#: A word is near the landmarks if one of its kernel values is at least this; words farther off say nothing.
 NEAR = 0.6
-#: Letter codes: 0 between words, 1 and 2 end marks, then a to z, then 35 for all others.
-LETTERS = 64
+#: Bits of a letter's code, its code point; 0 stands between words, 1 and 2 are end marks.
+BITS = 21
+#: Bits of a hash of subsequences that tells most of those that no landmark has.
+SIEVE = 16
+MIX = np.uint64(0x9E3779B97F4A7C15)
 EPOCHS, PENALTY = 60, 1e-3
 #: A landmark is in so many toxic texts of the sample at least, and in this many times
 #: as large a share of them as of the others.
@@ -54,9 +59,7 @@ SHAPES = [(a, b, DECAY ** (b - 2)) for b in range(2, SPAN) for a in range(1, b)]
 def _letters(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Code of each letter with end marks and zeros between words; and the word of each."""
     text = "".join(f"\x01{w}\x02" + "\x00" * SPAN for w in words)
-    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    code = code.astype(np.int64)
-    code = np.where(code < 3, code, np.where((code >= 97) & (code < 123), code - 94, 29 + code % (LETTERS - 29)))
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
     sizes = np.array([len(w) + 2 + SPAN for w in words])
     return code, np.repeat(np.arange(len(words)), sizes)
 
@@ -68,16 +71,26 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for a, b, weight in SHAPES:
         x, y, z = code[: -b or None], code[a : len(code) - b + a], code[b:]
         ok = np.flatnonzero((x > 0) & (y > 0) & (z > 0) & (word[: len(x)] == word[b:]))
-        out.append((word[ok], (x[ok] * LETTERS + y[ok]) * LETTERS + z[ok], np.full(len(ok), weight)))
+        out.append((word[ok], (x[ok] << 2 * BITS) | (y[ok] << BITS) | z[ok], np.full(len(ok), weight)))
     return tuple(np.concatenate(p) for p in zip(*out, strict=True))
 
 
-def _norms(words: list[str]) -> np.ndarray:
-    """Length of a word's kernel vector if none of its subsequences came twice."""
+def _least_norms(words: list[str]) -> np.ndarray:
+    """Length of a word's kernel vector if none of its subsequences came twice; else it is longer."""
     n = np.array([len(w) + 2 for w in words])
     return np.sqrt(np.maximum(1e-9, sum(w * w * np.maximum(0, n - b) for _, b, w in SHAPES)))
 
 
+def _norms(words: list[str]) -> np.ndarray:
+    """Length of a word's kernel vector: the root of its kernel with itself."""
+    word, number, weight = subsequences(words)
+    order = np.lexsort((number, word))
+    word, number, weight = word[order], number[order], weight[order]
+    starts = np.flatnonzero(np.r_[True, (word[1:] != word[:-1]) | (number[1:] != number[:-1])]) if len(word) else np.zeros(0, np.int64)
+    total = np.add.reduceat(weight, starts) if len(starts) else np.zeros(0)
+    return np.sqrt(np.maximum(1e-9, np.bincount(word[starts], total**2, len(words))))
+
+
 class Kernel:
     """Kernel values of words with a fixed set of landmarks."""
 
@@ -87,8 +100,12 @@ class Kernel:
         self.numbers, at = np.unique(number, return_inverse=True)
         self.index = np.zeros((len(self.numbers), len(landmarks)), np.float32)
         np.add.at(self.index, (at, word), weight / (_norms(landmarks)[word] if landmarks else 1))
-        self.slot = np.full(LETTERS**3, -1, np.int32)
-        self.slot[self.numbers] = np.arange(len(self.numbers))
+        self.sieve = np.zeros(1 << SIEVE, bool)
+        self.sieve[self._hash(self.numbers)] = True
+
+    @staticmethod
+    def _hash(number: np.ndarray) -> np.ndarray:
+        return (number.astype(np.uint64) * MIX) >> np.uint64(64 - SIEVE)
 
     def values(self, words: list[str]) -> np.ndarray:
         """A row for each word, made some words at a time."""
@@ -100,16 +117,24 @@ class Kernel:
         if not self.landmarks:
             return out
         word, number, weight = subsequences(words)
-        slot = self.slot[number]
-        hit = np.flatnonzero(slot >= 0)
+        hit = np.flatnonzero(self.sieve[self._hash(number)])
+        slot = np.minimum(np.searchsorted(self.numbers, number[hit]), len(self.numbers) - 1)
+        known = self.numbers[slot] == number[hit]
+        hit, held = hit[known], slot[known]
         if len(hit):
+            slot = np.zeros(len(number), np.int64)
+            slot[hit] = held
             hit = hit[np.argsort(word[hit], kind="stable")]
             word, weight, slot = word[hit], weight[hit], slot[hit]
             starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
             out[word[starts]] = np.add.reduceat(self.index[slot] * weight[:, None].astype(np.float32), starts)
-        out /= _norms(words)[:, None]
-        out[out < NEAR] = 0
-        return out
+        # a bound first, then the true values of the few words that may be near
+        near = np.flatnonzero((out / _least_norms(words)[:, None]).max(axis=1, initial=0) >= NEAR)
+        values = np.zeros_like(out)
+        if len(near):
+            values[near] = out[near] / _norms([words[i] for i in near])[:, None]
+            values[values.max(axis=1, initial=0) < NEAR] = 0
+        return values
 
 
 class Reader:
@@ -265,7 +290,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
     """A model fitted on at most ``sample`` labelled rows; without both labels it says 0.5 to all."""
     from tidewright.llm.common import cut
 
-    chosen = cut(labelled_sample(docs, labels, label, sample).select("text", "label"))
+    chosen = cut(labelled_sample(docs, labels, label, sample).select("text", "label", "deal"))
     model = Model(landmarks(chosen))
     if not model.kernel.landmarks:
         return model
@@ -276,14 +301,14 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
             got = []
             for t in b.column(0).to_pylist():
                 n, s, at, near = reader.read(t)
-                got.append((n, s, at, [reader.near_words[r] for r in near]))
+                got.append((n, s, at, [reader.near_words[r] for r in near], zlib.crc32((t or "").encode("utf-8", "surrogatepass"))))
             if not got:
                 continue
-            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(zip(*got, strict=True), kinds, strict=True)), b.column(1)], names=["n", "s", "at", "w", "y"])
+            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.int64())
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(zip(*got, strict=True), kinds, strict=True)), b.column(1)], names=["n", "s", "at", "w", "h", "y"])
 
-    rows = chosen.repartition(PARTS, F.xxhash64("text")).mapInArrow(features, "n long, s long, at array<long>, w array<string>, y double").toPandas()
-    rows = rows.sort_values(["y", "n", "s"], kind="stable", ignore_index=True)
+    rows = chosen.repartition(PARTS, "deal").drop("deal").mapInArrow(features, "n long, s long, at array<long>, w array<string>, h long, y double").toPandas()
+    rows = rows.sort_values(["y", "n", "s", "h"], kind="stable", ignore_index=True)  # rows that tie have one text
     words = sorted({w for ws in rows["w"] for w in ws})
     place, near = {w: k for k, w in enumerate(words)}, model.kernel.values(words)
     got = [(int(n), int(s), np.asarray(at, np.int64), near[[place[w] for w in ws]]) for n, s, at, ws in zip(rows["n"], rows["s"], rows["at"], rows["w"], strict=True)]
@@ -296,7 +321,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, score for each row; a null or empty text has the score of one without insults."""
+    """doc_id, score for each row; a null or empty text has the score of one without insults.
+
+    Texts are read whole, however long; repeated rows have equal scores, an empty table
+    gives no rows, and columns other than the text and the id are not read.
+    """
     kind = docs.schema[id_col].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

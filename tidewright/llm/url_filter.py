@@ -18,13 +18,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 SALTS = 16
-#: Scheme, user and port are not part of a host (a fixed value, also in the SQL below).
-HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)"
+#: Scheme, user and port are not part of a host (a fixed value, also in the SQL below); an address in brackets is one.
+HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?(\[[0-9a-fA-F:.]+\]|[^/:?#]+)"
+#: Longer names are no hosts (a limit of the domain name system).
+HOST_CHARS = 253
 
 
 def host_of(url: Column) -> Column:
-    """The lower-case host of a URL; null where there is none."""
-    return F.nullif(F.lower(F.rtrim(F.regexp_extract(F.coalesce(url, F.lit("")), HOST, 1))), F.lit(""))
+    """The lower-case host of a URL without a dot at its end; null where there is none, or one too long."""
+    host = F.regexp_replace(F.lower(F.rtrim(F.regexp_extract(F.coalesce(url, F.lit("")), HOST, 1))), r"\.+$", "")
+    return F.when(F.length(host).between(1, HOST_CHARS), host)
 
 
 def intervals(entries: DataFrame) -> DataFrame:
@@ -45,7 +48,8 @@ def evaluate(captures: DataFrame, spans: DataFrame, id_col: str = "page_id", url
     """id, host, fetched, blocked, matched_domain, listed_since for each row of ``captures``.
 
     Of several matching domains the longest is named. A capture without a host or
-    without a time passes. Repeated rows stay; other columns are not read.
+    without a time passes; a name of over ``HOST_CHARS`` characters is no host. Repeated
+    rows stay; other columns are not read.
     """
     host = host_of(F.col(url_col))
     parts = F.split(F.col("host"), r"\.")
@@ -89,8 +93,9 @@ def op7_url_filter(spark, sf_dir: str) -> DataFrame:
 
 ORACLE = r"""
 WITH p AS (
-  SELECT page_id, nullif(lower(rtrim(regexp_extract(coalesce(url, ''), '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1))), '') AS host,
-         CAST(DATE '2024-01-01' + CAST(page_id % 365 AS INT) AS DATE) AS fetched FROM pages
+  SELECT page_id, CASE WHEN length(named) BETWEEN 1 AND 253 THEN named END AS host,
+         CAST(DATE '2024-01-01' + CAST(page_id % 365 AS INT) AS DATE) AS fetched
+  FROM (SELECT page_id, regexp_replace(lower(rtrim(regexp_extract(coalesce(url, ''), '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?(\[[0-9a-fA-F:.]+\]|[^/:?#]+)', 1))), '\.+$', '') AS named FROM pages)
 ), h AS (
   SELECT domain, CAST('0x' || substr(md5(domain), 1, 6) AS INT) AS h
   FROM (SELECT DISTINCT regexp_replace(host, '^(www|m|blog)\.', '') AS domain FROM p WHERE host IS NOT NULL)
