@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -63,6 +64,38 @@ def test_links_find_every_pair(spark, monkeypatch, levels):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
 
 
+def test_large_leaf_goes_on_down_the_tree():
+    """A dense leaf, many variants of one template and a few others, against all pairs."""
+    rng = random.Random(9)
+    base, fps = rng.getrandbits(64), set()
+    while len(fps) < 2600:
+        x = base if rng.random() < 0.8 else rng.getrandbits(64)
+        for _ in range(rng.randint(1, 9)):
+            x ^= 1 << rng.randrange(64)
+        fps.add(x)
+    a = np.array(sorted(fps), np.uint64).view(np.int64)
+    rng2 = np.random.default_rng(1)
+    a = rng2.permutation(a)
+    stored, visiting = a[:1900], a[1900:]
+
+    def groups(u, v):
+        at = {x: i for i, x in enumerate(a.tolist())}
+        label = simhash.connected(len(a), np.array([at[x] for x in u.tolist()], int), np.array([at[x] for x in v.tolist()], int))
+        return label.tolist()
+
+    got = simhash.leaf_links(stored, visiting)
+    assert len(got[0]) < len(a)
+    assert groups(*got) == groups(*simhash._side_by_side(stored, visiting, 2))
+
+
+def test_hubs_and_chains(spark):
+    """A star, a chain, and a clique through the smallest node, some of over ``HUB`` links."""
+    edges = [(1, n) for n in range(2, 300)] + [(n, n + 1) for n in range(1000, 1040)] + [(a, b) for a in range(2000, 2015) for b in range(2000, a)] + [(5000, n) for n in range(4000, 4200)]
+    got = {r.u: r.v for r in simhash.components(spark.createDataFrame(edges, "u long, v long").repartition(4)).collect()}
+    want = {n: 1 for n in range(2, 300)} | {n: 1000 for n in range(1001, 1041)} | {n: 2000 for n in range(2001, 2015)} | {n: 4000 for n in [*range(4001, 4200), 5000]}
+    assert got == want
+
+
 def test_query_against_all_pairs(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = sorted(docs.select("doc_id", "text").collect())

@@ -12,7 +12,8 @@ inequality two fingerprints at most ``radius`` bits apart lie in rings at most
 the parity of their distance, few leaves around a fingerprint's own remain.
 Each fingerprint is stored in its own leaf and looks into those of them that come
 after it, so every pair is met exactly once. Leaves are the shards: Spark
-deals them to tasks, and a task compares one leaf at a time.
+deals them to tasks, and a task compares one leaf at a time, going on down the tree
+with further vantage points while a leaf is large.
 
 A leaf reports what its links connect, at most one row for each fingerprint it
 holds, not all pairs. Components come from alternating stars over those rows.
@@ -37,9 +38,14 @@ SEED = 42
 LEAF = 400
 #: Share of random 64-bit fingerprints in which two of them have a ring in common.
 RING = 0.0705
-LEVELS = (3, 8)
+#: Levels of shards. A fingerprint visits (3**n + 2**n) / 2 leaves of n levels, so larger tables get larger leaves.
+LEVELS = (3, 5)
+#: Fingerprints of a leaf that are compared side by side, and the most levels that the tree goes on to inside a task.
+SIDE_BY_SIDE, DEEPEST = 512, 24
 #: Links that a task takes in a round of the components.
 EDGES = 50_000
+#: A node of more links than this, or than this share of all, is met apart from the others.
+HUB, HUB_SHARE = 64, 10_000
 #: Comparisons made at once in a task.
 BLOCK = 1 << 22
 # The pipeline's stage has settings of its own.
@@ -120,11 +126,32 @@ def connected(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def leaf_links(stored: np.ndarray, visiting: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of fingerprints that connect what the links within a leaf and into it connect.
+def leaf_links(stored: np.ndarray, visiting: np.ndarray, radius: int = RADIUS, level: int = LEVELS[1]) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of fingerprints that connect what the links within a leaf and into it connect, a forest of them.
 
-    Compared in blocks; after each block only a forest of the links stays.
+    A large leaf is parted into the rings around the next vantage point: a ring's
+    fingerprints meet each other, and those of the rings up to ``radius`` after it and
+    of the visitors' rings about it.
     """
+    if len(stored) <= SIDE_BY_SIDE or level >= LEVELS[1] + DEEPEST:
+        return _side_by_side(stored, visiting, radius)
+    point = np.int64(vantage_points(level + 1)[-1])
+    ring, far = (np.bitwise_count((x ^ point).view(np.uint64)).astype(np.int64) for x in (stored, visiting))
+    u, v = [], []
+    for r in np.unique(ring):
+        after = stored[(ring > r) & (ring <= r + radius)]
+        a, b = leaf_links(stored[ring == r], np.concatenate([after, visiting[np.abs(far - r) <= radius]]), radius, level + 1)
+        u.append(a)
+        v.append(b)
+    u, v = np.concatenate(u), np.concatenate(v)
+    names, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    label = connected(len(names), at[: len(u)], at[len(u) :])
+    moved = np.flatnonzero(label != np.arange(len(names)))
+    return names[moved], names[label[moved]]
+
+
+def _side_by_side(stored: np.ndarray, visiting: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same by comparing in blocks; after each block only a forest of the links stays."""
     both = np.concatenate([stored, visiting])
     bits = both.view(np.uint64)  # bitwise_count takes the absolute value of signed ones
     label = np.arange(len(both))
@@ -195,20 +222,30 @@ def components(edges: DataFrame) -> DataFrame:
     """u, v: each linked node and the smallest node of its component (itself left out).
 
     Alternating stars: every node hands its larger neighbours to its smallest one,
-    then keeps only its smallest. Each round is cut to the checkpoint folder; the
-    rounds end when one changes nothing.
+    then keeps only its smallest. The rows of hubs, nodes of very many links, do not
+    meet in one task: there are few hubs, so these are broadcast (at most twice
+    ``HUB_SHARE`` or so). Each round is cut to the checkpoint folder; the rounds end
+    when one changes nothing.
     """
     edges = cut(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     # the rows only get fewer; no more tasks than they need
-    tasks = edges.count() // EDGES + 1
+    most = edges.count()
+    tasks = most // EDGES + 1
+    most = max(HUB, most // HUB_SHARE)
     edges = edges.coalesce(tasks)
     seen = None
+
+    def with_smallest(links: DataFrame, at: str, most: int) -> DataFrame:
+        low = links.groupBy("u").agg(F.min(at).alias("m"), F.count("*").alias("n"))
+        hubs = low.where(F.col("n") > most).select(F.col("u").alias("hub"), F.col("m").alias("of_hub"))
+        known = links.join(F.broadcast(hubs), F.col("u") == F.col("hub"), "left").drop("hub")
+        plain = known.where("of_hub IS NULL").drop("of_hub").join(low.where(F.col("n") <= most).select("u", "m"), "u")
+        return plain.unionByName(known.where("of_hub IS NOT NULL").withColumnRenamed("of_hub", "m").select(*plain.columns))
+
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
+        large = with_smallest(both.withColumn("low", F.least("u", "v")), "low", most).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        small = with_smallest(large, "v", most).select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         edges = cut(small.distinct().coalesce(tasks))
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
