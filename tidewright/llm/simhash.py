@@ -295,9 +295,9 @@ def _node(hashes: np.ndarray) -> int:
 
 
 def _row_key(docs: DataFrame) -> DataFrame:
-    """``docs`` with a digest of all columns, so that rows of one digest are interchangeable."""
-    whole = F.to_json(F.struct(*(F.col(f"`{c}`") for c in docs.columns)), {"ignoreNullFields": "false"})
-    return docs.withColumn("_key", F.md5(whole.cast("binary")))
+    """Rows as the struct ``whole``, and ``key``, a digest of all columns, so that rows of one digest are interchangeable."""
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole"))
+    return rows.withColumn("key", F.md5(F.to_json("whole", {"ignoreNullFields": "false"}).cast("binary")))
 
 
 def forest(n: int, a: np.ndarray, b: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -409,7 +409,7 @@ def similar_pairs(nodes: DataFrame) -> DataFrame:
 def shingle_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, key of the row, text digest, root for each row of ``docs``; links are exact Jaccard of shingle sets >= 0.8."""
     kind = docs.schema[id_col].dataType.simpleString()
-    text = F.col(text_col).cast("string").cast("binary")
+    text = F.col("whole").getField(text_col).cast("string").cast("binary")
     keyed = _row_key(docs)
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -425,14 +425,14 @@ def shingle_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             grams = [np.unique(x[:, 0].astype(np.uint64)).view(np.int64) for x in sets]
             yield pa.RecordBatch.from_arrays([pa.array([_node(x) for x in sets], pa.int64()), pa.array(grams, pa.list_(pa.int64()))], names=["node", "grams"])
 
-    whole = keyed.select(F.col(id_col).alias("doc_id"), F.col("_key").alias("key"), text.alias("text"), F.md5(F.coalesce(text, F.lit("").cast("binary"))).alias("digest"))
+    whole = keyed.select(F.col("whole").getField(id_col).alias("doc_id"), "key", text.alias("text"), F.md5(F.coalesce(text, F.lit("").cast("binary"))).alias("digest"))
     marked = cut(whole.mapInArrow(mark, f"doc_id {kind}, key string, digest string, node long, size long, f1 long, f2 long"))
     nodes = cut(marked.groupBy("node").agg(F.min("key").alias("key"), F.first("size").alias("size"), F.first("f1").alias("f1"), F.first("f2").alias("f2")).where("size > 0"))
     pairs = cut(similar_pairs(nodes))
     met = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    read = nodes.join(met, "node", "left_semi").select(F.col("key").alias("_key"))
+    read = nodes.join(met, "node", "left_semi").select("key")
     # a row that is repeated in all columns comes once
-    sets = cut(keyed.select("_key", text.alias("text")).join(read, "_key", "left_semi").select("text").mapInArrow(sets_of, "node long, grams array<long>").dropDuplicates(["node"]))
+    sets = cut(keyed.select("key", text.alias("text")).join(read, "key", "left_semi").select("text").mapInArrow(sets_of, "node long, grams array<long>").dropDuplicates(["node"]))
     num, den = SIMILAR
     both = pairs.join(sets.select(F.col("node").alias("u"), F.col("grams").alias("gu")), "u").join(sets.select(F.col("node").alias("v"), F.col("grams").alias("gv")), "v")
     both = both.select("u", "v", (F.size("gu") + F.size("gv")).alias("n"), F.size(F.array_intersect("gu", "gv")).alias("common"))
@@ -450,8 +450,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     found = shingle_components(docs, id_col, text_col)
     first = found.groupBy("root", F.col("doc_id").isNull().alias("nameless")).agg(F.min(F.struct("doc_id", "digest", "key")).alias("first"))
-    kept = first.select(F.col("first.key").alias("_key"))
-    return _row_key(docs).join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
+    kept = first.select(F.col("first.key").alias("key"))
+    return _row_key(docs).join(kept, "key", "left_semi").dropDuplicates(["key"]).select("whole.*")
 
 
 def op6_simhash(spark, sf_dir: str) -> DataFrame:
