@@ -301,8 +301,8 @@ def _row_key(docs: DataFrame) -> DataFrame:
 
 
 def forest(n: int, a: np.ndarray, b: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """Indices of links that form a least spanning forest of nodes 0 to n - 1."""
-    order = np.argsort(w, kind="stable")
+    """Indices of links that form the least spanning forest of nodes 0 to n - 1; ties go by the nodes."""
+    order = np.lexsort((np.maximum(a, b), np.minimum(a, b), w))
     label, chosen = np.arange(n), []
     while len(order):
         la, lb = label[a[order]], label[b[order]]
@@ -321,10 +321,11 @@ def _differing(x: tuple[np.ndarray, ...], y: tuple[np.ndarray, ...]) -> np.ndarr
 
 
 def bucket_pairs(bucket: np.ndarray, size: np.ndarray, f1: np.ndarray, f2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows i, j of one bucket (sorted) at most ``STAGE_RADIUS`` bits apart whose sizes allow the similarity.
+    """Rows i, j that connect in each bucket what pairs at most ``STAGE_RADIUS`` bits apart, of fitting sizes, connect.
 
-    Buckets of up to ``LAGS`` rows give all pairs. A larger one gives all pairs while they
-    are few for its rows, else the shortest links that connect what all of them connect.
+    They are the shortest such pairs, ties by the order of the rows. Rows are sorted by
+    bucket, then node, so buckets that hold the same nodes give the same pairs, and a
+    group of near copies gives fewer pairs than it has rows.
     """
     num, den = SIMILAR
 
@@ -336,16 +337,20 @@ def bucket_pairs(bucket: np.ndarray, size: np.ndarray, f1: np.ndarray, f2: np.nd
 
     starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, np.int64)
     lengths = np.diff(np.r_[starts, len(bucket)])
-    out_i, out_j = [], []
+    out_i, out_j, small = [], [], []
     at = np.flatnonzero(np.repeat(lengths <= LAGS, lengths))
     end = np.repeat(starts + lengths, lengths)
     for lag in range(1, LAGS):
         at = at[at + lag < end[at]]
         if not len(at):
             break
-        i, j, _ = near(at, at + lag)
-        out_i.append(i)
-        out_j.append(j)
+        i, j, d = near(at, at + lag)
+        small.append((i, j, d))
+    if small:
+        i, j, d = (np.concatenate(c) for c in zip(*small, strict=True))
+        keep = forest(len(bucket), i, j, d)
+        out_i.append(i[keep])
+        out_j.append(j[keep])
     for s, n in zip(starts[lengths > LAGS], lengths[lengths > LAGS], strict=True):
         a, b, w = (np.zeros(0, np.int64) for _ in range(3))
         step = max(1, BLOCK // int(n))
@@ -356,8 +361,9 @@ def bucket_pairs(bucket: np.ndarray, size: np.ndarray, f1: np.ndarray, f2: np.nd
             if len(a) > 8 * n:
                 keep = forest(int(n), a, b, w)
                 a, b, w = a[keep], b[keep], w[keep]
-        out_i.append(a + s)
-        out_j.append(b + s)
+        keep = forest(int(n), a, b, w)
+        out_i.append(a[keep] + s)
+        out_j.append(b[keep] + s)
     if not out_i:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return np.concatenate(out_i), np.concatenate(out_j)
@@ -403,7 +409,7 @@ def similar_pairs(nodes: DataFrame) -> DataFrame:
 
     form = "bucket long, node long, size long, f1 long, f2 long"
     dealt = nodes.select("node", "size", "f1", "f2").mapInArrow(deal, form)
-    return dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "u long, v long").distinct()
+    return dealt.repartition("bucket").sortWithinPartitions("bucket", "node").mapInArrow(meet, "u long, v long").distinct()
 
 
 def shingle_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
