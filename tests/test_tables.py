@@ -45,5 +45,5 @@ def test_scalar_rules(spark):
     assert [r[0] for r in got] == [-1, 0, 0, 1]
     assert [r[1] for r in got] == [0, 0, (day - 1) // 1000, day // 1000]
     assert [r[2] is None for r in got] == [True, False, True, True]
-    words = spark.createDataFrame([("TRADING", "PERPETUAL"), ("odd", None)], "s string, c string").select(market.lifecycle(F.col("s")), market.contract_class(F.col("c"))).collect()
-    assert [tuple(r) for r in words] == [("trading", "perp"), ("other", None)]
+    words = spark.createDataFrame([("CLOSE", "PERPETUAL"), ("DELIVERED", "CURRENT_QUARTER"), ("odd", None)], "s string, c string").select(market.lifecycle(F.col("s")), market.contract_class(F.col("c"))).collect()
+    assert [tuple(r) for r in words] == [("delisted", "perp"), ("delisted", "future"), ("halted", None)]

@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidewright.schemas import LIFECYCLES, PERPETUALS
+
 NS_DAY = 86_400_000_000_000
 NS_HOUR = 3_600_000_000_000
 DEFAULT_FUNDING_INTERVAL = 8 * NS_HOUR
 
-#: Venue words and what they mean here.
-LIFECYCLES = {"TRADING": "trading", "PENDING_TRADING": "pending", "SETTLING": "settling", "CLOSE": "closed"}
-CLASSES = {"PERPETUAL": "perp", "LinearPerpetual": "perp", "CURRENT_QUARTER": "future", "NEXT_QUARTER": "future"}
+#: Kinds of instruments that there are names for.
+KNOWN_CLASSES = ("perp", "future", "spot", "option")
 
 
 def ns_from_ms(ms: Column) -> Column:
-    return ms.cast("long") * 1_000_000
+    """Null where the text is no whole number."""
+    return ms.try_cast("long") * 1_000_000
 
 
 def ns_of(ts: Column) -> Column:
@@ -55,7 +57,7 @@ def canonical_key(base: Column, quote: Column, kind: Column, settle: Column) ->
     return F.concat_ws("-", base, quote, kind, F.coalesce(settle, quote))
 
 
-def mapped(word: Column, names: dict[str, str], otherwise: str = "other") -> Column:
+def mapped(word: Column, names: dict[str, str], otherwise: str) -> Column:
     out = F.lit(otherwise)
     for k, v in names.items():
         out = F.when(word == k, v).otherwise(out)
@@ -63,20 +65,23 @@ def mapped(word: Column, names: dict[str, str], otherwise: str = "other") -> Col
 
 
 def lifecycle(status: Column) -> Column:
-    return mapped(status, LIFECYCLES)
+    """What a venue's status word means; any other word means halted."""
+    return mapped(status, LIFECYCLES, "halted")
 
 
 def contract_class(contract: Column) -> Column:
-    return mapped(contract, CLASSES)
+    """perp, and a dated future for whatever is none."""
+    return mapped(contract, dict.fromkeys(PERPETUALS, "perp"), "future")
 
 
 def known_class(name: Column) -> Column:
     """The name itself; an unsupported one is an error."""
-    return F.when(name.isin("perp", "future", "spot", "option"), name).otherwise(F.raise_error(F.concat(F.lit("unsupported class "), name)))
+    return F.when(name.isin(*KNOWN_CLASSES), name).otherwise(F.raise_error(F.concat(F.lit("unsupported class "), name)))
 
 
-def linearity(settle: Column, quote: Column, base: Column) -> Column:
-    return F.when(settle == quote, "linear").when(settle == base, "inverse").otherwise("quanto")
+def linearity(settle: Column, quote: Column) -> Column:
+    """linear if settled in the quote, else inverse; null where the settling asset is not known."""
+    return F.when(settle == quote, "linear").when(settle.isNotNull(), "inverse")
 
 
 def picked(entries: Column, kind: str, field: str) -> Column:

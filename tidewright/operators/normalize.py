@@ -21,15 +21,6 @@ def _event(df: DataFrame, kind: str, instrument: Column, venue_ts: Column, paylo
     )
 
 
-def _parsed(raw: DataFrame, kind: str, fields: dict[str, str]) -> DataFrame:
-    return _fields(raw.where(F.get_json_object("body", "$.e") == kind), "body", fields)
-
-
-def _fields(df: DataFrame, body: str, fields: dict[str, str]) -> DataFrame:
-    kept = [c for c in df.columns if c != body]
-    return df.select(*kept, F.json_tuple(body, *fields).alias(*fields.values()))
-
-
 def _levels(pairs: Column) -> Column:
     return F.transform(pairs, lambda x: F.struct(exact(x[0]).alias("price"), exact(x[1]).alias("qty")))
 
@@ -37,16 +28,31 @@ def _levels(pairs: Column) -> Column:
 def frames(raw: DataFrame) -> DataFrame:
     """Single messages out of single or array frames: the rows of ``raw`` with ``idx`` and ``is_data``.
 
-    One element of an array without an event type or a symbol rejects its whole
-    frame; a rejected frame stays as one row that is no data.
+    One element of an array of an unknown event type, without a required field, or with
+    a whole number that is none, rejects its whole frame; a rejected frame stays as one
+    row that is no data.
     """
     parts = F.when(F.ltrim("body").startswith("["), F.from_json("body", "array<string>")).otherwise(F.array("body"))
-    good = F.forall(parts, lambda x: F.get_json_object(x, "$.e").isNotNull() & F.coalesce(F.get_json_object(x, "$.s"), F.get_json_object(x, "$.o.s")).isNotNull())
+    good = F.forall(parts, _complete)
     ok = F.coalesce(good & (F.size(parts) > 0), F.lit(False))
     kept = F.when(ok, parts).otherwise(F.array("body"))
     return raw.select("venue", "source", "local_ts", "pos", ok.alias("is_data"), F.posexplode(kept).alias("idx", "body"))
 
 
+def _complete(message: Column) -> Column:
+    """Whether a message is of a known event type and has what that type requires."""
+    at = lambda path: F.get_json_object(message, f"$.{path}")
+    out = F.lit(False)
+    for kind, (present, whole) in S.REQUIRED.items():
+        has = F.lit(True)
+        for path in present:
+            has = has & at(path).isNotNull()
+        for path in whole:
+            has = has & at(path).try_cast("long").isNotNull()
+        out = F.when(at("e") == kind, has).otherwise(out)
+    return out
+
+
 def replies(other: DataFrame, awaited: DataFrame) -> DataFrame:
     """Frames that are no data, as ack_ok, ack_error, venue_error or ignored.
 
@@ -58,61 +64,86 @@ def replies(other: DataFrame, awaited: DataFrame) -> DataFrame:
     return r.select("venue", "source", "pos", action.alias("action"))
 
 
-def book_ticker(raw: DataFrame) -> DataFrame:
-    m = _parsed(raw, "bookTicker", S.BOOK_TICKER)
-    p = F.struct(F.col("update_id").cast("long"), *(exact(F.col(c)) for c in ("bid", "bid_size", "ask", "ask_size")))
-    return _event(m, "book_ticker", F.col("symbol"), ns_from_ms(F.coalesce("trade_ms", "event_ms")), p)
-
+def _rows(of: str, instrument: Column, venue_ts: Column, **payloads: Column) -> Column:
+    """Events of a message of type ``of`` as an array of structs, one for each payload; none of other types."""
+    made = [
+        F.struct(
+            F.lit(kind).alias("kind"), F.lower(instrument).alias("instrument"), venue_ts.alias("venue_ts"),
+            *((p if k == kind else F.lit(None)).cast(t).alias(k) for k, t in S.PAYLOADS.items()),
+        )
+        for kind, p in payloads.items()
+    ]
+    return F.when(F.col("m.e") == of, F.array(*made))
 
-def _fills(m: DataFrame, kind: Column) -> DataFrame:
-    p = F.array(F.struct("id", exact(F.col("price")), exact(F.col("qty")), aggressor(F.col("maker").cast("boolean")), kind))
-    return _event(m, "trades", F.col("symbol"), ns_from_ms(F.col("trade_ms")), p)
-
-
-def trade(raw: DataFrame) -> DataFrame:
-    return _fills(_parsed(raw, "trade", S.TRADE), F.col("type"))
 
+def _prediction(rate: Column, time: Column, premium: Column | None = None) -> Column:
+    none = F.lit(None)
+    return F.struct(exact(rate), ns_from_ms(time), none, none if premium is None else exact(premium), none, none)
 
-def agg_trade(raw: DataFrame) -> DataFrame:
-    return _fills(_parsed(raw, "aggTrade", S.AGG_TRADE), F.lit(None).cast("string"))
 
+def socket_events(raw: DataFrame) -> DataFrame:
+    """All events of socket messages, as rows of the event log: one pass, each message parsed once.
 
-def depth_update(raw: DataFrame) -> DataFrame:
-    m = _parsed(raw, "depthUpdate", S.DEPTH)
+    Best prices, trades and aggregated trades (one fill each), depth changes, mark price
+    (three events: mark, index, predicted funding), and liquidations.
+    """
+    single = frames(raw).where("is_data")
+    fields = sorted({f for names in (S.BOOK_TICKER, S.TRADE, S.AGG_TRADE, S.DEPTH, S.MARK_PRICE, S.FORCE_ORDER) for f in names})
+    named = lambda names: [f"f{i}" for i, _ in enumerate(names)]  # noqa: E731  column names do not tell case apart
+    parsed = single.select("venue", "source", "local_ts", "pos", F.get_json_object("body", "$.e").alias("e"), F.json_tuple("body", *fields).alias(*named(fields)))
+    order = list(S.ORDER)
+    inner = [f"o{i}" for i, _ in enumerate(order)]
+    parsed = parsed.select("*", F.json_tuple(f"f{fields.index('o')}", *order).alias(*inner))
+    m = parsed.select("venue", "source", "local_ts", "pos", F.struct("e", *named(fields), *inner).alias("m"))
+
+    def of(names: dict[str, str]) -> dict[str, Column]:
+        return {here: F.col(f"m.f{fields.index(theirs)}") for theirs, here in names.items()}
+
+    b, t, a, d, p = (of(x) for x in (S.BOOK_TICKER, S.TRADE, S.AGG_TRADE, S.DEPTH, S.MARK_PRICE))
+    o = {here: F.col(f"m.o{order.index(theirs)}") for theirs, here in S.ORDER.items()}
+    whole = lambda c: c.try_cast("long")
+    fill = lambda x, kind: F.array(F.struct(x["id"], exact(x["price"]), exact(x["qty"]), aggressor(x["maker"].try_cast("boolean")), kind))
     side = lambda c: _levels(F.from_json(c, S.PAIRS))
-    p = F.struct(*(F.col(c).cast("long") for c in ("first", "final", "previous")), ns_from_ms(F.col("event_ms")), side("bids"), side("asks"))
-    return _event(m, "book_update", F.col("symbol"), ns_from_ms(F.col("trade_ms")), p)
-
+    events = F.coalesce(
+        _rows("bookTicker", b["symbol"], ns_from_ms(F.coalesce(b["trade_ms"], b["event_ms"])), book_ticker=F.struct(whole(b["update_id"]), *(exact(b[c]) for c in ("bid", "bid_size", "ask", "ask_size")))),
+        _rows("trade", t["symbol"], ns_from_ms(t["trade_ms"]), trades=fill(t, t["type"])),
+        _rows("aggTrade", a["symbol"], ns_from_ms(a["trade_ms"]), trades=fill(a, F.lit(None).cast("string"))),
+        _rows("depthUpdate", d["symbol"], ns_from_ms(d["trade_ms"]), book_update=F.struct(*(whole(d[c]) for c in ("first", "final", "previous")), ns_from_ms(d["event_ms"]), side(d["bids"]), side(d["asks"]))),
+        _rows("markPriceUpdate", p["symbol"], ns_from_ms(p["event_ms"]), mark_price=exact(p["mark"]), index_price=exact(p["index"]), funding_prediction=_prediction(p["rate"], p["next_ms"])),
+        _rows("forceOrder", o["symbol"], ns_from_ms(o["trade_ms"]), liquidation=F.struct(F.lower(o["side"]), *(exact(o[c]) for c in ("price", "qty", "filled", "average")), o["status"])),
+    )
+    out = m.select("venue", "local_ts", F.col("source").cast("int").alias("source"), "pos", F.explode(events).alias("x"))
+    return out.select("venue", "x.instrument", "x.venue_ts", "local_ts", "source", "pos", "x.kind", *(f"x.{k}" for k in S.PAYLOADS))
 
-def _prediction(rate: Column, time: Column, premium: Column | None = None) -> Column:
-    none = F.lit(None)
-    return F.struct(exact(rate), ns_from_ms(time), none, none if premium is None else exact(premium), none, none)
 
+def premium_index(raw: DataFrame) -> DataFrame:
+    """Mark and index price, and predicted funding where a next funding time is set; each message is parsed once."""
+    m = raw.select("venue", "source", "local_ts", "pos", F.explode(F.from_json("body", S.PREMIUM_INDEX)).alias("m"))
+    kinds = ("mark_price", "index_price", "funding_prediction")
+    made = {"mark_price": exact(F.col("m.markPrice")), "index_price": exact(F.col("m.indexPrice")), "funding_prediction": _prediction(F.col("m.lastFundingRate"), F.col("m.nextFundingTime"))}
+    one = lambda kind: F.struct(F.lit(kind).alias("kind"), *((made[k] if k == kind else F.lit(None)).cast(S.PAYLOADS[k]).alias(k) for k in kinds))
+    events = F.array(one("mark_price"), one("index_price"), F.when(F.col("m.nextFundingTime") > 0, one("funding_prediction")))
+    out = m.select("*", F.explode(F.filter(events, lambda x: x.isNotNull())).alias("x"))
+    return out.select("venue", F.lower("m.symbol").alias("instrument"), ns_from_ms(F.col("m.time")).alias("venue_ts"), "local_ts", F.col("source").cast("int").alias("source"), "pos", "x.*")
 
-def mark_price(raw: DataFrame) -> DataFrame:
-    """Three events of a message: mark price, index price, predicted funding."""
-    m = _parsed(raw, "markPriceUpdate", S.MARK_PRICE)
-    at, who = ns_from_ms(F.col("event_ms")), F.col("symbol")
-    return union(
-        _event(m, "mark_price", who, at, exact(F.col("mark"))), _event(m, "index_price", who, at, exact(F.col("index"))),
-        _event(m, "funding_prediction", who, at, _prediction(F.col("rate"), F.col("next_ms"))),
-    )
 
+#: Names of control and reference kinds in the log's JSON detail (fixed values).
+CONTROL_TAGS = {"conn_up": "ConnUp", "conn_down": "ConnDown", "gap": "Gap", "snapshot_begin": "SnapshotBegin", "snapshot_end": "SnapshotEnd", "sub_ack": "SubAck", "reorg": "Reorg"}
+REFERENCE_TAGS = {"instrument_added": "InstrumentAdded", "instrument_changed": "InstrumentChanged", "instrument_delisted": "InstrumentDelisted", "market_resolved": "MarketResolved"}
 
-def force_order(raw: DataFrame) -> DataFrame:
-    m = _fields(_parsed(raw, "forceOrder", S.FORCE_ORDER), "order", S.ORDER)
-    p = F.struct(F.lower("side"), *(exact(F.col(c)) for c in ("price", "qty", "filled", "average")), F.col("status"))
-    return _event(m, "liquidation", F.col("symbol"), ns_from_ms(F.col("trade_ms")), p)
 
+def tagged(rows: DataFrame, payload: str, kind: Column, fields: dict[str, list[str]]) -> DataFrame:
+    """Events of ``payload`` (control or reference) whose detail is JSON under the kind's tag.
 
-def premium_index(raw: DataFrame) -> DataFrame:
-    """Mark and index price, and predicted funding where a next funding time is set."""
-    m = raw.select("*", F.explode(F.from_json("body", S.PREMIUM_INDEX)).alias("m"))
-    at, who = ns_from_ms(F.col("m.time")), F.col("m.symbol")
-    return union(
-        _event(m, "mark_price", who, at, exact(F.col("m.markPrice"))), _event(m, "index_price", who, at, exact(F.col("m.indexPrice"))),
-        _event(m.where("m.nextFundingTime > 0"), "funding_prediction", who, at, _prediction(F.col("m.lastFundingRate"), F.col("m.nextFundingTime"))),
-    )
+    ``rows`` has venue, instrument, venue_ts, local_ts, source, pos and the columns named
+    in ``fields`` (kind -> its columns); a kind without columns is its tag alone.
+    """
+    tags = CONTROL_TAGS if payload == "control" else REFERENCE_TAGS
+    detail = F.lit(None).cast("string")
+    for k, tag in tags.items():
+        body = F.to_json(F.struct(*fields[k]), {"ignoreNullFields": "false"}) if fields.get(k) else None
+        detail = F.when(kind == k, F.lit(f'"{tag}"') if body is None else F.concat(F.lit(f'{{"{tag}":'), body, F.lit("}"))).otherwise(detail)
+    return rows.select("venue", "instrument", "venue_ts", "local_ts", F.col("source").cast("int").alias("source"), "pos", F.lit(payload).alias("kind"), F.struct(kind.alias("kind"), detail.alias("detail")).alias(payload))
 
 
 def open_interest(raw: DataFrame) -> DataFrame:
@@ -155,13 +186,15 @@ def instruments(raw: DataFrame, info: DataFrame | None = None) -> DataFrame:
     out = m.select(
         *(c for c in m.columns if c != "m"), F.lower("m.symbol").alias("symbol"), F.col("m.status").alias("status"), lifecycle(F.col("m.status")).alias("lifecycle"),
         contract_class(F.col("m.contractType")).alias("class"), F.col("m.baseAsset").alias("base"), F.col("m.quoteAsset").alias("quote"), F.col("m.marginAsset").alias("settle"),
-        linearity(F.col("m.marginAsset"), F.col("m.quoteAsset"), F.col("m.baseAsset")).alias("linearity"), picked(F.col("m.filters"), "PRICE_FILTER", "tickSize").alias("tick_size"),
+        linearity(F.col("m.marginAsset"), F.col("m.quoteAsset")).alias("linearity"), picked(F.col("m.filters"), "PRICE_FILTER", "tickSize").alias("tick_size"),
         picked(F.col("m.filters"), "LOT_SIZE", "stepSize").alias("lot_size"), picked(F.col("m.filters"), "MIN_NOTIONAL", "notional").alias("min_notional"),
         ns_from_ms(F.col("m.onboardDate")).alias("onboard_ts"), F.when(F.col("m.contractType") != "PERPETUAL", ns_from_ms(F.col("m.deliveryDate"))).alias("expiry_ts"),
     )
     if info is None:
         return out
-    return out.join(info.select("symbol", "interval_ns"), "symbol", "left").withColumn("interval_ns", F.coalesce("interval_ns", F.lit(DEFAULT_FUNDING_INTERVAL)))
+    # only perpetuals are funded
+    interval = F.when(F.col("class") == "perp", F.coalesce("interval_ns", F.lit(DEFAULT_FUNDING_INTERVAL)))
+    return out.join(info.select("symbol", "interval_ns"), "symbol", "left").withColumn("interval_ns", interval)
 
 
 def perpetuals(raw: DataFrame, info: DataFrame) -> DataFrame:
@@ -176,7 +209,7 @@ def klines(raw: DataFrame, start: int | None = None, end: int | None = None) ->
     num = lambda i: at(i).try_cast("double")
     out = m.select(
         F.lower("symbol").alias("instrument"), ns_from_ms(at(0)).alias("open_time"), ns_from_ms(at(6)).alias("close_time"), *(num(i).alias(n) for i, n in ((1, "open"), (2, "high"), (3, "low"), (4, "close"), (5, "volume"), (7, "quote_volume"))),
-        at(8).cast("long").alias("trades"), num(9).alias("taker_buy_volume"), num(10).alias("taker_buy_quote_volume"),
+        at(8).try_cast("long").alias("trades"), num(9).alias("taker_buy_volume"), num(10).alias("taker_buy_quote_volume"),
     )
     return out if start is None else out.where(within(F.col("open_time"), start, end))
 
@@ -220,13 +253,3 @@ def union(*parts: DataFrame) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
     return out
-
-
-def socket_events(raw: DataFrame) -> DataFrame:
-    """All events of socket messages, as rows of the event log."""
-    single = frames(raw).where("is_data")
-    out = union(*(f(single) for f in (book_ticker, trade, agg_trade, depth_update, mark_price, force_order)))
-    for k, kind in S.PAYLOADS.items():
-        if k not in out.columns:
-            out = out.withColumn(k, F.lit(None).cast(kind))
-    return out.select("venue", "instrument", "venue_ts", "local_ts", "source", "pos", "kind", *S.PAYLOADS)

@@ -17,6 +17,8 @@ KEY = ("venue", "instrument")
 POSITIONS, IDS = 4096, 256
 PENDING_NS = 60_000_000_000
 TIMELINE = 500
+#: A day with a larger share of bytes outside frames fails.
+MAX_SKIPPED = 0.01
 BUCKET_NS, LOW_NS, HIGH_NS = 1_000_000, -1_000_000_000, 10_000_000_000
 
 
@@ -101,8 +103,9 @@ def snapshot_states(snapshots: DataFrame, updates: DataFrame, downs: DataFrame,
 
 
 def id_regressions(trades: DataFrame) -> DataFrame:
-    """Fills whose numeric id is not above the previous numeric one of the instrument."""
-    numeric = trades.withColumn("id", F.when(F.col("trade_id").rlike("^[0-9]+$"), F.col("trade_id")).cast("long"))
+    """Fills whose numeric id is not above the previous numeric one of the instrument; ids are unsigned 64-bit numbers, others are skipped."""
+    number = F.when(F.col("trade_id").rlike("^[0-9]+$"), F.col("trade_id")).try_cast("decimal(20,0)")
+    numeric = trades.withColumn("id", F.when(number < F.lit(str(2**64)).cast("decimal(20,0)"), number))
     events = W.partitionBy(*KEY).orderBy("pos")
     # the previous trades event, whatever its ids, is what a lost connection is counted from
     spans = numeric.select(*KEY, "pos", "source").distinct().withColumns({"prev_pos": F.lag("pos").over(events), "prev_source": F.lag("source").over(events)}).drop("source")
@@ -183,22 +186,35 @@ def latency_percentiles(histogram: DataFrame, shares: tuple[float, ...] = (0.5,
     return running.groupBy("venue", "kind").agg(F.max("total").alias("n"), *out, trunc(F.min("least")).alias("min_us"), trunc(F.max("most")).alias("max_us"))
 
 
-def verdict(depth: DataFrame, venues: DataFrame) -> DataFrame:
-    """venue, status, failures (a count): ``venues`` lists all of them with their events."""
+def failures(depth: DataFrame, venues: DataFrame, frames: DataFrame | None = None) -> DataFrame:
+    """venue, message: what fails a captured day. ``venues`` lists all venues with their events.
+
+    ``frames``, if given, has venue and skipped_ratio, the share of bytes outside frames.
+    """
+    number = lambda c: F.col(c).cast("string")
     bad = depth.select(
         "venue",
         F.explode(
             F.filter(
                 F.array(
-                    F.when(F.col("breaks_unexplained") > 0, F.concat("instrument", F.lit(": unexplained breaks"))),
-                    F.when(F.col("unspliced") > 0, F.concat("instrument", F.lit(": snapshots never spliced"))),
-                    F.when(F.col("missing_snapshot"), F.concat("instrument", F.lit(": updates but no snapshot"))),
+                    F.when(F.col("breaks_unexplained") > 0, F.concat("instrument", F.lit(": "), number("breaks_unexplained"), F.lit(" unexplained depth chain break(s)"))),
+                    F.when(F.col("unspliced") > 0, F.concat("instrument", F.lit(": "), number("unspliced"), F.lit(" snapshot(s) never spliceable against the update stream"))),
+                    F.when(F.col("missing_snapshot"), F.concat("instrument", F.lit(": depth updates but no REST snapshot all file"))),
                 ),
                 lambda x: x.isNotNull(),
             )
         ).alias("message"),
     )
-    bad = bad.unionByName(venues.where("events = 0").select("venue", F.lit("no events").alias("message")))
+    bad = bad.unionByName(venues.where("events = 0").select("venue", F.lit("file contains zero decodable events").alias("message")))
+    if frames is not None:
+        ratio = F.concat(F.lit("corrupt bytes ratio "), F.format_number("skipped_ratio", 4), F.lit(f" exceeds {MAX_SKIPPED}"))
+        bad = bad.unionByName(frames.where(F.col("skipped_ratio") > MAX_SKIPPED).select("venue", ratio.alias("message")))
+    return bad
+
+
+def verdict(depth: DataFrame, venues: DataFrame, frames: DataFrame | None = None) -> DataFrame:
+    """venue, status, failures: the number of messages that ``failures`` gives."""
+    bad = failures(depth, venues, frames)
     found = bad.groupBy("venue").agg(F.count("*").alias("failures"))
     return venues.select("venue").join(found, "venue", "left").select("venue", F.coalesce("failures", F.lit(0)).cast("long").alias("failures")).withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
 

@@ -36,12 +36,23 @@ def listed_everywhere(mapping: DataFrame, venues: list[str], at: int, key: str =
 def apply_overrides(mapping: DataFrame, overrides: DataFrame) -> DataFrame:
     """Mapping rows patched or dropped by (venue, instrument) overrides; the last one of a key wins.
 
-    Overrides have venue, instrument, exclude, base, pos.
+    Overrides have venue, instrument, exclude, pos, and those of base, quote and settle
+    that they patch, as far as the mapping has them.
     """
+    patched = [c for c in ("base", "quote", "settle") if c in overrides.columns and c in mapping.columns]
     last = overrides.withColumn("_n", F.row_number().over(W.partitionBy("venue", "instrument").orderBy(F.desc("pos")))).where("_n = 1")
-    o = last.select("venue", "instrument", "exclude", F.col("base").alias("_base"))
+    o = last.select("venue", F.lower("instrument").alias("instrument"), "exclude", *(F.col(c).alias(f"_{c}") for c in patched))
     out = mapping.join(o, ["venue", "instrument"], "left").where(~F.coalesce("exclude", F.lit(False)))
-    return out.withColumns({"base": F.coalesce("_base", "base"), "origin": F.when(F.col("exclude").isNotNull(), "override").otherwise("dump")}).drop("exclude", "_base")
+    new = {c: F.coalesce(f"_{c}", c) for c in patched}
+    return out.withColumns(new | {"origin": F.when(F.col("exclude").isNotNull(), "override").otherwise("dump")}).drop("exclude", *(f"_{c}" for c in patched))
+
+
+def build_summary(mapping: DataFrame, overrides: DataFrame) -> DataFrame:
+    """venue, rows, overridden, excluded: rows that stay after the overrides, those they patch, and those they drop."""
+    last = overrides.groupBy("venue", F.lower("instrument").alias("instrument")).agg(F.max_by("exclude", "pos").alias("exclude"))
+    met = mapping.select("venue", "instrument").join(last, ["venue", "instrument"], "left")
+    gone = F.coalesce("exclude", F.lit(False))
+    return met.groupBy("venue").agg(F.count_if(~gone).alias("rows"), F.count_if(F.col("exclude").isNotNull() & ~gone).alias("overridden"), F.count_if(gone).alias("excluded"))
 
 
 def as_windows(dated: DataFrame, keys: list[str], start: str = "valid_from") -> DataFrame:

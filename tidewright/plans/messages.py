@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.operators import demux, normalize
+from tidewright.operators import demux, normalize, reference
 from tidewright.plans.bindings import duck, frame
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,6 +110,38 @@ def _(spark, sf_dir):
     return log(spark, sf_dir).groupBy("venue", "kind").agg(F.count("*").alias("events"))
 
 
+_ODD = """SELECT venue, source, local_ts, pos, CASE pos % 6 WHEN 0 THEN concat('{{"e":"trade","T":"zz","s":"', instrument, '","t":', pos, ',"p":"1","q":"1","X":"M","m":true}}')
+  WHEN 1 THEN concat('{{"e":"surprise","T":1,"s":"', instrument, '"}}') WHEN 2 THEN concat('[{{"e":"trade","T":5,"s":"', instrument, '","t":7,"p":"1","q":"1","X":"M","m":true}},{{"e":"trade","T":5}}]') WHEN 3 THEN 'no json'
+  ELSE concat('{{"e":"trade","T":', pos, ',"s":"', upper(instrument), '","t":', pos, ',"p":"x","q":"1","X":"M","m":false}}') END AS body FROM {ev}"""
+
+
+@query("normalize_malformed", ("ev",), "SELECT venue, pos, pos % 6 > 3 AS is_data, CASE WHEN pos % 6 > 3 THEN pos * 1000000 ELSE -1 END AS venue_ts, CASE WHEN pos % 6 > 3 THEN 1.0::DOUBLE END AS qty FROM ev")
+def _(spark, sf_dir):
+    """Messages with a number that is none, of an unknown type, with an incomplete element, and no JSON at all."""
+    raw = _rows(spark, sf_dir, "ev", _ODD)
+    events = normalize.socket_events(raw).select("pos", "venue_ts", F.get("trades", F.lit(0))["qty"].cast("double").alias("qty"))
+    return normalize.frames(raw).select("venue", "pos", "is_data").join(events, "pos", "left").fillna(-1, ["venue_ts"])
+
+
+@query("demux_control", ("control",), """SELECT venue, pos, local_ts, CAST(source AS INT) AS source, control_kind AS kind, CASE control_kind WHEN 'conn_up' THEN concat('{"ConnUp":{"label":"c', source, '"}}')
+  WHEN 'conn_down' THEN concat('{"ConnDown":{"label":"c', source, '","reason":"lost"}}') ELSE concat('{"Gap":{"reason":"lost","dropped":', dropped, '}}') END AS detail FROM control""")
+def _(spark, sf_dir):
+    rows = frame(spark, sf_dir, "control").withColumns({"label": F.concat(F.lit("c"), F.col("source").cast("string")), "reason": F.lit("lost"), "instrument": F.lit(None).cast("string"), "venue_ts": F.lit(None).cast("long")})
+    log = normalize.tagged(rows, "control", F.col("control_kind"), {"conn_up": ["label"], "conn_down": ["label", "reason"], "gap": ["reason", "dropped"]})
+    return demux.flat(log, "control", _KEEP).drop("instrument", "venue_ts")
+
+
+@query("demux_reference", ("dump",), """WITH days AS (SELECT dump_day, lead(dump_day) OVER (ORDER BY dump_day) AS a FROM (SELECT DISTINCT dump_day FROM dump))
+;
+SELECT d.symbol AS instrument, days.a AS local_ts, 'instrument_delisted' AS kind, concat('{"InstrumentDelisted":{"symbol":"', d.symbol, '"}}') AS detail FROM dump d JOIN days USING (dump_day)
+WHERE days.a IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dump n WHERE n.symbol = d.symbol AND n.dump_day = days.a)""")
+def _(spark, sf_dir):
+    gone = reference.consecutive_changes(frame(spark, sf_dir, "dump"), ["status", "priority"]).where("change = 'delisted'")
+    rows = gone.select(F.lit("v").alias("venue"), F.col("symbol").alias("instrument"), F.lit(None).cast("long").alias("venue_ts"), F.col("dump_day").alias("local_ts"), F.lit(0).alias("source"), F.lit(0).alias("pos"), "symbol", F.concat(F.lit("instrument_"), "change").alias("change"))
+    log = normalize.tagged(rows, "reference", F.col("change"), {"instrument_delisted": ["symbol"]})
+    return demux.flat(log, "reference").select("instrument", "local_ts", "kind", "detail")
+
+
 # ---------------------------------------------------------------- REST answers
 
 
@@ -152,17 +184,17 @@ def _(spark, sf_dir):
     return out.select("instrument", "funding_time", F.round("rate", 12).alias("rate"))
 
 
-_DUMP = """SELECT concat('{{"symbols":[', array_join(collect_list(to_json(named_struct('symbol', upper(instrument), 'contractType', CASE WHEN c % 5 = 0 THEN 'CURRENT_QUARTER' ELSE 'PERPETUAL' END, 'baseAsset', base, 'quoteAsset', 'USDT', 'marginAsset', CASE WHEN c % 3 = 0 THEN base WHEN c % 3 = 1 THEN 'USDT' END, 'status', CASE WHEN c % 7 = 0 THEN 'SETTLING' ELSE 'TRADING' END,
+_DUMP = """SELECT concat('{{"symbols":[', array_join(collect_list(to_json(named_struct('symbol', upper(instrument), 'contractType', CASE WHEN c % 5 = 0 THEN 'CURRENT_QUARTER' ELSE 'PERPETUAL' END, 'baseAsset', base, 'quoteAsset', 'USDT', 'marginAsset', CASE WHEN c % 3 = 0 THEN base WHEN c % 3 = 1 THEN 'USDT' END, 'status', CASE WHEN c % 7 = 0 THEN 'SETTLING' WHEN c % 7 < 3 THEN 'DELIVERED' ELSE 'CLOSE' END,
  'onboardDate', CASE WHEN c % 9 > 0 THEN valid_from DIV 1000000 END, 'deliveryDate', 4133404800000, 'filters', array(named_struct('filterType', 'PRICE_FILTER', 'tickSize', '0.01', 'stepSize', NULL), named_struct('filterType', 'LOT_SIZE', 'tickSize', NULL, 'stepSize', string(c)))))), ','), ']}}') AS body
 FROM (SELECT *, CAST(substr(instrument, 2) AS BIGINT) AS c FROM {mapping} WHERE venue = 'v0') GROUP BY c % 20"""
 
 
-@query("normalize_instruments", ("mapping",), """SELECT instrument AS symbol, CASE WHEN c % 7 = 0 THEN 'settling' ELSE 'trading' END AS lifecycle, CASE WHEN c % 5 = 0 THEN 'future' ELSE 'perp' END AS class, CASE WHEN c % 3 = 0 THEN 'inverse' WHEN c % 3 = 1 THEN 'linear' ELSE 'quanto' END AS linearity,
-  0.01::DOUBLE AS tick_size, c::DOUBLE AS lot_size, CASE WHEN c % 2 = 0 THEN 4 ELSE 8 END * 3600000000000 AS interval_ns FROM (SELECT *, CAST(substr(instrument, 2) AS BIGINT) AS c FROM mapping WHERE venue = 'v0')""")
+@query("normalize_instruments", ("mapping",), """SELECT instrument AS symbol, CASE WHEN c % 7 = 0 THEN 'halted' ELSE 'delisted' END AS lifecycle, CASE WHEN c % 5 = 0 THEN 'future' ELSE 'perp' END AS class, CASE WHEN c % 3 = 0 THEN 'inverse' WHEN c % 3 = 1 THEN 'linear' END AS linearity,
+  0.01::DOUBLE AS tick_size, c::DOUBLE AS lot_size, CASE WHEN c % 5 = 0 THEN -1 WHEN c % 2 = 0 THEN 4 * 3600000000000 ELSE 8 * 3600000000000 END AS interval_ns FROM (SELECT *, CAST(substr(instrument, 2) AS BIGINT) AS c FROM mapping WHERE venue = 'v0')""")
 def _(spark, sf_dir):
     raw = _rows(spark, sf_dir, "mapping", _DUMP)
     info = frame(spark, sf_dir, "mapping").where("venue = 'v0' AND CAST(substr(instrument, 2) AS BIGINT) % 2 = 0").select(F.col("instrument").alias("symbol"), F.lit(4 * 3_600_000_000_000).alias("interval_ns"))
-    return normalize.instruments(raw, info).select("symbol", "lifecycle", "class", "linearity", "tick_size", "lot_size", "interval_ns")
+    return normalize.instruments(raw, info).select("symbol", "lifecycle", "class", "linearity", "tick_size", "lot_size", F.coalesce("interval_ns", F.lit(-1)).alias("interval_ns"))
 
 
 @query("normalize_mapping_rows", ("mapping",), """SELECT 'binance' AS venue, instrument, base, 'USDT' AS quote, 'perp' AS class, CASE WHEN c % 3 = 0 THEN base ELSE 'USDT' END AS settle, CASE WHEN c % 9 > 0 THEN valid_from // 1000000 * 1000000 ELSE 850000000000000000 END AS valid_from, 'dump' AS origin
@@ -189,6 +221,28 @@ def _(spark, sf_dir):
     return normalize.oi_history(_rows(spark, sf_dir, "ev", _OI), 0, 9_000_000_000_000_000_000)
 
 
+_INTEREST = """SELECT venue, 0 AS source, local_ts, pos, to_json(named_struct('symbol', upper(instrument), 'openInterest', CASE WHEN pos % 13 = 0 THEN 'bad' ELSE string(qty) END, 'time', local_ts DIV 1000000)) AS body FROM {ev}"""
+
+
+@query("demux_open_interest", ("ev",), "SELECT venue, pos, instrument, local_ts // 1000000 * 1000000 AS venue_ts, local_ts, 0 AS source, CASE WHEN pos % 13 > 0 THEN qty::DOUBLE END AS open_interest FROM ev")
+def _(spark, sf_dir):
+    return demux.flat(normalize.open_interest(_rows(spark, sf_dir, "ev", _INTEREST)), "open_interest", _KEEP).drop("open_interest_value")
+
+
+@query("demux_funding_realized", ("fund",), "SELECT venue, instrument, funding_time AS venue_ts, 0 AS source, round(rate, 12) AS rate, funding_time, 8 * 3600000000000 AS interval_ns FROM fund")
+def _(spark, sf_dir):
+    none = spark.createDataFrame([], "symbol string, interval_ns long")
+    out = demux.flat(normalize.funding_rate(_rows(spark, sf_dir, "fund", _FUNDING), none), "funding_realized", ("venue",))
+    return out.drop("local_ts").withColumn("rate", F.round("rate", 12))
+
+
+@query("normalize_perpetuals", ("mapping",), """SELECT instrument AS symbol, CASE WHEN c % 9 > 0 THEN valid_from // 1000000 * 1000000 ELSE -1 END AS onboard_ts, CASE WHEN c % 2 = 0 THEN 4 * 3600000000000 ELSE -1 END AS interval_ns
+  FROM (SELECT *, CAST(substr(instrument, 2) AS BIGINT) AS c FROM mapping WHERE venue = 'v0') WHERE c % 5 <> 0""")
+def _(spark, sf_dir):
+    info = frame(spark, sf_dir, "mapping").where("venue = 'v0' AND CAST(substr(instrument, 2) AS BIGINT) % 2 = 0").select(F.col("instrument").alias("symbol"), F.lit(4 * 3_600_000_000_000).alias("interval_ns"))
+    return normalize.perpetuals(_rows(spark, sf_dir, "mapping", _DUMP), info).fillna(-1)
+
+
 _SNAPSHOT = """SELECT venue, 5 AS source, local_ts, pos, upper(instrument) AS symbol, concat('{{"lastUpdateId":', last_update_id, ',"T":', local_ts DIV 1000000, ',"bids":[["', pos % 50, '","1"],["1.5","2"]],"asks":[["9","', pos % 7, '"]]}}') AS body FROM {snap}"""
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.functions.market import NS_DAY, canonical_key, day_of, month_of
-from tidewright.operators import datasets, qa, reference
+from tidewright.operators import datasets, demux, qa, reference
 from tidewright.plans.bindings import duck, frame
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,13 +91,10 @@ def _(get):
 
 
 @query("mapping_build_summary", ("mapping", "overrides"), """
-SELECT m.venue, count(*) AS rows, count(o.venue) AS overridden, count(*) FILTER (coalesce(o.exclude, false)) AS excluded
-FROM mapping m LEFT JOIN overrides o USING (venue, instrument) GROUP BY m.venue""")
+SELECT m.venue, count(*) FILTER (NOT coalesce(o.exclude, false)) AS rows, count(*) FILTER (NOT o.exclude) AS overridden, count(*) FILTER (o.exclude) AS excluded
+FROM mapping m LEFT JOIN (SELECT * FROM overrides QUALIFY row_number() OVER (PARTITION BY venue, instrument ORDER BY pos DESC) = 1) o USING (venue, instrument) GROUP BY m.venue""")
 def _(get):
-    o = get("overrides").select("venue", "instrument", "exclude", F.lit(1).alias("hit"))
-    return get("mapping").join(o, ["venue", "instrument"], "left").groupBy("venue").agg(
-        F.count("*").alias("rows"), F.count("hit").alias("overridden"), F.count_if(F.coalesce("exclude", F.lit(False))).alias("excluded")
-    )
+    return reference.build_summary(get("mapping"), get("overrides"))
 
 
 @query("scd_fold", ("dump",), """WITH days AS (SELECT dump_day, row_number() OVER (ORDER BY dump_day) AS r, lead(dump_day) OVER (ORDER BY dump_day) AS nx FROM (SELECT DISTINCT dump_day FROM dump)),
@@ -341,9 +338,19 @@ def _(get):
     return qa.verdict(qa.depth_summary(_checked(get), _states(get)), venues)
 
 
+@query("qa_failures", ("ev", "snap", "upd", "downs"), _DEPTH + """
+;
+SELECT * FROM (SELECT venue, unnest([CASE WHEN breaks_unexplained > 0 THEN concat(instrument, ': ', breaks_unexplained, ' unexplained depth chain break(s)') END,
+  CASE WHEN unspliced > 0 THEN concat(instrument, ': ', unspliced, ' snapshot(s) never spliceable against the update stream') END,
+  CASE WHEN updates > 0 AND snapshots = 0 THEN concat(instrument, ': depth updates but no REST snapshot all file') END]) AS message FROM depth) WHERE message IS NOT NULL""")
+def _(get):
+    venues = get("ev").groupBy("venue").agg(F.count("*").alias("events"))
+    return qa.failures(qa.depth_summary(_checked(get), _states(get)), venues)
+
+
 @query("trade_id_regressions", ("trd", "downs"), _TRADES.split(",\ntr AS")[0] + "\n;\nSELECT venue, instrument, pos, id, last_id, explained FROM reg2")
 def _(get):
-    return _regressions(get).select("venue", "instrument", "pos", "id", "last_id", "explained")
+    return _regressions(get).select("venue", "instrument", "pos", F.col("id").cast("long"), F.col("last_id").cast("long"), "explained")
 
 
 @query("ticker_regressions", ("tick",), "SELECT venue, instrument, pos, update_id, last_id FROM (SELECT *, lag(update_id) OVER (PARTITION BY venue, instrument ORDER BY pos) AS last_id FROM tick) WHERE update_id <= last_id")
@@ -460,6 +467,14 @@ def _(get):
     return marked.groupBy("venue", "day").agg(F.count("*").alias("events"), F.count_if("is_late").alias("late"))
 
 
+@query("skipped_events", ("ev",), """SELECT venue, count(*) FILTER (pos % 9 = 0 AND kind <> 'control') AS no_instrument, count(*) FILTER (kind = 'book_ticker') AS reserved
+FROM ev GROUP BY venue""")
+def _(get):
+    """A ninth of the events without an instrument, and tickers as a reserved kind."""
+    log = get("ev").select("venue", F.when(F.col("pos") % 9 != 0, F.col("instrument")).alias("instrument"), F.when(F.col("kind") == "book_ticker", "chain").otherwise(F.col("kind")).alias("kind"))
+    return demux.skipped(log)
+
+
 @query("first_events", ("ev",), "SELECT pos, venue, instrument, kind FROM ev ORDER BY pos LIMIT 5")
 def _(get):
     return get("ev").select("pos", "venue", "instrument", "kind").orderBy("pos").limit(5)

@@ -11,6 +11,18 @@ DEPTH = {"E": "event_ms", "T": "trade_ms", "s": "symbol", "U": "first", "u": "fi
 MARK_PRICE = {"E": "event_ms", "s": "symbol", "p": "mark", "i": "index", "r": "rate", "T": "next_ms"}
 FORCE_ORDER = {"o": "order"}
 ORDER = {"s": "symbol", "S": "side", "p": "price", "q": "qty", "z": "filled", "ap": "average", "X": "status", "T": "trade_ms"}
+# Event types with the paths that a message must have; those of the second list hold whole numbers.
+REQUIRED = {
+    "bookTicker": (("s", "b", "B", "a", "A"), ("u",)),
+    "trade": (("s", "p", "q", "m"), ("T", "t")),
+    "aggTrade": (("s", "p", "q", "m"), ("T", "a")),
+    "depthUpdate": (("s", "b", "a"), ("E", "T", "U", "u")),
+    "markPriceUpdate": (("s", "p"), ("E", "T")),
+    "forceOrder": (("o.s", "o.S"), ("o.T",)),
+}
+# Words of dumps: a status's meaning here, and the contract types that are perpetual.
+LIFECYCLES = {"TRADING": "trading", "PENDING_TRADING": "pending_trading", "DELIVERED": "delisted", "CLOSE": "delisted"}
+PERPETUALS = ("PERPETUAL", "LinearPerpetual")
 PAIRS = "ARRAY<ARRAY<STRING>>"
 REPLY = "result STRING, error STRING, id BIGINT"
 PREMIUM_INDEX = "ARRAY<STRUCT<symbol: STRING, markPrice: STRING, indexPrice: STRING, lastFundingRate: STRING, nextFundingTime: BIGINT, time: BIGINT>>"
