@@ -17,12 +17,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import bucket32, cut
+from tidewright.llm.common import bucket32, cut, stored
 
 FOLDS, HELD = 4, 2
 #: Rows to learn from, at most, of each language.
 SAMPLE = 2000
 ROWS_LOG2, HASHES = 18, 3
+#: Parts of a language in which its first rows are looked for.
+PARTS = 64
 #: A trigram enters a language's filter if this share of the language's sampled texts has it.
 MIN_SHARE = 0.05
 UNKNOWN = "und"
@@ -97,9 +99,11 @@ def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_co
     """
     known = docs.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     known = known.where(F.col("lang").isNotNull() & F.col("i").isNotNull() & ~held_out(F.col("i"))).withColumn("h", F.xxhash64(F.col("i").cast("string"), F.lit("language")))
-    # ids and languages alone say which rows learn; of each language only that many leave a task
-    rank = F.row_number().over(W.partitionBy("lang").orderBy("h"))
-    edges = cut(known.select("lang", "h").withColumn("n", rank).where(F.col("n") <= sample).groupBy("lang").agg(F.max("h").alias("edge")))
+    # ids and languages alone say which rows learn: the first of each part of a language, then the first of all its parts
+    first = known.select("lang", "h", F.pmod("h", F.lit(PARTS)).alias("part"))
+    for keys in (("lang", "part"), ("lang",)):
+        first = first.withColumn("n", F.row_number().over(W.partitionBy(*keys).orderBy("h"))).where(F.col("n") <= sample).drop("n")
+    edges = stored(first.groupBy("lang").agg(F.max("h").alias("edge")))
     chosen = known.join(edges, "lang").where("h <= edge")
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
