@@ -27,7 +27,7 @@ MESSAGES = {
       CASE WHEN prev_final_update_id IS NULL THEN '' ELSE concat(',"pu":', prev_final_update_id) END, ',"b":[["', pos % 100, '.5","1"],["', pos % 90, '","0"]],"a":', CASE WHEN pos % 4 = 0 THEN '[]' ELSE '[["7.25","x"]]' END, '}}}}') AS body FROM {{upd}} u""",
     "mark": f"""SELECT venue, source, local_ts, pos, concat('[{{{{"e":"markPriceUpdate","E":', {_MS}, ',"s":"', upper(instrument), '","p":"', price, '","i":"', qty, '","r":"0.0001","T":', {_MS} + 1000, '}}}}', CASE WHEN pos % 5 = 0 THEN ',{{{{"e":"markPriceUpdate"}}}}' ELSE '' END, ']') AS body FROM {{ev}} WHERE kind = 'book_snapshot'""",
     "force": f"""SELECT venue, source, local_ts, pos, concat('{{{{"e":"forceOrder","E":1,"o":{{{{"s":"', upper(instrument), '","S":"SELL","p":"', price, '","q":"', qty, '","ap":"', price, '","z":"1","X":"FILLED","T":', {_MS}, '}}}}}}}}') AS body FROM {{ev}} WHERE kind = 'control'""",
-    "broken": "SELECT venue, source, local_ts, pos, CASE pos % 3 WHEN 0 THEN concat('{{\"result\":null,\"id\":', source, '}}') WHEN 1 THEN concat('{{\"error\":{{\"code\":2}},\"id\":', pos % 5, '}}') ELSE props END AS body FROM {ev} WHERE pos % 50 = 0",
+    "broken": "SELECT venue, source, local_ts, pos, CASE pos % 3 WHEN 0 THEN concat('{{\"result\":null,\"id\":', source, '}}') WHEN 1 THEN concat('{{\"error\":{{\"code\":2}},\"id\":', pos % 5, '}}') ELSE props END AS body FROM {ev}",
 }
 _VIEWS = {"ticker": "tick", "depth": "upd"}
 
@@ -96,7 +96,7 @@ def _(spark, sf_dir):
     return normalize.frames(messages(spark, sf_dir, "mark")).select("venue", "pos", "is_data")
 
 
-@query("normalize_replies", ("ev",), """SELECT venue, source, pos, CASE pos % 3 WHEN 0 THEN CASE WHEN source = 1 THEN 'ack_ok' ELSE 'ignored' END WHEN 1 THEN CASE WHEN pos % 5 = 1 THEN 'ack_error' ELSE 'venue_error' END ELSE 'ignored' END AS action FROM ev WHERE pos % 50 = 0""")
+@query("normalize_replies", ("ev",), """SELECT venue, source, pos, CASE pos % 3 WHEN 0 THEN CASE WHEN source = 1 THEN 'ack_ok' ELSE 'ignored' END WHEN 1 THEN CASE WHEN pos % 5 = 1 THEN 'ack_error' ELSE 'venue_error' END ELSE 'ignored' END AS action FROM ev""")
 def _(spark, sf_dir):
     other = normalize.frames(messages(spark, sf_dir, "broken")).where("NOT is_data")
     awaited = other.select("venue", "source").distinct().withColumn("awaited_id", F.lit(1).cast("long"))
