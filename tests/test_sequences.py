@@ -113,3 +113,23 @@ def test_reconcile_null_rate_is_no_mismatch(spark):
     e = spark.createDataFrame([("v", "a", 1, 0.1), ("v", "a", 2, 0.1), ("v", "a", 3, 0.1)], cols)
     c = spark.createDataFrame([("v", "a", 1, None), ("v", "a", 2, 0.2), ("v", "a", 4, 0.1)], cols)
     assert {r.funding_time: r.outcome for r in datasets.reconcile(e, c).collect()} == {1: "matched", 2: "mismatch", 3: "missing", 4: "extra"}
+
+
+def test_orders_and_expectations(spark):
+    detail = spark.createDataFrame([("v", "b", 2, "missing"), ("v", "a", 2, "extra"), ("v", "z", 1, "extra"), ("v", "a", 1, "matched")], "venue string, instrument string, funding_time long, outcome string").repartition(3)
+    assert [(r.funding_time, r.instrument) for r in datasets.differences(detail).collect()] == [(1, "z"), (2, "a"), (2, "b")]
+    assert tuple(datasets.expected_rows(detail, 4).first()) == (4, True)
+    assert tuple(datasets.expected_rows(detail.limit(0)).first()) == (0, False)
+    dumps = spark.createDataFrame([("b", 1, "x"), ("a", 1, "x"), ("a", 2, "y")], "symbol string, dump_day long, status string")
+    assert [(r.symbol, r.valid_from) for r in reference.history(dumps, ["status"]).collect()] == [("a", 1), ("a", 2), ("b", 1)]
+
+
+def test_sessions_by_bucket(spark, monkeypatch):
+    monkeypatch.setattr(qa, "POSITIONS", 10)
+    downs = [3, 4, 25, 47]
+    asked = list(range(0, 60, 7))
+    a = spark.createDataFrame([("v", "s", p) for p in asked], "venue string, source string, at long")
+    d = spark.createDataFrame([("v", "s", p) for p in downs] + [("v", "t", 1)], "venue string, source string, pos long")
+    got = {r.at: r.session for r in qa.session_of(a, d).collect()}
+    assert got == {p: sum(x <= p for x in downs) for p in asked}
+    assert {r.session for r in qa.session_of(a, d.limit(0)).collect()} == {0}

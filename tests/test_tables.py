@@ -24,6 +24,27 @@ def test_publish_and_gate(spark, tmp_path):
     assert reasons == {("v", "2023-11-14"): None, ("v", "2023-11-15"): "not published", ("w", "2023-11-14"): "failed its checks"}
 
 
+def test_periods_are_published_once(spark, tmp_path):
+    def rows(*days):
+        return spark.createDataFrame([(d, v) for d, v in days], "date string, v long").withColumn("date", F.col("date").cast("date"))
+
+    def seen(df, by="date"):
+        return sorted((str(r[by]), r["rows"], r.outcome) for r in df.collect())
+
+    root = str(tmp_path / "oi")
+    first = tables.publish_days(rows(("2024-03-01", 1), ("2024-01-01", 1), ("2024-03-02", 2), ("2024-03-03", 3)), root, "2024-03-02")
+    assert seen(first) == [("2024-03-01", 1, "published"), ("2024-03-02", 1, "partial")]  # too old, or still to come
+    again = tables.publish_days(rows(("2024-03-01", 7), ("2024-03-01", 8), ("2024-03-02", 4), ("2024-03-02", 5), ("2024-03-03", 6)), root, "2024-03-03")
+    assert seen(again) == [("2024-03-01", 1, "existing"), ("2024-03-02", 2, "published"), ("2024-03-03", 1, "partial")]
+    got = spark.read.parquet(f"{root}/dates")
+    assert sorted((r.v, r.is_partial) for r in got.collect()) == [(1, False), (4, False), (5, False), (6, True)]
+    assert seen(tables.publish_days(rows(), root, "2024-03-03")) == [("2024-03-01", 1, "existing"), ("2024-03-02", 2, "existing"), ("2024-03-03", 1, "partial")]
+    months = spark.createDataFrame([("2023-12", 1), ("2024-01", 2)], "month string, v long")
+    for outcome in ("published", "existing"):
+        assert seen(tables.publish_months(months, root, "2024-01"), "month") == [("2023-12", 1, outcome), ("2024-01", 1, "partial")]
+    assert tables.publish_months(months.limit(0), str(tmp_path / "none"), "2024-01").count() == 0
+
+
 def test_dumps_versions_and_curated(spark, tmp_path):
     for venue, day in (("x", "2024-01-02"), ("x", "2024-01-10"), ("y", "2023-05-05"), ("y", "notes")):
         (tmp_path / "dumps" / venue).mkdir(parents=True, exist_ok=True)

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 RATE_EPS = 1e-10
 MAX_STREAK = 400
+#: Matched settlements that a comparison should have.
+MATCHED = 100
 
 
 def last_write_wins(inputs: list[DataFrame], keys: list[str], order: list[str] | None = None) -> DataFrame:
@@ -44,6 +46,17 @@ def reconcile(expected: DataFrame, captured: DataFrame, eps: float = RATE_EPS) -
     return e.join(c, keys, "full_outer").select(*keys, outcome.alias("outcome"))
 
 
+def differences(detail: DataFrame) -> DataFrame:
+    """What is missing or extra, by time and instrument."""
+    return detail.where(F.col("outcome").isin("missing", "extra")).orderBy("funding_time", "instrument", "venue")
+
+
+def expected_rows(rows: DataFrame, least: int = MATCHED) -> DataFrame:
+    """One row: how many ``rows`` there are, and whether they are at least so many."""
+    n = F.count("*")
+    return rows.agg(n.alias("rows"), (n >= least).alias("enough"))
+
+
 def daily_coverage(detail: DataFrame, day: str = "day") -> DataFrame:
     """Counts of outcomes per venue and day, coverage in percent, and whether the day passes."""
     count = lambda k: F.count_if(F.col("outcome") == k)

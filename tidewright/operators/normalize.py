@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidewright import schemas as S
 from tidewright.functions.market import DEFAULT_FUNDING_INTERVAL, NS_HOUR, aggressor, contract_class, exact, lifecycle, linearity, ns_from_ms, picked, within
+from tidewright.operators.reference import carried_forward
 
 
 def _event(df: DataFrame, kind: str, instrument: Column, venue_ts: Column, payload: Column) -> DataFrame:
@@ -197,6 +198,21 @@ def instruments(raw: DataFrame, info: DataFrame | None = None) -> DataFrame:
     return out.join(info.select("symbol", "interval_ns"), "symbol", "left").withColumn("interval_ns", interval)
 
 
+def day_snapshots(dumps: DataFrame, interval_dumps: DataFrame) -> DataFrame:
+    """The instruments of dated exchange dumps (dump_day, body), as ``fold_history`` takes them.
+
+    Perpetuals have the funding interval of the latest dump of intervals on or before
+    the day, eight hours where that one does not list them.
+    """
+    listed = instruments(dumps)
+    intervals = interval_dumps.select("dump_day", F.explode(F.from_json("body", S.FUNDING_INFO)).alias("m"))
+    hours = F.coalesce(F.col("m.fundingIntervalHours"), F.lit(8))
+    values = intervals.groupBy("dump_day", F.lower("m.symbol").alias("symbol")).agg(F.max(hours * NS_HOUR).alias("value"))
+    carried = carried_forward(listed.select("symbol", "dump_day"), values).withColumnRenamed("value", "interval_ns")
+    interval = F.when(F.col("class") == "perp", F.coalesce("interval_ns", F.lit(DEFAULT_FUNDING_INTERVAL)))
+    return listed.join(carried, ["symbol", "dump_day"], "left").withColumn("interval_ns", interval)
+
+
 def perpetuals(raw: DataFrame, info: DataFrame) -> DataFrame:
     """Symbol, onboard time and listed interval (null where unlisted) of the perpetuals of a dump."""
     return instruments(raw).where("class = 'perp'").join(info.select("symbol", "interval_ns"), "symbol", "left").select("symbol", "onboard_ts", "interval_ns")

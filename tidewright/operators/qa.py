@@ -41,19 +41,31 @@ def _buckets(start: Column, end: Column, width: int) -> Column:
     return F.explode(F.sequence(F.floor(start / width), F.floor(end / width)))
 
 
-def last_loss(asked: DataFrame, downs: DataFrame) -> DataFrame:
-    """``asked`` (venue, source, at, ...) with ``last_loss``: the last lost connection of the source before ``at``.
+def _losses(asked: DataFrame, downs: DataFrame) -> DataFrame:
+    """``asked`` (venue, source, at, ...) with the losses of ``at``'s bucket (_own), and the last one and the number before it.
 
-    Losses are kept by bucket of positions, with the last one of all earlier buckets
-    carried along, so each asked row meets one row of at most a bucket's losses.
+    Losses are kept by bucket of positions, with what all earlier buckets held carried
+    along, so each asked row meets one row of at most a bucket's losses.
     """
     key = ["venue", "source", "_bucket"]
     a = asked.withColumn("_bucket", F.floor(F.col("at") / POSITIONS))
     own = downs.groupBy("venue", "source", F.floor(F.col("pos") / POSITIONS).alias("_bucket")).agg(F.collect_list("pos").alias("_own"))
     before = W.partitionBy("venue", "source").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    held = a.select(*key).distinct().join(own, key, "full_outer").withColumn("_carried", F.max(F.array_max("_own")).over(before))
+    held = a.select(*key).distinct().join(own, key, "full_outer")
+    held = held.withColumns({"_carried": F.max(F.array_max("_own")).over(before), "_seen": F.coalesce(F.sum(F.size(F.coalesce("_own", F.array()))).over(before), F.lit(0))})
+    return a.join(held, key, "left")
+
+
+def last_loss(asked: DataFrame, downs: DataFrame) -> DataFrame:
+    """``asked`` (venue, source, at, ...) with ``last_loss``: the last lost connection of the source before ``at``."""
     last = F.coalesce(F.array_max(F.filter("_own", lambda x: x < F.col("at"))), F.col("_carried"))
-    return a.join(held, key, "left").withColumn("last_loss", last).drop("_bucket", "_own", "_carried")
+    return _losses(asked, downs).withColumn("last_loss", last).drop("_bucket", "_own", "_carried", "_seen")
+
+
+def session_of(asked: DataFrame, downs: DataFrame) -> DataFrame:
+    """``asked`` (venue, source, at, ...) with ``session``: how many connections the source lost up to ``at``."""
+    own = F.coalesce(F.size(F.filter(F.coalesce("_own", F.array()), lambda x: x <= F.col("at"))), F.lit(0))
+    return _losses(asked, downs).withColumn("session", (F.col("_seen") + own).cast("long")).drop("_bucket", "_own", "_carried", "_seen")
 
 
 def explained(flagged: DataFrame, downs: DataFrame) -> DataFrame:
@@ -148,10 +160,13 @@ def duplicate_summary(trade_regressions: DataFrame, ticker: DataFrame) -> DataFr
 
 
 def control_counts(control: DataFrame) -> DataFrame:
+    """Control events of each venue by kind; with a column ``ok`` also subscriptions that were accepted or refused."""
     count = lambda k: F.count_if(F.col("control_kind") == k)
+    ack = F.col("control_kind") == "sub_ack"
+    acks = [F.count_if(ack & F.col("ok")).alias("sub_ack_ok"), F.count_if(ack & ~F.col("ok")).alias("sub_ack_failed")] if "ok" in control.columns else []
     return control.groupBy("venue").agg(
         count("conn_up").alias("conn_up"), count("conn_down").alias("conn_down"), count("gap").alias("gap_events"),
-        F.coalesce(F.sum(F.when(F.col("control_kind") == "gap", F.col("dropped"))), F.lit(0)).cast("long").alias("dropped"),
+        F.coalesce(F.sum(F.when(F.col("control_kind") == "gap", F.col("dropped"))), F.lit(0)).cast("long").alias("dropped"), *acks,
     )
 
 
@@ -233,7 +248,5 @@ def health_transitions(outcomes: DataFrame, key: str = "label", failures: int =
 
 def session_first_updates(updates: DataFrame, downs: DataFrame) -> DataFrame:
     """The first update of each instrument in each session of its source; a loss ends a session."""
-    marked = updates.select("venue", "source", "instrument", "pos", F.lit(0).alias("down")).unionByName(downs.select("venue", "source", F.lit(None).cast("string").alias("instrument"), "pos", F.lit(1).alias("down")))
-    session = F.sum("down").over(W.partitionBy("venue", "source").orderBy("pos")).cast("long")
-    first = F.row_number().over(W.partitionBy("venue", "source", "session", "instrument").orderBy("pos"))
-    return marked.withColumn("session", session).where("down = 0").withColumn("n", first).where("n = 1").select("venue", "source", "session", "instrument", "pos")
+    asked = session_of(updates.select("venue", "source", "instrument", F.col("pos").alias("at")), downs)
+    return asked.groupBy("venue", "source", "session", "instrument").agg(F.min("at").alias("pos"))

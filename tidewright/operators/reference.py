@@ -33,6 +33,11 @@ def listed_everywhere(mapping: DataFrame, venues: list[str], at: int, key: str =
     return live.groupBy(key).agg(F.countDistinct("venue").alias("n")).where(F.col("n") == len(set(venues))).select(key)
 
 
+def matched_keys(mapping: DataFrame, venues: list[str], at: int, key: str = "canonical") -> DataFrame:
+    """The same, ascending."""
+    return listed_everywhere(mapping, venues, at, key).orderBy(key)
+
+
 def apply_overrides(mapping: DataFrame, overrides: DataFrame) -> DataFrame:
     """Mapping rows patched or dropped by (venue, instrument) overrides; the last one of a key wins.
 
@@ -81,6 +86,11 @@ def fold_history(snapshots: DataFrame, attributes: list[str], key: str = "symbol
     ).drop("_island")
 
 
+def history(snapshots: DataFrame, attributes: list[str], key: str = "symbol", day: str = "dump_day") -> DataFrame:
+    """``fold_history`` in the order of its table: by key, then start."""
+    return fold_history(snapshots, attributes, key, day).orderBy(key, "valid_from")
+
+
 def carried_forward(days: DataFrame, dumps: DataFrame, key: str = "symbol", day: str = "dump_day") -> DataFrame:
     """For every day and key the value of the latest dump on or before it, if that dump has the key.
 

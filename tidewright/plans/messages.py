@@ -150,7 +150,7 @@ def _rows(spark: SparkSession, sf_dir: str, view: str, sql: str) -> DataFrame:
 
 
 _PREMIUM = """SELECT venue, 0 AS source, max(local_ts) AS local_ts, min(pos) AS pos, concat('[', array_join(collect_list(to_json(named_struct('symbol', upper(instrument), 'markPrice', string(price), 'indexPrice', string(qty),
- 'lastFundingRate', '0.0003', 'nextFundingTime', CASE WHEN pos % 2 = 0 THEN 0 ELSE venue_ts DIV 1000000 END, 'time', venue_ts DIV 1000000))), ','), ']') AS body FROM {ev} WHERE kind = 'book_ticker' GROUP BY venue, pos % 40"""
+ 'lastFundingRate', '0.0003', 'nextFundingTime', CASE WHEN pos % 2 = 0 THEN 0 ELSE venue_ts DIV 1000000 END, 'time', venue_ts DIV 1000000))), ','), ']') AS body FROM {ev} WHERE kind = 'book_ticker' GROUP BY venue, pos DIV 500"""
 
 
 @query("normalize_premium_index", ("ev",), """SELECT venue, x.k AS kind, instrument, count(*) AS events, round(sum(x.v), 4) AS value FROM (
@@ -168,7 +168,7 @@ FROM {fund} GROUP BY venue, funding_time DIV 864000000000000"""
 @query("normalize_funding_rate", ("fund", "mapping"), """SELECT f.venue, f.instrument, f.funding_time, round(rate, 12) AS rate, CASE WHEN CAST(substr(f.instrument, 2) AS BIGINT) % 4 = 0 THEN 4 ELSE 8 END * 3600000000000 AS interval_ns FROM fund f""")
 def _(spark, sf_dir):
     raw = _rows(spark, sf_dir, "fund", _FUNDING)
-    info_sql = "SELECT concat('[', array_join(collect_list(to_json(named_struct('symbol', upper(instrument), 'fundingIntervalHours', 4))), ','), ']') AS body FROM (SELECT DISTINCT instrument FROM {mapping} WHERE CAST(substr(instrument, 2) AS BIGINT) % 4 = 0) GROUP BY substr(instrument, 2, 1)"
+    info_sql = "SELECT concat('[', array_join(collect_list(to_json(named_struct('symbol', upper(instrument), 'fundingIntervalHours', 4))), ','), ']') AS body FROM (SELECT DISTINCT instrument FROM {mapping} WHERE CAST(substr(instrument, 2) AS BIGINT) % 4 = 0) GROUP BY CAST(substr(instrument, 2) AS BIGINT) DIV 500"
     info = normalize.funding_info(_rows(spark, sf_dir, "mapping", info_sql))
     out = normalize.funding_rate(raw.unionByName(raw), info)
     return out.select("venue", "instrument", F.col("funding_realized.funding_time").alias("funding_time"), F.round(F.col("funding_realized.rate").cast("double"), 12).alias("rate"), F.col("funding_realized.interval_ns").alias("interval_ns"))
@@ -186,7 +186,7 @@ def _(spark, sf_dir):
 
 _DUMP = """SELECT concat('{{"symbols":[', array_join(collect_list(to_json(named_struct('symbol', upper(instrument), 'contractType', CASE WHEN c % 5 = 0 THEN 'CURRENT_QUARTER' ELSE 'PERPETUAL' END, 'baseAsset', base, 'quoteAsset', 'USDT', 'marginAsset', CASE WHEN c % 3 = 0 THEN base WHEN c % 3 = 1 THEN 'USDT' END, 'status', CASE WHEN c % 7 = 0 THEN 'SETTLING' WHEN c % 7 < 3 THEN 'DELIVERED' ELSE 'CLOSE' END,
  'onboardDate', CASE WHEN c % 9 > 0 THEN valid_from DIV 1000000 END, 'deliveryDate', 4133404800000, 'filters', array(named_struct('filterType', 'PRICE_FILTER', 'tickSize', '0.01', 'stepSize', NULL), named_struct('filterType', 'LOT_SIZE', 'tickSize', NULL, 'stepSize', string(c)))))), ','), ']}}') AS body
-FROM (SELECT *, CAST(substr(instrument, 2) AS BIGINT) AS c FROM {mapping} WHERE venue = 'v0') GROUP BY c % 20"""
+FROM (SELECT *, CAST(substr(instrument, 2) AS BIGINT) AS c FROM {mapping} WHERE venue = 'v0') GROUP BY c DIV 500"""
 
 
 @query("normalize_instruments", ("mapping",), """SELECT instrument AS symbol, CASE WHEN c % 7 = 0 THEN 'halted' ELSE 'delisted' END AS lifecycle, CASE WHEN c % 5 = 0 THEN 'future' ELSE 'perp' END AS class, CASE WHEN c % 3 = 0 THEN 'inverse' WHEN c % 3 = 1 THEN 'linear' END AS linearity,
@@ -203,8 +203,9 @@ def _(spark, sf_dir):
     return normalize.mapping_rows(normalize.instruments(_rows(spark, sf_dir, "mapping", _DUMP)), "binance", 850_000_000_000_000_000).drop("valid_to")
 
 
+# The answers below are pages of a bounded span, so none grows with the table.
 _KLINES = """SELECT instrument AS symbol, concat('[', array_join(collect_list(concat('[', h * 3600000, ',"', o, '","', hi, '","', lo, '","', c, '","', v, '",', h * 3600000 + 3599999, ',"1.5",', n, ',"2","3","0"]')), ','), ']') AS body FROM (
- SELECT instrument, local_ts DIV 3600000000000 AS h, min_by(price, pos) AS o, max(price) AS hi, min(price) AS lo, max_by(price, pos) AS c, count(*) AS v, count(*) AS n FROM {ev} GROUP BY 1, 2) GROUP BY instrument"""
+ SELECT instrument, local_ts DIV 3600000000000 AS h, min_by(price, pos) AS o, max(price) AS hi, min(price) AS lo, max_by(price, pos) AS c, count(*) AS v, count(*) AS n FROM {ev} GROUP BY 1, 2) GROUP BY instrument, h DIV 500"""
 
 
 @query("normalize_klines", ("ev",), """SELECT instrument, h * 3600000000000 AS open_time, (h * 3600000 + 3599999) * 1000000 AS close_time, o AS open, hi AS high, lo AS low, c AS close, n::DOUBLE AS volume, n AS trades FROM (
@@ -213,7 +214,7 @@ def _(spark, sf_dir):
     return normalize.klines(_rows(spark, sf_dir, "ev", _KLINES)).select("instrument", "open_time", "close_time", "open", "high", "low", "close", "volume", "trades")
 
 
-_OI = """SELECT concat('[', array_join(collect_list(to_json(named_struct('symbol', upper(instrument), 'sumOpenInterest', string(price), 'sumOpenInterestValue', string(qty), 'timestamp', local_ts DIV 1000000))), ','), ']') AS body FROM {ev} GROUP BY instrument"""
+_OI = """SELECT concat('[', array_join(collect_list(to_json(named_struct('symbol', upper(instrument), 'sumOpenInterest', string(price), 'sumOpenInterestValue', string(qty), 'timestamp', local_ts DIV 1000000))), ','), ']') AS body FROM {ev} GROUP BY instrument, local_ts DIV 3600000000000"""
 
 
 @query("normalize_oi_history", ("ev",), "SELECT instrument, local_ts // 1000000 * 1000000 AS venue_ts, price AS open_interest, qty::DOUBLE AS open_interest_value FROM ev WHERE local_ts // 1000000 * 1000000 >= 1700000000000000000 OR local_ts // 1000000 * 1000000 < 1700000000000000000")
@@ -243,6 +244,26 @@ def _(spark, sf_dir):
     return normalize.perpetuals(_rows(spark, sf_dir, "mapping", _DUMP), info).fillna(-1)
 
 
+_DATED = """SELECT dump_day, concat('{{"symbols":[', array_join(collect_list(to_json(named_struct('symbol', upper(symbol), 'contractType', CASE WHEN c % 5 = 0 THEN 'CURRENT_QUARTER' ELSE 'PERPETUAL' END, 'baseAsset', 'A', 'quoteAsset', 'USDT', 'marginAsset', 'USDT',
+ 'status', CASE status WHEN 'O' THEN 'DELIVERED' WHEN 'F' THEN 'CLOSE' ELSE 'SETTLING' END))), ','), ']}}') AS body FROM (SELECT *, CAST(substr(symbol, 2) AS BIGINT) AS c FROM {dump}) GROUP BY dump_day"""
+_DATED_INTERVALS = """SELECT dump_day, concat('[', array_join(collect_list(to_json(named_struct('symbol', upper(symbol), 'fundingIntervalHours', CASE status WHEN 'O' THEN 1 WHEN 'F' THEN 4 ELSE 2 END))), ','), ']') AS body
+ FROM {dump} WHERE dump_day DIV 86400000000000 % 3 = 0 AND priority IS NOT NULL GROUP BY dump_day"""
+
+
+@query("scd_from_dumps", ("dump",), """WITH lists AS (SELECT symbol, dump_day, CASE status WHEN 'O' THEN 1 WHEN 'F' THEN 4 ELSE 2 END AS hours FROM dump WHERE dump_day // 86400000000000 % 3 = 0 AND priority IS NOT NULL),
+listed AS (SELECT d.symbol, d.dump_day, CASE WHEN d.status IN ('O', 'F') THEN 'delisted' ELSE 'halted' END AS lifecycle, CAST(substr(d.symbol, 2) AS BIGINT) % 5 = 0 AS dated,
+  (SELECT max(x.dump_day) FROM lists x WHERE x.dump_day <= d.dump_day) AS used FROM dump d),
+snaps AS (SELECT l.symbol, l.dump_day, l.lifecycle, CASE WHEN NOT dated THEN coalesce(h.hours, 8) * 3600000000000 END AS interval_ns FROM listed l LEFT JOIN lists h ON h.symbol = l.symbol AND h.dump_day = l.used),
+days AS (SELECT dump_day, row_number() OVER (ORDER BY dump_day) AS r, lead(dump_day) OVER (ORDER BY dump_day) AS nx FROM (SELECT DISTINCT dump_day FROM dump)),
+marked AS (SELECT s.*, r, nx, CASE WHEN lag(r) OVER w = r - 1 AND lag(lifecycle) OVER w = lifecycle AND lag(interval_ns) OVER w IS NOT DISTINCT FROM interval_ns THEN 0 ELSE 1 END AS fresh FROM snaps s JOIN days USING (dump_day) WINDOW w AS (PARTITION BY symbol ORDER BY dump_day)),
+spans AS (SELECT *, sum(fresh) OVER (PARTITION BY symbol ORDER BY dump_day) AS span FROM marked)
+;
+SELECT symbol, min(lifecycle) AS lifecycle, coalesce(min(interval_ns), -1) AS interval_ns, min(dump_day) AS valid_from, coalesce(max_by(coalesce(nx, -1), dump_day), -1) AS valid_to FROM spans GROUP BY symbol, span""")
+def _(spark, sf_dir):
+    snaps = normalize.day_snapshots(_rows(spark, sf_dir, "dump", _DATED), _rows(spark, sf_dir, "dump", _DATED_INTERVALS))
+    return reference.history(snaps.select("symbol", "dump_day", "lifecycle", "interval_ns"), ["lifecycle", "interval_ns"]).fillna(-1, ["interval_ns", "valid_to"])
+
+
 _SNAPSHOT = """SELECT venue, 5 AS source, local_ts, pos, upper(instrument) AS symbol, concat('{{"lastUpdateId":', last_update_id, ',"T":', local_ts DIV 1000000, ',"bids":[["', pos % 50, '","1"],["1.5","2"]],"asks":[["9","', pos % 7, '"]]}}') AS body FROM {snap}"""
 
 

@@ -77,7 +77,7 @@ def _(get):
 @query("matched_keys", ("mapping",), f"""
 SELECT base AS canonical FROM mapping WHERE {AT} >= valid_from AND (valid_to IS NULL OR {AT} < valid_to) AND venue IN ('v0', 'v1') GROUP BY base HAVING count(DISTINCT venue) = 2""")
 def _(get):
-    return reference.listed_everywhere(get("mapping").withColumnRenamed("base", "canonical"), ["v0", "v1"], AT)
+    return reference.matched_keys(get("mapping").withColumnRenamed("base", "canonical"), ["v0", "v1"], AT)
 
 
 @query("mapping_overrides", ("mapping", "overrides"), """
@@ -195,6 +195,16 @@ def _(get):
     return _detail(get)
 
 
+@query("reconcile_differences", ("fund", "capt"), _DETAIL + "\n;\nSELECT venue, instrument, funding_time, outcome FROM detail WHERE outcome IN ('missing', 'extra')")
+def _(get):
+    return datasets.differences(_detail(get)).select("venue", "instrument", "funding_time", "outcome")
+
+
+@query("reconcile_enough", ("fund", "capt"), _DETAIL + "\n;\nSELECT count(*) AS rows, count(*) >= 100 AS enough FROM detail WHERE outcome = 'matched'")
+def _(get):
+    return datasets.expected_rows(_detail(get).where("outcome = 'matched'"))
+
+
 @query("reconcile_daily", ("fund", "capt"), _DAILY + """
 ;
 SELECT venue, day, matched, missing, extra, mismatch, round(CASE WHEN matched + missing + mismatch = 0 THEN 100.0 ELSE (matched + mismatch) * 100.0 / (matched + missing + mismatch) END::DOUBLE, 6) AS coverage_pct,
@@ -383,6 +393,14 @@ def _(get):
     return qa.control_counts(get("control"))
 
 
+@query("control_acks", ("control", "ev"), """SELECT venue, count(*) FILTER (control_kind = 'conn_up') AS conn_up, count(*) FILTER (control_kind = 'conn_down') AS conn_down, count(*) FILTER (control_kind = 'gap') AS gap_events,
+CAST(coalesce(sum(dropped) FILTER (control_kind = 'gap'), 0) AS BIGINT) AS dropped, count(*) FILTER (ok) AS sub_ack_ok, count(*) FILTER (NOT ok) AS sub_ack_failed FROM (
+  SELECT venue, control_kind, dropped, NULL::BOOLEAN AS ok FROM control UNION ALL SELECT venue, 'sub_ack', NULL, pos % 4 > 0 FROM ev) GROUP BY venue""")
+def _(get):
+    acks = get("ev").select("venue", F.lit("sub_ack").alias("control_kind"), (F.col("pos") % 4 > 0).alias("ok"))
+    return qa.control_counts(get("control").unionByName(acks, allowMissingColumns=True))
+
+
 @query("control_timeline", ("control",), """SELECT venue, n, concat('local_ts=', CAST(local_ts AS VARCHAR), ' ', control_kind) AS entry, total > 500 AS truncated FROM (
   SELECT *, row_number() OVER (PARTITION BY venue ORDER BY pos) AS n, count(*) OVER (PARTITION BY venue) AS total FROM control) WHERE n <= 500""")
 def _(get):

@@ -8,6 +8,8 @@ so a day without its row does not exist for them and is written again.
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ from tidewright.functions.market import date_of, within
 
 REGISTRY = "venue STRING, date DATE, status STRING, failures BIGINT, published_at BIGINT"
 QUIET_S = 600
+#: Days before today that are published by day.
+LOOK_BACK = 32
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -113,10 +117,35 @@ def blocking_reasons(days: DataFrame, registry_rows: DataFrame) -> DataFrame:
     return days.join(known, ["venue", "date"], "left").select("venue", "date", reason.alias("reason"))
 
 
-def publish_months(rows: DataFrame, root: str, open_month: str) -> None:
-    """Rows (with ``month``) to month partitions; the open month is marked partial and replaced each time."""
-    marked = rows.withColumn("is_partial", F.col("month") == open_month)
-    write_tables({"months": marked}, root, by=("month",))
+def publish_periods(rows: DataFrame, root: str, by: str, now: str, first: str | None = None) -> DataFrame:
+    """Rows to partitions of ``by`` (``month`` or ``date``); by, rows and outcome of each period they have.
+
+    ``now`` is the open period, ``first`` the earliest one looked at. A closed period that
+    is published whole is skipped (outcome existing) and its rows are not read. The open one
+    is marked partial, and replaced each time, at last by its final form. Periods after
+    ``now`` wait. One value for each period of the calendar goes through the driver.
+    """
+    path = f"{root}/{by}s"
+    looked_at = (F.col(by) <= F.lit(now)) & (F.col(by) >= F.lit(first) if first else F.lit(True))
+    marked = rows.where(looked_at).withColumn("is_partial", F.col(by) == F.lit(now))
+    whole = rows.sparkSession.read.schema(marked.schema)
+    done = []
+    if _exists(rows.sparkSession, path):
+        done = [r[0] for r in whole.parquet(path).where(looked_at & ~F.col("is_partial")).select(by).distinct().collect()]
+    write_tables({f"{by}s": marked.where(~F.col(by).isin(done)) if done else marked}, root, by=(by,))
+    written = whole.parquet(path).where(looked_at).groupBy(by).agg(F.count("*").alias("rows"), F.max("is_partial").alias("open"))
+    outcome = F.when(F.col(by).isin(done) if done else F.lit(False), "existing").when(F.col("open"), "partial").otherwise("published")
+    return written.select(by, "rows", outcome.alias("outcome"))
+
+
+def publish_months(rows: DataFrame, root: str, open_month: str) -> DataFrame:
+    """Rows (with ``month``, yyyy-MM) to month partitions."""
+    return publish_periods(rows, root, "month", open_month)
+
+
+def publish_days(rows: DataFrame, root: str, today: str, back: int = LOOK_BACK) -> DataFrame:
+    """Rows (with ``date``) of the last ``back`` days and of today to day partitions."""
+    return publish_periods(rows, root, "date", today, str(date.fromisoformat(today) - timedelta(days=back)))
 
 
 def rebuild(df: DataFrame, root: str, version: str) -> None:
