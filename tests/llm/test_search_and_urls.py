@@ -33,6 +33,32 @@ def test_search_like_brute_force(spark, monkeypatch, scale):
     assert vector_search.search(df.where(F.lit(False))).count() == 0
 
 
+def test_search_in_two_rounds(spark, monkeypatch):
+    """Many vectors within the bounds of the best, one close to all queries, large groups of equal ones."""
+    monkeypatch.setattr(vector_search, "CANDIDATES", 150)
+    monkeypatch.setattr(vector_search, "HUB", 3)
+    rng = random.Random(4)
+    rows = [(i, [4.0 + rng.gauss(0, 0.02) for _ in range(16)]) for i in range(600)]
+    rows += [(10_000 + i, [4.02] * 16) for i in range(400)] + [(7, [9.0] * 16), (7, [9.0] * 16)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    assert sorted(tuple(r) for r in vector_search.search(df).collect()) == slow_top(rows)
+
+
+@pytest.mark.parametrize("large", [1e14, 1e17, 1e30, 1e160, 1e306, 1.7e308])
+def test_search_with_huge_components(spark, large):
+    rng = random.Random(5)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(120)]
+    rows += [(50, [large, 0.5, -large, 1.0]), (1, [large, 0.0, 0.0, 0.0]), (2, [-large, 1.0, large, 0.0]), (3, [-large] * 4)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    ints = [(i, [math.floor(x * 256) if abs(x) < 2**53 else int(x) * 256 for x in v]) for i, v in rows]
+    want = []
+    for n, (q, v) in enumerate(ints):
+        if q % 50 == 0:
+            best = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for m, (i, w) in enumerate(ints) if m != n)[:5]
+            want += [(q, r + 1, i, min(max(-s, -(2**63)), 2**63 - 1)) for r, (s, i) in enumerate(best)]
+    assert sorted(tuple(r) for r in vector_search.search(df).collect()) == sorted(want)
+
+
 @pytest.mark.parametrize("name", ["op7_url_filter", "op10_vector_topk"])
 def test_queries_against_sql(spark, sf_dir, name):
     duckdb = pytest.importorskip("duckdb")

@@ -1,88 +1,122 @@
 """Exact top-k inner-product search with a vector-approximation file.
 
-Vectors become integers, and each component one byte: the number of its cell on
-an even grid. A scan over these cells bounds every inner product from both sides.
-Exact vectors are then read in the order of their upper bounds, until the next
-bound lies below the k-th exact score found; so the result is exact.
-
-Candidates and queries are dealt into blocks, and each pair of blocks is one group
-of a cogroup: a task holds one block of either, and every pair of blocks gives at
-most k rows for a query.
+Vectors become integers, floor(256 * x). The file holds one byte a component, the
+number of its cell on an even grid over the vector's own range, and how far the
+vector lies from the middle of its cells; that bounds every inner product from both
+sides (Cauchy-Schwarz). Only the file and the queries are dealt: candidates and
+queries form blocks, each pair of blocks is one group of a cogroup, and a candidate
+comes out of it if its upper bound reaches the block's k-th lower bound.
+
+Exact vectors are then read by upper bound in two rounds: the k candidates of the
+highest bounds, then those whose bounds reach the k-th exact score found. No other
+can be among the best, so the result is exact.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import cut
+from tidewright.llm.common import cut, stored
 
 K = 5
 SCALE = 256
 QUERY_EVERY = 50
 CANDIDATES, QUERIES = 8192, 2048
-#: A cell is 2**MIN_SHIFT wide at least.
-MIN_SHIFT = 2
-#: Exact vectors read at a time.
-READ = 64
+#: Queries whose bounds are held at a time.
+AT_ONCE = 128
+#: Cells to either side of zero.
+HALF = 127
+#: Rounding of the bounds, against the largest product that the two lengths allow.
+SLACK = 1e-9
+#: A key of more than this share of all pairs, and of more pairs than HUB, is joined apart from the others.
+HUB, HUB_SHARE = 1000, 1000
+LONG = 2**63
 
 
 def prepared(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """row, vec_id, dim, v (integers). Rows without an id, and vectors that are null or
+    """row, vec_id, dim, x (doubles). Rows without an id, and vectors that are null or
     hold a null or a non-finite component, are left out."""
-    good = F.forall(vector_col, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")))
-    ints = F.transform(vector_col, lambda x: F.floor(x.cast("double") * SCALE).cast("long"))
+    x = F.transform(vector_col, lambda c: c.cast("double"))
+    good = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
     return vectors.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & good).select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("vec_id"), F.size(vector_col).alias("dim"), ints.alias("v")
+        F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("vec_id"), F.size(vector_col).alias("dim"), x.alias("x")
     )
 
 
-class Cells:
-    """The approximation of a block of integer vectors: cell numbers, and the grid."""
-
-    def __init__(self, v: np.ndarray, shift: int):
-        self.shift = shift
-        self.cell = (v >> shift).astype(np.int8 if len(v) == 0 or (np.abs(v >> shift) < 128).all() else np.int64)
-
-    def bounds(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Middle of the bounds for each query and candidate, and for each query how far they reach."""
-        half = ((1 << self.shift) - 1) / 2
-        middle = (self.cell.astype(np.float64) * (1 << self.shift) + half) @ q.T.astype(np.float64)
-        return middle.T, np.abs(q).sum(axis=1) * half
-
-
-def top(q: np.ndarray, own: np.ndarray, v: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int, shift: int) -> list[tuple[int, int, int]]:
-    """(query, candidate, score) of each query's k best candidates of a block, ties to smaller ids."""
-    # products are exact in float64 where they stay below 2**53, else in Python's integers
-    big = float(np.abs(q).max(initial=0)) * float(np.abs(v).max(initial=0)) * max(1, v.shape[1]) >= 2**53
-    exact_v, exact_q = (v.astype(object), q.astype(object)) if big else (v.astype(np.float64), q.astype(np.float64))
-    middle, reach = Cells(v, shift).bounds(q)
-    slack = 1e-9 * (np.abs(middle).max(initial=0) + 1)
-    out = []
-    for i in range(len(q)):
-        m = middle[i]
-        usable = np.flatnonzero(rows != own[i])
-        if not len(usable):
-            continue
-        if len(usable) > k:  # no candidate whose upper bound is below the k-th lower bound can be among the best
-            kth = np.partition(m[usable], len(usable) - k)[len(usable) - k]
-            usable = usable[m[usable] >= kth - 2 * reach[i] - slack]
-        usable = usable[np.argsort(-m[usable], kind="stable")]
-        read: list[np.ndarray] = []
-        scores: list[np.ndarray] = []
-        for at in range(0, len(usable), READ):
-            if at and (n := np.concatenate(scores)).size >= k and m[usable[at]] + reach[i] + slack < np.partition(n, len(n) - k)[len(n) - k]:
-                break
-            part = usable[at : at + READ]
-            read.append(part)
-            scores.append(exact_v[part] @ exact_q[i] if v.shape[1] else np.zeros(len(part)))
-        got, s = np.concatenate(read), np.concatenate(scores)
-        for j in sorted(range(len(got)), key=lambda j: (-s[j], ids[got[j]]))[:k]:
-            out.append((i, int(got[j]), int(s[j])))
-    return out
+def whole(x: np.ndarray) -> np.ndarray:
+    """floor(256 * x), exact as a double unless it leaves their range."""
+    with np.errstate(over="ignore"):
+        return np.floor(x * SCALE)
+
+
+def cells(v: np.ndarray) -> tuple[bytes, float, float, float]:
+    """Cell numbers of a vector, the width of a cell, its distance from the cells' middle, and the middle's length."""
+    top = float(np.abs(v).max(initial=0.0))
+    if not top < 1e150:  # squares would leave the range of doubles; such bounds bound nothing
+        return bytes(len(v)), 0.0, math.inf, 0.0
+    step = top / HALF if top else 1.0
+    number = np.rint(v / step)
+    middle = number * step
+    far = float(np.sqrt(np.square(v - middle).sum())) * (1 + SLACK)
+    return number.astype(np.int8).tobytes(), step, far, float(np.sqrt(np.square(middle).sum()))
+
+
+def approximation(rows: DataFrame) -> DataFrame:
+    """row, dim, cell, step, far, length for each of ``rows``."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            made = [cells(whole(np.asarray(x, dtype=np.float64))) for x in b.column(2).to_pylist()]
+            cols = [pa.array([m[i] for m in made], t) for i, t in enumerate((pa.binary(), pa.float64(), pa.float64(), pa.float64()))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], names=["row", "dim", "cell", "step", "far", "length"])
+
+    return rows.select("row", "dim", "x").mapInArrow(make, "row long, dim int, cell binary, step double, far double, length double")
+
+
+def reaching(q: np.ndarray, own: np.ndarray, c: pd.DataFrame, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Numbers of queries and of candidates of a block, and the upper bounds of those
+    candidates that reach the k-th lower bound of the query."""
+    rows, step, far, length = (c[x].to_numpy() for x in ("row", "step", "far", "length"))
+    cell = np.frombuffer(b"".join(c["cell"]), dtype=np.int8).reshape(len(c), -1)
+    with np.errstate(all="ignore"):
+        for at in range(0, len(q), AT_ONCE):
+            part = q[at : at + AT_ONCE]
+            norm = np.sqrt(np.square(part).sum(axis=1))[:, None]
+            middle = (part @ cell.T.astype(np.float64)) * step
+            reach = norm * far + SLACK * norm * (length + far)
+            upper, lower = np.nan_to_num(middle + reach, nan=np.inf, posinf=np.inf, neginf=np.inf), np.nan_to_num(middle - reach, nan=-np.inf, posinf=-np.inf, neginf=-np.inf)
+            self_ = own[at : at + AT_ONCE, None] == rows
+            upper[self_], lower[self_] = -np.inf, -np.inf
+            kth = np.partition(lower, len(rows) - k, axis=1)[:, len(rows) - k, None] if len(rows) > k else np.full((len(part), 1), -np.inf)
+            i, j = np.nonzero((upper >= kth) & ~self_)
+            yield i + at, j, upper[i, j]
+
+
+def inner(q: list[float], x: list[float]) -> int:
+    """The exact inner product of two vectors' integers."""
+    a, b = whole(np.asarray(q, dtype=np.float64)), whole(np.asarray(x, dtype=np.float64))
+    if np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * max(1, len(a)) < 2**53:
+        return int(a @ b) if len(a) else 0
+
+    def integers(c: list[float]) -> list[int]:  # from 2**53 on a double is whole
+        return [math.floor(y * SCALE) if abs(y) < 2**53 else int(y) * SCALE for y in c]
+
+    return sum(s * t for s, t in zip(integers(q), integers(x), strict=True))
+
+
+def _met(pairs: DataFrame, table: DataFrame, key: str, of: DataFrame, total: int) -> DataFrame:
+    """``pairs`` with the columns of ``table``; at most ``HUB_SHARE`` keys that have very many of all pairs ``of`` are broadcast."""
+    hubs = of.groupBy(key).count().where(F.col("count") > max(HUB, total // HUB_SHARE)).select(key)
+    rest = pairs.join(F.broadcast(hubs), key, "left_anti").join(table, key)
+    return rest.unionByName(pairs.join(F.broadcast(table.join(F.broadcast(hubs), key, "left_semi")), key))
 
 
 def search(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -90,30 +124,60 @@ def search(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY, id_col: str
 
     Queries are the rows whose id is divisible by ``every``; candidates are all rows
     but the query's own, also further rows of the same id. Vectors of different
-    lengths are not compared. An empty table gives no rows.
+    lengths are not compared; empty ones score 0. Any finite component counts as it
+    is: ranks go by exact integers, and only the ``score`` shown ends at the limits of
+    a long. Of equal vectors the ``k + 1`` rows of the smallest ids are candidates, as
+    no query can list others. Other columns play no part. An empty table gives no rows.
     """
-    rows = cut(prepared(vectors, id_col, vector_col))
-    n, n_queries, largest = rows.agg(F.count("*"), F.count_if(F.col("vec_id") % every == 0), F.max(F.array_max(F.transform("v", F.abs)))).first()
-    shift = max(MIN_SHIFT, int(largest or 0).bit_length() - 7)
-    c_blocks, q_blocks = max(1, -(-n // CANDIDATES)), max(1, -(-n_queries // QUERIES))
+    rows = stored(prepared(vectors, id_col, vector_col))
+    asked = rows.where(F.col("vec_id") % every == 0).select(F.col("row").alias("query_row"), F.col("vec_id").alias("query_id"), "dim", F.col("x").alias("q"))
+    # only copies of one vector share a key, and each task passes on k + 1 rows of a key at most
+    alike = F.row_number().over(W.partitionBy("x").orderBy("vec_id", "row"))
+    file = cut(approximation(rows.withColumn("alike", alike).where(F.col("alike") <= k + 1)))
+    largest, longest, n_queries = rows.agg(F.max(F.array_max(F.transform("x", F.abs))), F.max("dim"), F.count_if(F.col("vec_id") % every == 0)).first()
+    # bytes that hold any score, shifted to be positive
+    width = (2 * (max(0, math.frexp(largest or 0.0)[1]) + 9) + int(longest or 1).bit_length() + 2) // 8 + 1
+    c_blocks, q_blocks = max(1, -(-file.count() // CANDIDATES)), max(1, -(-n_queries // QUERIES))
     c_all, q_all = F.sequence(F.lit(0), F.lit(c_blocks - 1)), F.sequence(F.lit(0), F.lit(q_blocks - 1))
-    block = lambda b, salt: F.pmod(F.xxhash64("row", F.lit(salt)), F.lit(b)).cast("int")
-    candidates = rows.select("dim", block(c_blocks, "c").alias("c"), F.explode(q_all).alias("q"), "row", "vec_id", "v")
-    queries = rows.where(F.col("vec_id") % every == 0).select("dim", F.explode(c_all).alias("c"), block(q_blocks, "q").alias("q"), "row", "vec_id", "v")
-
-    def compare(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        cols = ["query_row", "query_id", "vec_id", "score"]
-        if q.empty or c.empty:
-            return pd.DataFrame({x: pd.Series(dtype="int64") for x in cols})
-        qv, cv = (np.array(d["v"].tolist(), dtype=np.int64).reshape(len(d), -1) for d in (q, c))
-        own, q_ids, ids = q["row"].to_numpy(), q["vec_id"].to_numpy(), c["vec_id"].to_numpy()
-        found = top(qv, own, cv, c["row"].to_numpy(), ids, k, shift)
-        return pd.DataFrame([(own[i], q_ids[i], ids[j], s) for i, j, s in found], columns=cols)
-
-    key = ["dim", "c", "q"]
-    met = queries.groupBy(*key).cogroup(candidates.groupBy(*key)).applyInPandas(compare, "query_row long, query_id long, vec_id long, score long")
-    rank = F.row_number().over(W.partitionBy("query_row").orderBy(F.desc("score"), "vec_id"))
-    return met.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    block = lambda c, b, salt: F.pmod(F.xxhash64(c, F.lit(salt)), F.lit(b)).cast("int")
+    candidates = file.select("dim", block("row", c_blocks, "c").alias("c"), F.explode(q_all).alias("b"), "row", "cell", "step", "far", "length")
+    queries = asked.select("dim", F.explode(c_all).alias("c"), block("query_row", q_blocks, "q").alias("b"), "query_row", "q")
+
+    def scan(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        if len(q) and len(c):
+            v = whole(np.array(q["q"].tolist(), dtype=np.float64).reshape(len(q), -1))
+            own, ids = q["query_row"].to_numpy(), c["row"].to_numpy()
+            found = [pd.DataFrame({"query_row": own[i], "row": ids[j], "upper": u}) for i, j, u in reaching(v, own, c, k)]
+        return pd.concat(found) if found else pd.DataFrame({"query_row": pd.Series(dtype="int64"), "row": pd.Series(dtype="int64"), "upper": pd.Series(dtype="float64")})
+
+    key = ["dim", "c", "b"]
+    near = cut(queries.groupBy(*key).cogroup(candidates.groupBy(*key)).applyInPandas(scan, "query_row long, row long, upper double"))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = [inner(q, x) for q, x in zip(b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True)]
+            order = [(s + (1 << (8 * width - 1))).to_bytes(width, "big") for s in got]
+            least = [math.nextafter(float(s), -math.inf) if abs(s) < 2**1000 else -math.inf for s in got]
+            shown = [min(max(s, -LONG), LONG - 1) for s in got]
+            made = [pa.array(order, pa.binary()), pa.array(least, pa.float64()), pa.array(shown, pa.int64())]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), *made], names=["query_row", "query_id", "vec_id", "order", "least", "score"])
+
+    def read(pairs: DataFrame) -> DataFrame:
+        total = pairs.count()
+        both = _met(pairs.select("query_row", "row"), rows.select("row", "vec_id", "x"), "row", pairs, total)
+        both = _met(both, asked.drop("dim"), "query_row", pairs, total)
+        return cut(both.select("query_row", "query_id", "vec_id", "q", "x").mapInArrow(score, "query_row long, query_id long, vec_id long, order binary, least double, score long"))
+
+    by_bound = W.partitionBy("query_row").orderBy(F.desc("upper"), "row")
+    first = cut(near.withColumn("n", F.row_number().over(by_bound)).where(F.col("n") <= k))
+    scored = read(first)
+    # the k-th exact score so far; a query with fewer than k rows has no others
+    enough = scored.groupBy("query_row").agg(F.min("least").alias("least"), F.count("*").alias("n")).where(F.col("n") == k).drop("n")
+    rest = near.join(enough, "query_row").where(F.col("upper") >= F.col("least")).select("query_row", "row", "upper")
+    rest = cut(rest.join(first.select("query_row", "row"), ["query_row", "row"], "left_anti"))
+    rank = F.row_number().over(W.partitionBy("query_row").orderBy(F.desc("order"), "vec_id"))
+    return scored.unionByName(read(rest)).withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op10_vector_topk(spark, sf_dir: str) -> DataFrame:
