@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidewright.operators import datasets, qa, reference
+from tidewright.operators import datasets, normalize, qa, reference
 
 
 def random_log(seed, n=220):
@@ -133,3 +133,27 @@ def test_sessions_by_bucket(spark, monkeypatch):
     got = {r.at: r.session for r in qa.session_of(a, d).collect()}
     assert got == {p: sum(x <= p for x in downs) for p in asked}
     assert {r.session for r in qa.session_of(a, d.limit(0)).collect()} == {0}
+
+
+def test_history_from_dumps(spark):
+    """Empty and unreadable dumps, and interval lists of days with and without an exchange dump."""
+    import json
+
+    def body(*symbols):
+        return json.dumps({"symbols": [{"symbol": x, "status": "TRADING", "contractType": "PERPETUAL", "baseAsset": "A", "quoteAsset": "Q", "marginAsset": "Q", "filters": []} for x in symbols]})
+
+    def hours(**of):
+        return json.dumps([{"symbol": k, "fundingIntervalHours": v} for k, v in of.items()])
+
+    exchange = [(1, body("A", "B")), (2, body("A")), (3, "{broken"), (4, body("A")), (5, body()), (6, body("A")), (7, body("A"))]
+    lists = [(1, hours(A=1, B=2)), (3, hours(A=4)), (6, "[]"), (7, "[{"), (8, hours(A=2))]
+    dumps = spark.createDataFrame(exchange, "dump_day long, body string")
+    snaps = normalize.day_snapshots(dumps, spark.createDataFrame(lists, "dump_day long, body string"))
+    h = 3_600_000_000_000
+    got = {(r.symbol, r.dump_day): r.interval_ns // h for r in snaps.collect()}
+    assert got == {("a", 1): 1, ("b", 1): 2, ("a", 2): 1, ("a", 4): 4, ("a", 6): 8, ("a", 7): 8}
+    spans = reference.history(snaps, ["interval_ns"], days=normalize.dump_days(dumps))
+    assert [(r.symbol, r.interval_ns // h, r.valid_from, r.valid_to) for r in spans.collect()] == [("a", 1, 1, 4), ("a", 4, 4, 5), ("a", 8, 6, None), ("b", 2, 1, 2)]
+    between = spark.createDataFrame([(1, body("A")), (3, body("A"))], "dump_day long, body string")
+    snaps = normalize.day_snapshots(between, spark.createDataFrame([(2, hours(A=4))], "dump_day long, body string"))
+    assert {r.interval_ns // h for r in snaps.collect()} == {8}

@@ -198,17 +198,26 @@ def instruments(raw: DataFrame, info: DataFrame | None = None) -> DataFrame:
     return out.join(info.select("symbol", "interval_ns"), "symbol", "left").withColumn("interval_ns", interval)
 
 
+def dump_days(dumps: DataFrame) -> DataFrame:
+    """The days of the exchange dumps (dump_day, body) that can be read, also of those that list nothing."""
+    return dumps.where(F.from_json("body", S.EXCHANGE_INFO)["symbols"].isNotNull()).select("dump_day").distinct()
+
+
 def day_snapshots(dumps: DataFrame, interval_dumps: DataFrame) -> DataFrame:
     """The instruments of dated exchange dumps (dump_day, body), as ``fold_history`` takes them.
 
-    Perpetuals have the funding interval of the latest dump of intervals on or before
-    the day, eight hours where that one does not list them.
+    Perpetuals have the funding interval of the latest list of intervals on or before
+    the day, eight hours where that one does not list them. Lists count only on days of
+    exchange dumps, readable or not; an empty list replaces the one before it, a list
+    that cannot be read does not.
     """
     listed = instruments(dumps)
-    intervals = interval_dumps.select("dump_day", F.explode(F.from_json("body", S.FUNDING_INFO)).alias("m"))
+    lists = interval_dumps.select("dump_day", F.from_json("body", S.FUNDING_INFO).alias("list")).where("list IS NOT NULL")
+    intervals = lists.select("dump_day", F.explode_outer("list").alias("m"))
     hours = F.coalesce(F.col("m.fundingIntervalHours"), F.lit(8))
     values = intervals.groupBy("dump_day", F.lower("m.symbol").alias("symbol")).agg(F.max(hours * NS_HOUR).alias("value"))
-    carried = carried_forward(listed.select("symbol", "dump_day"), values).withColumnRenamed("value", "interval_ns")
+    asked = listed.select("symbol", "dump_day").unionByName(dumps.select(F.lit(None).cast("string").alias("symbol"), "dump_day"))
+    carried = carried_forward(asked, values).withColumnRenamed("value", "interval_ns")
     interval = F.when(F.col("class") == "perp", F.coalesce("interval_ns", F.lit(DEFAULT_FUNDING_INTERVAL)))
     return listed.join(carried, ["symbol", "dump_day"], "left").withColumn("interval_ns", interval)
 

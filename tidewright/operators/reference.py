@@ -65,13 +65,14 @@ def as_windows(dated: DataFrame, keys: list[str], start: str = "valid_from") ->
     return dated.withColumn("valid_to", F.lead(start).over(W.partitionBy(*keys).orderBy(start)))
 
 
-def fold_history(snapshots: DataFrame, attributes: list[str], key: str = "symbol", day: str = "dump_day") -> DataFrame:
+def fold_history(snapshots: DataFrame, attributes: list[str], key: str = "symbol", day: str = "dump_day", days: DataFrame | None = None) -> DataFrame:
     """Validity windows of unchanged attributes over dump days.
 
     A change or a missing dump closes a window at the next day on which there was any
-    dump. Nulls equal nulls. The days are a short table of their own.
+    dump. Nulls equal nulls. The days are a short table of their own: ``days`` where
+    given, which may have days whose dumps list nothing, else those of ``snapshots``.
     """
-    days = snapshots.select(day).distinct()
+    days = (snapshots if days is None else days).select(day).distinct()
     in_order = W.orderBy(day)
     days = days.select(day, F.row_number().over(in_order).alias("_rank"), F.lead(day).over(in_order).alias("_next"))
     by = W.partitionBy(key).orderBy(day)
@@ -86,9 +87,9 @@ def fold_history(snapshots: DataFrame, attributes: list[str], key: str = "symbol
     ).drop("_island")
 
 
-def history(snapshots: DataFrame, attributes: list[str], key: str = "symbol", day: str = "dump_day") -> DataFrame:
+def history(snapshots: DataFrame, attributes: list[str], key: str = "symbol", day: str = "dump_day", days: DataFrame | None = None) -> DataFrame:
     """``fold_history`` in the order of its table: by key, then start."""
-    return fold_history(snapshots, attributes, key, day).orderBy(key, "valid_from")
+    return fold_history(snapshots, attributes, key, day, days).orderBy(key, "valid_from")
 
 
 def carried_forward(days: DataFrame, dumps: DataFrame, key: str = "symbol", day: str = "dump_day") -> DataFrame:

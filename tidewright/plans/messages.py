@@ -260,8 +260,9 @@ spans AS (SELECT *, sum(fresh) OVER (PARTITION BY symbol ORDER BY dump_day) AS s
 ;
 SELECT symbol, min(lifecycle) AS lifecycle, coalesce(min(interval_ns), -1) AS interval_ns, min(dump_day) AS valid_from, coalesce(max_by(coalesce(nx, -1), dump_day), -1) AS valid_to FROM spans GROUP BY symbol, span""")
 def _(spark, sf_dir):
-    snaps = normalize.day_snapshots(_rows(spark, sf_dir, "dump", _DATED), _rows(spark, sf_dir, "dump", _DATED_INTERVALS))
-    return reference.history(snaps.select("symbol", "dump_day", "lifecycle", "interval_ns"), ["lifecycle", "interval_ns"]).fillna(-1, ["interval_ns", "valid_to"])
+    dumps = _rows(spark, sf_dir, "dump", _DATED)
+    snaps = normalize.day_snapshots(dumps, _rows(spark, sf_dir, "dump", _DATED_INTERVALS))
+    return reference.history(snaps.select("symbol", "dump_day", "lifecycle", "interval_ns"), ["lifecycle", "interval_ns"], days=normalize.dump_days(dumps)).fillna(-1, ["interval_ns", "valid_to"])
 
 
 _SNAPSHOT = """SELECT venue, 5 AS source, local_ts, pos, upper(instrument) AS symbol, concat('{{"lastUpdateId":', last_update_id, ',"T":', local_ts DIV 1000000, ',"bids":[["', pos % 50, '","1"],["1.5","2"]],"asks":[["9","', pos % 7, '"]]}}') AS body FROM {snap}"""

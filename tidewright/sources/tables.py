@@ -23,13 +23,15 @@ LOOK_BACK = 32
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at ``path``; errors other than a missing path are raised."""
     from pyspark.errors import AnalysisException
 
     try:
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).limit(1).count()
-    except AnalysisException:
-        return False
-    return True
+        return bool(spark.read.text(path).schema)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
 def event_log(spark: SparkSession, path: str, venue: str | None = None, date: str | None = None, kind: str | None = None) -> DataFrame:
@@ -149,14 +151,19 @@ def publish_days(rows: DataFrame, root: str, today: str, back: int = LOOK_BACK)
 
 
 def rebuild(df: DataFrame, root: str, version: str) -> None:
-    """A full new version of a small dataset, and then a pointer to it."""
-    df.coalesce(1).write.mode("overwrite").option("compression", "zstd").parquet(f"{root}/version={version}")
-    df.sparkSession.createDataFrame([(version,)], "version STRING").coalesce(1).write.mode("overwrite").json(f"{root}/_current")
+    """A full new version of a dataset, in as many files as ``df`` has partitions, and then a row that points to it.
+
+    Pointers are only added, so a reader finds the former version or the new one.
+    """
+    df.write.mode("overwrite").option("compression", "zstd").parquet(f"{root}/version={version}")
+    pointer = df.sparkSession.range(1).select(F.lit(version).alias("version"), F.unix_micros(F.current_timestamp()).alias("rebuilt_at"))
+    pointer.write.mode("append").json(f"{root}/_versions")
 
 
 def current(spark: SparkSession, root: str) -> DataFrame:
-    version = spark.read.schema("version STRING").json(f"{root}/_current").first()[0]
-    return spark.read.parquet(f"{root}/version={version}")
+    """The version that was rebuilt last."""
+    pointers = spark.read.schema("version STRING, rebuilt_at BIGINT").json(f"{root}/_versions")
+    return spark.read.parquet(f"{root}/version={pointers.agg(F.max_by('version', 'rebuilt_at')).first()[0]}")
 
 
 def write_report(report: DataFrame, path: str) -> None:
