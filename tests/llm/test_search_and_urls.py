@@ -2,6 +2,8 @@ import datetime as dt
 import math
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -44,6 +46,20 @@ def test_search_in_two_rounds(spark, monkeypatch):
     assert sorted(tuple(r) for r in vector_search.search(df).collect()) == slow_top(rows)
 
 
+def test_zeros_meet_few(spark, monkeypatch):
+    """Queries of zeros, to which all are alike, take ``k`` candidates of a block."""
+    rng = random.Random(6)
+    c = pd.DataFrame([(n, i, *vector_search.cells(vector_search.whole(np.array([rng.gauss(0, 1) for _ in range(4)])))) for n, i in enumerate(rng.sample(range(5000), 900))], columns=["row", "vec_id", "cell", "step", "far", "length"])
+    least = c.sort_values("vec_id")["row"].tolist()
+    [(i, j, upper)] = vector_search.reaching(np.zeros((2, 4)), np.array([least[1], 10_000]), c, 5)
+    assert {n: {int(x) for x in c["row"].to_numpy()[j[i == n]]} for n in (0, 1)} == {0: {least[0], *least[2:6]}, 1: set(least[:5])}
+    assert not upper.any()
+    monkeypatch.setattr(vector_search, "CANDIDATES", 100)
+    rows = [(i, [0.0] * 4 if i % 3 == 0 else [rng.gauss(0, 1) for _ in range(4)]) for i in range(700)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    assert sorted(tuple(r) for r in vector_search.search(df).collect()) == slow_top(rows)
+
+
 @pytest.mark.parametrize("large", [1e14, 1e17, 1e30, 1e160, 1e306, 1.7e308])
 def test_search_with_huge_components(spark, large):
     rng = random.Random(5)

@@ -70,20 +70,24 @@ def cells(v: np.ndarray) -> tuple[bytes, float, float, float]:
 
 
 def approximation(rows: DataFrame) -> DataFrame:
-    """row, dim, cell, step, far, length for each of ``rows``."""
+    """row, vec_id, dim, cell, step, far, length for each of ``rows``."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            made = [cells(whole(np.asarray(x, dtype=np.float64))) for x in b.column(2).to_pylist()]
+            made = [cells(whole(np.asarray(x, dtype=np.float64))) for x in b.column(3).to_pylist()]
             cols = [pa.array([m[i] for m in made], t) for i, t in enumerate((pa.binary(), pa.float64(), pa.float64(), pa.float64()))]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], names=["row", "dim", "cell", "step", "far", "length"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], *cols], names=["row", "vec_id", "dim", "cell", "step", "far", "length"])
 
-    return rows.select("row", "dim", "x").mapInArrow(make, "row long, dim int, cell binary, step double, far double, length double")
+    return rows.select("row", "vec_id", "dim", "x").mapInArrow(make, "row long, vec_id long, dim int, cell binary, step double, far double, length double")
 
 
 def reaching(q: np.ndarray, own: np.ndarray, c: pd.DataFrame, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Numbers of queries and of candidates of a block, and the upper bounds of those
-    candidates that reach the k-th lower bound of the query."""
+    candidates that reach the k-th lower bound of the query.
+
+    To a query of zeros all are alike, so it meets the ``k`` of the smallest ids.
+    """
+    first = np.lexsort((c["row"], c["vec_id"]))[: k + 1]
     rows, step, far, length = (c[x].to_numpy() for x in ("row", "step", "far", "length"))
     cell = np.frombuffer(b"".join(c["cell"]), dtype=np.int8).reshape(len(c), -1)
     with np.errstate(all="ignore"):
@@ -96,7 +100,11 @@ def reaching(q: np.ndarray, own: np.ndarray, c: pd.DataFrame, k: int) -> Iterato
             self_ = own[at : at + AT_ONCE, None] == rows
             upper[self_], lower[self_] = -np.inf, -np.inf
             kth = np.partition(lower, len(rows) - k, axis=1)[:, len(rows) - k, None] if len(rows) > k else np.full((len(part), 1), -np.inf)
-            i, j = np.nonzero((upper >= kth) & ~self_)
+            reached = (upper >= kth) & ~self_
+            for zero in np.flatnonzero(norm == 0):
+                reached[zero], upper[zero] = False, 0.0
+                reached[zero, first[~self_[zero, first]][:k]] = True
+            i, j = np.nonzero(reached)
             yield i + at, j, upper[i, j]
 
 
@@ -140,7 +148,7 @@ def search(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY, id_col: str
     c_blocks, q_blocks = max(1, -(-file.count() // CANDIDATES)), max(1, -(-n_queries // QUERIES))
     c_all, q_all = F.sequence(F.lit(0), F.lit(c_blocks - 1)), F.sequence(F.lit(0), F.lit(q_blocks - 1))
     block = lambda c, b, salt: F.pmod(F.xxhash64(c, F.lit(salt)), F.lit(b)).cast("int")
-    candidates = file.select("dim", block("row", c_blocks, "c").alias("c"), F.explode(q_all).alias("b"), "row", "cell", "step", "far", "length")
+    candidates = file.select("dim", block("row", c_blocks, "c").alias("c"), F.explode(q_all).alias("b"), "row", "vec_id", "cell", "step", "far", "length")
     queries = asked.select("dim", F.explode(c_all).alias("c"), block("query_row", q_blocks, "q").alias("b"), "query_row", "q")
 
     def scan(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
