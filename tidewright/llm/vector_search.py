@@ -42,9 +42,10 @@ LONG = 2**63
 
 
 def prepared(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """row, vec_id, dim, x (doubles). Rows without an id, and vectors that are null or
-    hold a null or a non-finite component, are left out."""
-    x = F.transform(vector_col, lambda c: c.cast("double"))
+    """row, vec_id, dim, x (doubles, or floats where they are given). Rows without an id, and
+    vectors that are null or hold a null or a non-finite component, are left out."""
+    floats = vectors.schema[vector_col].dataType.simpleString() == "array<float>"
+    x = F.col(vector_col) if floats else F.transform(vector_col, lambda c: c.cast("double"))
     good = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
     return vectors.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & good).select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("vec_id"), F.size(vector_col).alias("dim"), x.alias("x")
