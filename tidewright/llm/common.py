@@ -6,6 +6,7 @@ import sys
 import tempfile
 import uuid
 from collections.abc import Callable
+from types import ModuleType
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,6 +55,18 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def once(key: tuple, make: Callable[[], object]) -> object:
+    """``make()``, made once in a Python worker and kept for its further tasks.
+
+    Functions and classes of this package reach a task as new copies, so the values are
+    kept beside them, in a module of their own that is never sent anywhere.
+    """
+    held = vars(sys.modules.setdefault("_tidewright_held", ModuleType("_tidewright_held"))).setdefault("values", {})
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once for each row."""
     return F.transform(F.array(value), body)[0]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewright.llm import language_id, mixing, packing, pii, quality_classifier, quality_rules, simhash, toxicity, url_filter, vector_search
+from tidewright.llm import language_id, mixing, packing, pii, quality_classifier, quality_rules, sentence_pieces, simhash, token_alignment, toxicity, url_filter, vector_codes, vector_search
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_language": language_id.op9_language,
     "op10_vector_topk": vector_search.op10_vector_topk,
+    "op11_sentencepiece": sentence_pieces.op11_sentencepiece,
+    "op12_vector_codes": vector_codes.op12_vector_codes,
+    "op13_token_alignment": token_alignment.op13_token_alignment,
 }
 
 ORACLE_SQL = {
@@ -22,4 +25,5 @@ ORACLE_SQL = {
     "op3_mixing": mixing.ORACLE,
     "op7_url_filter": url_filter.ORACLE,
     "op10_vector_topk": vector_search.ORACLE,
+    "op12_vector_codes": vector_codes.ORACLE,
 }
