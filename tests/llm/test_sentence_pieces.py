@@ -41,7 +41,7 @@ def test_parts_that_are_remembered_go_over(monkeypatch, library):
     pieces = sentence_pieces.Pieces(PATH)
     texts = [f"one two three {i} four five six seven" for i in range(20)]
     assert [ids for ids, _ in pieces.encoded(texts)] == [",".join(map(str, library.encode(t))) for t in texts]
-    assert len(pieces.known) <= 5 + 8
+    assert max(len(pieces.known), len(pieces.words)) <= 5 + 8
 
 
 def test_query(spark, sf_dir, library):
@@ -52,3 +52,14 @@ def test_query(spark, sf_dir, library):
         ids = library.encode(r.text or "")
         want.add((r.doc_id, len(ids), sha(",".join(map(str, ids))), sha(library.decode(ids) if ids else ""), True))
     assert got == want
+
+
+def test_disagreement_is_seen():
+    pieces = sentence_pieces.Pieces(PATH)
+    texts = ["a strange word", "two  spaces", "a word"]
+    got = pieces.encoded(texts)
+    assert pieces.agreeing(texts, got) == [True, True, True]
+    assert pieces.agreeing(["two  spaces"], [("1,2", "x")]) == [False]
+    pieces.agenda = lambda part: [5]
+    texts = ["quite another", "a word", ""]
+    assert pieces.agreeing(texts, pieces.encoded(texts)) == [False, True, True]

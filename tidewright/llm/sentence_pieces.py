@@ -6,8 +6,9 @@ is merged, its new neighbours join the agenda, and pairs of which a side has cha
 meanwhile are passed over. Characters without a piece become the pieces of their bytes.
 
 Merges never cross a place that no piece of the vocabulary spans, so a text is cut
-there and the ids of its short parts are remembered. In each Arrow batch the library's
-own encoder and decoder check the result.
+there and the ids of its short parts and words are remembered. In each Arrow batch the library's
+own encoder and decoder check every word that is new, and whole texts that do not consist
+of words with one space between them.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import hashlib
 import heapq
 import re
 import string
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import groupby
 
 import pyarrow as pa
@@ -43,31 +44,25 @@ codecs.register_error("each_byte", lambda e: ("�", e.start + 1))
 
 
 class Known(dict):
-    """Parts with their ids as text, and in ``spelled`` what the ids spell: strings alone, which the garbage collector passes over.
+    """Values of strings, made once; strings alone, which the garbage collector passes over.
 
-    When ``CACHE`` parts are held, those that are met again go over to the next such lot.
+    When ``CACHE`` are held, those that are met again go over to the next such lot.
     """
 
-    def __init__(self, pieces: Pieces):
+    def __init__(self, make: Callable[[str], str]):
         super().__init__()
-        self.pieces, self.spelled = pieces, {}
-        self.older: tuple[dict, dict] = {}, {}
-
-    def __missing__(self, part: str) -> str:
-        if part in self.older[0]:
-            ids, spelled = self.older[0][part], self.older[1][part]
-        else:
-            made = self.pieces.agenda(part)
-            ids, spelled = ",".join(map(str, made)), self.pieces.spelled(made)
-        self[part], self.spelled[part] = ids, spelled
-        return ids
+        self.make = make
+        self.older: dict[str, str] = {}
+
+    def __missing__(self, key: str) -> str:
+        self[key] = value = self.older[key] if key in self.older else self.make(key)
+        return value
 
     def turn(self) -> None:
-        """Between texts: forget long parts, and begin a new lot where this one is full."""
+        """Between texts: forget long strings, and begin a new lot where this one is full."""
         if len(self) >= CACHE:
-            self.older = {p: v for p, v in self.items() if len(p) <= SHORT}, {p: v for p, v in self.spelled.items() if len(p) <= SHORT}
+            self.older = {p: v for p, v in self.items() if len(p) <= SHORT}
             self.clear()
-            self.spelled.clear()
 
 
 class Pieces:
@@ -93,7 +88,13 @@ class Pieces:
         self.surfaces = [special.get(i, p.replace(SPACE, " ")) for i, p in enumerate(self.pieces)]
         joined = [p for p in self.ids if len(p) > 1]
         self.parts = self._parts(joined)
-        self.known = Known(self)
+        #: ids of parts, and of words with the space before them
+        self.known, self.words = Known(self._part), Known(self._word)
+        #: words that decode to something else than themselves, and those of which the library has other ids or another text
+        self.odd: set[str] = set()
+        self.bad: set[str] = set()
+        #: words that were met first since the last check, with their ids and their text
+        self.new: list[tuple[str, str, str]] = []
 
     @classmethod
     def shared(cls, path: str) -> Pieces:
@@ -182,14 +183,58 @@ class Pieces:
         text = self.spelled(ids)
         return text[1:] if ids and self.pieces[ids[0]].startswith(SPACE) else text
 
-    def encoded(self, texts: list[str]) -> Iterator[tuple[str, str]]:
+    def _part(self, part: str) -> str:
+        return ",".join(map(str, self.agenda(part)))
+
+    def _word(self, word: str) -> str:
+        ids = ",".join(map(self.known.__getitem__, self._split(SPACE + word)))
+        text = self.decode(list(map(int, ids.split(","))))
+        self.new.append((word, ids, text))
+        if text != word:
+            self.odd.add(word)
+        return ids
+
+    def _in_words(self, words: list[str]) -> bool:
+        """Whether a text's words, parted by one space each, can be encoded one by one."""
+        return self.parts is not None and "" not in words
+
+    def encoded(self, texts: list[str]) -> list[tuple[str, str]]:
         """Ids, as decimal numbers joined by commas, and the decoded text, for each text; the empty text has none."""
+        out = []
         for t in texts:
-            parts = self._split(SPACE + t.replace(" ", SPACE)) if t else []
-            ids = ",".join(map(self.known.__getitem__, parts))
-            # every text begins with a space that decoding takes away again
-            yield ids, "".join(map(self.known.spelled.__getitem__, parts))[1:]
+            words = t.split(" ") if SPACE not in t else [""]
+            if self._in_words(words):
+                ids = ",".join(map(self.words.__getitem__, words))
+                # each word was decoded when it was first met
+                plain = self.odd.isdisjoint(words)
+            else:
+                ids = ",".join(map(self.known.__getitem__, self._split(SPACE + t.replace(" ", SPACE)) if t else ()))
+                plain = False
+            out.append((ids, t if plain else self.decode(list(map(int, ids.split(","))) if ids else [])))
             self.known.turn()
+            self.words.turn()
+        return out
+
+    def _differ(self, own: list[tuple[str, str, str]]) -> list[bool]:
+        """Whether the library has other ids or another text for these (text, ids, decoded)."""
+        theirs = self.library.encode([t for t, _, _ in own], num_threads=1) if own else []
+        back = iter(self.library.decode([ids for ids in theirs if ids], num_threads=1) if any(theirs) else [])
+        return [(ids, text) != (",".join(map(str, t)), next(back) if t else "") for (_, ids, text), t in zip(own, theirs, strict=True)]
+
+    def agreeing(self, texts: list[str], got: list[tuple[str, str]]) -> list[bool]:
+        """Whether the library agrees with what ``encoded`` gave.
+
+        Words are compared when they are first met, and texts as a whole where they were not
+        taken word by word.
+        """
+        new, self.new = self.new, []
+        self.bad |= {w for (w, _, _), differs in zip(new, self._differ(new), strict=True) if differs}
+        words = [t.split(" ") if SPACE not in t else [""] for t in texts]
+        whole = [i for i, w in enumerate(words) if not self._in_words(w)]
+        out = [self.bad.isdisjoint(w) for w in words]
+        for i, differs in zip(whole, self._differ([(texts[i], *got[i]) for i in whole]), strict=True):
+            out[i] = not differs
+        return out
 
     def _split(self, text: str) -> list[str]:
         return self.parts.findall(text) if self.parts else [text]
@@ -230,18 +275,14 @@ def _encoded(docs: DataFrame, path: str, id_col: str, text_col: str, check: bool
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces.shared(path)
-        library = pieces.library
         for batch in batches:
             at = 0
             for texts in _portions([t or "" for t in batch.column(1).to_pylist()]):
                 keys = batch.column(0).slice(at, len(texts))
                 at += len(texts)
-                got = list(pieces.encoded(texts))
-                same = [None] * len(texts)
-                if check:
-                    theirs = library.encode(texts, num_threads=1)
-                    back = iter(library.decode([ids for ids in theirs if ids], num_threads=1) if any(theirs) else [])
-                    same = [own == (",".join(map(str, ids)), next(back) if ids else "") for own, ids in zip(got, theirs, strict=True)]
+                got = pieces.encoded(texts)
+                same = pieces.agreeing(texts, got) if check else [None] * len(texts)
+                pieces.new.clear()
                 if digest:
                     cols = [pa.array([ids.count(",") + bool(ids) for ids, _ in got], pa.int64()), *(pa.array([sha(g[k]) for g in got], pa.string()) for k in (0, 1))]
                     names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256", "agrees"]
