@@ -57,7 +57,6 @@ def sequential(log):
 @pytest.mark.parametrize("seed", range(6))
 def test_chain_and_snapshots(spark, seed, monkeypatch):
     monkeypatch.setattr(qa, "POSITIONS", 16)
-    monkeypatch.setattr(qa, "IDS", 4)
     log = random_log(seed)
     df = spark.createDataFrame(log, "what string, instrument string, source int, pos long, local_ts long, a long, b long, pu long").withColumn("venue", F.lit("v"))
     upd = df.where("what = 'update'").select("venue", "instrument", "source", "pos", "local_ts", F.col("a").alias("first_update_id"), F.col("b").alias("final_update_id"), F.col("pu").alias("prev_final_update_id"))
@@ -157,3 +156,45 @@ def test_history_from_dumps(spark):
     between = spark.createDataFrame([(1, body("A")), (3, body("A"))], "dump_day long, body string")
     snaps = normalize.day_snapshots(between, spark.createDataFrame([(2, hours(A=4))], "dump_day long, body string"))
     assert {r.interval_ns // h for r in snaps.collect()} == {8}
+
+
+def test_wide_id_ranges(spark):
+    """Ranges of any width are met, at both of their ends and beyond none of them."""
+    widths = [0, 1, 255, 256, 70_000, 10**9, 10**13, 2**62]
+    upd = [("v", f"w{i}", 10, 5, 5 + w) for i, w in enumerate(widths)] + [("v", "back", 10, 9, 3)]
+    snap = [("v", f"w{i}", p, at - 1) for i, w in enumerate(widths) for p, at in ((1, 5), (2, 5 + w), (3, 5 + w // 2), (4, 4), (5, 6 + w), (11, 5))] + [("v", "back", 1, 4), ("v", "none", 1, 4)]
+    u = spark.createDataFrame(upd, "venue string, instrument string, pos long, first_update_id long, final_update_id long")
+    s = spark.createDataFrame(snap, "venue string, instrument string, pos long, last_update_id long")
+    got = sorted((r.instrument, r.pos) for r in qa.spliced(s, u).collect())
+    assert got == sorted((f"w{i}", p) for i in range(len(widths)) for p in (1, 2, 3))
+
+
+@pytest.mark.parametrize("width", [1, 7, 4096])
+def test_one_instrument_in_many_buckets(spark, monkeypatch, width):
+    """Chains and regressions of one hot instrument do not depend on the buckets, and go on from day to day."""
+    monkeypatch.setattr(qa, "POSITIONS", width)
+    rng = random.Random(width)
+    rows, last = [], None
+    for pos in sorted(rng.sample(range(300), 120)):
+        final = rng.choice([None, pos * 10, pos * 10])
+        rows.append(("v", "hot", rng.choice([1, 2]), pos, pos * 10 - 9, final, rng.choice([last, last, 1, None])))
+        last = final if final is not None else last
+    cols = "venue string, instrument string, source int, pos long, first_update_id long, final_update_id long, prev_final_update_id long"
+    df = spark.createDataFrame(rows, cols).repartition(3)
+    want, before = [], (None, None, None)
+    for _, _, source, pos, first, final, pu in rows:
+        linked = pu is not None and before[0] is not None
+        broken = linked and pu != before[0]
+        want.append((pos, *before, broken, linked and not broken and first <= before[0]))
+        before = (final if final is not None else before[0], pos, source)
+    out = ("pos", "last_final", "prev_pos", "prev_source", "is_break", "is_overlap")
+    key = lambda r: r[0]
+    assert sorted((tuple(r) for r in qa.chain(df).select(*out).collect()), key=key) == want
+    day1, day2, day3 = (df.where(c) for c in ("pos < 100", "pos >= 100 AND pos < 200", "pos >= 200"))
+    carry, got = None, []
+    for day in (day1, day2.limit(0), day2, day3):
+        got += [tuple(r) for r in qa.chain(day, carry).select(*out).collect()]
+        carry = qa.chain_ends(day, carry)
+        carry = spark.createDataFrame(carry.collect(), carry.schema)
+    assert sorted(got, key=key) == want
+    assert [tuple(r)[2:] for r in carry.collect()] == [before]

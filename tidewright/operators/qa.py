@@ -1,9 +1,9 @@
 """Checks of a captured event log: sequence chains, splices, regressions, latency, verdict.
 
-Order is the position in the log (``pos``), never time. Every window is keyed by
-venue and instrument; lost connections are matched to them by buckets of positions
-with the last loss carried along, so that a source's whole history meets no single
-task.
+Order is the position in the log (``pos``), never time. Every window over events is
+keyed by venue, instrument and a bucket of positions, with what the earlier buckets
+ended on carried along; lost connections are matched by bucket too. So neither an
+instrument's nor a source's whole history meets in a single task.
 """
 
 from __future__ import annotations
@@ -13,8 +13,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 KEY = ("venue", "instrument")
-#: Width of a bucket of positions, and of ids, in range joins.
-POSITIONS, IDS = 4096, 256
+#: Width of a bucket of positions.
+POSITIONS = 4096
+#: Widths of buckets of ids, for ranges of any width.
+LEVELS = tuple(256 << 8 * i for i in range(7)) + (2**62,)
 PENDING_NS = 60_000_000_000
 TIMELINE = 500
 #: A day with a larger share of bytes outside frames fails.
@@ -22,23 +24,70 @@ MAX_SKIPPED = 0.01
 BUCKET_NS, LOW_NS, HIGH_NS = 1_000_000, -1_000_000_000, 10_000_000_000
 
 
-def _by_pos(*more: str):
-    return W.partitionBy(*KEY).orderBy("pos", *more)
+def _bucket() -> Column:
+    return F.floor(F.col("pos") / POSITIONS)
 
 
-def chain(updates: DataFrame) -> DataFrame:
-    """Updates with ``is_break``, ``is_overlap``, and the previous update's ``prev_pos``, ``prev_source``."""
-    last = F.lag("final_update_id").over(_by_pos())
+def _carried(rows: DataFrame, values: dict[str, Column], keys: tuple[str, ...] = KEY) -> DataFrame:
+    """keys, _bucket and, for each of ``values``, its last non-null value by position in earlier buckets.
+
+    A bucket has one row here, so what is ordered over a key's whole history is one row for
+    each bucket of positions, not each event.
+    """
+    last = [F.max_by(v, F.when(v.isNotNull(), F.col("_at"))).alias(name) for name, v in values.items()]
+    at = F.struct("pos", "idx") if "idx" in rows.columns else F.col("pos")
+    ends = rows.withColumns({"_at": at, "_bucket": _bucket()}).groupBy(*keys, "_bucket").agg(*last)
+    before = W.partitionBy(*keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    return ends.select(*keys, "_bucket", *(F.last(name, ignorenulls=True).over(before).alias(f"_{name}") for name in values))
+
+
+def with_previous(rows: DataFrame, values: dict[str, Column], carry: DataFrame | None = None, keys: tuple[str, ...] = KEY) -> DataFrame:
+    """``rows`` with, under each name of ``values``, its last non-null value before the row (by key, in the order of positions).
+
+    Windows hold a bucket of positions of a key; what went before comes from earlier
+    buckets, and before them from ``carry`` (the keys and the names), as ``last_values`` of
+    an earlier part of the log gives it.
+    """
+    order = ["pos", "idx"] if "idx" in rows.columns else ["pos"]
+    in_bucket = W.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    out = rows.withColumn("_bucket", _bucket()).join(_carried(rows, values, keys), [*keys, "_bucket"])
+    found = {name: F.coalesce(F.last(v, ignorenulls=True).over(in_bucket), F.col(f"_{name}")) for name, v in values.items()}
+    if carry is not None:
+        out = out.join(carry.select(*keys, *(F.col(name).alias(f"_c_{name}") for name in values)), list(keys), "left")
+        found = {name: F.coalesce(c, F.col(f"_c_{name}")) for name, c in found.items()}
+    return out.withColumns(found).select(*rows.columns, *values)
+
+
+def last_values(rows: DataFrame, values: dict[str, Column], carry: DataFrame | None = None, keys: tuple[str, ...] = KEY) -> DataFrame:
+    """keys and the last non-null value of each of ``values``: what the next part of a log goes on from."""
+    at = F.struct("pos", "idx") if "idx" in rows.columns else F.col("pos")
+    out = rows.withColumn("_at", at).groupBy(*keys).agg(*(F.max_by(v, F.when(v.isNotNull(), F.col("_at"))).alias(name) for name, v in values.items()))
+    if carry is None:
+        return out
+    older = carry.select(*keys, *(F.col(name).alias(f"_c_{name}") for name in values))
+    return out.join(older, list(keys), "full_outer").select(*keys, *(F.coalesce(name, f"_c_{name}").alias(name) for name in values))
+
+
+def _chain_values() -> dict[str, Column]:
+    return {"last_final": F.col("final_update_id"), "prev_pos": F.col("pos"), "prev_source": F.col("source")}
+
+
+def chain(updates: DataFrame, carry: DataFrame | None = None) -> DataFrame:
+    """Updates with ``is_break``, ``is_overlap``, and the previous update's ``prev_pos``, ``prev_source``.
+
+    ``carry`` is ``chain_ends`` of the days before, whose positions lie before these.
+    """
     linked = F.col("prev_final_update_id").isNotNull() & F.col("last_final").isNotNull()
     return (
-        updates.withColumns({"last_final": last, "prev_pos": F.lag("pos").over(_by_pos()), "prev_source": F.lag("source").over(_by_pos())})
+        with_previous(updates, _chain_values(), carry)
         .withColumn("is_break", F.coalesce(linked & (F.col("prev_final_update_id") != F.col("last_final")), F.lit(False)))
         .withColumn("is_overlap", F.coalesce(linked & ~F.col("is_break") & (F.col("first_update_id") <= F.col("last_final")), F.lit(False)))
     )
 
 
-def _buckets(start: Column, end: Column, width: int) -> Column:
-    return F.explode(F.sequence(F.floor(start / width), F.floor(end / width)))
+def chain_ends(updates: DataFrame, carry: DataFrame | None = None) -> DataFrame:
+    """venue, instrument, last_final, prev_pos, prev_source: each instrument's last update, with ``carry`` for those without one."""
+    return last_values(updates, _chain_values(), carry)
 
 
 def _losses(asked: DataFrame, downs: DataFrame) -> DataFrame:
@@ -80,13 +129,29 @@ def explained(flagged: DataFrame, downs: DataFrame) -> DataFrame:
 
 
 def spliced(snapshots: DataFrame, updates: DataFrame) -> DataFrame:
-    """Snapshots that a later update continues: first <= last_update_id + 1 <= final."""
+    """Snapshots that a later update continues: first <= last_update_id + 1 <= final.
+
+    Ranges of ids are met by buckets whose width goes with the range's own: a range is put
+    into the level of the smallest width of which it touches two buckets at most, and a
+    snapshot asks at the levels that occur.
+    """
+    key = list(KEY)
+    wide = F.col("final_update_id") - F.col("first_update_id")
+    ranges = updates.where(wide >= 0).select(*key, "pos", "first_update_id", "final_update_id")
+    level = F.lit(LEVELS[-1]).cast("long")
+    for width in reversed(LEVELS[:-1]):
+        level = F.when(wide < width, F.lit(width).cast("long")).otherwise(level)
+    ranges = ranges.withColumn("_width", level)
+    down = lambda c: F.floor(F.col(c).cast("decimal(20,0)") / F.col("_width")).cast("long")
+    u = ranges.withColumn("_bucket", F.explode(F.array_distinct(F.array(down("first_update_id"), down("final_update_id"))))).alias("u")
     need = snapshots.withColumn("_need", F.col("last_update_id") + 1)
-    s = need.withColumn("_bucket", F.floor(F.col("_need") / IDS)).alias("s")
-    u = updates.select(*KEY, "pos", "first_update_id", "final_update_id", _buckets(F.col("first_update_id"), F.col("final_update_id"), IDS).alias("_bucket")).alias("u")
-    on = [F.col(f"s.{k}") == F.col(f"u.{k}") for k in (*KEY, "_bucket")]
+    # the widths that occur are a few rows for each instrument
+    used = ranges.select(*key, "_width").distinct()
+    s = need.join(used, key).withColumn("_bucket", down("_need")).alias("s")
+    on = [F.col(f"s.{k}") == F.col(f"u.{k}") for k in (*key, "_width", "_bucket")]
     on += [F.col("u.pos") > F.col("s.pos"), F.col("u.first_update_id") <= F.col("s._need"), F.col("s._need") <= F.col("u.final_update_id")]
-    return s.join(u, on, "left_semi").select(*(F.col(f"s.{c}") for c in snapshots.columns))
+    met = s.join(u, on, "left_semi").select(*(F.col(f"s.{k}").alias(k) for k in key), F.col("s.pos").alias("pos")).distinct()
+    return snapshots.join(met, [*key, "pos"], "left_semi").select(*snapshots.columns)
 
 
 def abandoned(snapshots: DataFrame, updates: DataFrame, downs: DataFrame) -> DataFrame:
@@ -95,10 +160,12 @@ def abandoned(snapshots: DataFrame, updates: DataFrame, downs: DataFrame) -> Dat
     An update's source feeds its instrument until the next update, so the last loss
     within any such span decides: it must come after the snapshot.
     """
-    nxt = F.lead("pos").over(_by_pos())
-    spans = updates.select(*KEY, "source", F.col("pos").alias("since"), nxt.alias("at"))
-    ends = downs.groupBy("venue").agg(F.max("pos").alias("end"))
-    spans = spans.join(ends, "venue").withColumn("at", F.coalesce("at", F.col("end") + 1)).drop("end").where("at > since")
+    # a span ends at its next update, whose previous one it is; an instrument's last span ends with the log
+    fed = {"since": F.col("pos"), "fed": F.col("source")}
+    inner = with_previous(updates.select(*KEY, "pos", "source"), fed).where("since IS NOT NULL").select(*KEY, F.col("fed").alias("source"), "since", F.col("pos").alias("at"))
+    ends = downs.groupBy("venue").agg((F.max("pos") + 1).alias("at"))
+    last = last_values(updates, fed).select(*KEY, F.col("fed").alias("source"), "since").join(F.broadcast(ends), "venue")
+    spans = inner.unionByName(last).where("at > since")
     lost = last_loss(spans, downs).where("last_loss > since").groupBy(*KEY).agg(F.max("last_loss").alias("lost"))
     return snapshots.join(lost, list(KEY)).where("lost > pos").select(*snapshots.columns)
 
@@ -120,13 +187,13 @@ def id_regressions(trades: DataFrame) -> DataFrame:
     numeric = trades.withColumn("id", F.when(number < F.lit(str(2**64)).cast("decimal(20,0)"), number))
     events = W.partitionBy(*KEY).orderBy("pos")
     # the previous trades event, whatever its ids, is what a lost connection is counted from
-    spans = numeric.select(*KEY, "pos", "source").distinct().withColumns({"prev_pos": F.lag("pos").over(events), "prev_source": F.lag("source").over(events)}).drop("source")
-    last = F.lag("id").over(_by_pos("idx"))
-    return numeric.where("id IS NOT NULL").withColumn("last_id", last).where("id <= last_id").join(spans, [*KEY, "pos"])
+    events = numeric.select(*KEY, "pos", "source").distinct()
+    spans = with_previous(events, {"prev_pos": F.col("pos"), "prev_source": F.col("source")}).drop("source")
+    return with_previous(numeric, {"last_id": F.col("id")}).where("id <= last_id").join(spans, [*KEY, "pos"])
 
 
 def ticker_regressions(tickers: DataFrame) -> DataFrame:
-    return tickers.withColumn("last_id", F.lag("update_id").over(_by_pos())).where("update_id <= last_id")
+    return with_previous(tickers, {"last_id": F.col("update_id")}).where("update_id <= last_id")
 
 
 def counts_by_kind(events: DataFrame) -> DataFrame:

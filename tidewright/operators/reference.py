@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+import heapq
+import itertools
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidewright.functions.market import covers
+from tidewright.functions.market import covers, day_of
+
+#: An end that is later than any time.
+FOREVER = 2**63 - 1
+#: Windows of a key that a fact is compared with at most.
+PAGE = 64
 
 
 def point_in_time(facts: DataFrame, dims: DataFrame, keys: list[str], at: str, order: list[str] | None = None, how: str = "inner") -> DataFrame:
@@ -27,6 +36,85 @@ def point_in_time(facts: DataFrame, dims: DataFrame, keys: list[str], at: str, o
     return best.select(*(F.col(f"f.{c}") for c in facts.columns), *(F.col(f"d.{c}") for c in extra))
 
 
+def disjoint_windows(dims: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The rows of ``dims`` with windows that do not overlap: where several of a key cover a time, the first by ``order`` has it.
+
+    Ties go to the window that starts, then ends, first. Windows without a start, or that
+    end before they start, cover nothing. Only keys with overlaps are swept, each once over
+    its starts and ends with the open windows in a heap; a row may come out with several
+    windows.
+    """
+    good = dims.where("valid_from IS NOT NULL AND (valid_to IS NULL OR valid_to > valid_from)")
+    by = W.partitionBy(*keys)
+    earlier = by.orderBy("valid_from").rowsBetween(W.unboundedPreceding, -1)
+    reached = F.max(F.coalesce("valid_to", F.lit(FOREVER))).over(earlier)
+    overlaps = good.select(*keys, (reached > F.col("valid_from")).alias("_over")).where("_over").select(*keys).distinct()
+    clean, mixed = good.join(overlaps, keys, "left_anti"), good.join(overlaps, keys, "left_semi")
+    # sorted by Spark, so that nulls and ties go as they do elsewhere
+    ends = F.coalesce("valid_to", F.lit(FOREVER))
+    ranked = mixed.withColumn("_place", F.row_number().over(by.orderBy(*order, "valid_from", ends)))
+
+    def sweep(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("valid_from")
+        begin, until, place = (rows[c].tolist() for c in ("valid_from", "_end", "_place"))
+        times = sorted({*begin, *until})
+        waiting: list[tuple[int, int]] = []
+        out: list[list[int]] = []
+        at = 0
+        for t, nxt in itertools.pairwise(times):
+            while at < len(begin) and begin[at] <= t:
+                heapq.heappush(waiting, (place[at], until[at]))
+                at += 1
+            while waiting and waiting[0][1] <= t:
+                heapq.heappop(waiting)
+            if waiting and out and out[-1][0] == waiting[0][0] and out[-1][2] == t:
+                out[-1][2] = nxt
+            elif waiting:
+                out.append([waiting[0][0], t, nxt])
+        return pd.DataFrame([(*rows[keys].iloc[0], *o) for o in out], columns=[*keys, "_place", "_from", "_to"])
+
+    kinds = ", ".join(f"`{k}` {dims.schema[k].dataType.simpleString()}" for k in keys)
+    swept = ranked.select(*keys, "_place", "valid_from", ends.alias("_end")).groupBy(*keys).applyInPandas(sweep, f"{kinds}, _place INT, _from BIGINT, _to BIGINT")
+    parts = ranked.join(swept, [*keys, "_place"]).withColumns({"valid_from": F.col("_from"), "valid_to": F.when(F.col("_to") < FOREVER, F.col("_to"))})
+    return clean.select(*dims.columns).unionByName(parts.select(*dims.columns))
+
+
+def first_covering(facts: DataFrame, dims: DataFrame, keys: list[str], at: str, order: list[str], how: str = "inner", folded: tuple[str, ...] = ()) -> DataFrame:
+    """Facts with the first row of ``dims`` (by ``order``) whose window holds ``at``: at most one for each fact.
+
+    Which row that is, is settled before the join (``disjoint_windows``). Keys named in
+    ``folded`` are compared in lower case. ``how`` is inner or left; null keys and times
+    meet nothing. Keys with few windows are met by an equi-join with the window as a
+    condition. Where a key has more than ``PAGE``, a key's windows are pages of so many in
+    the order of their starts; a fact finds its page among those that begin on its day, or
+    takes the last one before, and meets that page only.
+    """
+    columns = [c for c in dims.columns if c not in {*keys, "valid_from", "valid_to"}]
+    k = [f"_{x}" for x in keys]
+    own = lambda df: df.withColumns({f"_{x}": F.lower(x) if x in folded else F.col(x) for x in keys})
+    f, d = own(facts), disjoint_windows(own(dims).drop(*keys), k, order)
+    most = d.groupBy(*k).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    if most <= PAGE:
+        row = F.struct(*columns, F.lit(True).alias("_hit"))
+        w = d.select(*(F.col(c).alias(f"d{c}") for c in k), "valid_from", "valid_to", row.alias("_row"))
+        on = [F.col(c) == F.col(f"d{c}") for c in k] + [covers(F.col(f"f.{at}"), F.col("d.valid_from"), F.col("d.valid_to"))]
+        out = f.alias("f").join(w.alias("d"), on, how)
+    else:
+        by = W.partitionBy(*k).orderBy("valid_from")
+        d = d.withColumn("_page", F.floor((F.row_number().over(by) - 1) / PAGE))
+        pages = d.groupBy(*k, "_page").agg(F.collect_list(F.struct("valid_from", "valid_to", *columns)).alias("_own"), F.min("valid_from").alias("_start"))
+        begun = pages.groupBy(*k, day_of(F.col("_start")).alias("_day")).agg(F.collect_list(F.struct("_start", "_page")).alias("_starts"))
+        asked = f.select(*k, day_of(F.col(at)).alias("_day")).dropna().distinct()
+        before = W.partitionBy(*k).orderBy("_day").rowsBetween(W.unboundedPreceding, -1)
+        days = asked.join(begun, [*k, "_day"], "full_outer").withColumn("_last", F.max(F.array_max(F.col("_starts._page"))).over(before))
+        started = F.array_max(F.transform(F.filter("_starts", lambda x: x["_start"] <= F.col(at)), lambda x: x["_page"]))
+        found = f.withColumn("_day", day_of(F.col(at))).join(days, [*k, "_day"], "left").withColumn("_page", F.coalesce(started, F.col("_last"))).drop("_starts", "_last", "_day")
+        hit = F.filter("_own", lambda x: covers(F.col(at), x["valid_from"], x["valid_to"]))
+        out = found.join(pages.drop("_start"), [*k, "_page"], "left").withColumn("_row", F.get(hit, 0))
+        out = out.where("_row IS NOT NULL") if how == "inner" else out
+    return out.select(*(F.col(c) for c in facts.columns), *(F.col(f"_row.{c}").alias(c) for c in columns))
+
+
 def listed_everywhere(mapping: DataFrame, venues: list[str], at: int, key: str = "canonical") -> DataFrame:
     """Keys that every one of ``venues`` lists at a time."""
     live = mapping.where(covers(F.lit(at), F.col("valid_from"), F.col("valid_to")) & F.col("venue").isin(*venues))

@@ -47,7 +47,7 @@ _MAPPED = f"""WITH mapped AS (
 
 def _mapped(get) -> DataFrame:
     dims = get("mapping").select("venue", "instrument", F.col("base").alias("canonical"), "valid_from", "valid_to")
-    return reference.point_in_time(get("fund"), dims, ["venue", "instrument"], "funding_time")
+    return reference.first_covering(get("fund"), dims, ["venue", "instrument"], "funding_time", ["canonical"], folded=("instrument",))
 
 
 @query("funding_spread_topk", ("fund", "mapping"), _MAPPED + f"""
@@ -137,6 +137,20 @@ def _(get):
     return joined.groupBy("venue", "tier").agg(F.count("*").alias("settlements"), F.round(F.avg(F.col("maker").cast("double")), 9).alias("maker"))
 
 
+@query("first_covering_window", ("dump", "fund"), """WITH w AS (SELECT symbol, status, dump_day, dump_day + 8640000000000000 AS until FROM dump)
+;
+SELECT venue, instrument, funding_time, coalesce(status, 'none') AS status, coalesce(dump_day, -1) AS dump_day FROM (
+  SELECT f.venue, f.instrument, f.funding_time, w.status, w.dump_day, row_number() OVER (PARTITION BY f.venue, f.instrument, f.funding_time ORDER BY w.status, w.dump_day) AS n
+  FROM fund f LEFT JOIN w ON w.symbol = f.instrument AND f.funding_time >= w.dump_day AND f.funding_time < w.until) x WHERE n = 1""")
+def _(get):
+    """Listings that hold for a hundred days, so those of four months overlap, under symbols in upper case."""
+    hundred_days = 100 * NS_DAY
+    w = get("dump").select(F.upper("symbol").alias("instrument"), "status", "dump_day", F.col("dump_day").alias("valid_from"), (F.col("dump_day") + hundred_days).alias("valid_to"))
+    facts = get("fund").select("venue", "instrument", "funding_time")
+    out = reference.first_covering(facts, w, ["instrument"], "funding_time", ["status", "dump_day"], "left", ("instrument",))
+    return out.fillna("none", ["status"]).fillna(-1, ["dump_day"])
+
+
 @query("fee_violations", ("fees",), "SELECT venue, tier, valid_from FROM fees WHERE maker IS NULL OR abs(maker) > 0.05 OR taker IS NULL OR abs(taker) > 0.05 OR valid_from IS NULL")
 def _(get):
     fees = get("fees").withColumns({c: F.col(c).cast("double") for c in ("maker", "taker")})

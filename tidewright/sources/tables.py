@@ -23,15 +23,9 @@ LOOK_BACK = 32
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether there is anything at ``path``; errors other than a missing path are raised."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        return bool(spark.read.text(path).schema)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
+    """Whether there is anything at ``path``, as its file system has it; nothing is listed or read."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
 def event_log(spark: SparkSession, path: str, venue: str | None = None, date: str | None = None, kind: str | None = None) -> DataFrame:
