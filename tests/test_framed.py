@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from tidewright.sources.framed import FramedLog, audit, encode, frames
+from tidewright.sources.framed import FramedLog, audit, encode, frames, log_rows
 
 
 def read(spark, tmp_path, data, split):
@@ -42,6 +42,31 @@ def test_audit(spark, tmp_path, kind, want, split):
     found = read(spark, tmp_path, b"".join(parts), split)
     got = audit(found).first()
     assert (got.frames_ok, got.skipped_bytes, got.resyncs, got.truncated_tail, got.wrong_version) == want
+    for width in (1, 64):  # ranges of the running maximum
+        assert audit(found, width).collect() == [got]
     if kind == "clean":
         ok = frames(found).where("status = 'ok'").orderBy("offset").collect()
         assert [encode(bytes(r.payload)) for r in ok] == parts
+
+
+def test_no_window_holds_a_file(spark, tmp_path):
+    found = read(spark, tmp_path, b"".join(encode(bytes([i]) * 30) for i in range(40)), 64)
+    plan = audit(found, 64)._jdf.queryExecution().optimizedPlan().toString()
+    over_frames = [line for line in plan.splitlines() if "windowspecdefinition" in line and "offset" in line]
+    assert over_frames
+    assert all("_range" in line.split("windowspecdefinition")[1].split(",")[1] for line in over_frames)
+
+
+def test_rows_of_a_log_with_a_broken_end(spark, tmp_path):
+    import json
+
+    from pyspark.sql import functions as F
+
+    row = lambda i, t: encode(json.dumps({"instrument": i, "funding_time": t, "rate": 0.1}).encode())
+    schema = "instrument STRING, funding_time BIGINT, rate DOUBLE"
+    decode = lambda p: F.from_json(p.cast("string"), schema)
+    data = row("a", 10) + row("b", 99) + row("c", 100) + encode(b"no json") + row("d", 50)[:-3] + b"junk" + row("e", 60) + row("f", 70)[:20]
+    found = read(spark, tmp_path, data, 64)
+    assert sorted(r.instrument for r in log_rows(found, decode, 10, 100).collect()) == ["a", "b", "e"]
+    wrong = row("a", 10) + b"WAL1\x02" + row("b", 20)[5:] + row("c", 30)
+    assert [r.instrument for r in log_rows(read(spark, tmp_path, wrong, 64), decode, 0, 100).collect()] == ["a"]

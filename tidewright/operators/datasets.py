@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidewright.functions.market import day_of
+
 RATE_EPS = 1e-10
 MAX_STREAK = 400
 #: Matched settlements that a comparison should have.
@@ -46,6 +48,50 @@ def reconcile(expected: DataFrame, captured: DataFrame, eps: float = RATE_EPS) -
     return e.join(c, keys, "full_outer").select(*keys, outcome.alias("outcome"))
 
 
+def assembled(tables: DataFrame, log: DataFrame, verdicts: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """venue, day, instrument, funding_time, rate: what was captured of every day's settlements.
+
+    ``tables`` and ``log`` have venue, instrument, funding_time, rate and ``captured``, the
+    day number of the table or log in which a row stands; ``verdicts`` has venue, day and
+    status of published days. A day is taken from its own table, from the next day's table
+    if that day has passed, and from the next day's log, which needs no verdict; of one
+    settlement the last of these counts, and there the last by ``order``. Nothing further
+    ahead is looked at. Days that have not passed give nothing (see ``assembly_gate``).
+    """
+    day = day_of(F.col("funding_time"))
+    passed = verdicts.where("status = 'pass'").select("venue", F.col("day").alias("captured")).distinct()
+    near = lambda df: df.withColumn("day", day).where((F.col("captured") - F.col("day")).between(0, 1))
+    listed = near(tables).join(passed, ["venue", "captured"], "left_semi")
+    inputs = [listed.where("captured = day"), listed.where("captured = day + 1"), near(log).where("captured = day + 1")]
+    out = last_write_wins(inputs, ["venue", "instrument", "funding_time"], order)
+    return out.join(passed.withColumnRenamed("captured", "day"), ["venue", "day"], "left_semi").select("venue", "day", "instrument", "funding_time", "rate")
+
+
+def assembly_gate(days: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """venue, day, reason: null, or why a day is blocked: not published, or did not pass its checks."""
+    known = verdicts.groupBy("venue", "day").agg(F.max("status").alias("status"))
+    reason = F.when(F.col("status").isNull(), "not published").when(F.col("status") != "pass", F.concat(F.lit("checks: "), "status"))
+    return days.select("venue", "day").distinct().join(known, ["venue", "day"], "left").select("venue", "day", reason.alias("reason"))
+
+
+def reconcile_days(expected: DataFrame, tables: DataFrame, log: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """Every day's counts and coverage against ``expected``, status (pass, fail or blocked) and reason.
+
+    A blocked day has what was expected as its count, and compares nothing.
+    """
+    e = expected.withColumn("day", day_of(F.col("funding_time")))
+    gate = assembly_gate(e, verdicts)
+    open_ = gate.where("reason IS NULL").select("venue", "day")
+    detail = reconcile(e.join(open_, ["venue", "day"], "left_semi"), assembled(tables, log, verdicts)).withColumn("day", day_of(F.col("funding_time")))
+    counts = daily_coverage(detail).drop("passed")
+    blocked = gate.where("reason IS NOT NULL").join(e.groupBy("venue", "day").agg(F.count("*").alias("expected")), ["venue", "day"])
+    wrong = F.col("missing") + F.col("extra") + F.col("mismatch")
+    n = F.col("matched") + F.col("missing") + F.col("mismatch")
+    found = counts.select("venue", "day", n.alias("expected"), "matched", "missing", "extra", "mismatch", "coverage_pct", F.when(wrong == 0, "pass").otherwise("fail").alias("status"), F.lit(None).cast("string").alias("reason"))
+    none = [F.lit(0).cast("long").alias(c) for c in ("matched", "missing", "extra", "mismatch")]
+    return found.unionByName(blocked.select("venue", "day", "expected", *none, F.lit(0.0).alias("coverage_pct"), F.lit("blocked").alias("status"), "reason"))
+
+
 def differences(detail: DataFrame) -> DataFrame:
     """What is missing or extra, by time and instrument."""
     return detail.where(F.col("outcome").isin("missing", "extra")).orderBy("funding_time", "instrument", "venue")

@@ -234,6 +234,33 @@ def _(get):
     return datasets.green_streaks(_daily(get))
 
 
+@query("reconcile_assembled", ("fund", "capt"), f"""WITH c AS (SELECT *, {_sql_day('funding_time')} AS day, CAST(substr(instrument, 2) AS BIGINT) % 7 AS h FROM capt),
+t AS (SELECT venue, instrument, funding_time, rate, day + CASE WHEN h = 5 THEN 1 WHEN h = 6 THEN 2 ELSE 0 END AS captured, day FROM c WHERE h <> 4),
+l AS (SELECT venue, instrument, funding_time, rate + 0.5 AS rate, day + 1 AS captured, day FROM c WHERE h IN (3, 4)),
+v AS (SELECT DISTINCT venue, captured AS day, CASE WHEN captured % 10 = 9 THEN 'fail' ELSE 'pass' END AS status FROM t WHERE captured % 10 <> 8),
+p AS (SELECT venue, day FROM v WHERE status = 'pass'),
+a AS (SELECT venue, instrument, funding_time, day, arg_max(rate, o) AS rate FROM (
+  SELECT t.venue, t.instrument, t.funding_time, t.day, t.rate, t.captured - t.day AS o FROM t JOIN p ON p.venue = t.venue AND p.day = t.captured WHERE t.captured - t.day <= 1
+  UNION ALL SELECT venue, instrument, funding_time, day, rate, 2 AS o FROM l) x GROUP BY ALL),
+e AS (SELECT *, {_sql_day('funding_time')} AS day FROM fund),
+g AS (SELECT d.venue, d.day, CASE WHEN v.status IS NULL THEN 'not published' WHEN v.status <> 'pass' THEN 'checks: ' || v.status END AS reason FROM (SELECT DISTINCT venue, day FROM e) d LEFT JOIN v USING (venue, day)),
+b AS (SELECT coalesce(x.venue, y.venue) AS venue, coalesce(x.day, y.day) AS day, CASE WHEN y.venue IS NULL THEN 'missing' WHEN x.venue IS NULL THEN 'extra' WHEN abs(x.rate - y.rate) > 1e-10 THEN 'mismatch' ELSE 'matched' END AS o
+  FROM (SELECT e.* FROM e JOIN p USING (venue, day)) x FULL JOIN (SELECT a.* FROM a JOIN p USING (venue, day)) y ON x.venue = y.venue AND x.instrument = y.instrument AND x.funding_time = y.funding_time),
+n AS (SELECT venue, day, count(*) FILTER (o <> 'extra') AS expected, count(*) FILTER (o = 'matched') AS matched, count(*) FILTER (o = 'missing') AS missing, count(*) FILTER (o = 'extra') AS extra, count(*) FILTER (o = 'mismatch') AS mismatch FROM b GROUP BY 1, 2)
+;
+SELECT venue, day, expected, matched, missing, extra, mismatch, round((CASE WHEN expected = 0 THEN 100.0 ELSE (matched + mismatch) * 100.0 / expected END)::DOUBLE, 6) AS coverage_pct,
+       CASE WHEN missing + extra + mismatch = 0 THEN 'pass' ELSE 'fail' END AS status, 'none' AS reason FROM n
+UNION ALL SELECT g.venue, g.day, count(*), 0, 0, 0, 0, 0.0, 'blocked', g.reason FROM g JOIN e USING (venue, day) WHERE g.reason IS NOT NULL GROUP BY g.venue, g.day, g.reason""")
+def _(get):
+    """Captured settlements stand in the table of their day, of the next one or the one after, or only in the next day's log; a tenth of the days failed, a tenth was not published."""
+    c = get("capt").withColumns({"day": day_of(F.col("funding_time")), "h": F.substring("instrument", 2, 20).cast("long") % 7})
+    tables = c.where("h <> 4").withColumn("captured", F.col("day") + F.when(F.col("h") == 5, 1).when(F.col("h") == 6, 2).otherwise(0)).drop("h")
+    log = c.where("h IN (3, 4)").withColumns({"captured": F.col("day") + 1, "rate": F.col("rate") + 0.5}).drop("h")
+    verdicts = tables.where("captured % 10 <> 8").select("venue", F.col("captured").alias("day"), F.when(F.col("captured") % 10 == 9, "fail").otherwise("pass").alias("status")).distinct()
+    out = datasets.reconcile_days(get("fund"), tables.drop("day"), log.drop("day"), verdicts)
+    return out.withColumn("coverage_pct", F.round(F.col("coverage_pct").cast("double"), 6)).fillna("none", ["reason"])
+
+
 @query("live_history_union", ("fund", "capt"), """
 SELECT venue, instrument, funding_time, rate FROM fund
 UNION ALL SELECT venue, instrument, funding_time, rate FROM capt c WHERE NOT EXISTS (SELECT 1 FROM fund f WHERE f.venue = c.venue AND f.instrument = c.instrument AND f.funding_time = c.funding_time)""")

@@ -13,10 +13,10 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -107,19 +107,29 @@ class FramedReader(DataSourceReader):
                 at = data.find(MAGIC, at + step)
 
 
-def frames(found: DataFrame) -> DataFrame:
-    """The frames that count: those in order, without what lies inside another, up to a wrong version."""
-    before = W.partitionBy("file").orderBy("offset", "end").rowsBetween(W.unboundedPreceding, -1)
-    reached = F.coalesce(F.max(F.when(F.col("status") == "ok", F.col("end"))).over(before), F.lit(0))
-    placed = found.drop("payload") if "payload" not in found.columns else found
-    placed = placed.withColumn("reached", reached)
-    stop = F.min(F.when((F.col("status") == "bad_version") & (F.col("offset") == F.col("reached")), F.col("offset"))).over(W.partitionBy("file"))
-    return placed.withColumn("stop", stop).where((F.col("offset") >= F.col("reached")) & (F.col("stop").isNull() | (F.col("offset") <= F.col("stop"))))
+def frames(found: DataFrame, width: int = SPLIT) -> DataFrame:
+    """The frames that count: those in order, without what lies inside another, up to a wrong version.
 
+    How far the frames before one reach is a running maximum in two levels: over the frames
+    that begin in one range of ``width`` bytes, and over the ranges of a file.
+    """
+    ok_end = F.when(F.col("status") == "ok", F.col("end"))
+    placed = found.withColumn("_range", F.floor(F.col("offset") / width))
+    ranges = placed.groupBy("file", "_range").agg(F.max(ok_end).alias("_end"))
+    earlier = W.partitionBy("file").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    ranges = ranges.select("file", "_range", F.coalesce(F.max("_end").over(earlier), F.lit(0)).alias("_before"))
+    inside = W.partitionBy("file", "_range").orderBy("offset", "end").rowsBetween(W.unboundedPreceding, -1)
+    placed = placed.join(ranges, ["file", "_range"]).withColumn("reached", F.greatest(F.coalesce(F.max(ok_end).over(inside), F.lit(0)), F.col("_before")))
+    wrong = placed.where((F.col("status") == "bad_version") & (F.col("offset") == F.col("reached")))
+    # one row for each file that has a wrong version
+    placed = placed.join(wrong.groupBy("file").agg(F.min("offset").alias("stop")), "file", "left")
+    kept = placed.where((F.col("offset") >= F.col("reached")) & (F.col("stop").isNull() | (F.col("offset") <= F.col("stop"))))
+    return kept.select(*found.columns, "reached", "stop")
 
-def audit(found: DataFrame) -> DataFrame:
+
+def audit(found: DataFrame, width: int = SPLIT) -> DataFrame:
     """file, frames_ok, skipped_bytes, resyncs, truncated_tail, wrong_version, refused for each file."""
-    f = frames(found)
+    f = frames(found.drop("payload"), width)
     gap = F.col("offset") - F.col("reached")
     ok = F.col("status") == "ok"
     out = f.groupBy("file").agg(
@@ -134,3 +144,14 @@ def audit(found: DataFrame) -> DataFrame:
         "file", "frames_ok", skipped.alias("skipped_bytes"), (F.col("inner_resyncs") + ((F.col("tail") > 0) & ~F.col("truncated_tail")).cast("int")).alias("resyncs"), "truncated_tail",
         F.col("stop").isNotNull().alias("wrong_version"), (skipped > MAX_SKIPPED * F.col("size")).alias("refused"),
     )
+
+
+def log_rows(found: DataFrame, decode: Callable[[Column], Column], start: int, end: int, at: str = "funding_time", width: int = SPLIT) -> DataFrame:
+    """The rows of a log that may still be written to, with ``at`` in a half-open window.
+
+    ``decode`` makes a struct of a payload, or null where it cannot. What lies behind a
+    wrong version, torn frames and payloads that are none are passed over; a broken end
+    never fails the read.
+    """
+    rows = frames(found, width).where("status = 'ok'").select("file", "offset", decode(F.col("payload")).alias("r"))
+    return rows.select("file", "offset", "r.*").where((F.col(at) >= start) & (F.col(at) < end))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright import schemas
@@ -20,6 +20,10 @@ REGISTRY = "venue STRING, date DATE, status STRING, failures BIGINT, published_a
 QUIET_S = 600
 #: Days before today that are published by day.
 LOOK_BACK = 32
+#: Rows of a row group at most.
+GROUP_ROWS = 500_000
+#: Sort columns of a file, as far as a table has them; settlements go by time first.
+ORDER, SETTLED = ("instrument", "venue_ts"), ("funding_time", "instrument")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -28,15 +32,24 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
-def event_log(spark: SparkSession, path: str, venue: str | None = None, date: str | None = None, kind: str | None = None) -> DataFrame:
-    """The typed event log; venue and date prune partitions."""
+def event_log(spark: SparkSession, path: str, venue: str | None = None, date: str | None = None, kind: str | None = None, start: int | None = None, end: int | None = None) -> DataFrame:
+    """The typed event log; venue and date prune partitions, kind and the half-open window of local times row groups."""
     log = spark.read.schema(f"{schemas.EVENT_LOG}, date DATE").parquet(path)
     for c, v in (("venue", venue), ("date", date), ("kind", kind)):
         if v is not None:
             log = log.where(F.col(c) == v)
+    if start is not None:
+        log = log.where((F.col("local_ts") >= start) & (F.col("date") >= date_of(F.lit(start))))
+    if end is not None:
+        log = log.where((F.col("local_ts") < end) & (F.col("date") <= date_of(F.lit(end - 1))))
     return log
 
 
+def write_event_log(log: DataFrame, path: str, group_rows: int = GROUP_ROWS) -> None:
+    """The event log (with ``date``) by venue and date; within a file by kind, then local time."""
+    laid_out(log.repartitionByRange("venue", "date", "kind", "local_ts").sortWithinPartitions("venue", "date", "kind", "local_ts"), ("venue", "date", "kind", "local_ts"), group_rows).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("venue", "date").parquet(path)
+
+
 def raw_messages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.RAW).parquet(path)
 
@@ -87,11 +100,27 @@ def routed(events: DataFrame, today: str) -> DataFrame:
     return out.withColumn("is_late", F.col("date") < F.lit(today).cast("date"))
 
 
-def write_tables(tables: dict[str, DataFrame], root: str, by: tuple[str, ...] = ("venue", "date")) -> None:
-    """Each table to its partitions, replacing those it has rows for; rows by instrument and time within a file."""
+def laid_out(df: DataFrame, by: tuple[str, ...] = (), group_rows: int = GROUP_ROWS) -> DataFrameWriter:
+    """A writer of ``df`` whose files are in the order of their table, in row groups of at most so many rows.
+
+    So the least and largest values of a row group are close, and a filter on instrument and
+    time passes over most groups.
+    """
+    order = [c for c in (*by, *(SETTLED if "funding_time" in df.columns and "rate" in df.columns else ORDER)) if c in df.columns]
+    out = df.sortWithinPartitions(*order).write if order else df.write
+    # a group is checked for its size at least this often
+    often = min(group_rows, 10_000)
+    options = {"parquet.block.row.count.limit": group_rows, "parquet.page.row.count.limit": min(group_rows, 20_000), "parquet.page.size.row.check.min": 100, "parquet.page.size.row.check.max": often}
+    return out.option("compression", "zstd").options(**options)
+
+
+def write_tables(tables: dict[str, DataFrame], root: str, by: tuple[str, ...] = ("venue", "date"), group_rows: int = GROUP_ROWS) -> None:
+    """Each table to its partitions, replacing those it has rows for; rows in the table's order within a file.
+
+    A table without rows makes no partition.
+    """
     for name, df in tables.items():
-        order = [c for c in (*by, "instrument", "venue_ts") if c in df.columns]
-        (df.sortWithinPartitions(*order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(*by).parquet(f"{root}/{name}"))
+        laid_out(df, by, group_rows).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(f"{root}/{name}")
 
 
 def publish(spark: SparkSession, tables: dict[str, DataFrame], verdicts: DataFrame, root: str, now_ns: int) -> None:
