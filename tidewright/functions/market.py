@@ -100,7 +100,8 @@ def within(at: Column, start: int, end: int) -> Column:
 
 
 def aggressor(buyer_is_maker: Column) -> Column:
-    return F.when(buyer_is_maker, "sell").otherwise("buy")
+    """The side that took; null where it is not known."""
+    return F.when(buyer_is_maker, "sell").when(~buyer_is_maker, "buy")
 
 
 def latency(local_ts: Column, venue_ts: Column) -> Column:

@@ -26,32 +26,77 @@ def _levels(pairs: Column) -> Column:
     return F.transform(pairs, lambda x: F.struct(exact(x[0]).alias("price"), exact(x[1]).alias("qty")))
 
 
-def frames(raw: DataFrame) -> DataFrame:
-    """Single messages out of single or array frames: the rows of ``raw`` with ``idx`` and ``is_data``.
+#: A decimal number as text.
+DECIMAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
+
+def _read(text: Column) -> Column:
+    """A message's fields as a struct with columns f0, f1, ... and its order's as o0, o1, ...; one parse."""
+    inner = ", ".join(f"`{n}`: {t}" for n, t in S.ORDER.items())
+    named = ", ".join(f"`{n}` {t}" for n, t in S.MESSAGE.items())
+    places = ", ".join(f"f{i}: {t}" for i, t in enumerate(S.MESSAGE.values()))
+    within_order = ", ".join(f"o{i}: {t}" for i, t in enumerate(S.ORDER.values()))
+    return F.from_json(text, f"{named}, `o` STRUCT<{inner}>").cast(f"STRUCT<{places}, o: STRUCT<{within_order}>>")
 
-    One element of an array of an unknown event type, without a required field, or with
-    a whole number that is none, rejects its whole frame; a rejected frame stays as one
-    row that is no data.
-    """
-    parts = F.when(F.ltrim("body").startswith("["), F.from_json("body", "array<string>")).otherwise(F.array("body"))
-    good = F.forall(parts, _complete)
-    ok = F.coalesce(good & (F.size(parts) > 0), F.lit(False))
-    kept = F.when(ok, parts).otherwise(F.array("body"))
-    return raw.select("venue", "source", "local_ts", "pos", ok.alias("is_data"), F.posexplode(kept).alias("idx", "body"))
 
+def _at(m: Column, path: str) -> Column:
+    """A field of a message that was read, by the venue's name."""
+    if path.startswith("o."):
+        return m["o"][f"o{list(S.ORDER).index(path[2:])}"]
+    return m[f"f{list(S.MESSAGE).index(path)}"]
 
-def _complete(message: Column) -> Column:
-    """Whether a message is of a known event type and has what that type requires."""
-    at = lambda path: F.get_json_object(message, f"$.{path}")
+
+def _decimal(text: Column) -> Column:
+    return F.when(text.rlike(DECIMAL), exact(text))
+
+
+def _complete(x: Column) -> Column:
+    """Whether a message (struct of m, bids and asks) is of a known type and has what that type must have."""
+    m = x["m"]
+    pair = lambda level: F.coalesce((F.size(level) == 2) & _decimal(level[0]).isNotNull() & _decimal(level[1]).isNotNull(), F.lit(False))
+    whole = lambda c: F.coalesce(c.try_cast("long") >= 0, F.lit(False))
+    tests = {
+        "text": lambda c: c.isNotNull(), "flag": lambda c: c.isNotNull(), "whole": whole, "decimal": lambda c: _decimal(c).isNotNull(),
+        "maybe_whole": lambda c: c.isNull() | whole(c), "maybe_decimal": lambda c: c.isNull() | _decimal(c).isNotNull(),
+    }
     out = F.lit(False)
-    for kind, (present, whole) in S.REQUIRED.items():
+    for kind, rules in S.RULES.items():
         has = F.lit(True)
-        for path in present:
-            has = has & at(path).isNotNull()
-        for path in whole:
-            has = has & at(path).try_cast("long").isNotNull()
-        out = F.when(at("e") == kind, has).otherwise(out)
-    return out
+        for rule, paths in rules.items():
+            for path in paths.split():
+                if rule == "levels":
+                    side = x["bids" if path == "b" else "asks"]
+                    has = has & side.isNotNull() & F.forall(side, pair)
+                else:
+                    has = has & tests[rule](_at(m, path))
+        out = F.when(_at(m, "e") == kind, has).otherwise(out)
+    return F.coalesce(out, F.lit(False))
+
+
+def _framed(raw: DataFrame) -> DataFrame:
+    """venue, source, local_ts, pos, parts (the texts of a frame's messages), read (as structs of m, bids and asks) and is_data."""
+    array = F.col("body").startswith("[")
+    parts = F.when(array, F.from_json("body", "array<string>")).otherwise(F.array("body"))
+    side = lambda m, path: F.when(_at(m, "e") == "depthUpdate", F.from_json(_at(m, path), S.PAIRS))
+    held = raw.select("venue", "source", "local_ts", "pos", "body", parts.alias("parts"))
+    # each step is a projection of its own, so what is read is not read again for every use
+    held = held.withColumn("m", F.transform("parts", _read))
+    held = held.withColumn("read", F.transform("m", lambda m: F.struct(m.alias("m"), side(m, "b").alias("bids"), side(m, "a").alias("asks")))).drop("m")
+    return held.withColumn("is_data", F.coalesce(F.forall("read", _complete), F.lit(False)))
+
+
+def frames(raw: DataFrame) -> DataFrame:
+    """Single messages out of single or array frames: the rows of ``raw`` with ``idx`` and ``is_data``.
+
+    A message must have all that its type requires: texts, unsigned whole numbers, flags,
+    decimals (as numbers or texts), and levels that are pairs of decimals; optional numbers
+    may be missing, but not be anything else. One element that does not, or is of an unknown
+    type, rejects its whole frame; a rejected frame stays as one row that is no data. An
+    empty array is data without messages: one row without a body. Decimals beyond 20 whole
+    digits and whole numbers beyond 63 bits are rejected as well.
+    """
+    kept = F.when(F.col("is_data"), F.col("parts")).otherwise(F.array("body"))
+    return _framed(raw).select("venue", "source", "local_ts", "pos", "is_data", F.posexplode_outer(kept).alias("idx", "body"))
 
 
 def replies(other: DataFrame, awaited: DataFrame) -> DataFrame:
@@ -65,7 +110,7 @@ def replies(other: DataFrame, awaited: DataFrame) -> DataFrame:
     return r.select("venue", "source", "pos", action.alias("action"))
 
 
-def _rows(of: str, instrument: Column, venue_ts: Column, **payloads: Column) -> Column:
+def _rows(kind_of: Column, of: str, instrument: Column, venue_ts: Column, **payloads: Column) -> Column:
     """Events of a message of type ``of`` as an array of structs, one for each payload; none of other types."""
     made = [
         F.struct(
@@ -74,47 +119,46 @@ def _rows(of: str, instrument: Column, venue_ts: Column, **payloads: Column) ->
         )
         for kind, p in payloads.items()
     ]
-    return F.when(F.col("m.e") == of, F.array(*made))
+    return F.when(kind_of == of, F.array(*made))
 
 
-def _prediction(rate: Column, time: Column, premium: Column | None = None) -> Column:
+def _prediction(rate: Column, time: Column, premium: Column | None = None, interval: Column | None = None) -> Column:
     none = F.lit(None)
-    return F.struct(exact(rate), ns_from_ms(time), none, none if premium is None else exact(premium), none, none)
+    return F.struct(exact(rate), ns_from_ms(time), none if interval is None else interval, none if premium is None else exact(premium), none, none)
 
 
-def socket_events(raw: DataFrame) -> DataFrame:
-    """All events of socket messages, as rows of the event log: one pass, each message parsed once.
+def socket_events(raw: DataFrame, info: DataFrame | None = None) -> DataFrame:
+    """All events of socket messages, as rows of the event log: one pass, each message read once.
 
     Best prices, trades and aggregated trades (one fill each), depth changes, mark price
-    (three events: mark, index, predicted funding), and liquidations.
+    (three events: mark, index, predicted funding), and liquidations. Predictions have the
+    interval and the limits of ``info`` (symbol, interval_ns, cap, floor, as
+    ``funding_info`` gives them); eight hours and none where it does not list them.
     """
-    single = frames(raw).where("is_data")
-    fields = sorted({f for names in (S.BOOK_TICKER, S.TRADE, S.AGG_TRADE, S.DEPTH, S.MARK_PRICE, S.FORCE_ORDER) for f in names})
-    named = lambda names: [f"f{i}" for i, _ in enumerate(names)]  # noqa: E731  column names do not tell case apart
-    parsed = single.select("venue", "source", "local_ts", "pos", F.get_json_object("body", "$.e").alias("e"), F.json_tuple("body", *fields).alias(*named(fields)))
-    order = list(S.ORDER)
-    inner = [f"o{i}" for i, _ in enumerate(order)]
-    parsed = parsed.select("*", F.json_tuple(f"f{fields.index('o')}", *order).alias(*inner))
-    m = parsed.select("venue", "source", "local_ts", "pos", F.struct("e", *named(fields), *inner).alias("m"))
-
-    def of(names: dict[str, str]) -> dict[str, Column]:
-        return {here: F.col(f"m.f{fields.index(theirs)}") for theirs, here in names.items()}
-
-    b, t, a, d, p = (of(x) for x in (S.BOOK_TICKER, S.TRADE, S.AGG_TRADE, S.DEPTH, S.MARK_PRICE))
-    o = {here: F.col(f"m.o{order.index(theirs)}") for theirs, here in S.ORDER.items()}
-    whole = lambda c: c.try_cast("long")
-    fill = lambda x, kind: F.array(F.struct(x["id"], exact(x["price"]), exact(x["qty"]), aggressor(x["maker"].try_cast("boolean")), kind))
-    side = lambda c: _levels(F.from_json(c, S.PAIRS))
+    data = _framed(raw).where("is_data").select("venue", "source", "local_ts", "pos", F.explode("read").alias("x"))
+    x = F.col("x")
+    at = lambda path: _at(x["m"], path)
+    fill = lambda id_, kind: F.array(F.struct(id_.cast("string"), exact(at("p")), exact(at("q")), aggressor(at("m")), kind))
+    ns = lambda path: ns_from_ms(at(path))
+    e, s = at("e"), at("s")
+    book = F.struct(at("U"), at("u"), at("pu").try_cast("long"), ns("E"), _levels(x["bids"]), _levels(x["asks"]))
+    forced = F.struct(F.when(at("o.S") == "SELL", "sell").otherwise("buy"), *(exact(at(f"o.{c}")) for c in ("p", "q", "z", "ap")), at("o.X"))
     events = F.coalesce(
-        _rows("bookTicker", b["symbol"], ns_from_ms(F.coalesce(b["trade_ms"], b["event_ms"])), book_ticker=F.struct(whole(b["update_id"]), *(exact(b[c]) for c in ("bid", "bid_size", "ask", "ask_size")))),
-        _rows("trade", t["symbol"], ns_from_ms(t["trade_ms"]), trades=fill(t, t["type"])),
-        _rows("aggTrade", a["symbol"], ns_from_ms(a["trade_ms"]), trades=fill(a, F.lit(None).cast("string"))),
-        _rows("depthUpdate", d["symbol"], ns_from_ms(d["trade_ms"]), book_update=F.struct(*(whole(d[c]) for c in ("first", "final", "previous")), ns_from_ms(d["event_ms"]), side(d["bids"]), side(d["asks"]))),
-        _rows("markPriceUpdate", p["symbol"], ns_from_ms(p["event_ms"]), mark_price=exact(p["mark"]), index_price=exact(p["index"]), funding_prediction=_prediction(p["rate"], p["next_ms"])),
-        _rows("forceOrder", o["symbol"], ns_from_ms(o["trade_ms"]), liquidation=F.struct(F.lower(o["side"]), *(exact(o[c]) for c in ("price", "qty", "filled", "average")), o["status"])),
+        _rows(e, "bookTicker", s, ns("T"), book_ticker=F.struct(at("u"), *(exact(at(c)) for c in ("b", "B", "a", "A")))),
+        _rows(e, "trade", s, ns("T"), trades=fill(at("t"), at("X"))),
+        _rows(e, "aggTrade", s, ns("T"), trades=fill(at("a"), F.lit(None).cast("string"))),
+        _rows(e, "depthUpdate", s, ns("T"), book_update=book),
+        _rows(e, "markPriceUpdate", s, ns("E"), mark_price=exact(at("p")), index_price=exact(at("i")), funding_prediction=_prediction(at("r"), at("T"), interval=F.lit(DEFAULT_FUNDING_INTERVAL))),
+        _rows(e, "forceOrder", at("o.s"), ns("o.T"), liquidation=forced),
     )
-    out = m.select("venue", "local_ts", F.col("source").cast("int").alias("source"), "pos", F.explode(events).alias("x"))
-    return out.select("venue", "x.instrument", "x.venue_ts", "local_ts", "source", "pos", "x.kind", *(f"x.{k}" for k in S.PAYLOADS))
+    out = data.select("venue", "local_ts", F.col("source").cast("int").alias("source"), "pos", F.explode(events).alias("x"))
+    out = out.select("venue", "x.instrument", "x.venue_ts", "local_ts", "source", "pos", "x.kind", *(f"x.{k}" for k in S.PAYLOADS))
+    if info is None:
+        return out
+    listed = info.select(F.col("symbol").alias("_s"), "interval_ns", "cap", "floor")
+    met = out.join(listed, (F.col("instrument") == F.col("_s")) & (F.col("kind") == "funding_prediction"), "left")
+    known = F.col("funding_prediction").withField("interval_ns", F.coalesce("interval_ns", F.lit(DEFAULT_FUNDING_INTERVAL))).withField("clamp_min", F.col("floor")).withField("clamp_max", F.col("cap"))
+    return met.withColumn("funding_prediction", F.when(F.col("kind") == "funding_prediction", known)).select(*out.columns)
 
 
 def premium_index(raw: DataFrame) -> DataFrame:

@@ -20,11 +20,11 @@ ORACLE_SQL: dict[str, str] = {}
 _MS = "venue_ts DIV 1000000"
 #: JSON of each message, as Spark SQL over the views ev, upd and tick.
 MESSAGES = {
-    "ticker": f"SELECT venue, source, local_ts, pos, to_json(map('e', 'bookTicker', 'u', string(update_id), 'T', string({_MS}), 's', upper(instrument), 'b', string(price), 'B', string(qty), 'a', string(price + 1), 'A', '2')) AS body FROM {{tick}}",
-    "trade": f"SELECT venue, source, local_ts, pos, to_json(map('e', 'trade', 'T', string({_MS}), 's', upper(instrument), 't', string(pos), 'p', string(price), 'q', string(qty), 'X', 'MARKET', 'm', string(pos % 2 = 0))) AS body FROM {{ev}} WHERE kind = 'trades' AND pos % 3 > 0",
-    "agg": f"SELECT venue, source, local_ts, pos, to_json(map('e', 'aggTrade', 'T', string({_MS}), 's', upper(instrument), 'a', string(pos), 'p', string(price), 'q', string(qty), 'm', string(pos % 2 = 0))) AS body FROM {{ev}} WHERE kind = 'trades' AND pos % 3 = 0",
+    "ticker": f"""SELECT venue, source, local_ts, pos, concat('{{{{"e":"bookTicker","u":', update_id, ',"E":1,"T":', {_MS}, ',"s":"', upper(instrument), '","b":"', price, '","B":"', qty, '","a":"', price + 1, '","A":2}}}}') AS body FROM {{tick}}""",
+    "trade": f"""SELECT venue, source, local_ts, pos, concat('{{{{"e":"trade","E":1,"T":', {_MS}, ',"s":"', upper(instrument), '","t":', pos, ',"p":"', price, '","q":"', qty, '","X":"MARKET","m":', pos % 2 = 0, '}}}}') AS body FROM {{ev}} WHERE kind = 'trades' AND pos % 3 > 0""",
+    "agg": f"""SELECT venue, source, local_ts, pos, concat('{{{{"e":"aggTrade","E":1,"T":', {_MS}, ',"s":"', upper(instrument), '","a":', pos, ',"p":"', price, '","q":"', qty, '","m":', pos % 2 = 0, '}}}}') AS body FROM {{ev}} WHERE kind = 'trades' AND pos % 3 = 0""",
     "depth": f"""SELECT u.venue, u.source, u.local_ts, u.pos, concat('{{{{"e":"depthUpdate","E":', {_MS} + 1, ',"T":', {_MS}, ',"s":"', upper(u.instrument), '","U":', first_update_id, ',"u":', final_update_id,
-      CASE WHEN prev_final_update_id IS NULL THEN '' ELSE concat(',"pu":', prev_final_update_id) END, ',"b":[["', pos % 100, '.5","1"],["', pos % 90, '","0"]],"a":', CASE WHEN pos % 4 = 0 THEN '[]' ELSE '[["7.25","x"]]' END, '}}}}') AS body FROM {{upd}} u""",
+      CASE WHEN prev_final_update_id IS NULL THEN '' ELSE concat(',"pu":', prev_final_update_id) END, ',"b":[["', pos % 100, '.5","1"],["', pos % 90, '","0"]],"a":', CASE WHEN pos % 4 = 0 THEN '[]' WHEN pos % 4 = 1 THEN '[["7.25","x"]]' ELSE '[["7.25",3]]' END, '}}}}') AS body FROM {{upd}} u""",
     "mark": f"""SELECT venue, source, local_ts, pos, concat('[{{{{"e":"markPriceUpdate","E":', {_MS}, ',"s":"', upper(instrument), '","p":"', price, '","i":"', qty, '","r":"0.0001","T":', {_MS} + 1000, '}}}}', CASE WHEN pos % 5 = 0 THEN ',{{{{"e":"markPriceUpdate"}}}}' ELSE '' END, ']') AS body FROM {{ev}} WHERE kind = 'book_snapshot'""",
     "force": f"""SELECT venue, source, local_ts, pos, concat('{{{{"e":"forceOrder","E":1,"o":{{{{"s":"', upper(instrument), '","S":"SELL","p":"', price, '","q":"', qty, '","ap":"', price, '","z":"1","X":"FILLED","T":', {_MS}, '}}}}}}}}') AS body FROM {{ev}} WHERE kind = 'control'""",
     "broken": "SELECT venue, source, local_ts, pos, CASE pos % 3 WHEN 0 THEN concat('{{\"result\":null,\"id\":', source, '}}') WHEN 1 THEN concat('{{\"error\":{{\"code\":2}},\"id\":', pos % 5, '}}') ELSE props END AS body FROM {ev}",
@@ -66,7 +66,7 @@ def _(spark, sf_dir):
 
 @query("demux_book_update", ("upd",), f"""
 SELECT {_ENV}, first_update_id, final_update_id, coalesce(prev_final_update_id, -1) AS prev_final_update_id, (venue_ts // 1000000 + 1) * 1000000 AS event_time, l.s AS side, l.p AS price, l.q AS qty FROM (
-  SELECT *, unnest([{{'s': 'bid', 'p': (pos % 100 + 0.5)::DOUBLE, 'q': 1.0::DOUBLE}}, {{'s': 'bid', 'p': (pos % 90)::DOUBLE, 'q': 0.0::DOUBLE}}, {{'s': CASE WHEN pos % 4 > 0 THEN 'ask' END, 'p': 7.25::DOUBLE, 'q': NULL}}]) AS l FROM upd) WHERE l.s IS NOT NULL""")
+  SELECT *, unnest([{{'s': 'bid', 'p': (pos % 100 + 0.5)::DOUBLE, 'q': 1.0::DOUBLE}}, {{'s': 'bid', 'p': (pos % 90)::DOUBLE, 'q': 0.0::DOUBLE}}, {{'s': CASE WHEN pos % 4 > 0 THEN 'ask' END, 'p': 7.25::DOUBLE, 'q': 3.0::DOUBLE}}]) AS l FROM upd WHERE pos % 4 <> 1) WHERE l.s IS NOT NULL""")
 def _(spark, sf_dir):
     return demux.book_update(log(spark, sf_dir), _KEEP).fillna(-1, ["prev_final_update_id"])
 
@@ -81,9 +81,9 @@ def _(spark, sf_dir):
     return demux.price(log(spark, sf_dir), "index_price", _KEEP)
 
 
-@query("demux_funding_rate", ("ev",), f"SELECT {_ENV}, 0.0001::DOUBLE AS rate, (venue_ts // 1000000 + 1000) * 1000000 AS next_funding_time FROM ev WHERE kind = 'book_snapshot' AND pos % 5 > 0")
+@query("demux_funding_rate", ("ev",), f"SELECT {_ENV}, 0.0001::DOUBLE AS rate, (venue_ts // 1000000 + 1000) * 1000000 AS next_funding_time, 28800000000000 AS interval_ns FROM ev WHERE kind = 'book_snapshot' AND pos % 5 > 0")
 def _(spark, sf_dir):
-    return demux.flat(log(spark, sf_dir), "funding_prediction", _KEEP).select(*_KEEP, *demux.ENVELOPE, "rate", "next_funding_time")
+    return demux.flat(log(spark, sf_dir), "funding_prediction", _KEEP).select(*_KEEP, *demux.ENVELOPE, "rate", "next_funding_time", "interval_ns")
 
 
 @query("demux_liquidation", ("ev",), f"SELECT {_ENV}, 'sell' AS side, price, qty::DOUBLE AS qty, 1.0::DOUBLE AS filled_qty, price AS avg_price, 'FILLED' AS order_status FROM ev WHERE kind = 'control'")
@@ -104,23 +104,42 @@ def _(spark, sf_dir):
 
 
 @query("log_counts", ("ev", "upd", "tick"), """SELECT venue, kind, count(*) AS events FROM (
-  SELECT venue, 'book_ticker' AS kind FROM tick UNION ALL SELECT venue, 'book_update' FROM upd UNION ALL SELECT venue, 'trades' FROM ev WHERE kind = 'trades' UNION ALL SELECT venue, 'liquidation' FROM ev WHERE kind = 'control'
+  SELECT venue, 'book_ticker' AS kind FROM tick UNION ALL SELECT venue, 'book_update' FROM upd WHERE pos % 4 <> 1 UNION ALL SELECT venue, 'trades' FROM ev WHERE kind = 'trades' UNION ALL SELECT venue, 'liquidation' FROM ev WHERE kind = 'control'
   UNION ALL SELECT venue, unnest(['mark_price', 'index_price', 'funding_prediction']) FROM ev WHERE kind = 'book_snapshot' AND pos % 5 > 0) GROUP BY 1, 2""")
 def _(spark, sf_dir):
     return log(spark, sf_dir).groupBy("venue", "kind").agg(F.count("*").alias("events"))
 
 
-_ODD = """SELECT venue, source, local_ts, pos, CASE pos % 6 WHEN 0 THEN concat('{{"e":"trade","T":"zz","s":"', instrument, '","t":', pos, ',"p":"1","q":"1","X":"M","m":true}}')
-  WHEN 1 THEN concat('{{"e":"surprise","T":1,"s":"', instrument, '"}}') WHEN 2 THEN concat('[{{"e":"trade","T":5,"s":"', instrument, '","t":7,"p":"1","q":"1","X":"M","m":true}},{{"e":"trade","T":5}}]') WHEN 3 THEN 'no json'
-  ELSE concat('{{"e":"trade","T":', pos, ',"s":"', upper(instrument), '","t":', pos, ',"p":"x","q":"1","X":"M","m":false}}') END AS body FROM {ev}"""
+#: A message of each form, right or with one fault: text, then whether it is data and how many events it gives.
+_GOOD_TRADE = '{"e":"trade","T":5,"s":"I","t":7,"p":"1","q":2.5,"X":"M","m":true}'
+_MARK = '{"e":"markPriceUpdate","E":4,"s":"I","p":"1","i":"2","r":"1e-4","T":9}'
+_FORCE = '{"e":"forceOrder","o":{"s":"I","S":"BUY","p":"1","q":"2","T":9}}'
+_DEPTH = '{"e":"depthUpdate","E":2,"T":3,"s":"I","U":1,"u":2,"b":[["1","2"]],"a":[]}'
+_TICKER = '{"e":"bookTicker","u":1,"T":3,"s":"I","b":"1","B":"2","a":"3","A":"4"}'
+FORMS = [
+    (_GOOD_TRADE, True, 1), (_GOOD_TRADE.replace('"1"', '"x"'), False, 0), (_GOOD_TRADE.replace("true", '"zz"'), False, 0), (_GOOD_TRADE.replace('"T":5', '"T":-5'), False, 0),
+    (_GOOD_TRADE.replace('"T":5', '"T":"zz"'), False, 0), (_GOOD_TRADE.replace('"T":5', '"T":5.5'), False, 0), (_GOOD_TRADE.replace(',"X":"M"', ""), True, 1), (_GOOD_TRADE.replace('"q":2.5,', ""), False, 0),
+    ('{"e":"surprise","T":1,"s":"I"}', False, 0), (f'[{_GOOD_TRADE},{{"e":"trade","T":5}}]', False, 0), (f"[{_GOOD_TRADE},{_MARK}]", True, 4), ("[]", True, 0), ("no json", False, 0),
+    (_MARK, True, 3), (_MARK.replace('"i":"2",', ""), False, 0), (_MARK.replace('"r":"1e-4",', ""), False, 0), (_MARK.replace(',"T":9', ""), False, 0),
+    (_FORCE, True, 1), (_FORCE.replace('"p":"1",', ""), False, 0), (_FORCE.replace('"q":"2"', '"q":"2","z":"none"'), False, 0), (_FORCE.replace('"q":"2"', '"q":"2","z":null,"ap":"3"'), True, 1),
+    (_DEPTH, True, 1), (_DEPTH.replace('"2"]', '"x"]'), False, 0), (_DEPTH.replace('"2"]', '"2","3"]'), False, 0), (_DEPTH.replace('"U":1', '"U":1,"pu":"a"'), False, 0), (_DEPTH.replace('"U":1', '"U":1,"pu":0'), True, 1), (_DEPTH.replace(',"a":[]', ""), False, 0),
+    (_TICKER, True, 1), (_TICKER.replace('"B":"2",', ""), False, 0), (_TICKER.replace('"T":3,', ""), False, 0), (_TICKER.replace('"u":1', '"u":"one"'), False, 0),
+]
+_FORM_SQL = "CASE pos % {} " + " ".join(f"WHEN {i} THEN {{}}" for i in range(len(FORMS))) + " END"
 
 
-@query("normalize_malformed", ("ev",), "SELECT venue, pos, pos % 6 > 3 AS is_data, CASE WHEN pos % 6 > 3 THEN pos * 1000000 ELSE -1 END AS venue_ts, CASE WHEN pos % 6 > 3 THEN 1.0::DOUBLE END AS qty FROM ev")
+def _by_form(values: list[str]) -> str:
+    return _FORM_SQL.format(len(FORMS), *values)
+
+
+@query("normalize_malformed", ("ev",), f"SELECT venue, pos, {_by_form([str(f[1]) for f in FORMS])} AS is_data, CAST({_by_form([str(f[2]) for f in FORMS])} AS BIGINT) AS events FROM ev")
 def _(spark, sf_dir):
-    """Messages with a number that is none, of an unknown type, with an incomplete element, and no JSON at all."""
-    raw = _rows(spark, sf_dir, "ev", _ODD)
-    events = normalize.socket_events(raw).select("pos", "venue_ts", F.get("trades", F.lit(0))["qty"].cast("double").alias("qty"))
-    return normalize.frames(raw).select("venue", "pos", "is_data").join(events, "pos", "left").fillna(-1, ["venue_ts"])
+    """Messages of every form, right ones and each fault that rejects one, by turns."""
+    body = F.element_at(F.array(*(F.lit(f[0]) for f in FORMS)), (F.col("pos") % len(FORMS) + 1).cast("int"))
+    raw = frame(spark, sf_dir, "ev").select("venue", "source", "local_ts", "pos", body.alias("body"))
+    events = normalize.socket_events(raw).groupBy("pos").agg(F.count("*").alias("events"))
+    single = normalize.frames(raw).select("venue", "pos", "is_data").distinct()
+    return single.join(events, "pos", "left").fillna(0, ["events"])
 
 
 @query("demux_control", ("control",), """SELECT venue, pos, local_ts, CAST(source AS INT) AS source, control_kind AS kind, CASE control_kind WHEN 'conn_up' THEN concat('{"ConnUp":{"label":"c', source, '"}}')

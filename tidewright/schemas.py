@@ -2,23 +2,22 @@
 
 from __future__ import annotations
 
-# Raw messages (fixed values: field names are the venues').
-# Socket messages tell fields apart by case, so they are read by path: venue's field -> name here.
-BOOK_TICKER = {"u": "update_id", "E": "event_ms", "T": "trade_ms", "s": "symbol", "b": "bid", "B": "bid_size", "a": "ask", "A": "ask_size"}
-TRADE = {"T": "trade_ms", "s": "symbol", "t": "id", "p": "price", "q": "qty", "X": "type", "m": "maker"}
-AGG_TRADE = {"T": "trade_ms", "s": "symbol", "a": "id", "p": "price", "q": "qty", "m": "maker"}
-DEPTH = {"E": "event_ms", "T": "trade_ms", "s": "symbol", "U": "first", "u": "final", "pu": "previous", "b": "bids", "a": "asks"}
-MARK_PRICE = {"E": "event_ms", "s": "symbol", "p": "mark", "i": "index", "r": "rate", "T": "next_ms"}
-FORCE_ORDER = {"o": "order"}
-ORDER = {"s": "symbol", "S": "side", "p": "price", "q": "qty", "z": "filled", "ap": "average", "X": "status", "T": "trade_ms"}
-# Event types with the paths that a message must have; those of the second list hold whole numbers.
-REQUIRED = {
-    "bookTicker": (("s", "b", "B", "a", "A"), ("u",)),
-    "trade": (("s", "p", "q", "m"), ("T", "t")),
-    "aggTrade": (("s", "p", "q", "m"), ("T", "a")),
-    "depthUpdate": (("s", "b", "a"), ("E", "T", "U", "u")),
-    "markPriceUpdate": (("s", "p"), ("E", "T")),
-    "forceOrder": (("o.s", "o.S"), ("o.T",)),
+# Raw messages (fixed values: field names and types are the venues').
+# A message is read once, into columns named by place, as its fields differ by case only.
+# Fields of several types, decimals and optional numbers are read as text and checked after.
+MESSAGE = {
+    "e": "STRING", "s": "STRING", "E": "BIGINT", "T": "BIGINT", "U": "BIGINT", "u": "BIGINT", "pu": "STRING", "t": "BIGINT", "p": "STRING", "q": "STRING", "i": "STRING", "r": "STRING",
+    "b": "STRING", "B": "STRING", "a": "STRING", "A": "STRING", "m": "BOOLEAN", "X": "STRING",
+}
+ORDER = {"s": "STRING", "S": "STRING", "p": "STRING", "q": "STRING", "z": "STRING", "ap": "STRING", "X": "STRING", "T": "BIGINT"}
+# What a message of each type must have: texts, unsigned whole numbers, decimals, and optional ones of either kind.
+RULES = {
+    "bookTicker": {"text": "s", "whole": "u T", "decimal": "b B a A"},
+    "trade": {"text": "s", "whole": "t T", "decimal": "p q", "flag": "m"},
+    "aggTrade": {"text": "s", "whole": "a T", "decimal": "p q", "flag": "m"},
+    "depthUpdate": {"text": "s", "whole": "E T U u", "levels": "b a", "maybe_whole": "pu"},
+    "markPriceUpdate": {"text": "s", "whole": "E T", "decimal": "p i r"},
+    "forceOrder": {"text": "o.s o.S", "whole": "o.T", "decimal": "o.p o.q", "maybe_decimal": "o.ap o.z"},
 }
 # Words of dumps: a status's meaning here, and the contract types that are perpetual.
 LIFECYCLES = {"TRADING": "trading", "PENDING_TRADING": "pending_trading", "DELIVERED": "delisted", "CLOSE": "delisted"}
