@@ -43,6 +43,22 @@ def month_of(ns: Column) -> Column:
     return F.date_format(date_of(ns), "yyyy-MM")
 
 
+def month_parsed(text: Column) -> Column:
+    """The first day of a month written yyyy-MM; null where it is none."""
+    return F.when(text.rlike("^[0-9]{4}-(0[1-9]|1[0-2])$"), F.concat(text, F.lit("-01")).cast("date"))
+
+
+def month_next(text: Column) -> Column:
+    return F.date_format(F.add_months(month_parsed(text), 1), "yyyy-MM")
+
+
+def month_bounds(text: Column) -> Column:
+    """start and end (exclusive) of a month in nanoseconds."""
+    day = month_parsed(text)
+    ns = lambda d: F.unix_date(d).cast("long") * NS_DAY
+    return F.struct(ns(day).alias("start"), ns(F.add_months(day, 1)).alias("end"))
+
+
 def number(text: Column) -> Column:
     """A decimal text as double; null where it is none."""
     return text.try_cast("double")

@@ -134,6 +134,11 @@ def partition_outcomes(rows: DataFrame, months: DataFrame, open_month: str) -> D
     return out.withColumn("outcome", F.when(F.col("rows") == 0, "empty").when(F.col("month") == open_month, "partial").otherwise("published"))
 
 
+def outcome_totals(outcomes: DataFrame) -> DataFrame:
+    """outcome, periods, rows: what a run of publishing came to, by outcome."""
+    return outcomes.groupBy("outcome").agg(F.count("*").alias("periods"), F.sum("rows").cast("long").alias("rows"))
+
+
 def sample_density(samples: DataFrame, grid: int = 288) -> DataFrame:
     """Samples per instrument and day against a full grid."""
     return samples.groupBy("instrument", "day").agg(F.count("*").alias("samples")).withColumn("density_pct", F.col("samples") * 100.0 / grid)

@@ -181,12 +181,12 @@ def tagged(rows: DataFrame, payload: str, kind: Column, fields: dict[str, list[s
     """Events of ``payload`` (control or reference) whose detail is JSON under the kind's tag.
 
     ``rows`` has venue, instrument, venue_ts, local_ts, source, pos and the columns named
-    in ``fields`` (kind -> its columns); a kind without columns is its tag alone.
+    in ``fields`` (kind -> its columns, or SQL expressions over them); a kind without any is its tag alone.
     """
     tags = CONTROL_TAGS if payload == "control" else REFERENCE_TAGS
     detail = F.lit(None).cast("string")
     for k, tag in tags.items():
-        body = F.to_json(F.struct(*fields[k]), {"ignoreNullFields": "false"}) if fields.get(k) else None
+        body = F.to_json(F.struct(*(F.expr(c) for c in fields[k])), {"ignoreNullFields": "false"}) if fields.get(k) else None
         detail = F.when(kind == k, F.lit(f'"{tag}"') if body is None else F.concat(F.lit(f'{{"{tag}":'), body, F.lit("}"))).otherwise(detail)
     return rows.select("venue", "instrument", "venue_ts", "local_ts", F.col("source").cast("int").alias("source"), "pos", F.lit(payload).alias("kind"), F.struct(kind.alias("kind"), detail.alias("detail")).alias(payload))
 

@@ -207,6 +207,11 @@ def coverage(events: DataFrame) -> DataFrame:
     )
 
 
+def coverage_kinds(events: DataFrame) -> DataFrame:
+    """venue, instrument, kind, events: what ``coverage`` counts, by kind."""
+    return events.where("kind <> 'control' AND instrument IS NOT NULL").groupBy(*KEY, "kind").agg(F.count("*").alias("events"))
+
+
 def depth_summary(checked: DataFrame, states: DataFrame) -> DataFrame:
     """Counts per instrument: ``checked`` is chain() with explained, ``states`` snapshot_states()."""
     count = lambda c, name: F.count_if(c).alias(name)
@@ -237,14 +242,38 @@ def control_counts(control: DataFrame) -> DataFrame:
     )
 
 
+#: What a control event says of itself in a timeline (fixed values: the words of the report).
+SAYS = {
+    "conn_up": ("ConnUp ", "label"), "conn_down": ("ConnDown ", "label", ": ", "reason"), "gap": ("Gap ", "reason", ": ", "dropped"), "sub_ack": ("SubAck id=", "request_id", " ok=", "ok"),
+    "snapshot_begin": ("SnapshotBegin",), "snapshot_end": ("SnapshotEnd",), "reorg": ("Reorg { from_block: ", "from_block", " }"),
+}
+
+
+def control_text(control: DataFrame) -> Column:
+    """A control event as text: its time, its kind, and what its kind tells of label, reason, count, request or block.
+
+    Columns that ``control`` lacks, and nulls, are left empty; an unknown kind is its own name.
+    """
+    text = F.col("control_kind")
+    for kind, parts in SAYS.items():
+        # texts and names of columns by turns
+        said = [F.lit(p) if i % 2 == 0 else F.coalesce(F.col(p).cast("string"), F.lit("")) if p in control.columns else F.lit("") for i, p in enumerate(parts)]
+        text = F.when(F.col("control_kind") == kind, F.concat(*said)).otherwise(text)
+    return F.concat(F.lit("local_ts="), F.col("local_ts").cast("string"), F.lit(" "), text)
+
+
 def control_timeline(control: DataFrame, cap: int = TIMELINE) -> DataFrame:
     """The first ``cap`` control events of each venue as text, and whether more came."""
     w = W.partitionBy("venue")
-    text = F.concat(F.lit("local_ts="), F.col("local_ts").cast("string"), F.lit(" "), F.col("control_kind"))
     # a window group limit keeps the first rows before the shuffle; the total is a separate count
     first = control.withColumn("n", F.row_number().over(w.orderBy("pos")).cast("long")).where(F.col("n") <= cap)
     totals = control.groupBy("venue").agg(F.count("*").alias("total"))
-    return first.join(F.broadcast(totals), "venue").select("venue", "n", text.alias("entry"), (F.col("total") > cap).alias("truncated"))
+    return first.join(F.broadcast(totals), "venue").select("venue", "n", control_text(control).alias("entry"), (F.col("total") > cap).alias("truncated"))
+
+
+def event_delays(updates: DataFrame) -> DataFrame:
+    """venue, kind, delta (ns): event time less transaction time of depth updates that have both, as ``latency_histogram`` takes them."""
+    return updates.where("event_time IS NOT NULL AND venue_ts IS NOT NULL").select("venue", F.lit("event_minus_transaction").alias("kind"), (F.col("event_time") - F.col("venue_ts")).alias("delta"))
 
 
 def latency_histogram(samples: DataFrame) -> DataFrame:
@@ -271,6 +300,8 @@ def latency_percentiles(histogram: DataFrame, shares: tuple[float, ...] = (0.5,
 def failures(depth: DataFrame, venues: DataFrame, frames: DataFrame | None = None) -> DataFrame:
     """venue, message: what fails a captured day. ``venues`` lists all venues with their events.
 
+    The sentences are the report's (fixed values).
+
     ``frames``, if given, has venue and skipped_ratio, the share of bytes outside frames.
     """
     number = lambda c: F.col(c).cast("string")

@@ -6,7 +6,7 @@ import heapq
 import itertools
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -148,6 +148,23 @@ def build_summary(mapping: DataFrame, overrides: DataFrame) -> DataFrame:
     return met.groupBy("venue").agg(F.count_if(~gone).alias("rows"), F.count_if(F.col("exclude").isNotNull() & ~gone).alias("overridden"), F.count_if(gone).alias("excluded"))
 
 
+def build_record(mapping: DataFrame, overrides: DataFrame, dumps: DataFrame, venues: list[str], at: int, key: Column) -> DataFrame:
+    """One row: what a mapping was built from and what came of it.
+
+    built_at, inputs (venue -> day of the dump used, the latest of ``dumps``: venue,
+    dump_day), rows_per_venue, matched (keys that all ``venues`` list at the time),
+    overridden and excluded. ``key`` is made of the mapping's columns as the overrides leave
+    them.
+    """
+    latest = dumps.groupBy("venue").agg(F.max("dump_day").alias("day"))
+    inputs = latest.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("venue", "day")))).alias("inputs"))
+    summary = build_summary(mapping, overrides)
+    counts = summary.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("venue", "rows")))).alias("rows_per_venue"), F.sum("overridden").alias("overridden"), F.sum("excluded").alias("excluded"))
+    matched = listed_everywhere(apply_overrides(mapping, overrides).withColumn("_key", key), venues, at, "_key").agg(F.count("*").alias("matched"))
+    # each of the three is one row
+    return inputs.crossJoin(counts).crossJoin(matched).withColumn("built_at", F.lit(at))
+
+
 def as_windows(dated: DataFrame, keys: list[str], start: str = "valid_from") -> DataFrame:
     """Dated rows with ``valid_to``: the start of the key's next row."""
     return dated.withColumn("valid_to", F.lead(start).over(W.partitionBy(*keys).orderBy(start)))

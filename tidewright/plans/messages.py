@@ -150,17 +150,44 @@ def _(spark, sf_dir):
     return demux.flat(log, "control", _KEEP).drop("instrument", "venue_ts")
 
 
-@query("demux_reference", ("dump",), """WITH days AS (SELECT dump_day, lead(dump_day) OVER (ORDER BY dump_day) AS a FROM (SELECT DISTINCT dump_day FROM dump))
+@query("demux_reference", ("dump",), """WITH days AS (SELECT dump_day, lag(dump_day) OVER (ORDER BY dump_day) AS b, lead(dump_day) OVER (ORDER BY dump_day) AS a FROM (SELECT DISTINCT dump_day FROM dump)),
+n AS (SELECT d.*, days.b FROM dump d JOIN days USING (dump_day) WHERE days.b IS NOT NULL),
+x AS (SELECT n.symbol, n.dump_day, n.status, n.priority, CASE WHEN o.symbol IS NULL THEN 'instrument_added' WHEN n.status IS DISTINCT FROM o.status OR n.priority IS DISTINCT FROM o.priority THEN 'instrument_changed' END AS kind
+  FROM n LEFT JOIN dump o ON o.symbol = n.symbol AND o.dump_day = n.b)
 ;
-SELECT d.symbol AS instrument, days.a AS local_ts, 'instrument_delisted' AS kind, concat('{"InstrumentDelisted":{"symbol":"', d.symbol, '"}}') AS detail FROM dump d JOIN days USING (dump_day)
-WHERE days.a IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dump n WHERE n.symbol = d.symbol AND n.dump_day = days.a)""")
+SELECT symbol AS instrument, dump_day AS local_ts, kind, concat('{"', CASE kind WHEN 'instrument_added' THEN 'InstrumentAdded' ELSE 'InstrumentChanged' END, '":{"instrument":{"symbol":"', symbol, '","status":"', status, '","priority":', coalesce('"' || priority || '"', 'null'), '}}}') AS detail
+FROM x WHERE kind IS NOT NULL
+UNION ALL SELECT d.symbol, days.a, 'instrument_delisted', concat('{"InstrumentDelisted":{"instrument_id":{"value":"', d.symbol, '"}}}') FROM dump d JOIN days USING (dump_day)
+WHERE days.a IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dump n WHERE n.symbol = d.symbol AND n.dump_day = days.a)
+UNION ALL SELECT symbol, dump_day, 'market_resolved', concat('{"MarketResolved":{"outcome":"', status, '"}}') FROM dump WHERE priority IS NULL""")
 def _(spark, sf_dir):
-    gone = reference.consecutive_changes(frame(spark, sf_dir, "dump"), ["status", "priority"]).where("change = 'delisted'")
-    rows = gone.select(F.lit("v").alias("venue"), F.col("symbol").alias("instrument"), F.lit(None).cast("long").alias("venue_ts"), F.col("dump_day").alias("local_ts"), F.lit(0).alias("source"), F.lit(0).alias("pos"), "symbol", F.concat(F.lit("instrument_"), "change").alias("change"))
-    log = normalize.tagged(rows, "reference", F.col("change"), {"instrument_delisted": ["symbol"]})
+    """What each dump adds, changes and no longer lists, and a resolution wherever there is no priority."""
+    dump = frame(spark, sf_dir, "dump")
+    found = reference.consecutive_changes(dump, ["status", "priority"]).where("change <> 'baseline'").withColumn("change", F.concat(F.lit("instrument_"), "change"))
+    resolved = dump.where("priority IS NULL").select("symbol", "dump_day", F.lit("market_resolved").alias("change"))
+    rows = found.unionByName(resolved).join(dump.select("symbol", "dump_day", "status", "priority"), ["symbol", "dump_day"], "left")
+    rows = rows.select(
+        F.lit("v").alias("venue"), F.col("symbol").alias("instrument_"), F.lit(None).cast("long").alias("venue_ts"), F.col("dump_day").alias("local_ts"), F.lit(0).alias("source"), F.lit(0).alias("pos"), "change",
+        F.struct("symbol", "status", "priority").alias("listed"), F.struct(F.col("symbol").alias("value")).alias("instrument_id"), F.col("status").alias("outcome"),
+    )
+    fields = {"instrument_added": ["listed AS instrument"], "instrument_changed": ["listed AS instrument"], "instrument_delisted": ["instrument_id"], "market_resolved": ["outcome"]}
+    log = normalize.tagged(rows.withColumn("instrument", F.col("instrument_")), "reference", F.col("change"), fields)
     return demux.flat(log, "reference").select("instrument", "local_ts", "kind", "detail")
 
 
+@query("normalize_paged_instruments", ("mapping",), """SELECT concat(instrument, venue) AS symbol, CASE WHEN c % 5 = 0 THEN 'future' ELSE 'perp' END AS class, base, 'USDT' AS quote, CASE WHEN c % 9 > 0 THEN valid_from // 1000000 * 1000000 ELSE -1 END AS onboard_ts, (60 + c % 3) * 60000000000 AS interval_ns
+FROM (SELECT *, CAST(substr(instrument, 2) AS BIGINT) AS c FROM mapping) WHERE c // 100 % 4 <> 3""")
+def _(spark, sf_dir):
+    """Pages of a hundred instruments of a venue, four to an answer, the last of which failed; a start that is no number is none."""
+    return normalize.paged_instruments(_rows(spark, sf_dir, "mapping", _PAGED_INSTRUMENTS)).select("symbol", "class", "base", "quote", F.coalesce("onboard_ts", F.lit(-1)).alias("onboard_ts"), "interval_ns")
+
+
+@query("failed_pages", ("mapping",), """SELECT venue, page FROM (SELECT venue, CAST(substr(instrument, 2) AS BIGINT) // 100 AS page FROM mapping) WHERE page % 4 <> 0 GROUP BY 1, 2""")
+def _(spark, sf_dir):
+    """Of four pages one succeeded, one failed, one has no code and one is no JSON."""
+    return normalize.failed_pages(_rows(spark, sf_dir, "mapping", _FAILED)).select("venue", "page")
+
+
 # ---------------------------------------------------------------- REST answers
 
 
@@ -168,6 +195,10 @@ def _rows(spark: SparkSession, sf_dir: str, view: str, sql: str) -> DataFrame:
     return spark.sql(sql, **{view: frame(spark, sf_dir, view)})
 
 
+_PAGED_INSTRUMENTS = """SELECT venue, concat('[', array_join(collect_list(concat('{{"retCode":', CASE WHEN page % 4 = 3 THEN 10001 ELSE 0 END, ',"result":{{"list":[', list, ']}}}}')), ','), ']') AS body FROM (
+  SELECT venue, c DIV 100 AS page, array_join(collect_list(to_json(named_struct('symbol', upper(concat(instrument, venue)), 'contractType', CASE WHEN c % 5 = 0 THEN 'LinearFutures' ELSE 'LinearPerpetual' END, 'status', 'Trading', 'baseCoin', base, 'quoteCoin', 'USDT', 'settleCoin', 'USDT',
+    'launchTime', CASE WHEN c % 9 > 0 THEN string(valid_from DIV 1000000) ELSE 'soon' END, 'fundingInterval', 60 + c % 3))), ',') AS list FROM (SELECT *, CAST(substr(instrument, 2) AS BIGINT) AS c FROM {mapping}) GROUP BY venue, c DIV 100) GROUP BY venue, page DIV 4"""
+_FAILED = """SELECT venue, page, CASE page % 4 WHEN 0 THEN '{{"retCode":0,"result":{{}}}}' WHEN 1 THEN '{{"retCode":10006}}' WHEN 2 THEN '{{"result":{{}}}}' ELSE 'down' END AS body FROM (SELECT DISTINCT venue, CAST(substr(instrument, 2) AS BIGINT) DIV 100 AS page FROM {mapping})"""
 _PREMIUM = """SELECT venue, 0 AS source, max(local_ts) AS local_ts, min(pos) AS pos, concat('[', array_join(collect_list(to_json(named_struct('symbol', upper(instrument), 'markPrice', string(price), 'indexPrice', string(qty),
  'lastFundingRate', '0.0003', 'nextFundingTime', CASE WHEN pos % 2 = 0 THEN 0 ELSE venue_ts DIV 1000000 END, 'time', venue_ts DIV 1000000))), ','), ']') AS body FROM {ev} WHERE kind = 'book_ticker' GROUP BY venue, pos DIV 500"""
 
@@ -193,31 +224,31 @@ def _(spark, sf_dir):
     return out.select("venue", "instrument", F.col("funding_realized.funding_time").alias("funding_time"), F.round(F.col("funding_realized.rate").cast("double"), 12).alias("rate"), F.col("funding_realized.interval_ns").alias("interval_ns"))
 
 
-_PAGES = """SELECT concat('{{"retCode":', min(CASE WHEN d % 11 = 0 THEN 10001 ELSE 0 END), ',"result":{{"list":[', array_join(collect_list(to_json(named_struct('symbol', upper(instrument), 'fundingRate', string(rate), 'fundingRateTimestamp', CASE WHEN h % 37 = 0 THEN 'bad' ELSE string(funding_time DIV 1000000) END))), ','), ']}}}}') AS body
-FROM (SELECT *, funding_time DIV 86400000000000 AS d, CAST(substr(instrument, 2) AS BIGINT) AS h FROM {fund} WHERE venue = 'v1') GROUP BY d"""
+_PAGES = """SELECT concat('{{"retCode":', min(CASE WHEN d % 11 = 0 THEN 10001 ELSE 0 END), ',"result":{{"list":[', array_join(collect_list(to_json(named_struct('symbol', upper(concat(instrument, venue)), 'fundingRate', string(rate), 'fundingRateTimestamp', CASE WHEN h % 37 = 0 THEN 'bad' ELSE string(funding_time DIV 1000000) END))), ','), ']}}}}') AS body
+FROM (SELECT *, funding_time DIV 86400000000000 AS d, CAST(substr(instrument, 2) AS BIGINT) AS h FROM {fund}) GROUP BY venue, d"""
 
 
-@query("normalize_paged_funding", ("fund",), """SELECT instrument, funding_time, round(rate, 12) AS rate FROM fund WHERE venue = 'v1' AND (funding_time // 86400000000000) % 11 <> 0 AND CAST(substr(instrument, 2) AS BIGINT) % 37 <> 0 AND funding_time >= 800000000000000000 AND funding_time < 900000000000000000""")
+@query("normalize_paged_funding", ("fund",), """SELECT concat(instrument, venue) AS instrument, funding_time, round(rate, 12) AS rate FROM fund WHERE (funding_time // 86400000000000) % 11 <> 0 AND CAST(substr(instrument, 2) AS BIGINT) % 37 <> 0 AND funding_time >= 800000000000000000 AND funding_time < 900000000000000000""")
 def _(spark, sf_dir):
     out = normalize.paged_funding(_rows(spark, sf_dir, "fund", _PAGES), 800_000_000_000_000_000, 900_000_000_000_000_000)
     return out.select("instrument", "funding_time", F.round("rate", 12).alias("rate"))
 
 
-_DUMP = """SELECT concat('{{"symbols":[', array_join(collect_list(to_json(named_struct('symbol', upper(instrument), 'contractType', CASE WHEN c % 5 = 0 THEN 'CURRENT_QUARTER' ELSE 'PERPETUAL' END, 'baseAsset', base, 'quoteAsset', 'USDT', 'marginAsset', CASE WHEN c % 3 = 0 THEN base WHEN c % 3 = 1 THEN 'USDT' END, 'status', CASE WHEN c % 7 = 0 THEN 'SETTLING' WHEN c % 7 < 3 THEN 'DELIVERED' ELSE 'CLOSE' END,
+_DUMP = """SELECT concat('{{"symbols":[', array_join(collect_list(to_json(named_struct('symbol', upper(concat(instrument, venue)), 'contractType', CASE WHEN c % 5 = 0 THEN 'CURRENT_QUARTER' ELSE 'PERPETUAL' END, 'baseAsset', base, 'quoteAsset', 'USDT', 'marginAsset', CASE WHEN c % 3 = 0 THEN base WHEN c % 3 = 1 THEN 'USDT' END, 'status', CASE WHEN c % 7 = 0 THEN 'SETTLING' WHEN c % 7 < 3 THEN 'DELIVERED' ELSE 'CLOSE' END,
  'onboardDate', CASE WHEN c % 9 > 0 THEN valid_from DIV 1000000 END, 'deliveryDate', 4133404800000, 'filters', array(named_struct('filterType', 'PRICE_FILTER', 'tickSize', '0.01', 'stepSize', NULL), named_struct('filterType', 'LOT_SIZE', 'tickSize', NULL, 'stepSize', string(c)))))), ','), ']}}') AS body
-FROM (SELECT *, CAST(substr(instrument, 2) AS BIGINT) AS c FROM {mapping} WHERE venue = 'v0') GROUP BY c DIV 500"""
+FROM (SELECT *, CAST(substr(instrument, 2) AS BIGINT) AS c FROM {mapping}) GROUP BY venue, c DIV 500"""
 
 
-@query("normalize_instruments", ("mapping",), """SELECT instrument AS symbol, CASE WHEN c % 7 = 0 THEN 'halted' ELSE 'delisted' END AS lifecycle, CASE WHEN c % 5 = 0 THEN 'future' ELSE 'perp' END AS class, CASE WHEN c % 3 = 0 THEN 'inverse' WHEN c % 3 = 1 THEN 'linear' END AS linearity,
-  0.01::DOUBLE AS tick_size, c::DOUBLE AS lot_size, CASE WHEN c % 5 = 0 THEN -1 WHEN c % 2 = 0 THEN 4 * 3600000000000 ELSE 8 * 3600000000000 END AS interval_ns FROM (SELECT *, CAST(substr(instrument, 2) AS BIGINT) AS c FROM mapping WHERE venue = 'v0')""")
+@query("normalize_instruments", ("mapping",), """SELECT concat(instrument, venue) AS symbol, CASE WHEN c % 7 = 0 THEN 'halted' ELSE 'delisted' END AS lifecycle, CASE WHEN c % 5 = 0 THEN 'future' ELSE 'perp' END AS class, CASE WHEN c % 3 = 0 THEN 'inverse' WHEN c % 3 = 1 THEN 'linear' END AS linearity,
+  0.01::DOUBLE AS tick_size, c::DOUBLE AS lot_size, CASE WHEN c % 5 = 0 THEN -1 WHEN c % 2 = 0 THEN 4 * 3600000000000 ELSE 8 * 3600000000000 END AS interval_ns FROM (SELECT *, CAST(substr(instrument, 2) AS BIGINT) AS c FROM mapping)""")
 def _(spark, sf_dir):
     raw = _rows(spark, sf_dir, "mapping", _DUMP)
-    info = frame(spark, sf_dir, "mapping").where("venue = 'v0' AND CAST(substr(instrument, 2) AS BIGINT) % 2 = 0").select(F.col("instrument").alias("symbol"), F.lit(4 * 3_600_000_000_000).alias("interval_ns"))
+    info = frame(spark, sf_dir, "mapping").where("CAST(substr(instrument, 2) AS BIGINT) % 2 = 0").select(F.concat("instrument", "venue").alias("symbol"), F.lit(4 * 3_600_000_000_000).alias("interval_ns"))
     return normalize.instruments(raw, info).select("symbol", "lifecycle", "class", "linearity", "tick_size", "lot_size", F.coalesce("interval_ns", F.lit(-1)).alias("interval_ns"))
 
 
-@query("normalize_mapping_rows", ("mapping",), """SELECT 'binance' AS venue, instrument, base, 'USDT' AS quote, 'perp' AS class, CASE WHEN c % 3 = 0 THEN base ELSE 'USDT' END AS settle, CASE WHEN c % 9 > 0 THEN valid_from // 1000000 * 1000000 ELSE 850000000000000000 END AS valid_from, 'dump' AS origin
-  FROM (SELECT *, CAST(substr(instrument, 2) AS BIGINT) AS c FROM mapping WHERE venue = 'v0') WHERE c % 5 <> 0""")
+@query("normalize_mapping_rows", ("mapping",), """SELECT 'binance' AS venue, concat(instrument, venue) AS instrument, base, 'USDT' AS quote, 'perp' AS class, CASE WHEN c % 3 = 0 THEN base ELSE 'USDT' END AS settle, CASE WHEN c % 9 > 0 THEN valid_from // 1000000 * 1000000 ELSE 850000000000000000 END AS valid_from, 'dump' AS origin
+  FROM (SELECT *, CAST(substr(instrument, 2) AS BIGINT) AS c FROM mapping) WHERE c % 5 <> 0""")
 def _(spark, sf_dir):
     return normalize.mapping_rows(normalize.instruments(_rows(spark, sf_dir, "mapping", _DUMP)), "binance", 850_000_000_000_000_000).drop("valid_to")
 
@@ -256,10 +287,10 @@ def _(spark, sf_dir):
     return out.drop("local_ts").withColumn("rate", F.round("rate", 12))
 
 
-@query("normalize_perpetuals", ("mapping",), """SELECT instrument AS symbol, CASE WHEN c % 9 > 0 THEN valid_from // 1000000 * 1000000 ELSE -1 END AS onboard_ts, CASE WHEN c % 2 = 0 THEN 4 * 3600000000000 ELSE -1 END AS interval_ns
-  FROM (SELECT *, CAST(substr(instrument, 2) AS BIGINT) AS c FROM mapping WHERE venue = 'v0') WHERE c % 5 <> 0""")
+@query("normalize_perpetuals", ("mapping",), """SELECT concat(instrument, venue) AS symbol, CASE WHEN c % 9 > 0 THEN valid_from // 1000000 * 1000000 ELSE -1 END AS onboard_ts, CASE WHEN c % 2 = 0 THEN 4 * 3600000000000 ELSE -1 END AS interval_ns
+  FROM (SELECT *, CAST(substr(instrument, 2) AS BIGINT) AS c FROM mapping) WHERE c % 5 <> 0""")
 def _(spark, sf_dir):
-    info = frame(spark, sf_dir, "mapping").where("venue = 'v0' AND CAST(substr(instrument, 2) AS BIGINT) % 2 = 0").select(F.col("instrument").alias("symbol"), F.lit(4 * 3_600_000_000_000).alias("interval_ns"))
+    info = frame(spark, sf_dir, "mapping").where("CAST(substr(instrument, 2) AS BIGINT) % 2 = 0").select(F.concat("instrument", "venue").alias("symbol"), F.lit(4 * 3_600_000_000_000).alias("interval_ns"))
     return normalize.perpetuals(_rows(spark, sf_dir, "mapping", _DUMP), info).fillna(-1)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.functions.market import NS_DAY, canonical_key, day_of, month_of
+from tidewright.functions.market import NS_DAY, canonical_key, day_of, month_bounds, month_next, month_of
 from tidewright.operators import datasets, demux, qa, reference
 from tidewright.plans.bindings import duck, frame
 
@@ -442,10 +442,79 @@ def _(get):
     return qa.control_counts(get("control").unionByName(acks, allowMissingColumns=True))
 
 
-@query("control_timeline", ("control",), """SELECT venue, n, concat('local_ts=', CAST(local_ts AS VARCHAR), ' ', control_kind) AS entry, total > 500 AS truncated FROM (
-  SELECT *, row_number() OVER (PARTITION BY venue ORDER BY pos) AS n, count(*) OVER (PARTITION BY venue) AS total FROM control) WHERE n <= 500""")
+_TIMELINE = """SELECT *, CASE pos % 7 WHEN 0 THEN 'sub_ack' WHEN 1 THEN 'snapshot_begin' WHEN 2 THEN 'snapshot_end' WHEN 3 THEN 'reorg' ELSE control_kind END AS k FROM control"""
+
+
+@query("control_timeline", ("control",), f"""SELECT venue, n, concat('local_ts=', CAST(local_ts AS VARCHAR), ' ', CASE k WHEN 'sub_ack' THEN concat('SubAck id=', pos, ' ok=', pos % 4 > 0) WHEN 'snapshot_begin' THEN 'SnapshotBegin' WHEN 'snapshot_end' THEN 'SnapshotEnd'
+  WHEN 'reorg' THEN concat('Reorg {{ from_block: ', pos, ' }}') WHEN 'conn_up' THEN concat('ConnUp c', source) WHEN 'conn_down' THEN concat('ConnDown c', source, ': lost') ELSE concat('Gap lost: ', dropped) END) AS entry, total > 500 AS truncated FROM (
+  SELECT *, row_number() OVER (PARTITION BY venue ORDER BY pos) AS n, count(*) OVER (PARTITION BY venue) AS total FROM ({_TIMELINE})) WHERE n <= 500""")
+def _(get):
+    """Control events of all kinds, by turns."""
+    pos = F.col("pos")
+    kind = F.when(pos % 7 == 0, "sub_ack").when(pos % 7 == 1, "snapshot_begin").when(pos % 7 == 2, "snapshot_end").when(pos % 7 == 3, "reorg").otherwise(F.col("control_kind"))
+    told = {"control_kind": kind, "label": F.concat(F.lit("c"), F.col("source").cast("string")), "reason": F.lit("lost"), "request_id": pos, "ok": pos % 4 > 0, "from_block": pos}
+    return qa.control_timeline(get("control").withColumns(told))
+
+
+@query("coverage_kinds", ("ev",), "SELECT venue, instrument, kind, count(*) AS events FROM ev WHERE kind <> 'control' GROUP BY 1, 2, 3")
+def _(get):
+    return qa.coverage_kinds(get("ev"))
+
+
+@query("event_delay_percentiles", ("upd",), """WITH d AS (SELECT venue, ((pos % 25) - 3) * 1000000 AS x FROM upd WHERE pos % 11 > 0), r AS (SELECT venue, x, row_number() OVER (PARTITION BY venue ORDER BY x) AS i, count(*) OVER (PARTITION BY venue) AS n FROM d),
+e AS (SELECT *, (x // 1000000 + 1) * 1000 AS edge FROM r)
+;
+SELECT venue, 'event_minus_transaction' AS kind, max(n) AS n, min(edge) FILTER (i >= ceil(0.5 * n)) AS p50_us, min(edge) FILTER (i >= ceil(0.95 * n)) AS p95_us, min(edge) FILTER (i >= ceil(0.99 * n)) AS p99_us, min(x) // 1000 AS min_us, max(x) // 1000 AS max_us FROM e GROUP BY venue""")
+def _(get):
+    """Depth updates whose event time is from three milliseconds before their transaction time to 21 after it; an eleventh have none."""
+    told = F.when(F.col("pos") % 11 > 0, F.col("venue_ts") + (F.col("pos") % 25 - 3) * 1_000_000)
+    return qa.latency_percentiles(qa.latency_histogram(qa.event_delays(get("upd").withColumn("event_time", told))))
+
+
+@query("qa_failures_of_logs", ("ev", "snap", "upd", "downs"), _DEPTH + """, v AS (SELECT venue, count(*) AS n, count(*) FILTER (pos % CASE venue WHEN 'v0' THEN 50 ELSE 200 END = 0) AS bad FROM ev GROUP BY venue)
+;
+SELECT venue, count(*) AS messages, sum((message LIKE 'corrupt%')::INT)::BIGINT AS corrupt, sum((message LIKE 'file contains%')::INT)::BIGINT AS empty FROM (
+  SELECT venue, unnest([CASE WHEN breaks_unexplained > 0 THEN 'break' END, CASE WHEN unspliced > 0 THEN 'unspliced' END, CASE WHEN updates > 0 AND snapshots = 0 THEN 'missing' END]) AS message FROM depth
+  UNION ALL SELECT venue, 'corrupt' FROM v WHERE bad::DOUBLE / n > 0.01 UNION ALL SELECT 'v9', 'file contains') WHERE message IS NOT NULL GROUP BY venue""")
+def _(get):
+    """Logs of which a fiftieth or a two-hundredth is no frame, and one without any event."""
+    ev = get("ev")
+    venues = ev.groupBy("venue").agg(F.count("*").alias("events"), F.count_if(F.col("pos") % F.when(F.col("venue") == "v0", 50).otherwise(200) == 0).alias("bad"))
+    frames = venues.select("venue", (F.col("bad") / F.col("events")).alias("skipped_ratio"))
+    none = ev.limit(1).select(F.lit("v9").alias("venue"), F.lit(0).cast("long").alias("events"))
+    bad = qa.failures(qa.depth_summary(_checked(get), _states(get)), venues.select("venue", "events").unionByName(none), frames)
+    return bad.groupBy("venue").agg(F.count("*").alias("messages"), F.count_if(F.col("message").startswith("corrupt")).alias("corrupt"), F.count_if(F.col("message").startswith("file contains")).alias("empty"))
+
+
+@query("mapping_build_record", ("mapping", "overrides"), f"""WITH o AS (SELECT * FROM overrides QUALIFY row_number() OVER (PARTITION BY venue, instrument ORDER BY pos DESC) = 1),
+m AS (SELECT m.*, coalesce(o.exclude, false) AS gone, o.venue IS NOT NULL AS met, coalesce(o.base, m.base) AS key FROM mapping m LEFT JOIN o USING (venue, instrument)),
+k AS (SELECT key FROM m WHERE NOT gone AND {AT} >= valid_from AND (valid_to IS NULL OR {AT} < valid_to) GROUP BY key HAVING count(DISTINCT venue) = 2)
+;
+SELECT venue, count(*) FILTER (NOT gone) AS rows, max(valid_from) AS input, (SELECT count(*) FROM k) AS matched, (SELECT count(*) FROM m WHERE met AND NOT gone) AS overridden, (SELECT count(*) FROM m WHERE gone) AS excluded, {AT} AS built_at FROM m GROUP BY venue""")
+def _(get):
+    """The record of a build, a row for each of its inputs; keys are bases."""
+    mapping = get("mapping")
+    record = reference.build_record(mapping, get("overrides"), mapping.select("venue", F.col("valid_from").alias("dump_day")), ["v0", "v1"], AT, F.col("base"))
+    rows = record.select(F.explode("rows_per_venue").alias("venue", "rows"), "inputs", "matched", "overridden", "excluded", "built_at")
+    return rows.select("venue", "rows", F.col("inputs")[F.col("venue")].alias("input"), "matched", "overridden", "excluded", "built_at")
+
+
+@query("partition_totals", ("fund",), """WITH m AS (SELECT strftime(make_timestamp(funding_time // 1000), '%Y-%m') AS month, count(*) AS n FROM fund GROUP BY 1), c AS (SELECT strftime(d, '%Y-%m') AS month FROM (SELECT unnest(generate_series(TIMESTAMP '1992-01-01', TIMESTAMP '1999-12-01', INTERVAL 1 MONTH)) AS d))
+;
+SELECT outcome, count(*) AS periods, CAST(sum(n) AS BIGINT) AS rows FROM (SELECT c.month, coalesce(n, 0) AS n, CASE WHEN n IS NULL THEN 'empty' WHEN c.month = (SELECT max(month) FROM m) THEN 'partial' ELSE 'published' END AS outcome FROM c LEFT JOIN m USING (month)) GROUP BY outcome""")
+def _(get):
+    fund = get("fund").withColumn("month", month_of(F.col("funding_time")))
+    last = fund.agg(F.max("month")).first()[0]
+    months = fund.sparkSession.range(1).select(F.explode(F.expr("sequence(DATE '1992-01-01', DATE '1999-12-01', INTERVAL 1 MONTH)")).alias("d")).select(F.date_format("d", "yyyy-MM").alias("month"))
+    return datasets.outcome_totals(datasets.partition_outcomes(fund, months, last or ""))
+
+
+@query("month_bounds", ("fund",), """SELECT strftime(make_timestamp(funding_time // 1000), '%Y-%m') AS month, count(*) AS rows, epoch_us(date_trunc('month', make_timestamp(min(funding_time) // 1000))) * 1000 AS start, epoch_us(date_trunc('month', make_timestamp(min(funding_time) // 1000)) + INTERVAL 1 MONTH) * 1000 AS "end",
+  strftime(date_trunc('month', make_timestamp(min(funding_time) // 1000)) + INTERVAL 1 MONTH, '%Y-%m') AS following, true AS inside FROM fund GROUP BY 1""")
 def _(get):
-    return qa.control_timeline(get("control"))
+    rows = get("fund").withColumn("month", month_of(F.col("funding_time"))).withColumn("b", month_bounds(F.col("month")))
+    inside = F.min((F.col("funding_time") >= F.col("b.start")) & (F.col("funding_time") < F.col("b.end")))
+    return rows.groupBy("month").agg(F.count("*").alias("rows"), F.first("b").alias("b"), inside.alias("inside")).select("month", "rows", "b.start", "b.end", month_next(F.col("month")).alias("following"), "inside")
 
 
 _HIST = """WITH d AS (SELECT venue, kind, local_ts - venue_ts + CASE WHEN pos % 101 = 0 THEN -2000000000 WHEN pos % 103 = 0 THEN 20000000000 ELSE 0 END AS x FROM ev),
