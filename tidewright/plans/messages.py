@@ -66,7 +66,7 @@ def _(spark, sf_dir):
 
 @query("demux_book_update", ("upd",), f"""
 SELECT {_ENV}, first_update_id, final_update_id, coalesce(prev_final_update_id, -1) AS prev_final_update_id, (venue_ts // 1000000 + 1) * 1000000 AS event_time, l.s AS side, l.p AS price, l.q AS qty FROM (
-  SELECT *, unnest([{{'s': 'bid', 'p': (pos % 100 + 0.5)::DOUBLE, 'q': 1.0::DOUBLE}}, {{'s': 'bid', 'p': (pos % 90)::DOUBLE, 'q': 0.0::DOUBLE}}, {{'s': CASE WHEN pos % 4 > 0 THEN 'ask' END, 'p': 7.25::DOUBLE, 'q': 3.0::DOUBLE}}]) AS l FROM upd WHERE pos % 4 <> 1) WHERE l.s IS NOT NULL""")
+  SELECT *, unnest([{{'s': 'bid', 'p': (pos % 100 + 0.5)::DOUBLE, 'q': 1.0::DOUBLE}}, {{'s': 'bid', 'p': (pos % 90)::DOUBLE, 'q': 0.0::DOUBLE}}, {{'s': CASE WHEN pos % 4 > 0 THEN 'ask' END, 'p': 7.25::DOUBLE, 'q': 3.0::DOUBLE}}]) AS l FROM upd WHERE pos % 4 <> 1 AND first_update_id >= 0) WHERE l.s IS NOT NULL""")
 def _(spark, sf_dir):
     return demux.book_update(log(spark, sf_dir), _KEEP).fillna(-1, ["prev_final_update_id"])
 
@@ -104,7 +104,7 @@ def _(spark, sf_dir):
 
 
 @query("log_counts", ("ev", "upd", "tick"), """SELECT venue, kind, count(*) AS events FROM (
-  SELECT venue, 'book_ticker' AS kind FROM tick UNION ALL SELECT venue, 'book_update' FROM upd WHERE pos % 4 <> 1 UNION ALL SELECT venue, 'trades' FROM ev WHERE kind = 'trades' UNION ALL SELECT venue, 'liquidation' FROM ev WHERE kind = 'control'
+  SELECT venue, 'book_ticker' AS kind FROM tick UNION ALL SELECT venue, 'book_update' FROM upd WHERE pos % 4 <> 1 AND first_update_id >= 0 UNION ALL SELECT venue, 'trades' FROM ev WHERE kind = 'trades' UNION ALL SELECT venue, 'liquidation' FROM ev WHERE kind = 'control'
   UNION ALL SELECT venue, unnest(['mark_price', 'index_price', 'funding_prediction']) FROM ev WHERE kind = 'book_snapshot' AND pos % 5 > 0) GROUP BY 1, 2""")
 def _(spark, sf_dir):
     return log(spark, sf_dir).groupBy("venue", "kind").agg(F.count("*").alias("events"))
