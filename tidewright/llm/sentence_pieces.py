@@ -19,7 +19,8 @@ import heapq
 import re
 import string
 from collections.abc import Callable, Iterator
-from itertools import groupby
+from itertools import groupby, repeat
+from operator import add
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,7 +31,7 @@ from tidewright.llm.common import once
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 #: Parts of this many characters at most are remembered, and so many of them in a task.
-SHORT, CACHE = 48, 300_000
+SHORT, CACHE = 48, 800_000
 #: Bits of an agenda entry for the number of a symbol and for a piece's length.
 PLACE, LENGTH = 40, 12
 PLACES, LENGTHS = (1 << PLACE) - 1, (1 << LENGTH) - 1
@@ -90,11 +91,12 @@ class Pieces:
         self.parts = self._parts(joined)
         #: ids of parts, and of words with the space before them
         self.known, self.words = Known(self._part), Known(self._word)
-        #: words that decode to something else than themselves, and those of which the library has other ids or another text
+        #: parts and words that decode to something else than themselves, and words of which the library has other ids or another text
+        self.odd_parts: set[str] = set()
         self.odd: set[str] = set()
         self.bad: set[str] = set()
-        #: words that were met first since the last check, with their ids and their text
-        self.new: list[tuple[str, str, str]] = []
+        #: words that were met first since the last check, with their ids
+        self.new: list[tuple[str, str]] = []
 
     @classmethod
     def shared(cls, path: str) -> Pieces:
@@ -130,7 +132,7 @@ class Pieces:
         """The symbols that are left of a short text, by an agenda kept as a list in the order of the text."""
         find = self.places.get
         symbols = list(text)
-        agenda = [find(text[i : i + 2], NEVER) for i in range(len(text) - 1)]
+        agenda = list(map(find, map(add, text, text[1:]), repeat(NEVER)))
         while agenda and (first := min(agenda)) < NEVER:
             i = agenda.index(first)
             symbols[i] = piece = symbols[i] + symbols.pop(i + 1)
@@ -184,14 +186,18 @@ class Pieces:
         return text[1:] if ids and self.pieces[ids[0]].startswith(SPACE) else text
 
     def _part(self, part: str) -> str:
-        return ",".join(map(str, self.agenda(part)))
+        ids = self.agenda(part)
+        if self.spelled(ids) != part.replace(SPACE, " "):
+            self.odd_parts.add(part)
+        return ",".join(map(str, ids))
 
     def _word(self, word: str) -> str:
-        ids = ",".join(map(self.known.__getitem__, self._split(SPACE + word)))
-        text = self.decode(list(map(int, ids.split(","))))
-        self.new.append((word, ids, text))
-        if text != word:
+        # letters alone are one part
+        parts = [SPACE + word] if word.isalpha() else self._split(SPACE + word)
+        ids = ",".join(map(self.known.__getitem__, parts)) if len(parts) > 1 else self.known[parts[0]]
+        if not self.odd_parts.isdisjoint(parts):
             self.odd.add(word)
+        self.new.append((word, ids))
         return ids
 
     def _in_words(self, words: list[str]) -> bool:
@@ -205,7 +211,7 @@ class Pieces:
             words = t.split(" ") if SPACE not in t else [""]
             if self._in_words(words):
                 ids = ",".join(map(self.words.__getitem__, words))
-                # each word was decoded when it was first met
+                # each part was decoded when it was first met
                 plain = self.odd.isdisjoint(words)
             else:
                 ids = ",".join(map(self.known.__getitem__, self._split(SPACE + t.replace(" ", SPACE)) if t else ()))
@@ -217,7 +223,9 @@ class Pieces:
 
     def _differ(self, own: list[tuple[str, str, str]]) -> list[bool]:
         """Whether the library has other ids or another text for these (text, ids, decoded)."""
-        theirs = self.library.encode([t for t, _, _ in own], num_threads=1) if own else []
+        if not own:
+            return []
+        theirs = self.library.encode([t for t, _, _ in own], num_threads=1)
         back = iter(self.library.decode([ids for ids in theirs if ids], num_threads=1) if any(theirs) else [])
         return [(ids, text) != (",".join(map(str, t)), next(back) if t else "") for (_, ids, text), t in zip(own, theirs, strict=True)]
 
@@ -228,7 +236,8 @@ class Pieces:
         taken word by word.
         """
         new, self.new = self.new, []
-        self.bad |= {w for (w, _, _), differs in zip(new, self._differ(new), strict=True) if differs}
+        own = [(w, ids, self.decode(list(map(int, ids.split(",")))) if w in self.odd else w) for w, ids in new]
+        self.bad |= {w for (w, _), differs in zip(new, self._differ(own), strict=True) if differs}
         words = [t.split(" ") if SPACE not in t else [""] for t in texts]
         whole = [i for i, w in enumerate(words) if not self._in_words(w)]
         out = [self.bad.isdisjoint(w) for w in words]
