@@ -105,3 +105,51 @@ def test_redaction_and_odd_rows(spark):
     want = "at <email> or <phone>."
     assert out == sorted([(1, want, len(want), "x"), (1, want, len(want), "x"), (None, "<ip>", 4, "y"), (2, None, None, None), (3, "", 0, "z"), (4, "clean", 99, "z")], key=str)
     assert pii.redact(df.where(F.lit(False))).count() == 0
+
+
+def test_false_proposals_are_not_added(spark):
+    """Words around a bare "at" and "dot", versions and order numbers are no personal data."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(400):
+        n = "".join(rng.choices("0123456789", k=15))
+        good, bad = (next(n + c for c in "0123456789" if luhn(n + c) == ok) for ok in (True, False))
+        rows.append((i, f"the {good} and {bad} of +1 ({n[:3]}) 555-{n[3:7]}, 10.{i % 256}.3.4 or u{i}@mail{i % 9}.example.com it was"))
+    false = ["meet me at noon dot matrix printers", "Arrive at seven dot three", "please look at point dot line", "version 1.2.3[.]4 is out", "see section 1[.]2[.]3[.]4 there"]
+    true = [("ask jane at example dot com now", (4, 0, 27)), ("host 10.1.2[.]3 is up", (5, 1, 15))]
+    df = spark.createDataFrame(rows + list(enumerate(false, 1000)) + [(2000 + i, t) for i, (t, _) in enumerate(true)], "doc_id long, text string").repartition(5)
+    got = {r.doc_id: [tuple(x) for x in r.spans] for r in pii.detect(df).collect()}
+    assert {i: got[i] for i in range(1000, 1000 + len(false))} == {i: [] for i in range(1000, 1000 + len(false))}
+    assert [got[2000 + i] for i in range(len(true))] == [[want] for _, want in true]
+
+
+def test_without_confirmed_proposals_nothing_is_added(spark):
+    df = spark.createDataFrame([(1, "jane [at] example [dot] com"), (2, "10[.]20[.]30[.]40")], "doc_id long, text string")
+    assert [r.spans for r in pii.detect(df).collect()] == [[], []]
+
+
+def test_proposals_meet_base_spans_as_brute_force(spark):
+    rng = random.Random(6)
+    parts = ["a@b.co", "1.2.3.4", "4111 1111 1111 1111", "+1 (017) 555-7713", "jane [at] ex [dot] org", "12", "/", ".", " ", "10[.]2[.]3[.]4", "at", "-", "x"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(1, 30))) for _ in range(300)] + ["", " ".join(["10.0.0.1 or a@b.co,"] * 400)]
+    rows = pii.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for r in rows:
+        text = texts[r.doc_id]
+        for p in r.proposed:
+            assert text[p.s : p.e] == p.m and text[: p.s].endswith(p.before) and text[p.e :].startswith(p.after)
+            met = [(k, min(e, p.e) - max(s, p.s)) for s, k, e in r.base if s < p.e and e > p.s]
+            assert p.taken == bool(met)
+            assert p.confirmed == any(k == p.k and n >= 0.8 * (p.e - p.s) for k, n in met)
+
+
+def test_very_many_spans_of_one_text(spark):
+    """100,000 spans in one text are found, judged and redacted, those of a long overlapping chain too."""
+    one = [f"10.{i % 250}.{i // 250 % 250}.7, a{i}@b.co; " for i in range(50_000)]
+    text = "".join(one)
+    df = spark.createDataFrame([(1, text), (2, "1234 5678 " * 5_000), (3, "mail x [at] b [dot] co.")], "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.detect(df).collect()}
+    want = slow(text)
+    assert len(want) == 100_000 and [tuple(x) for x in got[1].base] == want and set(want) <= {tuple(x) for x in got[1].spans}
+    assert all(a.e <= b.s for a, b in zip(got[2].spans, got[2].spans[1:]))
+    out = {r.doc_id: r.text for r in pii.redact(df).collect()}
+    assert out[1] == "<ip>, <email>; " * 50_000
