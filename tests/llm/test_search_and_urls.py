@@ -100,3 +100,19 @@ def test_lists_over_time(spark):
     assert got == sorted([(1, False, None), (1, True, "bad.com"), (2, True, "bad.com"), (2, True, "bad.com"), (3, False, None), (4, True, "sub.bad.com"), *((i, False, None) for i in range(5, 11)), (11, True, "bad.com"), (12, False, None)], key=str)
     assert url_filter.evaluate(pages.where(F.lit(False)), spans).count() == 0
     assert url_filter.evaluate(pages, spans.where(F.lit(False))).where("blocked").count() == 0
+
+
+def test_parents_that_all_captures_share(spark):
+    """A top-level domain that no list has meets nothing; a listed one blocks all its hosts, and the longer name is given."""
+    d = lambda n: dt.date(2024, 1, n)
+    pages = spark.range(4000).select(
+        F.col("id").alias("page_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("https://hot.example.com/a")).otherwise(F.concat(F.lit("http://h"), F.col("id").cast("string"), F.lit(".site.com/"))).alias("url"),
+        F.lit(d(10)).alias("fetched"),
+    )
+    entries = spark.createDataFrame([("example.com", d(2), True), ("h7.site.com", d(9), True), ("h8.site.com", d(11), True)], "domain string, dated date, listed boolean")
+    got = {r.page_id: r.matched_domain for r in url_filter.evaluate(pages, url_filter.intervals(entries)).collect()}
+    assert got == {i: "example.com" if i % 3 == 0 else "h7.site.com" if i == 7 else None for i in range(4000)}
+    entries = entries.unionByName(spark.createDataFrame([("com", d(10), True), ("site.com", d(3), True), ("site.com", d(8), False)], "domain string, dated date, listed boolean"))
+    got = {r.page_id: r.matched_domain for r in url_filter.evaluate(pages, url_filter.intervals(entries)).collect()}
+    assert got == {i: "example.com" if i % 3 == 0 else "h7.site.com" if i == 7 else "com" for i in range(4000)}

@@ -5,10 +5,11 @@ entries become validity intervals, and a capture is evaluated against the
 intervals that hold at the time it was fetched, for its host and every parent
 domain. A capture from before an entry, or from after its removal, passes.
 
-The as-of join is an equi-join on the domain with a check of the interval, so
-the entries of a domain need not meet its captures in one ordered window. The
-list side is repeated over a few salts, which parts the captures of one popular
-host.
+The as-of join is in two steps: hosts, each once, meet the listed ones of their parent
+domains, and captures meet the intervals of their host by an equi-join with a check of
+the interval. So the entries of a domain need not meet its captures in one ordered
+window. The sides with intervals are repeated over a few salts, which part the hosts of
+one popular domain and the captures of one popular host.
 """
 
 from __future__ import annotations
@@ -47,22 +48,29 @@ def intervals(entries: DataFrame) -> DataFrame:
 def evaluate(captures: DataFrame, spans: DataFrame, id_col: str = "page_id", url_col: str = "url", time_col: str = "fetched") -> DataFrame:
     """id, host, fetched, blocked, matched_domain, listed_since for each row of ``captures``.
 
-    Of several matching domains the longest is named. A capture without a host or
-    without a time passes; a name of over ``HOST_CHARS`` characters is no host. Repeated
-    rows stay; other columns are not read.
+    Of several matching domains the longest is named; of intervals of one domain that hold at
+    once, the latest. A capture without a host or without a time passes; a name of over
+    ``HOST_CHARS`` characters is no host. Repeated rows stay; other columns are not read.
+    Without captures nothing is returned, and without intervals all captures pass.
+
+    Each host's parents are met with the listed domains once, however many captures it has, so a
+    parent that very many captures share costs one row a host, and no row at all where no
+    list has it. A capture then meets only the intervals of its own host.
     """
     host = host_of(F.col(url_col))
+    seen = captures.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), host.alias("host"), F.col(time_col).alias("fetched"))
     parts = F.split(F.col("host"), r"\.")
     parents = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
-    seen = captures.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), host.alias("host"), F.col(time_col).alias("fetched"))
-    asked = seen.select("*", F.explode(F.when(F.col("host").isNull(), F.array(F.lit(None).cast("string"))).otherwise(parents)).alias("domain"))
-    asked = asked.withColumn("salt", F.pmod(F.col("row"), F.lit(SALTS)))
-    listed = spans.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<long>")))
-    c, s = asked.alias("c"), listed.alias("s")
-    active = (F.col("c.fetched") >= F.col("s.valid_from")) & (F.col("s.valid_to").isNull() | (F.col("c.fetched") < F.col("s.valid_to")))
-    met = c.join(s, (F.col("c.domain") == F.col("s.domain")) & (F.col("c.salt") == F.col("s.salt")) & active, "left")
-    best = F.max(F.when(F.col("s.domain").isNotNull(), F.struct(F.length("s.domain").alias("n"), F.col("s.domain").alias("domain"), F.col("s.valid_from").alias("since"))))
-    out = met.groupBy("row").agg(F.first("c.id").alias(id_col), F.first("c.host").alias("host"), F.first("c.fetched").alias("fetched"), best.alias("best"))
+    hosts = seen.where("host IS NOT NULL AND fetched IS NOT NULL").select("host").distinct()
+    asked = hosts.select("host", F.explode(parents).alias("domain")).withColumn("salt", F.pmod(F.xxhash64("host"), F.lit(SALTS)))
+    listed = spans.select("domain", "valid_from", "valid_to", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<long>")).alias("salt"))
+    of_host = asked.join(listed, ["domain", "salt"]).select(F.col("host").alias("of"), "domain", "valid_from", "valid_to")
+    # a host's intervals come to each of its salts, which part the captures of one popular host
+    of_host = of_host.withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<long>")))
+    active = (F.col("fetched") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("fetched") < F.col("valid_to")))
+    met = seen.join(of_host, (F.col("host") == F.col("of")) & (F.pmod(F.col("row"), F.lit(SALTS)) == F.col("deal")) & active, "left")
+    best = F.max(F.when(F.col("domain").isNotNull(), F.struct(F.length("domain").alias("n"), "domain", F.col("valid_from").alias("since"))))
+    out = met.groupBy("row").agg(F.first("id").alias(id_col), F.first("host").alias("host"), F.first("fetched").alias("fetched"), best.alias("best"))
     return out.select(id_col, "host", "fetched", F.col("best").isNotNull().alias("blocked"), F.col("best.domain").alias("matched_domain"), F.col("best.since").alias("listed_since"))
 
 
