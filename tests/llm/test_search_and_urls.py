@@ -116,3 +116,20 @@ def test_parents_that_all_captures_share(spark):
     entries = entries.unionByName(spark.createDataFrame([("com", d(10), True), ("site.com", d(3), True), ("site.com", d(8), False)], "domain string, dated date, listed boolean"))
     got = {r.page_id: r.matched_domain for r in url_filter.evaluate(pages, url_filter.intervals(entries)).collect()}
     assert got == {i: "example.com" if i % 3 == 0 else "h7.site.com" if i == 7 else "com" for i in range(4000)}
+
+
+def test_listed_rows_do_not_grow_with_blocks(spark, monkeypatch):
+    """Many blocks of candidates list the very rows that one block lists, also for queries of few rows."""
+    rng = random.Random(8)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(16)]) for i in range(3000)] + [(4000 + 50 * i, [1.0] * 3) for i in range(4)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    prepared = vector_search.prepared(df).cache()
+    asked = prepared.where("vec_id % 50 = 0").select(F.col("row").alias("query_row"), "dim", F.col("x").alias("q"))
+    found = {}
+    for size in (10_000, 100):
+        monkeypatch.setattr(vector_search, "CANDIDATES", size)
+        got = [(r.query_row, r.row) for r in vector_search.listed(vector_search.approximation(prepared), asked, 64).collect()]
+        assert len(got) == len(set(got))
+        found[size] = set(got)
+    assert found[100] == found[10_000]
+    assert 5 * 60 <= len(found[100]) < 20 * 60

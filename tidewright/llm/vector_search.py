@@ -4,8 +4,10 @@ Vectors become integers, floor(256 * x). The file holds one byte a component, th
 number of its cell on an even grid over the vector's own range, and how far the
 vector lies from the middle of its cells; that bounds every inner product from both
 sides (Cauchy-Schwarz). Only the file and the queries are dealt: candidates and
-queries form blocks, each pair of blocks is one group of a cogroup, and a candidate
-comes out of it if its upper bound reaches the block's k-th lower bound.
+queries form blocks, and each pair of blocks is one group of a cogroup. With several
+blocks of candidates a first pass gives each query's k highest lower bounds of every block,
+of which the k-th over all blocks is its limit. A candidate is listed if its upper bound
+reaches that, so the rows listed for a query do not grow with the number of blocks.
 
 Exact vectors are then read by upper bound in two rounds: the k candidates of the
 highest bounds, then those whose bounds reach the k-th exact score found. No other
@@ -15,7 +17,7 @@ can be among the best, so the result is exact.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -71,24 +73,21 @@ def cells(v: np.ndarray) -> tuple[bytes, float, float, float]:
 
 
 def approximation(rows: DataFrame) -> DataFrame:
-    """row, vec_id, dim, cell, step, far, length for each of ``rows``."""
+    """row, vec_id, dim, cell, step, far, length, and a digest of 128 bits of the vector (h1, h2) for each of ``rows``."""
+    shape = "row long, vec_id long, dim int, h1 long, h2 long, cell binary, step double, far double, length double"
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            made = [cells(whole(np.asarray(x, dtype=np.float64))) for x in b.column(3).to_pylist()]
+            made = [cells(whole(np.asarray(x, dtype=np.float64))) for x in b.column(5).to_pylist()]
             cols = [pa.array([m[i] for m in made], t) for i, t in enumerate((pa.binary(), pa.float64(), pa.float64(), pa.float64()))]
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], *cols], names=["row", "vec_id", "dim", "cell", "step", "far", "length"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:5], *cols], names=["row", "vec_id", "dim", "h1", "h2", "cell", "step", "far", "length"])
 
-    return rows.select("row", "vec_id", "dim", "x").mapInArrow(make, "row long, vec_id long, dim int, cell binary, step double, far double, length double")
+    return rows.select("row", "vec_id", "dim", F.xxhash64(F.lit(1), "x").alias("h1"), F.xxhash64(F.lit(2), "x").alias("h2"), "x").mapInArrow(make, shape)
 
 
-def reaching(q: np.ndarray, own: np.ndarray, c: pd.DataFrame, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Numbers of queries and of candidates of a block, and the upper bounds of those
-    candidates that reach the k-th lower bound of the query.
-
-    To a query of zeros all are alike, so it meets the ``k`` of the smallest ids.
-    """
-    first = np.lexsort((c["row"], c["vec_id"]))[: k + 1]
+def bounds(q: np.ndarray, own: np.ndarray, c: pd.DataFrame) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For parts of the queries: the number of the first, lengths, upper and lower bounds against
+    a block, and where a query meets its own row (there no bound is reached)."""
     rows, step, far, length = (c[x].to_numpy() for x in ("row", "step", "far", "length"))
     cell = np.frombuffer(b"".join(c["cell"]), dtype=np.int8).reshape(len(c), -1)
     with np.errstate(all="ignore"):
@@ -100,13 +99,33 @@ def reaching(q: np.ndarray, own: np.ndarray, c: pd.DataFrame, k: int) -> Iterato
             upper, lower = np.nan_to_num(middle + reach, nan=np.inf, posinf=np.inf, neginf=np.inf), np.nan_to_num(middle - reach, nan=-np.inf, posinf=-np.inf, neginf=-np.inf)
             self_ = own[at : at + AT_ONCE, None] == rows
             upper[self_], lower[self_] = -np.inf, -np.inf
-            kth = np.partition(lower, len(rows) - k, axis=1)[:, len(rows) - k, None] if len(rows) > k else np.full((len(part), 1), -np.inf)
-            reached = (upper >= kth) & ~self_
-            for zero in np.flatnonzero(norm == 0):
-                reached[zero], upper[zero] = False, 0.0
-                reached[zero, first[~self_[zero, first]][:k]] = True
-            i, j = np.nonzero(reached)
-            yield i + at, j, upper[i, j]
+            yield at, norm, upper, lower, self_
+
+
+def highest(q: np.ndarray, own: np.ndarray, c: pd.DataFrame, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Numbers of queries, and the up to ``k`` highest lower bounds of each in a block; those that bound nothing are left out."""
+    for at, _, _, lower, _ in bounds(q, own, c):
+        best = np.partition(lower, len(c) - k, axis=1)[:, len(c) - k :] if len(c) > k else lower
+        i, j = np.nonzero(best > -np.inf)
+        yield i + at, best[i, j]
+
+
+def reaching(q: np.ndarray, own: np.ndarray, c: pd.DataFrame, k: int, limit: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Numbers of queries and of candidates of a block, and the upper bounds of those
+    candidates that reach the query's ``limit`` and the k-th lower bound of the block.
+
+    To a query of zeros all are alike, so it meets the ``k`` of the smallest ids.
+    """
+    first = np.lexsort((c["row"], c["vec_id"]))[: k + 1]
+    limit = np.full(len(q), -np.inf) if limit is None else limit
+    for at, norm, upper, lower, self_ in bounds(q, own, c):
+        kth = np.partition(lower, len(c) - k, axis=1)[:, len(c) - k] if len(c) > k else np.full(len(lower), -np.inf)
+        reached = (upper >= np.maximum(kth, limit[at : at + AT_ONCE])[:, None]) & ~self_
+        for zero in np.flatnonzero(norm == 0):
+            reached[zero], upper[zero] = False, 0.0
+            reached[zero, first[~self_[zero, first]][:k]] = True
+        i, j = np.nonzero(reached)
+        yield i + at, j, upper[i, j]
 
 
 def inner(q: list[float], x: list[float]) -> int:
@@ -128,6 +147,45 @@ def _met(pairs: DataFrame, table: DataFrame, key: str, of: DataFrame, total: int
     return rest.unionByName(pairs.join(F.broadcast(table.join(F.broadcast(hubs), key, "left_semi")), key))
 
 
+def listed(file: DataFrame, asked: DataFrame, n_queries: int, k: int = K) -> DataFrame:
+    """query_row, row, upper: the rows of the ``file`` that may be among a query's ``k`` best.
+
+    ``asked`` has query_row, dim and q. The rows are those that one block of all rows would
+    give, however many blocks there are; only a query of zeros takes ``k`` rows of each block.
+    """
+    c_blocks, q_blocks = max(1, -(-file.count() // CANDIDATES)), max(1, -(-n_queries // QUERIES))
+    c_all, q_all = F.sequence(F.lit(0), F.lit(c_blocks - 1)), F.sequence(F.lit(0), F.lit(q_blocks - 1))
+    block = lambda c, b, salt: F.pmod(F.xxhash64(c, F.lit(salt)), F.lit(b)).cast("int")
+    key = ["dim", "c", "b"]
+    candidates = file.select("dim", block("row", c_blocks, "c").alias("c"), F.explode(q_all).alias("b"), "row", "vec_id", "cell", "step", "far", "length")
+
+    def dealt(queries: DataFrame, made: Callable[[pd.DataFrame, np.ndarray, np.ndarray, pd.DataFrame], list[pd.DataFrame]], **columns: str) -> DataFrame:
+        def scan(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+            found = []
+            if len(q) and len(c):
+                found = made(q, whole(np.array(q["q"].tolist(), dtype=np.float64).reshape(len(q), -1)), q["query_row"].to_numpy(), c)
+            return pd.concat(found) if found else pd.DataFrame({n: pd.Series(dtype=t) for n, t in columns.items()})
+
+        asked = queries.select("dim", F.explode(c_all).alias("c"), block("query_row", q_blocks, "q").alias("b"), "query_row", "q", "limit")
+        shape = ", ".join(f"{n} {'long' if t == 'int64' else 'double'}" for n, t in columns.items())
+        return asked.groupBy(*key).cogroup(candidates.groupBy(*key)).applyInPandas(scan, shape)
+
+    def lows(q: pd.DataFrame, v: np.ndarray, own: np.ndarray, c: pd.DataFrame) -> list[pd.DataFrame]:
+        return [pd.DataFrame({"query_row": own[i], "low": low}) for i, low in highest(v, own, c, k)]
+
+    def reach(q: pd.DataFrame, v: np.ndarray, own: np.ndarray, c: pd.DataFrame) -> list[pd.DataFrame]:
+        limit, ids = q["limit"].to_numpy(dtype=np.float64), c["row"].to_numpy()
+        return [pd.DataFrame({"query_row": own[i], "row": ids[j], "upper": u}) for i, j, u in reaching(v, own, c, k, limit)]
+
+    free = asked.withColumn("limit", F.lit(-math.inf))
+    if c_blocks > 1:  # the limit of one block is its own
+        by_low = W.partitionBy("query_row").orderBy(F.desc("low"))
+        top = dealt(free, lows, query_row="int64", low="float64").withColumn("n", F.row_number().over(by_low)).where(F.col("n") <= k)
+        limits = cut(top.where(F.col("n") == k).select("query_row", F.col("low").alias("limit")))
+        free = asked.join(limits, "query_row", "left").withColumn("limit", F.coalesce("limit", F.lit(-math.inf)))
+    return dealt(free, reach, query_row="int64", row="int64", upper="float64")
+
+
 def search(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: each query's ``k`` highest inner products, ties to smaller ids.
 
@@ -140,28 +198,13 @@ def search(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY, id_col: str
     """
     rows = stored(prepared(vectors, id_col, vector_col))
     asked = rows.where(F.col("vec_id") % every == 0).select(F.col("row").alias("query_row"), F.col("vec_id").alias("query_id"), "dim", F.col("x").alias("q"))
-    # only copies of one vector share a key, and each task passes on k + 1 rows of a key at most
-    alike = F.row_number().over(W.partitionBy("x").orderBy("vec_id", "row"))
-    file = cut(approximation(rows.withColumn("alike", alike).where(F.col("alike") <= k + 1)))
+    # only copies of one vector share a key, and each task passes on k + 1 rows of a key at most; what is dealt is the file
+    alike = F.row_number().over(W.partitionBy("h1", "h2").orderBy("vec_id", "row"))
+    file = cut(approximation(rows).withColumn("alike", alike).where(F.col("alike") <= k + 1).drop("h1", "h2", "alike"))
     largest, longest, n_queries = rows.agg(F.max(F.array_max(F.transform("x", F.abs))), F.max("dim"), F.count_if(F.col("vec_id") % every == 0)).first()
     # bytes that hold any score, shifted to be positive
     width = (2 * (max(0, math.frexp(largest or 0.0)[1]) + 9) + int(longest or 1).bit_length() + 2) // 8 + 1
-    c_blocks, q_blocks = max(1, -(-file.count() // CANDIDATES)), max(1, -(-n_queries // QUERIES))
-    c_all, q_all = F.sequence(F.lit(0), F.lit(c_blocks - 1)), F.sequence(F.lit(0), F.lit(q_blocks - 1))
-    block = lambda c, b, salt: F.pmod(F.xxhash64(c, F.lit(salt)), F.lit(b)).cast("int")
-    candidates = file.select("dim", block("row", c_blocks, "c").alias("c"), F.explode(q_all).alias("b"), "row", "vec_id", "cell", "step", "far", "length")
-    queries = asked.select("dim", F.explode(c_all).alias("c"), block("query_row", q_blocks, "q").alias("b"), "query_row", "q")
-
-    def scan(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(q) and len(c):
-            v = whole(np.array(q["q"].tolist(), dtype=np.float64).reshape(len(q), -1))
-            own, ids = q["query_row"].to_numpy(), c["row"].to_numpy()
-            found = [pd.DataFrame({"query_row": own[i], "row": ids[j], "upper": u}) for i, j, u in reaching(v, own, c, k)]
-        return pd.concat(found) if found else pd.DataFrame({"query_row": pd.Series(dtype="int64"), "row": pd.Series(dtype="int64"), "upper": pd.Series(dtype="float64")})
-
-    key = ["dim", "c", "b"]
-    near = cut(queries.groupBy(*key).cogroup(candidates.groupBy(*key)).applyInPandas(scan, "query_row long, row long, upper double"))
+    near = cut(listed(file, asked, n_queries, k))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
