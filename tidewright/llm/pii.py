@@ -38,6 +38,8 @@ PRECISION = 0.98
 #: Score bins of each kind when its threshold is calibrated.
 BINS = 10_000
 TREES, DEPTH = 10, 3
+#: Partitions of what is learnt from: it is bounded, and each level of a tree is a job over all of them.
+PARTS = 4
 CONTEXT = 24
 #: Entries that are handled together where arrays of one text are built or spans are compared.
 BLOCK = 256
@@ -302,7 +304,7 @@ def choose(cands: DataFrame, sample: int = SAMPLE, precision: float = PRECISION)
     by_group = lambda of: F.coalesce(*(F.when((F.col("k") == k) & (F.col("label") == y), F.lit(float(v))) for (k, y), v in of.items()), F.lit(0.0))
     vectors = lambda df: VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(df)
     learns = u < by_group(share)
-    part = cut(vectors(known.where(learns).dropDuplicates(["digest", "s", "k", "made"])).select("k", "label", "features"))
+    part = cut(vectors(known.where(learns).dropDuplicates(["digest", "s", "k", "made"])).select("k", "label", "features").coalesce(PARTS))
     taken = {(r.k, r.label): r["count"] for r in part.groupBy("k", "label").count().collect()}
     # each kind has trees of its own; its labels weigh as in all its proposals
     models = {}
