@@ -71,3 +71,60 @@ def test_pairs_of_a_bucket_connect_what_all_pairs_do(n):
     all_ = (bucket[a] == bucket[b]) & (d <= simhash.STAGE_RADIUS)
     assert (simhash.connected(n, i, j) == simhash.connected(n, a[all_], b[all_])).all()
     assert len(i) <= 8 * n + n or n <= simhash.LAGS
+
+
+def test_tree_meets_every_near_pair_once():
+    """Rows in a leaf of the stage's tree against all pairs within its radius."""
+    rng = np.random.default_rng(5)
+    f = rng.integers(0, 2**63, (3000, 2)).astype(np.uint64)
+    f[1000:2000] = f[:1000] ^ (np.uint64(1) << rng.integers(0, 63, (1000, 2)).astype(np.uint64))
+    f[2000:] = f[0] ^ (np.uint64(1) << rng.integers(0, 63, (1000, 2)).astype(np.uint64))
+    places, mask = simhash.tree_bits(3, 7)
+    assert len(places) == 7 and sum(int(m).bit_count() for m in mask) == simhash.SAMPLE
+    seen, leaves = [], 0
+    for stored, visiting in simhash.tree_leaves(f[:, 0], f[:, 1], mask, np.arange(3000), np.zeros(0, np.int64)):
+        i, j = np.nonzero(np.tri(len(stored) + len(visiting), len(stored), -1, dtype=bool))
+        both = np.concatenate([stored, visiting])
+        seen.append(np.minimum(both[i], stored[j]) * 3000 + np.maximum(both[i], stored[j]))
+        leaves += 1
+    seen = np.concatenate(seen)
+    a, b = np.nonzero(np.tri(3000, k=-1, dtype=bool).T)
+    d = sum(np.bitwise_count((f[a, c] ^ f[b, c]) & mask[c]).astype(int) for c in (0, 1))
+    near = (a * 3000 + b)[d <= simhash.SAMPLE_RADIUS]
+    assert leaves > 10 and len(seen) == len(np.unique(seen)) < 0.8 * len(a)
+    assert np.isin(near, seen).all()
+
+
+def test_shards_and_trees_grow_with_the_table():
+    few, many = simhash.forest_for(200), simhash.forest_for(10**9)
+    assert few[0] == 0 and 10**9 / 2 ** many[0] <= simhash.SHARD
+    assert few[1] < many[1] < 1000
+
+
+def test_links_behind_pairs_that_fail_are_found(spark):
+    """Many texts about as alike as the limit: a forest of nearest pairs has few of their links."""
+    rng = random.Random(8)
+    base, texts = [f"w{i}" for i in range(400)], []
+    for i in range(260):
+        w = list(base)
+        for at in rng.sample(range(400), 6):
+            w[at] = f"x{i}"
+        texts.append(" ".join(w))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    groups = slow_groups(texts)
+    assert 10 < len(set(groups)) < 250
+    assert {r.doc_id for r in simhash.keep_one(docs).collect()} == set(groups)
+
+
+def test_shards_in_the_tasks_give_the_same_documents(spark, monkeypatch):
+    """Small shards and leaves, so that trees are parted and go on down."""
+    rng = random.Random(4)
+    texts = []
+    for _ in range(300):
+        w = [f"w{rng.randrange(3000)}" for _ in range(rng.randint(60, 200))]
+        texts += [" ".join(w), " ".join(f"x{rng.randrange(9)}" if rng.random() < 0.012 else x for x in w)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for name, value in (("SHARD", 200), ("STAGE_LEAF", 16), ("LAGS", 32)):
+        monkeypatch.setattr(simhash, name, value)
+    got, want = {r.doc_id for r in simhash.keep_one(docs).collect()}, set(slow_groups(texts))
+    assert want <= got and len(got - want) <= 0.01 * (len(texts) - len(want))

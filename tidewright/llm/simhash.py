@@ -21,7 +21,8 @@ holds, not all pairs. Components come from alternating stars over those rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 from itertools import product
 
 import numpy as np
@@ -50,10 +51,18 @@ HUB, HUB_SHARE = 64, 10_000
 BLOCK = 1 << 22
 # The pipeline's stage has settings of its own.
 STAGE_SHINGLE, SIMILAR = 5, (8, 10)
-#: Bits of 128 in which linked fingerprints differ at most (at similarity 0.8 about 19 do), and bands of 16 bits.
-STAGE_RADIUS, TABLES = 36, 64
-#: Rows of a bucket up to which all pairs are met side by side.
+#: Bits of 128 in which linked fingerprints differ at most (at similarity 0.8 about 19 do).
+STAGE_RADIUS = 36
+#: A tree of the stage measures distances over so many bits, and its rings are visited up to this difference.
+SAMPLE, SAMPLE_RADIUS = 24, 3
+#: Share of the bits that differ at similarity 0.8, and of the pairs with that share that all trees may miss.
+APART, MISSED = 0.1515, 0.001
+#: Fingerprints of a shard, and of a leaf, that a task aims at.
+SHARD, STAGE_LEAF = 4096, 128
+#: Rows of a shard up to which it is one leaf.
 LAGS = 512
+#: Texts of a block of a group that is compared in whole, and the most blocks of a group.
+GROUP_BLOCK, GROUP_BLOCKS = 128, 64
 
 
 def vantage_points(n: int) -> list[int]:
@@ -320,10 +329,42 @@ def _differing(x: tuple[np.ndarray, ...], y: tuple[np.ndarray, ...]) -> np.ndarr
     return np.bitwise_count(x[0] ^ y[0]).astype(np.int64) + np.bitwise_count(x[1] ^ y[1])
 
 
-def bucket_pairs(bucket: np.ndarray, size: np.ndarray, f1: np.ndarray, f2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def forest_for(n: int) -> tuple[int, int]:
+    """Bits that part each tree of ``n`` fingerprints into shards, and the number of trees."""
+    k = max(0, math.ceil(math.log2(max(1, n) / SHARD)))
+    within = sum(math.comb(SAMPLE, d) * APART**d * (1 - APART) ** (SAMPLE - d) for d in range(SAMPLE_RADIUS + 1))
+    return k, math.ceil(math.log(MISSED) / math.log1p(-within * (1 - APART) ** k))
+
+
+def tree_bits(tree: int, k: int) -> tuple[np.ndarray, tuple[np.uint64, np.uint64]]:
+    """Positions of the ``k`` bits that name a shard of a tree, and masks of the bits over which it measures."""
+    order = np.random.default_rng(SEED + tree).permutation(128).tolist()
+    mask = sum(1 << (127 - b) for b in order[k : k + SAMPLE])
+    return np.array(order[:k], np.int64), (np.uint64(mask >> 64), np.uint64(mask % 2**64))
+
+
+def tree_leaves(f1: np.ndarray, f2: np.ndarray, mask: tuple[np.uint64, np.uint64], stored: np.ndarray, visiting: np.ndarray, level: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows stored in each leaf of the vantage-point tree over the bits of ``mask``, and those that visit it.
+
+    Children are the rings around one vantage point a level, as in ``leaf_links``. Each two rows
+    at most ``SAMPLE_RADIUS`` of these bits apart meet in one leaf, once.
+    """
+    if len(stored) <= STAGE_LEAF or level >= DEEPEST:
+        yield stored, visiting
+        return
+    p1, p2 = (np.int64(v).view(np.uint64) for v in vantage_points(2 * level + 2)[-2:])
+    ring, far = (np.bitwise_count((f1[x] ^ p1) & mask[0]).astype(np.int64) + np.bitwise_count((f2[x] ^ p2) & mask[1]) for x in (stored, visiting))
+    for r in np.unique(ring):
+        after = stored[(ring > r) & (ring <= r + SAMPLE_RADIUS)]
+        yield from tree_leaves(f1, f2, mask, stored[ring == r], np.concatenate([after, visiting[np.abs(far - r) <= SAMPLE_RADIUS]]), level + 1)
+
+
+def bucket_pairs(bucket: np.ndarray, size: np.ndarray, f1: np.ndarray, f2: np.ndarray, mask_of: Callable[[int], tuple[np.uint64, np.uint64]] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Rows i, j that connect in each bucket what pairs at most ``STAGE_RADIUS`` bits apart, of fitting sizes, connect.
 
-    They are the shortest such pairs, ties by the order of the rows. Rows are sorted by
+    A bucket is a shard of a tree over the bits ``mask_of`` gives for it, and the pairs are those that
+    meet in a leaf; without ``mask_of``, or in a small bucket, all pairs meet. Of these the
+    shortest are taken, ties by the order of the rows. Rows are sorted by
     bucket, then node, so buckets that hold the same nodes give the same pairs, and a
     group of near copies gives fewer pairs than it has rows.
     """
@@ -353,14 +394,23 @@ def bucket_pairs(bucket: np.ndarray, size: np.ndarray, f1: np.ndarray, f2: np.nd
         out_j.append(j[keep])
     for s, n in zip(starts[lengths > LAGS], lengths[lengths > LAGS], strict=True):
         a, b, w = (np.zeros(0, np.int64) for _ in range(3))
-        step = max(1, BLOCK // int(n))
-        for x in range(0, n, step):
-            i, j = np.nonzero(np.arange(x, min(n, x + step))[:, None] > np.arange(n)[None, :])
-            i, j, d = near(i + x + s, j + s)
-            a, b, w = np.r_[a, i - s], np.r_[b, j - s], np.r_[w, d]
-            if len(a) > 8 * n:
-                keep = forest(int(n), a, b, w)
-                a, b, w = a[keep], b[keep], w[keep]
+        held: list[tuple[np.ndarray, ...]] = []
+        all_, none = np.arange(n), np.zeros(0, np.int64)
+        leaves = tree_leaves(f1[s : s + n], f2[s : s + n], mask_of(int(bucket[s])), all_, none) if mask_of else [(all_, none)]
+        for stored, visiting in leaves:
+            both = np.concatenate([stored, visiting])
+            step = max(1, BLOCK // len(stored))
+            for x in range(0, len(both), step):
+                # each two stored ones once, and visitors with all stored ones
+                i, j = np.nonzero(np.arange(x, min(len(both), x + step))[:, None] > np.arange(len(stored))[None, :])
+                i, j, d = near(both[i + x] + s, stored[j] + s)
+                held.append((i - s, j - s, d))
+                if sum(len(h[0]) for h in held) > 8 * n:
+                    a, b, w = (np.concatenate(c) for c in zip((a, b, w), *held, strict=True))
+                    keep = forest(int(n), a, b, w)
+                    a, b, w = a[keep], b[keep], w[keep]
+                    held.clear()
+        a, b, w = (np.concatenate(c) for c in zip((a, b, w), *held, strict=True))
         keep = forest(int(n), a, b, w)
         out_i.append(a[keep] + s)
         out_j.append(b[keep] + s)
@@ -370,34 +420,38 @@ def bucket_pairs(bucket: np.ndarray, size: np.ndarray, f1: np.ndarray, f2: np.nd
 
 
 def similar_pairs(nodes: DataFrame) -> DataFrame:
-    """u, v: nodes (node, size, f1, f2) that agree in all bits of some band and differ in few of all.
+    """u, v: nodes (node, size, f1, f2) that meet in a leaf of some tree and differ in few of all bits.
 
-    At this radius the rings of the tree part nothing, so buckets are bands of 16 of the 128 bits.
+    Around a whole fingerprint rings part nothing at this radius, so there are several vantage-point
+    trees, each over a sample of the bits and with a small radius. Spark deals each tree by
+    further bits into shards; their number grows with the table, and that of the trees
+    so that a pair's chance to meet stays the same. Within a shard the tree goes on in the task.
     """
-    perms = np.stack([np.random.default_rng(SEED + k).permutation(128) for k in range(TABLES // 8)])
+    k, trees = forest_for(nodes.count())
+    places = np.stack([tree_bits(t, k)[0] for t in range(trees)])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for x in range(0, whole.num_rows, 1000):
                 b = whole.slice(x, 1000)
-                node, size, f1, f2 = (b.column(k).to_numpy() for k in range(4))
+                node, size, f1, f2 = (b.column(c).to_numpy() for c in range(4))
                 bits = np.unpackbits(np.stack([f1, f2], axis=1).astype(">i8").view(np.uint8).reshape(-1, 16), axis=1)
-                band = bits[:, perms.ravel()].reshape(len(node), TABLES, 16) @ (1 << np.arange(16))
-                bucket = (band + 65536 * np.arange(TABLES)).ravel()
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (bucket, *(np.repeat(y, TABLES) for y in (node, size, f1, f2)))], names=["bucket", "node", "size", "f1", "f2"])
+                shard = bits[:, places.ravel()].reshape(len(node), trees, k) @ (1 << np.arange(k))
+                bucket = (shard + (np.arange(trees) << k)).ravel()
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (bucket, *(np.repeat(y, trees) for y in (node, size, f1, f2)))], names=["bucket", "node", "size", "f1", "f2"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
 
         def out() -> pa.RecordBatch:
             bucket, node, size, f1, f2 = (np.concatenate(c) for c in zip(*held, strict=True))
-            i, j = bucket_pairs(bucket, size, f1.view(np.uint64), f2.view(np.uint64))
+            i, j = bucket_pairs(bucket, size, f1.view(np.uint64), f2.view(np.uint64), lambda b: tree_bits(b >> k, k)[1])
             return pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], node[j])), pa.array(np.maximum(node[i], node[j]))], names=["u", "v"])
 
         for b in batches:
             if not b.num_rows:
                 continue
-            cols = [b.column(k).to_numpy() for k in range(5)]
+            cols = [b.column(c).to_numpy() for c in range(5)]
             edge = int(np.searchsorted(cols[0], cols[0][-1]))  # the last bucket may go on
             if edge:
                 held.append([c[:edge] for c in cols])
@@ -412,6 +466,58 @@ def similar_pairs(nodes: DataFrame) -> DataFrame:
     return dealt.repartition("bucket").sortWithinPartitions("bucket", "node").mapInArrow(meet, "u long, v long").distinct()
 
 
+def block_links(root: np.ndarray, f1: np.ndarray, f2: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Roots that connect what exact links of the rows ``left`` to the rows ``right`` connect, a forest of them.
+
+    Only rows at most ``STAGE_RADIUS`` bits apart are compared, and only if nothing before has connected them.
+    """
+    num, den = SIMILAR
+    names, label = np.unique(root, return_inverse=True)
+    start = label.copy()
+    grams, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    size = np.array([len(x) for x in sets])
+    ends = np.cumsum(size)
+    here = np.zeros(len(grams), bool)
+    label, u, v = np.arange(len(names)), [], []
+    for i in left:
+        j = right[label[start[right]] != label[start[i]]]
+        j = j[(_differing((f1[i], f2[i]), (f1[j], f2[j])) <= STAGE_RADIUS) & (den * np.minimum(size[i], size[j]) >= num * np.maximum(size[i], size[j]))]
+        if not len(j):
+            continue
+        own = flat[ends[i] - size[i] : ends[i]]
+        here[own] = True
+        common = np.array([np.count_nonzero(here[flat[ends[x] - size[x] : ends[x]]]) for x in j])
+        here[own] = False
+        for x in j[common * den >= (size[i] + size[j] - common) * num]:
+            a, b = label[start[i]], label[start[x]]
+            if a != b:
+                u.append(names[start[i]])
+                v.append(names[start[x]])
+                label[label == max(a, b)] = min(a, b)
+    return np.array(u, np.int64), np.array(v, np.int64)
+
+
+def remaining_links(members: DataFrame) -> DataFrame:
+    """u, v: roots that exact links connect within each group of ``members`` (group, n, node, root, f1, f2, grams).
+
+    A group of ``n`` texts is cut into blocks, and each two blocks meet once, so a text is
+    dealt to at most ``GROUP_BLOCKS`` tasks.
+    """
+    blocks = F.least(F.lit(GROUP_BLOCKS), F.ceil(F.col("n") / GROUP_BLOCK)).cast("int")
+    dealt = members.withColumn("blocks", blocks).withColumn("block", F.expr("CAST(pmod(xxhash64(node), blocks) AS INT)"))
+    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    dealt = dealt.select("group", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "root", "f1", "f2", "grams")
+
+    def meet(t: pa.Table) -> pa.Table:
+        x, y, block, root, f1, f2 = (t.column(c).to_numpy() for c in ("x", "y", "block", "root", "f1", "f2"))
+        sets = [np.asarray(g, np.int64) for g in t.column("grams").to_numpy()]
+        left, right = np.flatnonzero(block == x[0]), np.flatnonzero(block == y[0])
+        u, v = block_links(root, f1.view(np.uint64), f2.view(np.uint64), sets, left, right) if len(left) and len(right) else (np.zeros(0, np.int64),) * 2
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    return dealt.groupBy("group", "x", "y").applyInArrow(meet, "u long, v long")
+
+
 def shingle_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, key of the row, text digest, root for each row of ``docs``; links are exact Jaccard of shingle sets >= 0.8."""
     kind = docs.schema[id_col].dataType.simpleString()
@@ -442,9 +548,21 @@ def shingle_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     num, den = SIMILAR
     both = pairs.join(sets.select(F.col("node").alias("u"), F.col("grams").alias("gu")), "u").join(sets.select(F.col("node").alias("v"), F.col("grams").alias("gv")), "v")
     both = both.select("u", "v", (F.size("gu") + F.size("gv")).alias("n"), F.size(F.array_intersect("gu", "gv")).alias("common"))
-    roots = components(both.where(F.col("common") * den >= (F.col("n") - F.col("common")) * num).select("u", "v"))
-    rooted = marked.join(roots.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left")
-    return rooted.select("doc_id", "key", "digest", F.coalesce("root", "node").alias("root"))
+    checked = cut(both.select("u", "v", (F.col("common") * den >= (F.col("n") - F.col("common")) * num).alias("similar")))
+    roots = components(checked.where("similar").select("u", "v"))
+    # where a pair fails the check, links that the forests left out for it may remain: such groups are compared in whole
+    of = roots.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    failed = checked.where("NOT similar").join(of.select(F.col("node").alias("u"), F.col("root").alias("ru")), "u", "left").join(of.select(F.col("node").alias("v"), F.col("root").alias("rv")), "v", "left")
+    near = components(failed.select(F.coalesce("ru", "u").alias("u"), F.coalesce("rv", "v").alias("v")))
+    group = near.unionByName(near.select(F.col("v").alias("u"), "v").distinct()).select(F.col("u").alias("root"), F.col("v").alias("group"))
+    # a node that no link reaches is its own root
+    members = cut(sets.select("node").join(of, "node", "left").select("node", F.coalesce("root", "node").alias("root")).join(group, "root"))
+    count = members.groupBy("group").agg(F.count("*").alias("n")).where("n > 2")
+    members = members.join(count, "group").join(nodes.select("node", "f1", "f2"), "node").join(sets, "node")
+    more = components(remaining_links(members))
+    final = F.coalesce("last", "root", "node").alias("root")
+    rooted = marked.join(of, "node", "left").withColumn("root", F.coalesce("root", "node")).join(more.select(F.col("u").alias("root"), F.col("v").alias("last")), "root", "left")
+    return rooted.select("doc_id", "key", "digest", final)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
